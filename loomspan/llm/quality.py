@@ -107,8 +107,8 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
 
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
-w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), x -> x <> '') AS ws,
-  list_filter(string_split(t, chr(10)), x -> regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
+w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS ls FROM d),
 g AS (SELECT doc_id, i, list_slice(ws, i, i + 4) AS k FROM (SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 3, 1))) AS i FROM w)),
 r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, k) AS c FROM g) WHERE c > 1),
 rc AS (SELECT doc_id, count(DISTINCT p) AS n FROM (SELECT doc_id, i + unnest(range(0, 5)) AS p FROM r) GROUP BY doc_id),

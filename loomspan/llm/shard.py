@@ -61,11 +61,3 @@ def shard_documents(docs: DataFrame, weights: list[float], grown_weight: float =
     placed = number(assign(slim, "doc_id", weights, grown_weight), "doc_id", ["text_crc32", "size"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
-
-#: DuckDB: the same rows but for crc32, which it lacks, and the slots' order.
-ORACLE = """
-WITH s AS (SELECT d.doc_id, r.s, -1.0 / ln((('0x' || substr(md5(coalesce(d.doc_id::VARCHAR, '') || ':' || r.s::VARCHAR), 1, 15))::BIGINT::DOUBLE + 0.5) / 1152921504606846976.0) AS w
-  FROM documents d, range(41) r(s)),
-b AS (SELECT doc_id, arg_max(s, w) FILTER (WHERE s < 40) AS shard, arg_max(s, w) AS grown FROM s GROUP BY doc_id)
-SELECT d.doc_id, coalesce(strlen(d.text), 0) + 16 AS size, b.shard::INTEGER AS shard, b.grown::INTEGER AS grown_shard FROM documents d JOIN b USING (doc_id)
-"""
