@@ -31,7 +31,7 @@ LENGTH = 100
 K = 40
 CHUNK = 4 << 20
 #: Bytes of one shard's BWT and shards of one merge.
-SHARD_BYTES = 1 << 20
+SHARD_BYTES = 128 << 10
 BASE = 0x9E3779B97F4A7C15 | 1
 TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
@@ -202,7 +202,7 @@ def merged_intervals(shards: list[np.ndarray], length: int) -> tuple[list[np.nda
 
 
 def settle(texts: list[np.ndarray], doc: np.ndarray, at: np.ndarray, n: np.ndarray, length: int, shard_bytes: int = SHARD_BYTES):
-    """Windows of contested segments that also start earlier: (doc, start). texts[i] holds the bytes of n[i] windows from `at[i]` on."""
+    """Runs of windows of contested segments that also start earlier: (doc, first start, windows). texts[i] holds the bytes of n[i] windows from `at[i]` on."""
     size = np.array([len(t) for t in texts], np.int64) + 1
     flat = np.zeros(int(size.sum()), np.uint8)
     first = np.concatenate(([0], np.cumsum(size)[:-1]))
@@ -225,7 +225,13 @@ def settle(texts: list[np.ndarray], doc: np.ndarray, at: np.ndarray, n: np.ndarr
     order = np.lexsort((s, d, interval))
     later = np.ones(len(order), bool)
     later[groups(interval[order])] = False
-    return d[order][later], s[order][later]
+    d, s = d[order][later], s[order][later]
+    order = np.lexsort((s, d))
+    d, s = d[order], s[order]
+    new = np.ones(len(d), bool)
+    new[1:] = (d[1:] != d[:-1]) | (s[1:] > s[:-1] + 1)
+    at = np.flatnonzero(new)
+    return d[at], s[at], (s[np.append(at[1:], len(d)) - 1] - s[at] + 1) if len(at) else s[at]
 
 
 def fetch(length: int):
@@ -272,7 +278,7 @@ def contenders(texts: list[bytes], o: list[int], n: list[int], length: int, k: i
     return [(max(0, o[i] - lf), min(n[i] - 1, o[i] + k + rt - length)) for i, (lf, rt) in enumerate(zip(*reach, strict=True))]
 
 
-def settle_groups(length: int, k: int, most: int = 4 << 20):
+def settle_groups(length: int, k: int, most: int = 384 << 10):
     """Settles rows that come sorted by anchor, some bytes of whole groups at a time. A group of any size is settled at once: it takes some 60 times its contenders' bytes."""
 
     def run(batches):
@@ -285,8 +291,7 @@ def settle_groups(length: int, k: int, most: int = 4 << 20):
 
         def settled():
             doc, at, n, texts = zip(*ready, strict=True)
-            d, s = settle(texts, np.array(doc, np.int64), np.array(at, np.int64), np.array(n, np.int64), length)
-            return pa.RecordBatch.from_arrays([pa.array(d), pa.array(s), pa.array(np.ones(len(d), np.int64))], ["doc", "at", "n"])
+            return pa.RecordBatch.from_arrays([pa.array(x) for x in settle(texts, np.array(doc, np.int64), np.array(at, np.int64), np.array(n, np.int64), length)], ["doc", "at", "n"])
 
         for batch in batches:
             for anchor, blob in zip(batch.column("anchor").to_pylist(), batch.column("payload").to_pylist(), strict=True):
