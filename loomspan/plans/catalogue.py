@@ -15,9 +15,14 @@ EYE, KEY, TOUCH, VOICE = PIConfig(2, 1), PIConfig(20, 10), PIConfig(2, 1), PICon
 G = ["sess", "win"]
 
 
-def tidy(df: DataFrame, *drop: str) -> DataFrame:
-    """Doubles rounded to six places, for comparison with SQL."""
-    return df.select(*((F.round(c, 6) + 0.0).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes if c not in drop))
+def rounded(c: str):
+    """Rounded for comparison with SQL: fewer places for larger values, and a step off the halves that averages of decimals fall on."""
+    v = F.col(c)
+    return (F.when(F.abs(v) < 1e3, F.round(v + 3e-8, 6)).when(F.abs(v) < 1e6, F.round(v + 3e-4, 2)).otherwise(F.round(v + 0.03, 0)) + 0.0).alias(c)
+
+
+def tidy(df: DataFrame) -> DataFrame:
+    return df.select(*(rounded(c) if t == "double" else F.col(c) for c, t in df.dtypes))
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:
