@@ -5,8 +5,15 @@ from __future__ import annotations
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-RHYTHM = "struct<rate:double,entropy:double,regularity:double>"
+
+def doubles(*names: str) -> T.StructType:
+    """A struct of doubles. UDFs take types, not text, as text needs a session when the module is imported."""
+    return T.StructType([T.StructField(n, T.DoubleType()) for n in names])
+
+
+RHYTHM = doubles("rate", "entropy", "regularity")
 
 
 def power_spectrum_features(y: np.ndarray, fs: float) -> tuple:
@@ -76,7 +83,7 @@ def peaks(y: np.ndarray, distance: int, height: float | None) -> np.ndarray:
     return at[keep]
 
 
-@F.pandas_udf("int")
+@F.pandas_udf(T.IntegerType())
 def count_syllables(ys: pd.Series) -> pd.Series:
     """Peaks of speech envelopes: 8 frames apart, at or above the 75th percentile where there is speech."""
     return pd.Series([len(peaks(y, 8, float(np.percentile(y, 75)) if (y > 0).any() else None)) for y in arrays(ys)], dtype="int32")
@@ -121,7 +128,7 @@ def moving_average(y: np.ndarray, width: int) -> np.ndarray:
     return y if width <= 1 else np.convolve(y, np.ones(width, np.float32) / width, "same").astype(np.float32)
 
 
-PITCH = "struct<variability:double,span:double,extent:double,rate:double>"
+PITCH = doubles("variability", "span", "extent", "rate")
 
 
 @F.pandas_udf(PITCH)

@@ -7,6 +7,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from loomspan.functions.spectral import doubles
+
 
 def cell(x, y, size: float) -> Column:
     return F.struct(F.floor(F.col(x) / size).alias("cx"), F.floor(F.col(y) / size).alias("cy"))
@@ -85,7 +87,7 @@ def convex_loop(rows: list[tuple[float, float]]) -> list[tuple[float, float]]:
     return chain(rows) + chain(reversed(rows))
 
 
-@F.pandas_udf("struct<area:double,perimeter:double>")
+@F.pandas_udf(doubles("area", "perimeter"))
 def hull(xs: pd.Series, ys: pd.Series) -> pd.DataFrame:
     """Hull measures of rows of coordinate arrays."""
     out = [hull_measures(np.column_stack([x, y]).astype(float)) if len(x) else (0.0, 0.0) for x, y in zip(xs, ys, strict=True)]

@@ -15,7 +15,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 CLIPPED, FULL, NONEMPTY, PADDED = "clipped", "full", "nonempty", "padded"
-SESSION = Window.partitionBy("sess")
+
+
+def by_session():
+    return Window.partitionBy("sess")
 
 
 def check(size: int, stride: int) -> None:
@@ -49,7 +52,7 @@ def assign(samples: DataFrame, t: str, policy: str, size: int, stride: int, end:
     Samples without a time are in no window. t is when a sample counts; `end` (else t) is what a session's last time is taken from.
     """
     check(size, stride)
-    wide = samples.where(F.col(t).isNotNull()).withColumns({"t0": F.min(t).over(SESSION), "t_max": F.max(end or t).over(SESSION)})
+    wide = samples.where(F.col(t).isNotNull()).withColumns({"t0": F.min(t).over(by_session()), "t_max": F.max(end or t).over(by_session())})
     rel = F.col(t) - F.col("t0")
     low = F.greatest(F.lit(0), F.floor((rel - size) / F.lit(stride)) + 1)
     high = F.least(F.floor(rel / F.lit(stride)), last_window(policy, F.col("t0"), F.col("t_max"), stride))
@@ -57,5 +60,5 @@ def assign(samples: DataFrame, t: str, policy: str, size: int, stride: int, end:
     start = F.col("t0") + F.col("_k") * stride
     stop = F.least(start + size, F.col("t_max")) if policy == CLIPPED else start + size
     out = dealt.withColumns({"w_start": start, "w_end": stop}).where(F.col(t) < F.col("w_end"))
-    number = F.dense_rank().over(SESSION.orderBy("_k")) if policy == NONEMPTY else F.col("_k") + 1
+    number = F.dense_rank().over(by_session().orderBy("_k")) if policy == NONEMPTY else F.col("_k") + 1
     return out.withColumn("win", number.cast("int")).drop("t0", "t_max", "_lo", "_hi", "_k")

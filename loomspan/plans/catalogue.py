@@ -74,7 +74,7 @@ def eye_position_velocity(s, d):
 
 def eye_jerk(s, d):
     wd = gaze(s, d)
-    iv = eye.derived(eye.intervals(wd), eye.RUN)
+    iv = eye.derived(eye.intervals(wd), eye.in_order())
     return tidy(iv.groupBy(*G).agg(*(x for k in ("", "x", "y") for x in eye.stats4(f"gaze_jerk{'_' + k if k else ''}", f"j{k}", 1))))
 
 

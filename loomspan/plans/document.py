@@ -21,7 +21,7 @@ def keyed(wide: DataFrame, task: Column) -> DataFrame:
 
 def iso(us: Column, offset: Column) -> Column:
     """yyyy-mm-ddThh:mm:ss.ffffff with the offset (minutes) as +hh, or +hh:mm where it has minutes."""
-    at = F.timestamp_micros(us + offset * 60_000_000)
+    at = F.timestamp_micros(us + offset.cast("long") * 60_000_000)
     sign, m = F.when(offset < 0, "-").otherwise("+"), F.abs(offset)
     tail = F.concat(sign, F.lpad(F.floor(m / 60).cast("string"), 2, "0"), F.when(m % 60 == 0, "").otherwise(F.concat(F.lit(":"), F.lpad((m % 60).cast("string"), 2, "0"))))
     return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), tail)

@@ -20,8 +20,14 @@ from .config import PIConfig
 G = ["sess", "win"]
 MAX_GAP, MIN_FIX, MIN_SAC, BASE_SPEED, MAD_FACTOR, CELL = 200, 100, 15, 3000.0, 6.0, 50.0
 AXIS, BACK = math.radians(15), math.radians(20)
-RUN = Window.partitionBy(*G).orderBy("t", "ord")
-WIN = Window.partitionBy(*G)
+
+
+def in_order():
+    return Window.partitionBy(*G).orderBy("t", "ord")
+
+
+def in_window():
+    return Window.partitionBy(*G)
 
 
 def windows(samples: DataFrame, cfg: PIConfig) -> DataFrame:
@@ -32,7 +38,7 @@ def windows(samples: DataFrame, cfg: PIConfig) -> DataFrame:
 
 def dwell(windowed: DataFrame, cfg: PIConfig) -> DataFrame:
     """Time spent on and off the screen and in its regions: the step to the next sample, up to 200 ms, goes to the earlier one's place."""
-    step = F.lead("t").over(RUN) - F.col("t")
+    step = F.lead("t").over(in_order()) - F.col("t")
     d = windowed.withColumn("d", F.when((step > 0) & (step <= MAX_GAP), step).otherwise(0).cast("double"))
     w, h = cfg.screen_w, cfg.screen_h
     x, y = F.col("x"), F.col("y")
@@ -68,7 +74,7 @@ def positions(windowed: DataFrame, cfg: PIConfig) -> DataFrame:
 
 def intervals(windowed: DataFrame) -> DataFrame:
     """Steps between consecutive on-screen samples of a window, with speed, its parts, direction and derivatives; a step over 200 ms or without time has none."""
-    prev = lambda c: F.lag(c).over(RUN)
+    prev = lambda c: F.lag(c).over(in_order())
     iv = windowed.where("on").select("sess", "win", "w_start", "w_end", "t", "ord", "x", "y", prev("t").alias("t0"), prev("x").alias("x0"), prev("y").alias("y0")).where("t0 IS NOT NULL")
     dt, dx, dy = F.col("t") - F.col("t0"), F.col("x") - F.col("x0"), F.col("y") - F.col("y0")
     iv = iv.withColumns({"ok": (dt > 0) & (dt <= MAX_GAP), "s": dt / 1000.0, "dx": dx, "dy": dy}).withColumn("dist", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")))
@@ -87,15 +93,15 @@ def kinematics(iv: DataFrame, on: DataFrame) -> DataFrame:
     """Speeds, accelerations, jerks and path of the window. A window with on-screen samples has a path of 0 without steps."""
     out = [s for k in ("", "x", "y") for n, c in (("velocity", "v"), ("acceleration", "a"), ("jerk", "j")) for s in stats4(f"gaze_{n}{'_' + k if k else ''}", f"{c}{k}", 1)]
     path = F.coalesce(F.sum(F.when(F.col("ok"), F.col("dist"))), F.lit(0.0))
-    moving = derived(iv, RUN).groupBy(*G).agg(*out, path.alias("path"))
+    moving = derived(iv, in_order()).groupBy(*G).agg(*out, path.alias("path"))
     base = on.groupBy(*G).agg(F.count("*").alias("_n")).join(moving, G, "left").withColumn("path", F.coalesce("path", F.lit(0.0)))
     return base.select(*G, *[c for c in moving.columns if c not in (*G, "path")], "path", *scalar4("gaze_path_length", "path", 1))
 
 
 def threshold(iv: DataFrame) -> DataFrame:
     """iv with thr: a window's adaptive speed threshold from the median and its absolute deviation."""
-    iv = iv.withColumns({"_med": F.median("v").over(WIN), "_n": F.count("v").over(WIN)})
-    iv = iv.withColumn("_mad", F.median(F.abs(F.col("v") - F.col("_med"))).over(WIN))
+    iv = iv.withColumns({"_med": F.median("v").over(in_window()), "_n": F.count("v").over(in_window())})
+    iv = iv.withColumn("_mad", F.median(F.abs(F.col("v") - F.col("_med"))).over(in_window()))
     thr = F.when(F.col("_n") >= 10, F.greatest(F.lit(BASE_SPEED), F.col("_med") + MAD_FACTOR * F.col("_mad"))).when(F.col("_n") > 0, F.greatest(F.lit(BASE_SPEED), F.col("_med"))).otherwise(F.lit(BASE_SPEED))
     return iv.withColumn("thr", thr).drop("_med", "_n", "_mad")
 
@@ -103,8 +109,8 @@ def threshold(iv: DataFrame) -> DataFrame:
 def labelled(iv: DataFrame) -> DataFrame:
     """Valid intervals with their event: kind (fixation or saccade), island, and e_start, e_end; events that are too short are gone."""
     kind = F.when(~F.col("ok"), None).when(F.col("v") > F.col("thr"), "saccade").otherwise("fixation")
-    iv = threshold(iv).withColumn("kind", kind).withColumn("_prev", F.lag("kind").over(RUN))
-    iv = iv.withColumn("island", F.sum(F.when(F.col("kind").eqNullSafe(F.col("_prev")), 0).otherwise(1)).over(RUN)).where("ok")
+    iv = threshold(iv).withColumn("kind", kind).withColumn("_prev", F.lag("kind").over(in_order()))
+    iv = iv.withColumn("island", F.sum(F.when(F.col("kind").eqNullSafe(F.col("_prev")), 0).otherwise(1)).over(in_order())).where("ok")
     of = Window.partitionBy(*G, "island")
     iv = iv.withColumns({"e_start": F.min("t0").over(of), "e_end": F.max("t").over(of)})
     span = F.col("e_end") - F.col("e_start")

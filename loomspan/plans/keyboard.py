@@ -14,11 +14,14 @@ from loomspan.operators.windows import FULL, assign, bounds, spine
 from .config import PIConfig
 
 G = ["sess", "win"]
-RUN = Window.partitionBy(*G).orderBy("down", "ord")
 KEYS = ("alphabetic", "space", "backspace", "delete", "enter", "capslock", "shift", "control", "alt", "tab", "escape", "insert", "punctuation", "digit")
 CHORDS = {"undo": "Z", "paste": "V", "cut": "X", "copy": "C"}
 
 
+def in_order():
+    return Window.partitionBy(*G).orderBy("down", "ord")
+
+
 def pair_events(events: DataFrame) -> DataFrame:
     """Presses (sess, ord, token, down, up, hold) from KEY_DOWN and KEY_UP events (sess, ord, token, action, t): last in, first out for each token. Events without a token or time take no part."""
     e = events.where("token <> '' AND t IS NOT NULL")
@@ -64,11 +67,11 @@ def holds(wd: DataFrame) -> DataFrame:
 
 def steps(wd: DataFrame, n: int) -> DataFrame:
     """Presses with the next one's times and the intervals in ms."""
-    nxt = wd.withColumns({"d1": F.lead("down").over(RUN), "u1": F.lead("up").over(RUN), "tok1": F.lead("token").over(RUN), "tok0": F.lag("token").over(RUN), "i": F.row_number().over(RUN)})
+    nxt = wd.withColumns({"d1": F.lead("down").over(in_order()), "u1": F.lead("up").over(in_order()), "tok1": F.lead("token").over(in_order()), "tok0": F.lag("token").over(in_order()), "i": F.row_number().over(in_order())})
     ms = lambda a, b: (F.col(a) - F.col(b)) / 1000.0
     nxt = nxt.withColumns({"dd": ms("d1", "down"), "ud": ms("d1", "up"), "uu": ms("u1", "up")})
-    far = (F.lead("down", n - 1).over(RUN) - F.col("down")) / 1000.0 if n >= 2 else F.lit(None).cast("double")
-    gram = F.array(F.col("token"), *(F.lead("token", i).over(RUN) for i in range(1, n)))
+    far = (F.lead("down", n - 1).over(in_order()) - F.col("down")) / 1000.0 if n >= 2 else F.lit(None).cast("double")
+    gram = F.array(F.col("token"), *(F.lead("token", i).over(in_order()) for i in range(1, n)))
     return nxt.withColumns({"over": F.greatest(F.lit(0.0), -F.col("ud")), "ngram_ms": far, "ngram": F.when(far.isNotNull(), gram) if n >= 2 else F.lit(None).cast("array<string>")})
 
 
@@ -85,14 +88,14 @@ def step_stats(st: DataFrame, cfg: PIConfig) -> DataFrame:
 def bursts(st: DataFrame, cfg: PIConfig) -> DataFrame:
     """Runs of presses between pauses; none in a window of one press."""
     b = st.withColumn("_n", F.count("*").over(Window.partitionBy(*G))).where("_n >= 2")
-    after = F.coalesce(F.lag("ud").over(RUN) >= cfg.pause_ms, F.lit(False))
-    b = b.withColumn("_new", after.cast("int")).withColumn("burst", F.sum("_new").over(RUN)).groupBy(*G, "burst").agg(F.count("*").cast("double").alias("n"), ((F.max("down") - F.min("down")) / 1000.0).alias("ms"))
+    after = F.coalesce(F.lag("ud").over(in_order()) >= cfg.pause_ms, F.lit(False))
+    b = b.withColumn("_new", after.cast("int")).withColumn("burst", F.sum("_new").over(in_order())).groupBy(*G, "burst").agg(F.count("*").cast("double").alias("n"), ((F.max("down") - F.min("down")) / 1000.0).alias("ms"))
     return b.groupBy(*G).agg(*stats4("burst_length", "n", 0), *stats4("burst_duration", "ms", 0), *stats4("burst_velocity", F.when(F.col("ms") > 0, F.col("n") / (F.col("ms") / 1000.0)), 0))
 
 
 def words(st: DataFrame) -> DataFrame:
     first = ~tokens.is_space(F.col("token")) & ((F.col("i") == 1) | tokens.is_space(F.col("tok0")))
-    w = st.where(first).withColumn("ms", (F.lead("down").over(RUN) - F.col("down")) / 1000.0)
+    w = st.where(first).withColumn("ms", (F.lead("down").over(in_order()) - F.col("down")) / 1000.0)
     return w.groupBy(*G).agg(*stats4("inter_word_interval", "ms", 0))
 
 

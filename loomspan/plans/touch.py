@@ -16,21 +16,30 @@ from loomspan.operators.windows import NONEMPTY, assign
 from .config import PIConfig
 
 G = ["sess", "win"]
-RUN = Window.partitionBy(*G).orderBy("t", "ord")
-WIN = Window.partitionBy(*G)
-STROKE = Window.partitionBy(*G).orderBy("stroke", "t", "ord")
 LONG_PRESS_S, MAX_TAP, MIN_SWIPE, HARD, FAST, TURN = 0.5, 20.0, 50.0, 0.8, 1000.0, math.radians(45)
 KINDS = {"tap": "tap", "swipe": "swipe", "longpress": "long_press"}
 
 
+def in_order():
+    return Window.partitionBy(*G).orderBy("t", "ord")
+
+
+def in_window():
+    return Window.partitionBy(*G)
+
+
+def by_stroke():
+    return Window.partitionBy(*G).orderBy("stroke", "t", "ord")
+
+
 def windows(samples: DataFrame, cfg: PIConfig) -> DataFrame:
     """Events dealt to windows, with stroke (found inside the window), step kinematics and area. s is the event's time in seconds."""
     for c in ("px", "py", "p", "h", "w"):
         samples = samples.withColumn(c, finite(c))
     wd = stroke_ids(assign(samples, "t", NONEMPTY, cfg.us(cfg.window_s), cfg.us(cfg.stride_s)), G)
     wd = wd.withColumns({"s": F.col("t") / 1e6, "area": F.col("h") * F.col("w"), "major": F.when(F.col("h").isNotNull() & F.col("w").isNotNull(), F.greatest("h", "w")), "minor": F.when(F.col("h").isNotNull() & F.col("w").isNotNull(), F.least("h", "w"))})
-    dt = (F.col("t") - F.lag("t").over(RUN)) / 1e6
-    step = lambda c: F.try_divide(F.col(c) - F.lag(c).over(RUN), F.col("dt"))
+    dt = (F.col("t") - F.lag("t").over(in_order())) / 1e6
+    step = lambda c: F.try_divide(F.col(c) - F.lag(c).over(in_order()), F.col("dt"))
     wd = wd.withColumn("dt", dt).withColumns({"vx": step("px"), "vy": step("py"), "dp": F.abs(step("p")), "da": F.abs(step("area"))})
     wd = wd.withColumn("v", F.sqrt(F.col("vx") * F.col("vx") + F.col("vy") * F.col("vy")))
     return wd.withColumns({"ax": step("vx"), "ay": step("vy"), "a": step("v")})
@@ -102,8 +111,8 @@ def pressures(ge: DataFrame) -> DataFrame:
 def swipe_motion(ge: DataFrame) -> DataFrame:
     """Speeds of swipe events; jerk and direction run on over the ends of strokes, turns don't."""
     sw = ge.where("kind = 'swipe'")
-    d = lambda c: F.col(c) - F.lag(c).over(STROKE)
-    sw = sw.withColumns({"_s": (F.col("t") - F.lag("t").over(STROKE)) / 1e6, "_same": F.coalesce(d("stroke") == 0, F.lit(True)), "theta": F.atan2(F.coalesce(d("py"), F.lit(0.0)), F.coalesce(d("px"), F.lit(0.0)))})
+    d = lambda c: F.col(c) - F.lag(c).over(by_stroke())
+    sw = sw.withColumns({"_s": (F.col("t") - F.lag("t").over(by_stroke())) / 1e6, "_same": F.coalesce(d("stroke") == 0, F.lit(True)), "theta": F.atan2(F.coalesce(d("py"), F.lit(0.0)), F.coalesce(d("px"), F.lit(0.0)))})
     sw = sw.withColumns({f"j{k}": F.when(F.col("_s") > 0, d(f"a{k}") / F.col("_s")) for k in ("", "x", "y")}).withColumn("turn", F.coalesce(d("theta"), F.lit(0.0)))
     # a turn in no time is infinite and takes the mean, std and one extreme with it
     sudden = F.col("_same") & (F.col("_s") == 0) & (F.col("turn") != 0)
@@ -137,7 +146,7 @@ def swipe_shape(ge: DataFrame, st: DataFrame, cfg: PIConfig) -> DataFrame:
 
 def grid_entropy(wd: DataFrame, grid: int = 10) -> DataFrame:
     """Entropy (natural) of a 10 x 10 grid over the events' bounding box; none for a flat box."""
-    p = wd.where("px IS NOT NULL AND py IS NOT NULL").withColumns({"_x": F.min("px").over(WIN), "_y": F.min("py").over(WIN), "_w": F.max("px").over(WIN) - F.min("px").over(WIN), "_h": F.max("py").over(WIN) - F.min("py").over(WIN)}).where("_w > 0 AND _h > 0")
+    p = wd.where("px IS NOT NULL AND py IS NOT NULL").withColumns({"_x": F.min("px").over(in_window()), "_y": F.min("py").over(in_window()), "_w": F.max("px").over(in_window()) - F.min("px").over(in_window()), "_h": F.max("py").over(in_window()) - F.min("py").over(in_window())}).where("_w > 0 AND _h > 0")
     at = lambda v, low, size: F.least(F.floor((F.col(v) - F.col(low)) / F.col(size) * grid), F.lit(grid - 1))
     plus = lambda c: F.ln(F.col(c) + 1e-12)
     return geometry.entropy(p, G, F.struct(at("px", "_x", "_w"), at("py", "_y", "_h")), "_e", plus).select(*G, *scalar4("touch_entropy", "_e", 0))

@@ -14,8 +14,14 @@ from .config import PIConfig
 
 G = ["sess", "win"]
 HOP, PAUSE, FLOOR, SHARE, SILENT = 0.01, 0.20, 1e-6, 0.15, 1e-6
-RUN = Window.partitionBy(*G).orderBy("i")
-WIN = Window.partitionBy(*G)
+
+
+def in_order():
+    return Window.partitionBy(*G).orderBy("i")
+
+
+def in_window():
+    return Window.partitionBy(*G)
 
 
 def windows(frames: DataFrame, cfg: PIConfig) -> DataFrame:
@@ -30,7 +36,7 @@ def windows(frames: DataFrame, cfg: PIConfig) -> DataFrame:
 
 def speech(windowed: DataFrame) -> DataFrame:
     """Frames with speech: at or above the floor and 0.15 of the 75th percentile, in single precision, so that digital silence meets the floor."""
-    p75 = F.expr("percentile(rms, 0.75)").over(WIN)
+    p75 = F.expr("percentile(rms, 0.75)").over(in_window())
     return windowed.withColumn("speech", F.col("rms") >= F.greatest(F.lit(FLOOR), p75 * SHARE).cast("float"))
 
 
@@ -59,15 +65,15 @@ def pause_stats(pa: DataFrame, cfg: PIConfig) -> DataFrame:
 
 def loudness(sp: DataFrame) -> DataFrame:
     """Decibels of speech frames; the slope runs over the speech frames put together."""
-    s = sp.where("speech").withColumns({"db": 20 * F.log10(F.greatest(F.col("rms").cast("double"), F.lit(1e-12))), "t": (F.row_number().over(RUN) - 1) * HOP})
+    s = sp.where("speech").withColumns({"db": 20 * F.log10(F.greatest(F.col("rms").cast("double"), F.lit(1e-12))), "t": (F.row_number().over(in_order()) - 1) * HOP})
     return s.groupBy(*G).agg(*stats4("loudness_level", "db", 0), *scalar4("loudness_range", F.expr("percentile(db, 0.95) - percentile(db, 0.05)"), 0), *scalar4("loudness_slope", slope("db", "t"), 0))
 
 
 def envelope(sp: DataFrame) -> DataFrame:
     """sp with env: the RMS smoothed over 5 frames (zeros beyond the ends), 0 outside speech, and trend: its mean over 50 frames."""
-    five = F.sum(F.col("rms").cast("double")).over(RUN.rowsBetween(-2, 2)) / F.least(F.lit(5), F.count("*").over(WIN))
+    five = F.sum(F.col("rms").cast("double")).over(in_order().rowsBetween(-2, 2)) / F.least(F.lit(5), F.count("*").over(in_window()))
     e = sp.withColumn("env", F.when(F.col("speech"), five).otherwise(0.0))
-    return e.withColumn("trend", F.sum("env").over(RUN.rowsBetween(-25, 24)) / F.least(F.lit(50), F.count("*").over(WIN)))
+    return e.withColumn("trend", F.sum("env").over(in_order().rowsBetween(-25, 24)) / F.least(F.lit(50), F.count("*").over(in_window())))
 
 
 def tremor_extent(env: DataFrame) -> DataFrame:
@@ -94,7 +100,7 @@ def rhythm(env: DataFrame) -> DataFrame:
 def pitch(sp: DataFrame) -> DataFrame:
     """Pitch of voiced speech frames (f0 found). Frames without pitch tracks (f0 null in all) give nulls."""
     v = sp.where("speech").withColumn("voiced", F.coalesce(F.col("f0") > 0, F.lit(False)) & ~F.isnan(F.coalesce("f0", F.lit(0.0))))
-    v = v.withColumn("_broke", F.lag("voiced").over(RUN) & ~F.col("voiced"))
+    v = v.withColumn("_broke", F.lag("voiced").over(in_order()) & ~F.col("voiced"))
     f = F.when(F.col("voiced"), F.col("f0"))
     n, k = F.count("*"), F.count_if("voiced")
     g = v.groupBy(*G).agg(

@@ -5,8 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-USER = Window.partitionBy("user_id").orderBy("ts", "event_id")
-SO_FAR = Window.partitionBy("user_id").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
+
+
+def by_user():
+    return Window.partitionBy("user_id").orderBy("ts", "event_id")
+
+
+def so_far():
+    return Window.partitionBy("user_id").orderBy("rn").rowsBetween(Window.unboundedPreceding, 0)
 
 
 def div(a, n: int):
@@ -15,13 +21,13 @@ def div(a, n: int):
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("int").alias("k"))
-    return e.withColumn("rn", F.row_number().over(USER))
+    return e.withColumn("rn", F.row_number().over(by_user()))
 
 
 def gaze(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sess, ord, t (epoch ms), x, y."""
     step = 20 + F.col("k") + F.when((F.col("event_type") == "signup") & (F.col("k") < 10), 400).otherwise(0)
-    e = events(spark, sf_dir).withColumns({"t": F.lit(1700000000000) + F.sum(step).over(SO_FAR), "blk": div("rn", 8) * 2 + (F.col("rn") % 8 == 7).cast("int")})
+    e = events(spark, sf_dir).withColumns({"t": F.lit(1700000000000) + F.sum(step).over(so_far()), "blk": div("rn", 8) * 2 + (F.col("rn") % 8 == 7).cast("int")})
     x = (F.col("blk") * 389 + F.col("user_id") * 97) % 1500 - 20 + F.col("value") / 50
     y = (F.col("blk") * 211 + F.col("user_id") * 53) % 940 - 10 + F.col("k") % 11
     return e.select(F.col("user_id").alias("sess"), F.col("rn").alias("ord"), F.col("t").cast("long").alias("t"), x.cast("double").alias("x"), y.cast("double").alias("y"))
@@ -38,13 +44,13 @@ def key_paired(spark: SparkSession, sf_dir: str) -> DataFrame:
     for top, name in ((60, "SPACE"), (64, "BACKSPACE"), (66, ","), (78, "CONTROL"), (80, "SHIFT"), (82, "ENTER"), (84, "ARROWLEFT"), (88, "Z"), (92, "V"), (96, "X")):
         token = token.when(k < top, name)
     hold = 30 + (k * 37) % 200
-    e = events(spark, sf_dir).withColumn("down", (F.sum(60 + F.round(F.col("value") * 10).cast("long")).over(SO_FAR) * 1000).cast("long"))
+    e = events(spark, sf_dir).withColumn("down", (F.sum(60 + F.round(F.col("value") * 10).cast("long")).over(so_far()) * 1000).cast("long"))
     return e.select(F.col("user_id").alias("sess"), F.col("rn").alias("ord"), token.otherwise("C").alias("token"), "down", (F.col("down") + hold * 1000).cast("long").alias("up"), hold.cast("double").alias("hold"))
 
 
 def key_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """sess, ord, token, action, t (us)."""
-    e = events(spark, sf_dir).withColumn("t", (F.sum(60 + F.round(F.col("value") * 10).cast("long")).over(SO_FAR) * 1000).cast("long"))
+    e = events(spark, sf_dir).withColumn("t", (F.sum(60 + F.round(F.col("value") * 10).cast("long")).over(so_far()) * 1000).cast("long"))
     return e.select(F.col("user_id").alias("sess"), F.col("rn").alias("ord"), letter(F.col("k"), 5).alias("token"), F.when(F.col("event_type").isin("click", "view", "signup"), "KEY_DOWN").otherwise("KEY_UP").alias("action"), "t")
 
 
@@ -53,7 +59,7 @@ def touch(spark: SparkSession, sf_dir: str) -> DataFrame:
     k, m = F.col("k"), F.col("rn") % 8
     e = events(spark, sf_dir).withColumn("blk", div("rn", 8))
     step = F.when(F.col("blk") % 3 == 2, 120 + k).otherwise(8 + k % 20)
-    e = e.withColumn("ms", F.sum(step).over(SO_FAR)).withColumn("t", ((F.col("ms") - F.min("ms").over(Window.partitionBy("user_id"))) * 1000).cast("long"))
+    e = e.withColumn("ms", F.sum(step).over(so_far())).withColumn("t", ((F.col("ms") - F.min("ms").over(Window.partitionBy("user_id"))) * 1000).cast("long"))
     swipe = F.col("blk") % 3 == 1
     return e.select(
         F.col("user_id").alias("sess"), F.col("rn").alias("ord"), "t", (F.col("blk") % 2).cast("int").alias("pi"),
