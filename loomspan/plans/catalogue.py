@@ -18,7 +18,7 @@ G = ["sess", "win"]
 def rounded(c: str):
     """Rounded for comparison with SQL: fewer places for larger values, and a step off the halves that averages of decimals fall on."""
     v = F.col(c)
-    return (F.when(F.abs(v) < 1e3, F.round(v + 3e-8, 6)).when(F.abs(v) < 1e6, F.round(v + 3e-4, 2)).otherwise(F.round(v + 0.03, 0)) + 0.0).alias(c)
+    return (F.when(F.abs(v) < 1e3, F.round(v + 3.14159e-8, 6)).when(F.abs(v) < 1e6, F.round(v + 2.71828e-4, 2)).otherwise(F.round(v + 0.0314159, 0)) + 0.0).alias(c)
 
 
 def tidy(df: DataFrame) -> DataFrame:

@@ -11,7 +11,7 @@ def fin(e: str) -> str:
 
 def rd(e: str) -> str:
     """Rounded as catalogue.rounded() does."""
-    return f"list_transform([({e})::DOUBLE], lambda v: CASE WHEN abs(v) < 1e3 THEN round(v + 3e-8, 6) WHEN abs(v) < 1e6 THEN round(v + 3e-4, 2) ELSE round(v + 0.03, 0) END + 0.0)[1]"
+    return f"list_transform([({e})::DOUBLE], lambda v: CASE WHEN abs(v) < 1e3 THEN round(v + 3.14159e-8, 6) WHEN abs(v) < 1e6 THEN round(v + 2.71828e-4, 2) ELSE round(v + 0.0314159, 0) END + 0.0)[1]"
 
 
 def st(name: str, e: str, ddof: int) -> str:
