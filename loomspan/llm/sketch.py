@@ -5,9 +5,9 @@ one cell of each third and adds to its count, digest sum and check sum (sums by
 version minus that of another holds their differing digests alone; cells with one digest are peeled until none is
 left. A sketch too small for the difference leaves cells over; it is made again with twice, then eight times the cells.
 
-Sketches are made in parts: digests are dealt to parts by their hash, a part for about PART digests of a pair of
-versions, so that work grows linearly with a text's length. A part that no size peels (equal 64-bit digests aside, a
-handful in a billion) is compared digest by digest.
+Sketches are made in parts: a pair's digests, in their order, are cut in parts of about PART, equal ones never apart,
+so that work grows linearly with a text's length. A part that no size peels (a handful in a billion) is compared digest
+by digest. Everything but finding the next document is done within a row.
 """
 
 from __future__ import annotations
@@ -100,6 +100,31 @@ def differing(plus: Column, less: Column) -> Column:
     return F.when(plus == less, F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))).otherwise(F.coalesce(*tries, exact))
 
 
+def parts_of(plus: Column, less: Column) -> Column:
+    """Arrays of (digest, whether of plus) in the digests' order, cut by position; a cut between two equal digests moves on by one."""
+    tag = lambda col, mine: F.transform(col, lambda x: F.struct(x.alias("x"), F.lit(mine).alias("mine")))
+
+    def cut_up(c):
+        n = F.size(c)
+
+        def start(i):
+            at = i * PART
+            return F.least(n, at + F.when((i > 0) & (F.get(c, at)["x"] == F.get(c, at - 1)["x"]), 1).otherwise(0))
+
+        return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / F.lit(PART)).cast("int") - 1)), lambda i: F.slice(c, start(i) + 1, start(i + 1) - start(i)))
+
+    return let(F.array_sort(F.concat(tag(plus, True), tag(less, False))), cut_up)
+
+
+def difference(plus: Column, less: Column) -> Column:
+    """struct(a, b) of two versions' digests, summed over their parts."""
+    of = lambda part, mine: F.transform(F.filter(part, lambda e: e["mine"] == mine), lambda e: e["x"])
+    one = lambda part: let(of(part, True), lambda p: let(of(part, False), lambda q: differing(p, q)))
+    zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))
+    add = lambda t, d: F.struct((t["a"] + d["a"]).alias("a"), (t["b"] + d["b"]).alias("b"))
+    return F.aggregate(F.transform(parts_of(plus, less), one), zero, add)
+
+
 def fingerprint(found: Column) -> Column:
     """A text's small sketch as a string: digest count, then count, digest sum and check sum of each cell in hexadecimal. Equal texts have equal ones."""
     empty = F.array().cast("array<bigint>")
@@ -124,30 +149,24 @@ def compare(docs: DataFrame) -> DataFrame:
 
     The edited text ends in the next document's beginning: the last floor(n_chars/4) code points are replaced by the first as many (or all) of the next. Null texts are empty. Likeness is shared digests over all digests of both (1 for two without any). A row with a null doc_id has no next: its edited text loses its end. Rows that repeat a doc_id: each is compared, next is the least text of the next id.
     """
-    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+    # both joins read one exchange of (k, text); a filter on nulls or one more column would make two of it. The least long stands for null
+    slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
     after = successors(slim, "doc_id")
     sizes = slim.groupBy("doc_id").agg(F.max(F.length("text")).alias("_n"))
-    wanted = after.join(sizes, "doc_id").select(F.col("next_key").alias("doc_id"), F.col("doc_id").alias("_of"), (F.col("_n") / 4).cast("int").alias("_q"))
-    by_id = slim.repartition("doc_id")
-    heads = by_id.join(wanted.hint("shuffle_merge"), "doc_id").groupBy(F.col("_of").alias("doc_id")).agg(F.min(F.struct(F.substring("text", F.lit(1), F.col("_q")).alias("head"), digests(F.col("text")).alias("after"))).alias("_next"))
+    key = lambda c, name: F.coalesce(c, F.lit(-(2**63))).alias(name)
+    wanted = after.join(sizes, "doc_id").select(key("next_key", "k"), key("doc_id", "_of"), (F.col("_n") / 4).cast("int").alias("_q"))
+    by_id = slim.select("k", "text").repartition("k")
+    heads = by_id.join(wanted.hint("shuffle_merge"), "k").groupBy(F.col("_of").alias("k")).agg(F.min(F.struct(F.substring("text", F.lit(1), F.col("_q")).alias("head"), digests(F.col("text")).alias("after"))).alias("_next"))
     q = (F.length("text") / 4).cast("int")
-    both = by_id.join(heads.hint("shuffle_merge"), "doc_id", "left").select(
-        "doc_id", F.length("text").cast("long").alias("n_chars"), F.col("text"),
+    both = by_id.join(heads.hint("shuffle_merge"), "k", "left").select(
+        F.nullif("k", F.lit(-(2**63))).alias("doc_id"), F.length("text").cast("long").alias("n_chars"), F.col("text"),
         F.concat(F.substring("text", F.lit(1), F.length("text") - q), F.substring(F.coalesce("_next.head", F.lit("")), F.lit(1), q)).alias("edited"), F.coalesce("_next.after", F.array().cast("array<bigint>")).alias("after"),
     )
-    made = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edit"), "after", F.monotonically_increasing_id().alias("_row"))
-    made = cut(made)
-    versions = F.explode(F.array(F.struct(F.lit(0).alias("v"), F.col("own"), F.col("edit").alias("other")), F.struct(F.lit(1).alias("v"), F.col("own"), F.col("after").alias("other"))))
-    pairs = made.select("_row", versions.alias("p")).select("_row", "p.*").withColumn("_parts", F.greatest(F.lit(1), ((F.size("own") + F.size("other")) / PART).cast("int")))
-    entries = F.explode(F.concat(F.transform("own", lambda x: F.struct(x.alias("x"), F.lit(True).alias("mine"))), F.transform("other", lambda x: F.struct(x.alias("x"), F.lit(False).alias("mine")))))
-    dealt = pairs.select("_row", "v", "_parts", entries.alias("e")).select("_row", "v", F.pmod("e.x", F.col("_parts")).alias("part"), "e.*")
-    parts = dealt.groupBy("_row", "v", "part").agg(F.array_sort(F.collect_list(F.when(F.col("mine"), F.col("x")))).alias("plus"), F.array_sort(F.collect_list(F.when(~F.col("mine"), F.col("x")))).alias("less"))
-    counted = parts.select("_row", "v", differing(F.col("plus"), F.col("less")).alias("d")).groupBy("_row").agg(*(F.sum(F.when(F.col("v") == v, F.col("d")[c])).alias(f"_{c}{v}") for v in (0, 1) for c in ("a", "b")))
-    out = made.join(counted, "_row", "left")
-
-    def likeness(v):
-        a, b = (F.coalesce(F.col(f"_{c}{v}"), F.lit(0)) for c in ("a", "b"))
-        every = F.size("own") + b
-        return F.when(every == 0, F.lit(1.0)).otherwise((F.size("own") - a) / every)
-
-    return out.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("edit")).alias("edited_fingerprint"), likeness(0).alias("near_edited"), likeness(1).alias("near_next"))
+    made = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edit"), "after")
+    out = made.select("*", difference(F.col("own"), F.col("edit")).alias("_d0"), difference(F.col("own"), F.col("after")).alias("_d1"))
+
+    def likeness(d):
+        every = F.size("own") + F.col(f"{d}.b")
+        return F.when(every == 0, F.lit(1.0)).otherwise((F.size("own") - F.col(f"{d}.a")) / every)
+
+    return out.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("edit")).alias("edited_fingerprint"), likeness("_d0").alias("near_edited"), likeness("_d1").alias("near_next"))
