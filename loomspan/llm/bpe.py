@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 #: Pre-tokens whose ids a task remembers; beyond, it forgets all and starts anew.
-REMEMBERED = 300_000
+REMEMBERED = 500_000
 NONE = 1 << 62
 
 
@@ -48,34 +48,36 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     end = list(range(1, n + 1))  # end[i]: where the live token that starts at byte i ends
     before = list(range(-1, n))  # before[i]: start of the live token to the left of i
     low = (1 << shift) - 1
-    while tree[1] < NONE:
-        i = tree[1] & low
+    while (top := tree[1]) < NONE:
+        i = top & low
         j = end[i]
         e = end[j]
         end[i] = e
+        r = None
         if e < n:
             before[e] = i
             r = get(piece[i : end[e]])
-            changed = [(i, NONE if r is None else (r << shift) | i), (j, NONE)]
-        else:
-            changed = [(i, NONE), (j, NONE)]
+        tree[size + i] = NONE if r is None else (r << shift) | i
+        if j < size:
+            tree[size + j] = NONE
         b = before[i]
         if b >= 0:
             r = get(piece[b:e])
-            changed.append((b, NONE if r is None else (r << shift) | b))
-        for at, value in changed:
-            at += size
-            if at >= 2 * size:
-                continue
-            tree[at] = value
-            while at > 1:
-                at >>= 1
-                x, y = tree[2 * at], tree[2 * at + 1]
-                if y < x:
-                    x = y
-                if tree[at] == x:
-                    break
-                tree[at] = x
+            tree[size + b] = NONE if r is None else (r << shift) | b
+        else:
+            b = i
+        # the paths from the three leaves to the root, each node once
+        p, q, u = size + b >> 1, size + i >> 1, size + (j if j < size else i) >> 1
+        while p:
+            x, y = tree[2 * p], tree[2 * p + 1]
+            tree[p] = x if x < y else y
+            if q != p:
+                x, y = tree[2 * q], tree[2 * q + 1]
+                tree[q] = x if x < y else y
+            if u != q:
+                x, y = tree[2 * u], tree[2 * u + 1]
+                tree[u] = x if x < y else y
+            p, q, u = p >> 1, q >> 1, u >> 1
     out, i = [], 0
     while i < n:
         out.append(ranks[piece[i : end[i]]])
