@@ -29,6 +29,7 @@ from .blocks import cut, shared_dir
 
 BLOCK = 512
 LEVEL = 1
+STRETCH = 16 << 20
 
 
 def store(folder: str):
@@ -146,7 +147,7 @@ def write(pages: DataFrame, least_bytes: int = 0, folder: str | None = None) ->
             data = zlib.compress("\n".join(json.dumps(x) for x in held).encode(), 6)
             out = out or system.open_output_stream(f"{root}/{name}", compression=None)
             out.write(data)
-            rows.append((held[0][0], name, at, len(data), len(held)))
+            rows.append((held[0][0], name, at, len(data), len(held), sum(x[3] for x in held)))
             at += len(data)
             held = []
 
@@ -161,10 +162,10 @@ def write(pages: DataFrame, least_bytes: int = 0, folder: str | None = None) ->
         finally:
             if out is not None:
                 out.close()
-        cols = list(zip(*rows, strict=True)) or [()] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64()), strict=True)], ["first_key", "index", "at", "size", "n"])
+        cols = list(zip(*rows, strict=True)) or [()] * 6
+        yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.string(), pa.string(), *[pa.int64()] * 4), strict=True)], ["first_key", "index", "at", "size", "n", "record_bytes"])
 
-    directory = cut(spread.mapInArrow(index, "first_key string, index string, at long, size long, n long"))
+    directory = cut(spread.mapInArrow(index, "first_key string, index string, at long, size long, n long, record_bytes long"))
     return folder, directory
 
 
@@ -203,9 +204,10 @@ def read_all(spark: SparkSession, folder: str, directory: DataFrame) -> DataFram
             if held:
                 held.close()
 
-    # records of a file are read in its order; a large file is dealt in stretches of 16 MB
-    stretch = (F.col("at") / (16 << 20)).cast("long")
-    places = directory.mapInArrow(entries, "file string, at long, size long").repartition("file", stretch).sortWithinPartitions("file", "at")
+    # records of a file are read in its order, in stretches of 16 MB; entries are small, so tasks are counted by what they point to
+    stretch = (F.col("at") / STRETCH).cast("long")
+    tasks = max(1, -(-(directory.agg(F.sum("record_bytes")).first()[0] or 0) // STRETCH))
+    places = directory.mapInArrow(entries, "file string, at long, size long").repartition(tasks, "file", stretch).sortWithinPartitions("file", "at")
     return places.mapInArrow(records, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
