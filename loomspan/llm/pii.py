@@ -9,7 +9,6 @@ inside), iban, ssn, secret (a value after an identifier cue).
 
 from __future__ import annotations
 
-import hashlib
 import re
 
 import pyarrow as pa
@@ -176,6 +175,3 @@ def redact(docs: DataFrame) -> DataFrame:
 
     return docs.mapInArrow(run, schema)
 
-
-def hexdigest(value: str) -> str:
-    return hashlib.sha256(value.encode()).hexdigest()

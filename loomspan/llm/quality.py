@@ -127,6 +127,6 @@ FROM s JOIN hr ON s.source IS NOT DISTINCT FROM hr.source
 """
 
 
-def unused_columns(docs: DataFrame) -> list[str]:
+def judged_columns(docs: DataFrame) -> list[str]:
     """Names that judge() replaces if docs has them."""
     return [c for c in docs.columns if c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_soft_failures", "host_rate", "kept")]
