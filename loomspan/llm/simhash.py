@@ -20,17 +20,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import cut, groups, strings
+from .blocks import cut, strings
 from .components import components
 
 DISTANCE = 4
 SHINGLE = 4
 SEED = 42
 HOT = 4096
+EMITTED = 50_000
 #: Fixed value: generator polynomial of the binary Golay code, x^11+x^10+x^6+x^5+x^4+x^2+1.
 GENERATOR = 0b110001110101
 CUTS = ((0, 23), (23, 23), (46, 18))
@@ -204,7 +204,9 @@ def links(prints: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFr
     """Edges (a, b) that connect all distinct fingerprints (column print) within the distance (4 at most): a spanning forest of each key."""
     if not 0 <= distance <= DISTANCE:
         raise ValueError("keys cover distances up to 4")
-    keys = prints.select("print").distinct().mapInArrow(emit_keys, "key long, side byte, print long")
+    # a fingerprint makes some 64 keys, which no size that Spark sees before tells: tasks get EMITTED fingerprints each
+    distinct = cut(prints.select("print").distinct())
+    keys = distinct.repartition(max(1, distinct.count() // EMITTED)).mapInArrow(emit_keys, "key long, side byte, print long")
     many = keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot)
     chunks = F.ceil(F.col("m") / F.lit(hot)).cast("int")
     mine = F.pmod(F.xxhash64("print"), chunks).cast("int")
@@ -236,9 +238,3 @@ def keep_first(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     drop = found.where("doc_id <> component_id").select("doc_id").distinct()
     return docs.join(drop, "doc_id", "left_anti")
 
-
-def as_unsigned(col: pa.Array) -> np.ndarray:
-    return pc.fill_null(col, 0).to_numpy().view(np.uint64)
-
-
-__all__ = ["as_unsigned", "fingerprints", "groups", "keep_first", "keys_of", "links", "near_duplicates"]
