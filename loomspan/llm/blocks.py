@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -38,6 +39,18 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+@contextmanager
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within it, jobs pass so many rows at a time to Python: whole texts make large batches, in the JVM and in the worker."""
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def text_bytes(docs: DataFrame, text: str) -> int:
     """UTF-8 bytes of a column over all rows: the size that bucket counts are derived from."""
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0
@@ -68,11 +81,33 @@ def spans_of(off: np.ndarray, limit: int):
         lo = hi
 
 
+def sent(names: list[str], types: list[pa.DataType], rows: list[tuple], size: int = 1 << 20):
+    """Rows that end in a binary as record batches of about `size` bytes: the JVM holds a batch whole, and large arrays fill its heap with humongous objects."""
+    lo = held = 0
+    for i, row in enumerate(rows):
+        held += len(row[-1])
+        if held >= size or i == len(rows) - 1:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows[lo : i + 1], strict=True), types, strict=True)], names)
+            lo, held = i + 1, 0
+
+
 def groups(keys: np.ndarray) -> np.ndarray:
     """Starts of the runs of equal values in a sorted array."""
     return np.flatnonzero(np.concatenate(([True], keys[1:] != keys[:-1]))) if len(keys) else np.zeros(0, np.int64)
 
 
+def give_back() -> None:
+    """Returns freed memory to the system: Python workers are kept for later tasks, and their executor's memory is shared."""
+    import ctypes
+    import gc
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
 def mix64(x: np.ndarray) -> np.ndarray:
     """Bijective mixing of 64-bit values (the finaliser of splitmix64)."""
     x = x ^ (x >> np.uint64(30))

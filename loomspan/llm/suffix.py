@@ -13,25 +13,32 @@ document). The corpus is sharded by content, then shards of suffixes are merged
    characters a round: a round deals the interleave stably by the two characters before each suffix, so after LENGTH/2
    rounds suffixes with LENGTH common characters are next to each other and their intervals are the blocks of the
    order. Each interval's first window in (doc_id, place) order stays; the others are repeats. Nothing is sorted anew.
+   An anchor with more than CROWD contested segments (the edge of a passage that a third of all documents hold) is cut
+   in its single windows, which are merged on the map side and dealt over tasks by their first bytes.
 5. Covered ranges go back to their documents.
 """
 
 from __future__ import annotations
 
 import hashlib
+import zlib
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import bucket_count, cut, groups, mix64, pack, spans_of, strings, text_bytes, unpack
+from .blocks import bucket_count, cut, give_back, groups, mix64, pack, sent, spans_of, strings, text_bytes, unpack
 
 LENGTH = 100
 K = 40
 CHUNK = 4 << 20
 #: Bytes of one shard's BWT and shards of one merge.
 SHARD_BYTES = 128 << 10
+CROWD = 20_000
+#: Repeats that travel as one binary.
+PIECE = 50_000
+HELD_WINDOWS = 200_000
 BASE = 0x9E3779B97F4A7C15 | 1
 TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
@@ -89,6 +96,12 @@ def segments(data: np.ndarray, off: np.ndarray, lo: int, hi: int, length: int, k
     return gram[elected[at]], whole, row, at - (off[row] - base), count, elected[at] - at
 
 
+def elsewhere(new: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Rows that start elsewhere than the first of their class; classes are runs that begin where new is true. A row at the first's own place is a repeated row of the table, not a repeat."""
+    first = np.maximum.accumulate(np.where(new, np.arange(len(new)), 0))
+    return (doc != doc[first]) | (at != at[first])
+
+
 def order_of(ids: list) -> np.ndarray:
     """Ids as integers in their order; null comes first."""
     return np.array([-(2**63) if x is None else x for x in ids], np.int64)
@@ -106,10 +119,11 @@ def block_segments(length: int, k: int, n_buckets: int):
             a, h, doc, at, n, o = a[order], h[order], doc[order], at[order], n[order], o[order]
             first = np.ones(len(a), bool)
             first[1:] = (a[1:] != a[:-1]) | (h[1:] != h[:-1])
-            buckets, blobs = [], []
-            if not first.all():
-                buckets.append(-1)
-                blobs.append(pack(doc[~first], at[~first].astype(np.uint32), n[~first].astype(np.uint32)))
+            rows = []
+            again = elsewhere(first, doc, at)
+            for lo in range(0, int(again.sum()), PIECE):
+                i = np.flatnonzero(again)[lo : lo + PIECE]
+                rows.append((-1, pack(doc[i], at[i].astype(np.uint32), n[i].astype(np.uint32))))
             a, h, doc, at, n, o = a[first], h[first], doc[first], at[first], n[first], o[first]
             to = (mix64(a ^ np.uint64(0xA5A5A5A5A5A5A5A5)) % np.uint64(n_buckets)).astype(np.int64)
             order = np.lexsort((at, doc, to))  # in the documents' order, so that their ids compress
@@ -117,9 +131,8 @@ def block_segments(length: int, k: int, n_buckets: int):
             cuts = groups(to)
             for lo, hi in zip(cuts, [*cuts[1:], len(to)], strict=True):
                 i = order[lo:hi]
-                buckets.append(int(to[lo]))
-                blobs.append(pack(a[i], h[i], doc[i], at[i].astype(np.uint32), n[i].astype(np.uint8), o[i].astype(np.uint8)))
-            return pa.RecordBatch.from_arrays([pa.array(buckets, pa.int32()), pa.array(blobs, pa.binary())], ["bucket", "payload"])
+                rows.append((int(to[lo]), pack(a[i], h[i], doc[i], at[i].astype(np.uint32), n[i].astype(np.uint8), o[i].astype(np.uint8))))
+            return sent(["bucket", "payload"], [pa.int32(), pa.binary()], rows)
 
         power, size = powers(CHUNK), 0
         for batch in batches:
@@ -133,10 +146,12 @@ def block_segments(length: int, k: int, n_buckets: int):
                     held.append((a, h, ids[row], at, c, o))
                     size += len(a)
                 if size > 2_500_000:
-                    yield send()
+                    yield from send()
                     held, size = [], 0
         if held:
-            yield send()
+            yield from send()
+        held = []
+        give_back()
 
     return run
 
@@ -157,7 +172,7 @@ def contest(table: pa.Table) -> pa.Table:
         new[1:] = (a[1:] != a[:-1]) | (h[1:] != h[:-1])
         start = groups(a)
         kinds = np.repeat(np.add.reduceat(new.astype(np.int64), start), np.diff(np.append(start, len(a)))) if len(a) else new
-        keep = ~new | (kinds > 1)
+        keep = elsewhere(new, doc, at) | new & (kinds > 1)
         kind, a, doc, at, n, o = new[keep].astype(np.int8), a[keep].view(np.int64), doc[keep], at[keep], n[keep], o[keep]
     return pa.table({"doc": pa.array(doc), "kind": pa.array(kind), "anchor": pa.array(a), "at": pa.array(at.astype(np.int64)), "n": pa.array(n.astype(np.int64)), "o": pa.array(o.astype(np.int64))})
 
@@ -223,8 +238,9 @@ def settle(texts: list[np.ndarray], doc: np.ndarray, at: np.ndarray, n: np.ndarr
     many = np.repeat(np.diff(np.append(starts, len(interval))) > 1, np.diff(np.append(starts, len(interval)))) if len(interval) else np.zeros(0, bool)
     interval, d, s = interval[many], doc[seg[many]], (at[seg] + inside)[many]
     order = np.lexsort((s, d, interval))
-    later = np.ones(len(order), bool)
-    later[groups(interval[order])] = False
+    new = np.zeros(len(order), bool)
+    new[groups(interval[order])] = True
+    later = elsewhere(new, d[order], s[order])
     d, s = d[order][later], s[order][later]
     order = np.lexsort((s, d))
     d, s = d[order], s[order]
@@ -235,19 +251,40 @@ def settle(texts: list[np.ndarray], doc: np.ndarray, at: np.ndarray, n: np.ndarr
 
 
 def fetch(length: int):
-    """Texts of contested segments from rows of documents with their packed places."""
+    """Texts of contested segments from rows of documents with their packed places: (anchor, part, payload). Part -1: a segment. From 0 on: a window of a crowded anchor, the task's first of its kind; part -2: a window that a task saw start earlier."""
 
     def run(batches):
+        windows: dict[tuple[int, int, bytes], tuple[int, int]] = {}
+        rows: list[tuple[int, int, bytes]] = []
+
+        def send():
+            rows.extend((a, part, pack(np.array([*place, 1, 0], np.int64), np.frombuffer(w, np.uint8))) for (a, part, w), place in windows.items())
+            windows.clear()
+            anchors, parts, blobs = zip(*rows, strict=True) if rows else ((), (), ())
+            rows.clear()
+            return pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], ["anchor", "part", "payload"])
+
         for batch in batches:
             data, off = strings(batch.column("text"))
             doc = order_of(batch.column("doc_id").to_pylist())
-            anchors, blobs = [], []
             for i, spots in enumerate(batch.column("spots").to_pylist()):
                 for s in spots:
                     a = int(off[i]) + s["at"]
-                    anchors.append(s["anchor"])
-                    blobs.append(pack(np.array([doc[i], s["at"], s["n"], s["o"]], np.int64), data[a : a + s["n"] + length - 1]))
-            yield pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(blobs, pa.binary())], ["anchor", "payload"])
+                    text = data[a : a + s["n"] + length - 1]
+                    if s["parts"] <= 1:
+                        rows.append((s["anchor"], -1, pack(np.array([doc[i], s["at"], s["n"], s["o"]], np.int64), text)))
+                        continue
+                    raw = text.tobytes()
+                    for k in range(s["n"]):
+                        w, place = raw[k : k + length], (int(doc[i]), s["at"] + k)
+                        key = (s["anchor"], zlib.crc32(w[:16]) % s["parts"], w)
+                        first = windows.setdefault(key, place)
+                        if first != place:
+                            windows[key] = min(first, place)
+                            rows.append((int(doc[i]), -2, pack(np.array([*max(first, place), 1, 0], np.int64), np.zeros(0, np.uint8))))
+                if len(windows) > HELD_WINDOWS:
+                    yield send()
+            yield send()
 
     return run
 
@@ -279,14 +316,17 @@ def contenders(texts: list[bytes], o: list[int], n: list[int], length: int, k: i
 
 
 def settle_groups(length: int, k: int, most: int = 384 << 10):
-    """Settles rows that come sorted by anchor, some bytes of whole groups at a time. A group of any size is settled at once: it takes some 60 times its contenders' bytes."""
+    """Settles rows that come sorted by anchor and part, some bytes of whole groups at a time. A group of any size is settled at once: it takes some 60 times its contenders' bytes, and CROWD bounds those."""
 
     def run(batches):
         ready, held, group, last = [], 0, [], None
 
         def close():
-            texts, o, n = [t.tobytes() for _, t in group], [int(w[3]) for w, _ in group], [int(w[2]) for w, _ in group]
-            out = [(int(w[0]), int(w[1]) + a, b - a + 1, t[a : b + length]) for (w, t), (a, b) in zip(group, contenders(texts, o, n, length, k), strict=True) if a <= b]
+            if last and last[1] >= 0:  # single windows of a crowded anchor
+                out = [(int(w[0]), int(w[1]), 1, t) for w, t in group]
+            else:
+                texts, o, n = [t.tobytes() for _, t in group], [int(w[3]) for w, _ in group], [int(w[2]) for w, _ in group]
+                out = [(int(w[0]), int(w[1]) + a, b - a + 1, t[a : b + length]) for (w, t), (a, b) in zip(group, contenders(texts, o, n, length, k), strict=True) if a <= b]
             return out if len(out) > 1 else []
 
         def settled():
@@ -294,16 +334,22 @@ def settle_groups(length: int, k: int, most: int = 384 << 10):
             return pa.RecordBatch.from_arrays([pa.array(x) for x in settle(texts, np.array(doc, np.int64), np.array(at, np.int64), np.array(n, np.int64), length)], ["doc", "at", "n"])
 
         for batch in batches:
-            for anchor, blob in zip(batch.column("anchor").to_pylist(), batch.column("payload").to_pylist(), strict=True):
-                if anchor != last:
+            seen = []
+            for *of, blob in zip(batch.column("anchor").to_pylist(), batch.column("part").to_pylist(), batch.column("payload").to_pylist(), strict=True):
+                if of[1] == -2:
+                    seen.append(unpack(blob, np.int64, np.uint8)[0][:3])
+                    continue
+                if of != last:
                     new = close()
                     ready += new
                     held += sum(len(x[3]) for x in new)
-                    group, last = [], anchor
+                    group, last = [], of
                     if held > most:
                         yield settled()
                         ready, held = [], 0
                 group.append(unpack(blob, np.int64, np.uint8))
+            if seen:
+                yield pa.RecordBatch.from_arrays([pa.array(x) for x in np.array(seen, np.int64).T.copy()], ["doc", "at", "n"])
         ready += close()
         if ready:
             yield settled()
@@ -311,7 +357,7 @@ def settle_groups(length: int, k: int, most: int = 384 << 10):
     return run
 
 
-def repeats(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
+def repeats(docs: DataFrame, length: int = LENGTH, k: int = K, crowd: int = CROWD) -> DataFrame:
     """(doc, ranges): covered byte ranges of documents with repeats, as a sorted array of disjoint (a, b). docs has doc_id (unique; long) and text without nulls."""
     if length % 2 or not 8 <= k <= length:
         raise ValueError("length must be even and k from 8 to length")
@@ -319,11 +365,13 @@ def repeats(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     blobs = docs.mapInArrow(block_segments(length, k, bucket_count(size, 16 << 20)), "bucket int, payload binary")
     rows = blobs.groupBy("bucket", F.when(F.col("bucket") < 0, F.xxhash64("payload"))).applyInArrow(contest, "doc long, kind byte, anchor long, at long, n long, o long")
     rows = cut(rows)
-    spots = rows.where("kind = 1").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "n", "o")).alias("spots"))
+    contested = rows.where("kind = 1")
+    crowds = contested.groupBy("anchor").agg(F.sum("n").alias("m"), F.count("*").alias("c")).where(F.col("c") > crowd).select("anchor", F.ceil(F.col("m") / F.lit(crowd)).cast("int").alias("parts"))
+    spots = contested.join(crowds, "anchor", "left").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "n", "o", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("spots"))
     held = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"), "doc_id", "text")
-    texts = held.join(spots, "doc").select("doc_id", "text", "spots").mapInArrow(fetch(length), "anchor long, payload binary")
-    contested = texts.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(settle_groups(length, k), "doc long, at long, n long")
-    every = rows.where("kind = 0").select("doc", "at", "n").unionByName(contested)
+    texts = held.join(spots, "doc").select("doc_id", "text", "spots").mapInArrow(fetch(length), "anchor long, part int, payload binary")
+    settled = texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(settle_groups(length, k), "doc long, at long, n long")
+    every = rows.where("kind = 0").select("doc", "at", "n").unionByName(settled)
     runs = every.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("n") + F.lit(length - 1)).alias("end")))).alias("r"))
     return runs.mapInArrow(join_ranges, "doc long, ranges array<struct<a:long,b:long>>")
 
@@ -361,25 +409,31 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
             n, gone, spans, sha = [], [], [], []
             for i, ranges in enumerate(batch.column("ranges").to_pylist()):
                 raw = data[off[i] : off[i + 1]].tobytes()
+                ranges = clipped(ranges, len(raw))
                 h, at, removed = hashlib.sha256(), 0, 0
-                for r in ranges or ():
+                for r in ranges:
                     h.update(raw[at : r["a"]])
                     at = r["b"]
                     removed += r["b"] - r["a"]
                 h.update(raw[at:])
                 n.append(len(raw))
                 gone.append(removed)
-                spans.append(len(ranges or ()))
+                spans.append(len(ranges))
                 sha.append(h.hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(gone, pa.int64()), pa.array(spans, pa.int64()), pa.array(sha, pa.string())], ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
 
     return found.select("doc_id", "text", "ranges").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
+def clipped(ranges, size: int) -> list[dict]:
+    """Ranges within a text: another text of the same id may be longer."""
+    return [{"a": r["a"], "b": min(r["b"], size)} for r in ranges or () if r["a"] < size]
+
+
 def keep_text(raw: bytes, ranges) -> str:
     """What is left of a text: a code point goes if all its bytes are covered."""
     out, at = [], 0
-    for r in ranges:
+    for r in clipped(ranges, len(raw)):
         a, b = r["a"], r["b"]
         while a < len(raw) and raw[a] & 0xC0 == 0x80:
             a += 1

@@ -32,10 +32,6 @@ def texts(docs):
     return {r.doc_id: r.text or "" for r in docs.select("doc_id", "text").collect()}
 
 
-def empty(docs):
-    return docs.limit(0)
-
-
 def test_empty_tables(spark, docs):
     none = spark.createDataFrame([], docs.schema)
     pages = spark.createDataFrame([], "page_id long, url string, html string")
@@ -364,6 +360,10 @@ def test_suffix_random(spark):
     gone = covered(texts, 20)
     for r in suffix.deduplicate(df, length=20, k=8).collect():
         assert r.n_removed == sum(gone[r.doc_id])
+    for crowd in (1, 3):  # crowded anchors go by their windows
+        got = {r.doc: r.ranges for r in suffix.repeats(df, length=20, k=8, crowd=crowd).collect()}
+        for d, g in gone.items():
+            assert sum(x.b - x.a for x in got.get(d, ())) == sum(g)
 
 
 def test_merge_is_a_sort():
@@ -433,3 +433,24 @@ def test_sketch_peels(spark):
         assert (r.d.a, r.d.b) == want
         assert all(x is None or (x.a, x.b) == want for x in (r.small, r.large))
     assert sum(r.large is not None for r in out) >= 59 and 30 <= sum(r.small is not None for r in out) < 60
+
+
+def test_null_ids_and_repeated_rows(spark):
+    """Rows without an id, rows that come twice, two texts under one id: each row has its result, and nothing is lost."""
+    long = "alpha beta gamma delta epsilon zeta eta theta iota kappa " * 8
+    rows = [(None, long, "a"), (None, None, None), (5, long + "end", "a"), (5, long + "end", "a"), (6, "short", "b"), (7, "one text", "b"), (7, "another text", "b"), (8, long, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    per_row = (
+        lambda d: lm.score(d, slots_log2=12), simhash.near_duplicates, lambda d: pii.digest(pii.scan(d)), lambda d: shard.shard_documents(d, [1.0, 2.0]), quality.judge, suffix.deduplicate, sketch.compare, pii.redact, suffix.strip,
+        lambda d: packing.pack(d),
+    )
+    for f in per_row:
+        assert Counter(r.doc_id for r in f(df).collect()) == Counter(r[0] for r in rows), f
+    left = {(r.doc_id, r.n_bytes): r.n_bytes - r.n_removed for r in suffix.deduplicate(df).collect()}
+    once = {(r.doc_id, r.n_bytes): r.n_bytes - r.n_removed for r in suffix.deduplicate(df.dropDuplicates()).collect()}
+    assert left == once and left[None, len(long)] > 50 > left[8, len(long)] and left[None, 0] == 0 and left[6, 5] == 5
+    scores = {}
+    for r in lm.score(df, slots_log2=12).collect():
+        scores.setdefault((r.doc_id, r.n_tokens), set()).add((r.base_score, r.score))
+    assert all(len(v) == 1 for k, v in scores.items() if k[0] == 5)
+    assert {r.component_id for r in simhash.near_duplicates(df).collect() if r.doc_id in (8,)} <= {5, 8}
