@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.functions import tokens
-from loomspan.functions.stats import null4, ratio, scalar4, stats4
+from loomspan.functions.stats import null4, scalar4, stats4
 from loomspan.operators import geometry
 from loomspan.operators.sequence import lifo_pairs
 from loomspan.operators.windows import FULL, assign, bounds, spine
@@ -129,5 +129,3 @@ def indicators(presses: DataFrame, cfg: PIConfig) -> DataFrame:
         out = out.join(part, G, "left")
     return out.select("*", *undefined())
 
-
-__all__ = ["indicators", "pair_events", "ratio"]
