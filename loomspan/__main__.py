@@ -8,7 +8,10 @@ import argparse
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="loomspan")
     p.add_argument("modality", choices=["eye-tracking", "keyboard", "touch", "voice"])
-    p.add_argument("base_path", help="folder of date/client/task/modality/archive/file")
+    p.add_argument("base_path", help="folder of date/client/task/modality/archive/file, or with --single one recording")
+    p.add_argument("--single", action="store_true", help="base_path is one recording; its client and task are --client_id and --context")
+    p.add_argument("--client_id", default="unknown_client")
+    p.add_argument("--context", default="unknown_task")
     p.add_argument("--output_base_path", "--output_root", dest="output_root", help="default: primitive_indicator beside base_path")
     p.add_argument("--clients", "--only_client_id", dest="clients", nargs="*")
     p.add_argument("--window_size_sec", type=float, default=60.0)
@@ -26,12 +29,15 @@ def main(argv: list[str] | None = None) -> int:
     a = parser().parse_args(argv)
     from pyspark.sql import SparkSession
 
-    from loomspan.plans import batch
+    from loomspan.plans import batch, document
     from loomspan.plans.config import PIConfig
 
     spark = SparkSession.builder.appName("loomspan").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     cfg = PIConfig(a.window_size_sec, a.stride_sec, a.screen_width_px, a.screen_height_px, a.timezone, a.pause_threshold_ms, a.ngram_n, a.holdtime_mode)
-    n = batch.run_and_write(spark, a.base_path, a.modality, cfg, a.clients, a.output_root)
+    if a.single:
+        n = document.write_documents(batch.run_file(spark, a.base_path, a.modality, cfg, a.client_id, a.context).documents, batch.output_root(a.base_path, a.output_root), a.modality)
+    else:
+        n = batch.run_and_write(spark, a.base_path, a.modality, cfg, a.clients, a.output_root)
     print(f"{n} documents in {batch.output_root(a.base_path, a.output_root)}")
     return 0
 

@@ -57,7 +57,16 @@ def run(spark: SparkSession, base: str, modality: str, cfg: PIConfig | None = No
     if modality not in registry.INDICATORS:
         raise ValueError(f"modality must be one of {', '.join(registry.INDICATORS)}")
     cfg = cfg or PIConfig()
-    recordings = files.sessions(spark, base, modality, clients)
+    return _run(files.sessions(spark, base, modality, clients), modality, cfg)
+
+
+def run_file(spark: SparkSession, path: str, modality: str, cfg: PIConfig | None = None, client_id: str = "unknown_client", task: str = "unknown_task") -> Result:
+    """Indicators of one recording, whose client and task are given."""
+    one = spark.read.format("binaryFile").load(path)
+    return _run(one.select("*", F.lit(client_id).alias("client_id"), F.lit(task).alias("task"), F.lit("").alias("date"), F.lit("").alias("archive_id")), modality, cfg or PIConfig())
+
+
+def _run(recordings: DataFrame, modality: str, cfg: PIConfig) -> Result:
     wide, errors = from_files(recordings, modality, cfg)
     wide = wide.join(recordings.select(F.col("path").alias("sess"), *KEYS), "sess")
     return Result(wide, document.documents(wide, modality, cfg, F.col("offset")), errors)

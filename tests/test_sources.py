@@ -111,6 +111,17 @@ def test_voice(spark, base):
     assert list(doc["windows"][0]["pi"]) == registry.columns("voice")
 
 
+def test_single_file_and_command_line(spark, base, tmp_path):
+    path = f"{base}/20240101/ann/draw/stylus/a1/stylus.csv"
+    one = batch.run_file(spark, path, "touch", CFG, "zoe", "sketch").documents.collect()
+    assert [(r.client_id, r.task) for r in one] == [("zoe", "sketch")]
+    from loomspan.__main__ import main
+
+    assert main(["touch", base, "--output_root", str(tmp_path / "a"), "--clients", "ann", "--window_size_sec", "2", "--stride_sec", "1"]) == 0
+    assert main(["touch", path, "--single", "--client_id", "zoe", "--context", "sketch", "--output_root", str(tmp_path / "b")]) == 0
+    assert (tmp_path / "a/ann/draw/touch_pi.json").exists() and json.loads((tmp_path / "b/zoe/sketch/touch_pi.json").read_text())["client_id"] == "zoe"
+
+
 def test_wav_formats():
     y = np.array([0.0, 0.5, -0.5, 0.25], np.float32)
     assert np.allclose(files.decode_wav(files.write_wav(y, 8000))[0], y, atol=1e-3)
