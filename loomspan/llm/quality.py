@@ -11,6 +11,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import cut
+
 SPACE = r"[\x20\x09-\x0D]+"
 BLANK = " \t\n\x0b\x0c\r"
 SYMBOLS = "#*$%&|<>"
@@ -98,13 +100,24 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:
-    """docs with the measures, host_rate and kept. A null host is a host of its own. No rows: no rows."""
-    measured = measure(docs)
+    """docs without text but with the measures, host_rate and kept. A null host is a host of its own. No rows: no rows.
+
+    Texts are measured once: the measures are cut in the shared folder, and hosts and verdicts are made of them.
+    """
+    measured = cut(measure(docs.drop("host_rate", "kept", "base_failed", "n_soft_failures")).drop("text"))
     out = measured.join(host_rates(measured, host), F.col(host).eqNullSafe(F.col("_host")), "left").drop("_host")
     allowed = F.when(F.col("host_rate") >= POOR_RATE, F.lit(0)).otherwise(F.lit(1))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("n_soft_failures") <= allowed))
 
 
+def keep(docs: DataFrame, host: str = "source") -> DataFrame:
+    """The rows of docs (doc_id, text and host among their columns) that judge() keeps. A verdict goes by doc_id and text."""
+    key = F.xxhash64("text")
+    judged = judge(docs.select("doc_id", "text", host, key.alias("_text")), host)
+    out = judged.where("NOT kept").select(F.col("doc_id").alias("_doc"), "_text").distinct()
+    return docs.join(out, docs["doc_id"].eqNullSafe(out["_doc"]) & (F.xxhash64(docs["text"]) == out["_text"]), "left_anti")
+
+
 ORACLE = r"""
 WITH d AS (SELECT doc_id, source, coalesce(text, '') AS t FROM documents),
 w AS (SELECT *, list_filter(string_split_regex(t, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws,
@@ -126,7 +139,3 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM s JOIN hr ON s.source IS NOT DISTINCT FROM hr.source
 """
 
-
-def judged_columns(docs: DataFrame) -> list[str]:
-    """Names that judge() replaces if docs has them."""
-    return [c for c in docs.columns if c in ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "n_soft_failures", "host_rate", "kept")]

@@ -269,6 +269,12 @@ def test_quality(docs, texts):
         assert r.kept <= (not r.base_failed) and (r.base_failed or r.n_soft_failures or r.kept)
 
 
+def test_quality_keep(docs):
+    kept = {r.doc_id for r in quality.judge(docs).where("kept").collect()}
+    rows = quality.keep(docs)
+    assert rows.columns == docs.columns and {r.doc_id for r in rows.collect()} == kept and len(kept) > 50
+
+
 def test_quality_hosts(spark):
     """A poor host's documents may fail no soft rule; the prior pulls a small host to the corpus."""
     good, soft = "a plain text of more than ten words that fails no rule here", "## $$ %% && a text of ten words with many ## signs $$ in it"
