@@ -12,7 +12,7 @@ from loomspan.llm.blocks import shared_dir
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the host-level rules keep."""
-    return quality.judge(docs.drop(*quality.judged_columns(docs))).where("kept").select(*docs.columns)
+    return quality.keep(docs).select(*docs.columns)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
