@@ -95,8 +95,10 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
     total = hosts.agg(F.sum("n").alias("tn"), F.sum("f").alias("tf"), F.sum(F.col("f") * F.col("f") / F.col("n")).alias("sq"), F.count("*").alias("k"))
     v = (F.col("sq") - F.col("tn") * m * m - (F.col("k") - 1) * m * (1 - m)) / F.col("tn")
     prior = total.select(m.alias("m"), F.when((v > 0) & (m > 0) & (m < 1), F.greatest(m * (1 - m) / v - 1, F.lit(1.0))).alias("strength"))
-    shrunk = F.when(F.col("strength").isNull(), F.col("m")).otherwise((F.col("f") + F.col("strength") * F.col("m")) / (F.col("n") + F.col("strength")))
-    return hosts.crossJoin(F.broadcast(prior)).select("_host", shrunk.alias("host_rate"))  # prior is one row
+    row = prior.first()  # two numbers
+    rate, strength = F.lit(row["m"]).cast("double"), row["strength"]
+    shrunk = rate if strength is None else (F.col("f") + F.lit(strength) * rate) / (F.col("n") + F.lit(strength))
+    return hosts.select("_host", shrunk.alias("host_rate"))
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:
