@@ -51,6 +51,14 @@ def arrow_rows(spark: SparkSession, rows: int):
         spark.conf.set(name, before)
 
 
+def slices(batches, rows: int = 1000):
+    """Record batches in slices of so many rows, so that Python holds few whole texts at a time; memory goes back at the end."""
+    for batch in batches:
+        for lo in range(0, batch.num_rows, rows):
+            yield batch.slice(lo, rows)
+    give_back()
+
+
 def text_bytes(docs: DataFrame, text: str) -> int:
     """UTF-8 bytes of a column over all rows: the size that bucket counts are derived from."""
     return docs.agg(F.sum(F.octet_length(text))).first()[0] or 0

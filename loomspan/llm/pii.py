@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .blocks import slices
+
 KINDS = ("email", "ip", "card", "phone", "url", "iban", "ssn", "secret")
 #: Names whose assigned value is a credential or an account.
 CUES = ("token", "secret", "password", "passwd", "pwd", "api_key", "apikey", "api-key", "access_key", "access-key", "private_key", "auth_key", "client_secret", "account", "iban", "ssn")
@@ -143,7 +145,7 @@ def scan(docs: DataFrame) -> DataFrame:
     def run(batches):
         anchors = automaton()
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
-        for batch in batches:
+        for batch in slices(batches):
             found = [[{"kind": KINDS[k], "start": a, "end": b} for a, k, b in find(t, anchors)] if t else [] for t in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "spans"])
 
@@ -165,7 +167,7 @@ def redact(docs: DataFrame) -> DataFrame:
 
     def run(batches):
         anchors = automaton()
-        for batch in batches:
+        for batch in slices(batches):
             texts = [None if t is None else mask(t, find(t, anchors)) for t in batch.column("text").to_pylist()]
             cols = {n: batch.column(n) for n in batch.schema.names}
             cols["text"] = pa.array(texts, batch.column("text").type)

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import cut, strings
+from .blocks import arrow_rows, cut, slices, strings
 from .components import components
 
 DISTANCE = 4
@@ -96,7 +96,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         import xxhash
 
         digest = xxhash.xxh64_intdigest
-        for batch in batches:
+        for batch in slices(batches):
             data, off = strings(batch.column("text"))
             raw = data.tobytes()
             prints = np.zeros(len(off) - 1, np.uint64)
@@ -127,7 +127,7 @@ def fingerprints(docs: DataFrame) -> DataFrame:
                     held.extend([digest(line[a:b], SEED) for a, b in zip(first[: 1 - SHINGLE].tolist(), end[SHINGLE - 1 :].tolist(), strict=True)])
                     n_of.append(len(words) - SHINGLE + 1)
                 owner.append(i)
-                if len(held) > 500_000:
+                if len(held) > 200_000:
                     settle()
             settle()
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(prints.view(np.int64))], ["doc_id", "print"])
@@ -223,7 +223,8 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
 
     One row for each row of docs (doc_id, text). Texts without words have fingerprint 0 and are linked like any other. A null doc_id is never a component's id unless no other is there.
     """
-    rows = cut(fingerprints(docs))
+    with arrow_rows(docs.sparkSession, 1000):
+        rows = cut(fingerprints(docs))
     classes = rows.groupBy("print").agg(F.min("doc_id").alias("least"))
     roots = components(links(classes, distance))
     rooted = classes.join(roots, F.col("print") == F.col("node"), "left").select("print", "least", F.coalesce("root", "print").alias("root"))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import bucket_count, cut, give_back, groups, mix64, pack, sent, spans_of, strings, text_bytes, unpack
+from .blocks import arrow_rows, bucket_count, cut, give_back, groups, mix64, pack, sent, slices, spans_of, strings, text_bytes, unpack
 
 LENGTH = 100
 K = 40
@@ -264,7 +264,7 @@ def fetch(length: int):
             rows.clear()
             return pa.RecordBatch.from_arrays([pa.array(anchors, pa.int64()), pa.array(parts, pa.int32()), pa.array(blobs, pa.binary())], ["anchor", "part", "payload"])
 
-        for batch in batches:
+        for batch in slices(batches):
             data, off = strings(batch.column("text"))
             doc = order_of(batch.column("doc_id").to_pylist())
             for i, spots in enumerate(batch.column("spots").to_pylist()):
@@ -364,7 +364,8 @@ def repeats(docs: DataFrame, length: int = LENGTH, k: int = K, crowd: int = CROW
     size = text_bytes(docs, "text")
     blobs = docs.mapInArrow(block_segments(length, k, bucket_count(size, 16 << 20)), "bucket int, payload binary")
     rows = blobs.groupBy("bucket", F.when(F.col("bucket") < 0, F.xxhash64("payload"))).applyInArrow(contest, "doc long, kind byte, anchor long, at long, n long, o long")
-    rows = cut(rows)
+    with arrow_rows(docs.sparkSession, 1000):
+        rows = cut(rows)
     contested = rows.where("kind = 1")
     crowds = contested.groupBy("anchor").agg(F.sum("n").alias("m"), F.count("*").alias("c")).where(F.col("c") > crowd).select("anchor", F.ceil(F.col("m") / F.lit(crowd)).cast("int").alias("parts"))
     spots = contested.join(crowds, "anchor", "left").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "n", "o", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("spots"))
@@ -404,7 +405,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     found = slim.withColumn("doc", F.coalesce("doc_id", F.lit(-(2**63)))).join(repeats(slim, length, k), "doc", "left")
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             data, off = strings(batch.column("text"))
             n, gone, spans, sha = [], [], [], []
             for i, ranges in enumerate(batch.column("ranges").to_pylist()):
@@ -452,7 +453,7 @@ def strip(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     names, schema = docs.columns, docs.schema
 
     def run(batches):
-        for batch in batches:
+        for batch in slices(batches):
             texts = [t if t is None or not r else keep_text(t.encode(), r) for t, r in zip(batch.column("text").to_pylist(), batch.column("_ranges").to_pylist(), strict=True)]
             cols = {c: batch.column(c) for c in names}
             cols["text"] = pa.array(texts, batch.column("text").type)
