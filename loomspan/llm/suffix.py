@@ -14,7 +14,7 @@ document). The corpus is sharded by content, then shards of suffixes are merged
    rounds suffixes with LENGTH common characters are next to each other and their intervals are the blocks of the
    order. Each interval's first window in (doc_id, place) order stays; the others are repeats. Nothing is sorted anew.
    An anchor with more than CROWD contested segments (the edge of a passage that a third of all documents hold) is cut
-   in its single windows, which are merged on the map side and dealt over tasks by their first bytes.
+   in its single windows, which are merged on the map side and dealt over tasks by a hash of all their bytes.
 5. Covered ranges go back to their documents.
 """
 
@@ -277,7 +277,7 @@ def fetch(length: int):
                     raw = text.tobytes()
                     for k in range(s["n"]):
                         w, place = raw[k : k + length], (int(doc[i]), s["at"] + k)
-                        key = (s["anchor"], zlib.crc32(w[:16]) % s["parts"], w)
+                        key = (s["anchor"], zlib.crc32(w) % s["parts"], w)
                         first = windows.setdefault(key, place)
                         if first != place:
                             windows[key] = min(first, place)
@@ -316,7 +316,7 @@ def contenders(texts: list[bytes], o: list[int], n: list[int], length: int, k: i
 
 
 def settle_groups(length: int, k: int, most: int = 384 << 10):
-    """Settles rows that come sorted by anchor and part, some bytes of whole groups at a time. A group of any size is settled at once: it takes some 60 times its contenders' bytes, and CROWD bounds those."""
+    """Settles rows that come sorted by anchor and part, some bytes of whole groups at a time. A group of any size is settled at once: it takes some 60 times its contenders' bytes. CROWD bounds the segments of a group, and about bounds the windows of a crowded anchor's part, which a hash of whole windows deals."""
 
     def run(batches):
         ready, held, group, last = [], 0, [], None

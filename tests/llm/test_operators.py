@@ -372,6 +372,27 @@ def test_suffix_random(spark):
             assert sum(x.b - x.a for x in got.get(d, ())) == sum(g)
 
 
+def test_suffix_crowd_spreads():
+    """Windows at the right edge of a shared passage begin alike and go on differently: they spread over all parts, and equal ones meet."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(9)
+    passage = "".join(rng.choice("abcdefgh ") for _ in range(100))
+    texts = [passage + "".join(rng.choice("abcdefgh ") for _ in range(60)) for _ in range(200)]
+    texts += texts[:1]
+    spot = {"anchor": 1, "at": 1, "n": 60, "o": 59, "parts": 500}
+    kind = pa.list_(pa.struct([("anchor", pa.int64()), ("at", pa.int64()), ("n", pa.int64()), ("o", pa.int64()), ("parts", pa.int32())]))
+    rows = [pa.RecordBatch.from_arrays([pa.array([d], pa.int64()), pa.array([t]), pa.array([[spot]], kind)], ["doc_id", "text", "spots"]) for d, t in enumerate(texts)]
+    sizes, where = Counter(), {}
+    for batch in suffix.fetch(100)(rows):
+        for part, blob in zip(batch.column("part").to_pylist(), batch.column("payload").to_pylist(), strict=True):
+            sizes[part] += 1
+            where.setdefault(suffix.unpack(blob, np.int64, np.uint8)[1].tobytes(), set()).add(part)
+    assert sum(sizes.values()) == 201 * 60 and len(sizes) == 500 and max(sizes.values()) < 80
+    assert all(len(parts) == 1 for parts in where.values())
+
+
 def test_merge_is_a_sort():
     """The interleave of the merged transforms orders suffixes by their first characters, and intervals are their classes."""
     import numpy as np
