@@ -6,7 +6,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from loomspan.llm import packing, pii, quality, simhash, suffix
+from loomspan.llm import packing, pii, quality, similar, suffix
 from loomspan.llm.blocks import shared_dir
 
 
@@ -16,8 +16,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near copies."""
-    return simhash.keep_first(docs).select(*docs.columns)
+    """One document, that of the least id, of each group of near copies: five-word shingles with a Jaccard similarity of 0.8 or more."""
+    return similar.keep_first(docs).select(*docs.columns)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

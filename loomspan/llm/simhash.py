@@ -228,11 +228,3 @@ def near_duplicates(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
     ids = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
     named = rooted.join(ids, "root").select("print", "component_id")
     return rows.join(named, "print").select("doc_id", F.lower(F.lpad(F.hex("print"), 16, "0")).alias("fingerprint"), "component_id")
-
-
-def keep_first(docs: DataFrame, distance: int = DISTANCE) -> DataFrame:
-    """The rows of docs whose doc_id is their component's: one document of each group of near copies. Rows with a null doc_id stay; rows that repeat a kept doc_id stay too."""
-    found = near_duplicates(docs, distance)
-    drop = found.where("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti")
-

@@ -1,5 +1,7 @@
 """The pipeline's stages against each other and against brute force where that is short."""
 
+import random
+
 import corpus_pipeline
 import pytest
 
@@ -38,6 +40,39 @@ def test_decisions_take_effect(spark, stages):
     assert any("<" in r.text for r in stages[4]) and not any(k < 4 for r in stages[4] for _, k, _ in pii.find(r.text, anchors))
 
 
+def test_near_dup_is_the_join(spark):
+    """The stage keeps the least id of each component of a brute-force join at 0.8, edited copies of 0.8 to 0.95 and large groups among them."""
+    rng = random.Random(11)
+    rows, passage = [], [f"p{i}" for i in range(30)]
+    for g in range(30):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.choice([3, 12, 60, 150]))] + passage * (g % 2)
+        for _ in range(40 if g == 0 else 5):
+            copy = list(words)
+            for _ in range(rng.choice([0, 1, 2, 3, 5])):
+                copy[rng.randrange(len(copy))] = f"x{rng.randrange(10**6)}"
+            rows.append(" ".join(copy))
+    rows += ["", None, " \n", "One Two  three", "one two three"]
+    rng.shuffle(rows)
+
+    def shingles(t):
+        w = (t or "").lower().split()
+        return {tuple(w[i : i + 5]) for i in range(max(1, len(w) - 4))} if w else set()
+
+    have, root = [shingles(t) for t in rows], list(range(len(rows)))
+    shares = []
+    for i, a in enumerate(have):
+        for j in range(i):
+            share = len(a & have[j]) / len(a | have[j]) if a | have[j] else 1
+            if share >= 0.8:
+                shares.append(share)
+                x, y = sorted((root[i], root[j]))
+                root = [x if r == y else r for r in root]
+    assert sum(s < 0.95 for s in shares) > 20
+    docs = spark.createDataFrame([(i, t, "en", "src", 0) for i, t in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    got = {r.doc_id for r in corpus_pipeline.near_dup_stage(spark, docs, SF).collect()}
+    assert got == set(root)
+
+
 def test_run(spark, stages):
     got = {(r.doc_id, r.piece, r.size) for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == {(r.doc_id, r.piece, r.size) for r in stages[5]}
