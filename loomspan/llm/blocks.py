@@ -33,12 +33,25 @@ def shared_dir(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/loomspan-{uuid.uuid4().hex}"
 
 
+def fresh(df: DataFrame, name: str) -> str:
+    """A column name like this one that df doesn't have."""
+    while name.lower() in {c.lower() for c in df.columns}:
+        name += "_"
+    return name
+
+
 def cut(df: DataFrame) -> DataFrame:
     """Materialises df in the shared folder and cuts its lineage."""
     shared_dir(df.sparkSession)
     return df.checkpoint()
 
 
+def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
+    """Materialises df, of a few numbers a row, and marks it for broadcast if it has no more than so many rows; a larger one is joined by shuffle."""
+    df = cut(df)
+    return F.broadcast(df) if df.limit(rows + 1).count() <= rows else df
+
+
 @contextmanager
 def arrow_rows(spark: SparkSession, rows: int):
     """Within it, jobs pass so many rows at a time to Python: whole texts make large batches, in the JVM and in the worker."""
@@ -137,3 +150,21 @@ def unpack(blob: bytes, *types) -> list[np.ndarray]:
         out.append(np.frombuffer(blob, t, int(n), at))
         at += int(n) * np.dtype(t).itemsize
     return out
+
+
+def shrink(x: np.ndarray, ascending: bool = False) -> np.ndarray:
+    """An array's bytes, differences of ascending values, by place in the value and compressed."""
+    if ascending:
+        x = np.diff(x, prepend=x.dtype.type(0))
+    planes = np.ascontiguousarray(x).view(np.uint8).reshape(-1, x.dtype.itemsize).T
+    z = pa.compress(np.ascontiguousarray(planes).tobytes(), codec="zstd", asbytes=True)
+    return np.frombuffer(np.array([len(x)], np.int64).tobytes() + z, np.uint8)
+
+
+def expand(z: np.ndarray, dtype, ascending: bool = False) -> np.ndarray:
+    """What shrink packed."""
+    z, size = z.tobytes(), np.dtype(dtype).itemsize
+    n = int(np.frombuffer(z, np.int64, 1)[0])
+    planes = np.frombuffer(pa.decompress(z[8:], decompressed_size=n * size, codec="zstd", asbytes=True), np.uint8)
+    x = np.ascontiguousarray(planes.reshape(size, n).T).view(dtype).reshape(n)
+    return np.cumsum(x, dtype=dtype) if ascending else x
