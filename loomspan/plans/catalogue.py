@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from loomspan.functions import stats
 from loomspan.operators import windows as W
 from loomspan.sources import adapters
 
@@ -15,10 +16,9 @@ EYE, KEY, TOUCH, VOICE = PIConfig(2, 1), PIConfig(20, 10), PIConfig(2, 1), PICon
 G = ["sess", "win"]
 
 
-def rounded(c: str):
-    """Rounded for comparison with SQL: fewer places for larger values, and a step off the halves that averages of decimals fall on."""
-    v = F.col(c)
-    return (F.when(F.abs(v) < 1e3, F.round(v + 3.14159e-8, 6)).when(F.abs(v) < 1e6, F.round(v + 2.71828e-4, 2)).otherwise(F.round(v + 0.0314159, 0)) + 0.0).alias(c)
+def rounded(c: str) -> Column:
+    """A double for comparison with SQL: in single precision (7 significant digits, whatever its magnitude), after the ninth decimal is rounded."""
+    return (F.round(c, 9).cast("float").cast("double") + 0.0).alias(c)
 
 
 def tidy(df: DataFrame) -> DataFrame:
@@ -111,7 +111,8 @@ def eye_threshold(s, d):
 
 
 def eye_fixations(s, d):
-    return tidy(eye_events(s, d)[1].where("kind = 'fixation'").groupBy(*G).agg(*(c for c in eye.shape("fixation") if not c._jc.toString().find("inter_") >= 0)))
+    f = eye_events(s, d)[1].where("kind = 'fixation'").groupBy(*G).agg(*eye.shape("fixation"))
+    return tidy(f.select(*(c for c in f.columns if not c.startswith("inter_"))))
 
 
 def eye_saccades(s, d):
@@ -284,8 +285,8 @@ def audio_spectrum(s, d):
 
 def null_indicators(s, d):
     spine = keyboard.all_windows(adapters.key_paired(s, d), KEY).select(*G)
-    both = {c._jc.toString(): c for c in (*keyboard.undefined(), *voice.undefined())}
-    return spine.select(*G, *both.values())
+    held = spine.select(*G, *keyboard.undefined())
+    return held.withColumns({f"{n}_{k}": F.lit(None).cast("double") for n in voice.UNDEFINED for k in stats.STATS})
 
 
 def eye_indicators(s, d):

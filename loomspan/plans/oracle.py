@@ -11,7 +11,7 @@ def fin(e: str) -> str:
 
 def rd(e: str) -> str:
     """Rounded as catalogue.rounded() does."""
-    return f"list_transform([({e})::DOUBLE], lambda v: CASE WHEN abs(v) < 1e3 THEN round(v + 3.14159e-8, 6) WHEN abs(v) < 1e6 THEN round(v + 2.71828e-4, 2) ELSE round(v + 0.0314159, 0) END + 0.0)[1]"
+    return f"round(({e})::DOUBLE, 9)::FLOAT::DOUBLE + 0.0"
 
 
 def st(name: str, e: str, ddof: int) -> str:
@@ -301,4 +301,88 @@ b1 AS (SELECT sess, win, {st('pause_duration', 'd', 0)}, sum(d) AS s1, count(*)
     }
 
 
-SQL = {**eye(), **keyboard(), **touch(), **voice()}
+def hull(points: str) -> str:
+    """CTEs that end in hp (sess, win, area, perimeter), of points (sess, win, x, y): an edge has no point to its right, and those on its line lie on it."""
+    return f"""hq AS (SELECT DISTINCT sess, win, x, y FROM ({points})),
+he AS (SELECT a.sess, a.win, a.x AS x1, a.y AS y1, b.x AS x2, b.y AS y2, min((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x)) AS lo, max((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x)) AS hi,
+  bool_and((b.x - a.x) * (c.y - a.y) - (b.y - a.y) * (c.x - a.x) <> 0 OR (c.x - a.x) * (c.x - b.x) + (c.y - a.y) * (c.y - b.y) <= 0) AS within
+  FROM hq a JOIN hq b ON a.sess = b.sess AND a.win = b.win AND (a.x <> b.x OR a.y <> b.y) JOIN hq c ON a.sess = c.sess AND a.win = c.win GROUP BY ALL),
+hp AS (SELECT sess, win, sum(x1 * y2 - y1 * x2) / 2 AS area, sum(sqrt((x2 - x1) * (x2 - x1) + (y2 - y1) * (y2 - y1))) AS perimeter FROM he WHERE lo >= 0 AND hi > 0 AND within GROUP BY ALL)"""
+
+
+def dft(name: str, values: str) -> str:
+    """CTE name (sess, win, n, k, mag) of values (sess, win, i from 0, y): magnitudes of the centred values' discrete Fourier transform, k from 0 to n / 2."""
+    return f"""{name}v AS (SELECT sess, win, i, y - avg(y) OVER z AS y, count(*) OVER z AS n FROM ({values}) WINDOW z AS (PARTITION BY sess, win)),
+{name}k AS (SELECT DISTINCT sess, win, n, unnest(range(0, n // 2 + 1)) AS k FROM (SELECT DISTINCT sess, win, n FROM {name}v)),
+{name} AS (SELECT v.sess, v.win, max(v.n) AS n, k, sqrt(sum(y * cos(2 * pi() * ((k * i) % v.n) / v.n)) ** 2 + sum(y * sin(2 * pi() * ((k * i) % v.n) / v.n)) ** 2) AS mag FROM {name}v v JOIN {name}k q ON v.sess = q.sess AND v.win = q.win GROUP BY v.sess, v.win, k)"""
+
+
+def band(name: str, source: str, low: float, high: float) -> str:
+    """CTE name (sess, win, rate, entropy, regularity) of a dft's magnitudes at 100 values a second within a band."""
+    return f"""{name}b AS (SELECT *, k * 100.0 / n AS f, sum(mag) OVER z AS total, avg(mag) OVER z AS mean FROM {source} WHERE n >= 4 AND k > 0 AND k * 100.0 / n BETWEEN {low} AND {high} WINDOW z AS (PARTITION BY sess, win)),
+{name} AS (SELECT sess, win, arg_max(f, mag * 1e9 - k * 1e-9) AS rate, CASE WHEN max(total) > 0 THEN sum(CASE WHEN mag > 0 THEN -mag / total * log2(mag / total) ELSE 0 END) END AS entropy, max(mag) / (max(mean) + 1e-12) AS regularity FROM {name}b GROUP BY ALL)"""
+
+
+def spectra() -> dict[str, str]:
+    power = lambda n, of, c: dft(f"{n}f", f"SELECT sess, win, row_number() OVER (PARTITION BY sess, win ORDER BY t, ord) - 1 AS i, {c} AS y FROM {of} WHERE {c} IS NOT NULL") + f""",
+{n}p AS (SELECT *, mag * mag AS pw, sum(mag * mag) OVER z AS total, avg(mag * mag) OVER z AS mean FROM {n}f WHERE n >= 4 AND k > 0 WINDOW z AS (PARTITION BY sess, win)),
+{n} AS (SELECT p.sess, p.win, arg_max(k / n * fs, pw) AS rate, sum(-pw / total * log2(pw / total + 1e-12)) AS entropy, max(pw) / (max(mean) + 1e-12) AS regularity FROM {n}p p JOIN fs USING (sess, win) WHERE fs IS NOT NULL AND total > 0 GROUP BY ALL)"""
+    return {
+        "touch_rhythm": query(
+            TOUCH + f", fs AS (SELECT sess, win, 1.0 / avg(CASE WHEN dt > 0 THEN dt END) AS fs FROM ev GROUP BY ALL), {power('rv', 'ev', 'v')}, {power('ra', 'ev', 'a')}",
+            cols(*(sc(f"{k}_rhythm_{n}", f"{r}.{c}", 0) for k, r in (("velocity", "rv"), ("acceleration", "ra")) for n, c in (("rate", "rate"), ("spectral_entropy", "entropy"), ("regularity", "regularity")))), "fs LEFT JOIN rv USING (sess, win) LEFT JOIN ra USING (sess, win)", False),
+        "voice_rhythm": query(
+            ENVELOPE + f", {dft('ef', 'SELECT sess, win, i, env AS y FROM en')}, {band('eb', 'ef', 0.5, 12.0)}, {dft('tf', 'SELECT sess, win, i, env - tr AS y FROM en')}, {band('tb', 'tf', 3.0, 12.0)}",
+            cols(sc("envelope_rhythm_rate", "eb.rate", 0), sc("envelope_rhythm_spectral_entropy", "eb.entropy", 0), sc("envelope_rhythm_regularity", "eb.regularity", 0), sc("amplitude_tremor_rate", "tb.rate", 0)), "eb JOIN tb USING (sess, win)", False),
+        "audio_spectrum": f"WITH a AS (SELECT vec_id AS sess, 1 AS win, unnest(range(0, len(embedding))) AS i, unnest(embedding)::DOUBLE AS y FROM embeddings), {dft('af', 'SELECT * FROM a')}, {band('ab', 'af', 0.5, 12.0)} SELECT sess, {rd('rate')} AS rate, {rd('entropy')} AS entropy, {rd('regularity')} AS regularity FROM ab",
+        # a run of equal values between lower neighbours is a peak; the highest left takes those nearer than 8 frames away
+        "voice_syllables": "WITH RECURSIVE " + ENVELOPE + f""",
+q0 AS (SELECT *, (env IS DISTINCT FROM lag(env) OVER q)::INT AS new FROM en WINDOW q AS (PARTITION BY sess, win ORDER BY i)), q1 AS (SELECT *, sum(new) OVER (PARTITION BY sess, win ORDER BY i) AS r FROM q0),
+q2 AS (SELECT sess, win, r, max(env) AS y, (min(i) + max(i)) // 2 AS i FROM q1 GROUP BY ALL), q3 AS (SELECT *, lag(y) OVER q < y AND lead(y) OVER q < y AS top FROM q2 WINDOW q AS (PARTITION BY sess, win ORDER BY r)),
+hi AS (SELECT sess, win, CASE WHEN max(env) > 0 THEN quantile_cont(env, 0.75) END AS least, count(*) FILTER (WHERE speech) * 0.01::DOUBLE AS ts FROM en GROUP BY ALL),
+pk AS (SELECT sess, win, max(ts) AS ts, coalesce(list({{'y': y, 'i': i}} ORDER BY y DESC, i DESC) FILTER (WHERE top AND y >= coalesce(least, y)), []) AS rest FROM q3 JOIN hi USING (sess, win) GROUP BY ALL),
+gr AS (SELECT sess, win, ts, rest, 0 AS n FROM pk UNION ALL SELECT sess, win, ts, list_filter(rest, lambda z: abs(z.i - rest[1].i) >= 8), n + 1 FROM gr WHERE len(rest) > 0)
+SELECT sess, win, {sc('speech_velocity', 'max(n) / nullif(max(ts), 0)', 0)} FROM gr GROUP BY ALL""",
+        "voice_pitch": query(
+            ENVELOPE + f""", fz AS (SELECT sess, ord, CASE WHEN ord % 7 <> 0 THEN 80 + fmod(rms::DOUBLE * 300, 200) END AS f0 FROM g),
+vo AS (SELECT sp.*, f0, coalesce(f0 > 0, false) AS voiced FROM sp JOIN fr USING (sess, win, i) LEFT JOIN fz ON fz.sess = sp.sess AND fz.ord = fr.w_start + i WHERE speech),
+vp AS (SELECT *, lag(voiced) OVER (PARTITION BY sess, win ORDER BY i) AND NOT voiced AS broke FROM vo),
+s0 AS (SELECT sess, win, 12 * log2(f0 / 55) AS s, row_number() OVER q AS j, count(*) OVER (PARTITION BY sess, win) AS m FROM vo WHERE voiced WINDOW q AS (PARTITION BY sess, win ORDER BY i)),
+s1 AS (SELECT *, s - CASE WHEN m = 1 THEN s ELSE (sum(s) OVER (PARTITION BY sess, win ORDER BY j ROWS BETWEEN least(50, m) // 2 PRECEDING AND (least(50, m) - 1) // 2 FOLLOWING) * (1::FLOAT / least(50, m)::FLOAT)::DOUBLE)::FLOAT::DOUBLE END AS y FROM s0),
+{dft('pf', 'SELECT sess, win, j - 1 AS i, y FROM s1')}, {band('pb', 'pf', 3.0, 12.0)},
+s2 AS (SELECT sess, win, stddev_pop(s) AS sd, quantile_cont(s, 0.95) - quantile_cont(s, 0.05) AS span, sqrt(avg(y * y)) AS extent FROM s1 GROUP BY ALL),
+x AS (SELECT sess, win, {cols(st('pitch_level_f0', 'CASE WHEN voiced THEN f0 END', 0))}, count(*) AS n, count(*) FILTER (WHERE voiced) AS k, count(*) FILTER (WHERE broke) AS br FROM vp GROUP BY ALL)""",
+            cols("x.* EXCLUDE (sess, win, n, k, br)", sc("voiced_ratio", "CASE WHEN k > 0 THEN k / n END", 0), sc("unvoiced_ratio", "CASE WHEN k > 0 THEN 1 - k / n END", 0), sc("voicing_breaks_rate", "CASE WHEN k > 0 AND n >= 2 THEN br / (n * 0.01::DOUBLE) END", 0),
+                 sc("pitch_variability", "sd", 0), sc("pitch_range", "span", 0), sc("pitch_tremor_extent", "extent", 0), sc("pitch_tremor_rate", "rate", 0)), "x LEFT JOIN s2 USING (sess, win) LEFT JOIN pb USING (sess, win)", False),
+    }
+
+
+def hulls() -> dict[str, str]:
+    return {
+        "eye_hull": query(SEGMENTS + ", " + hull("SELECT sess, win, mx AS x, my AS y FROM ev WHERE kind = 'fixation'") + ", hw AS (SELECT DISTINCT sess, win FROM ev WHERE kind = 'fixation')",
+            cols(sc("fixation_convex_hull_area", "coalesce(area, 0)", 1), sc("fixation_convex_hull_perimeter", "coalesce(perimeter, 0)", 1)), "hw LEFT JOIN hp USING (sess, win)", False),
+        "touch_hull": query(TOUCH + ", " + hull("SELECT sess, win, px AS x, py AS y FROM ev") + ", hw AS (SELECT sess, win FROM ev GROUP BY ALL HAVING count(*) >= 3)",
+            cols(sc("touch_convex_hull_area", "coalesce(area, 0)", 0), sc("touch_convex_hull_perimeter", "coalesce(perimeter, 0)", 0)), "hw LEFT JOIN hp USING (sess, win)", False),
+    }
+
+
+def wide(spine: str, extra: str, parts: list[str], sql: dict[str, str], nulls: tuple = ()) -> str:
+    """All indicators of a modality: the windows with each part's columns."""
+    null = "".join(f", NULL::DOUBLE AS {n}_{k}" for n in nulls for k in ("mean", "std", "min", "max"))
+    joins = "\n".join(f"LEFT JOIN ({sql[p]}) p{i} USING (sess, win)" for i, p in enumerate(parts))
+    return f"SELECT z.sess, z.win{extra}, {', '.join(f'p{i}.* EXCLUDE (sess, win)' for i in range(len(parts)))}{null} FROM ({spine}) z\n{joins}"
+
+
+def every() -> dict[str, str]:
+    sql = {**eye(), **keyboard(), **touch(), **voice(), **spectra(), **hulls()}
+    pitch = tuple(f"{n}" for n in ("pitch_level_f0", "voiced_ratio", "unvoiced_ratio", "voicing_breaks_rate", "pitch_variability", "pitch_range", "pitch_tremor_extent", "pitch_tremor_rate"))
+    span, counted = ", z.w_start, z.w_end, z.n_samples", "min(w_start) AS w_start, min(w_end) AS w_end, count(*) AS n_samples FROM d GROUP BY sess, win"
+    sql["eye_indicators"] = wide(f"WITH {GAZE} SELECT sess, win, {counted}", span, ["eye_position_velocity", "eye_jerk", "eye_path_bbox_dispersion", "eye_entropy", "eye_fractal", "eye_rqa", "eye_dwell_regions", "eye_center_bias", "eye_fixations", "eye_saccades", "eye_event_geometry", "eye_intervals_backtrack", "eye_drift", "eye_hull"], sql)
+    keys = f"WITH {PRESSES}, nn AS (SELECT sess, win, count(*) AS n FROM d GROUP BY ALL) SELECT w.sess, w.k AS win, w_start, w_end, coalesce(n, 0) AS n_samples FROM w LEFT JOIN nn ON nn.sess = w.sess AND nn.win = w.k"
+    sql["keyboard_indicators"] = wide(keys, span, [k for k in sql if k.startswith("key_") and k != "key_lifo_pairing"], sql, ("key_sequence_levenshtein_distance", "ngram_distribution_similarity", "rouge_l_similarity"))
+    sql["touch_indicators"] = wide(f"WITH {TOUCH} SELECT sess, win, {counted}", span, [k for k in sql if k.startswith("touch_") and k != "touch_indicators"], sql)
+    sql["voice_indicators"] = wide(f"WITH {VOICE} SELECT DISTINCT sess, win FROM fw", "", [k for k in sql if k.startswith("voice_") and k not in ("voice_pitch", "voice_indicators")], sql, (*pitch, "dynamic_time_warping_similarity", "frequency_domain_similarity", "rouge_l_similarity"))
+    return sql
+
+
+SQL = every()

@@ -112,9 +112,12 @@ def pitch(sp: DataFrame) -> DataFrame:
     return g.select(*[c for c in g.columns if c not in ("_f", "_p")], *(c for name, field in names for c in scalar4(name, F.col(f"_p.{field}"), 0)))
 
 
+UNDEFINED = ("dynamic_time_warping_similarity", "frequency_domain_similarity", "rouge_l_similarity")
+
+
 def undefined() -> list:
     """Indicators that are declared without a definition: always null."""
-    return [c for n in ("dynamic_time_warping_similarity", "frequency_domain_similarity", "rouge_l_similarity") for c in null4(n)]
+    return [c for n in UNDEFINED for c in null4(n)]
 
 
 def window_indicators(windowed: DataFrame, cfg: PIConfig) -> DataFrame:

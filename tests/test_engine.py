@@ -17,7 +17,7 @@ from loomspan.plans import catalogue, eye, keyboard, registry, touch, voice
 from loomspan.plans.config import PIConfig
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("events", "orders")
+TABLES = ("events", "orders", "embeddings")
 
 
 @pytest.fixture(scope="module")
