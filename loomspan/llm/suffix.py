@@ -27,8 +27,9 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType
 
-from .blocks import arrow_rows, bucket_count, cut, give_back, groups, mix64, pack, sent, slices, spans_of, strings, text_bytes, unpack
+from .blocks import arrow_rows, bucket_count, cut, give_back, groups, mix64, pack, sent, slices, small, spans_of, strings, text_bytes, unpack
 
 LENGTH = 100
 K = 40
@@ -39,6 +40,9 @@ CROWD = 20_000
 #: Repeats that travel as one binary.
 PIECE = 50_000
 HELD_WINDOWS = 200_000
+#: Bits for a place in a chunk: an Arrow array of texts is below 2 GB.
+PLACE_BITS = np.uint64(31)
+NO_ID = -(2**63)
 BASE = 0x9E3779B97F4A7C15 | 1
 TABLE = mix64(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x632BE59BD9B4E019))
 
@@ -73,9 +77,9 @@ def segments(data: np.ndarray, off: np.ndarray, lo: int, hi: int, length: int, k
     total = np.zeros(n + 1, np.uint64)
     np.cumsum(TABLE[b] * up[:n], out=total[1:])
     gram = mix64((total[k:] - total[: n - k + 1]) * down[: n - k + 1])
-    place_bits = np.uint64(n.bit_length())
-    ballot = ((gram >> place_bits) << place_bits) | np.arange(len(gram), dtype=np.uint64)
-    elected = (sliding_least(ballot, length - k + 1) & ((np.uint64(1) << place_bits) - np.uint64(1))).astype(np.int64)
+    # as many bits for the place in any chunk, so that a window elects the same gram wherever it stands
+    ballot = ((gram >> PLACE_BITS) << PLACE_BITS) | np.arange(len(gram), dtype=np.uint64)
+    elected = (sliding_least(ballot, length - k + 1) & ((np.uint64(1) << PLACE_BITS) - np.uint64(1))).astype(np.int64)
     starts = np.full(len(elected) + 1, 0, np.int8)
     size = off[lo + 1 : hi + 1] - off[lo:hi]
     fits = np.flatnonzero(size >= length)
@@ -102,11 +106,6 @@ def elsewhere(new: np.ndarray, doc: np.ndarray, at: np.ndarray) -> np.ndarray:
     return (doc != doc[first]) | (at != at[first])
 
 
-def order_of(ids: list) -> np.ndarray:
-    """Ids as integers in their order; null comes first."""
-    return np.array([-(2**63) if x is None else x for x in ids], np.int64)
-
-
 def block_segments(length: int, k: int, n_buckets: int):
     """A block's segments by shard, and its own repeats (bucket -1): the block's first of each kind is sent, by (doc_id, place)."""
 
@@ -137,7 +136,7 @@ def block_segments(length: int, k: int, n_buckets: int):
         power, size = powers(CHUNK), 0
         for batch in batches:
             data, off = strings(batch.column("text"))
-            ids = order_of(batch.column("doc_id").to_pylist())
+            ids = batch.column("_doc").to_numpy()
             for lo, hi in spans_of(off, CHUNK):
                 n = int(off[hi] - off[lo])
                 power = power if n < len(power[0]) else powers(n)
@@ -266,7 +265,7 @@ def fetch(length: int):
 
         for batch in slices(batches):
             data, off = strings(batch.column("text"))
-            doc = order_of(batch.column("doc_id").to_pylist())
+            doc = batch.column("_doc").to_numpy()
             for i, spots in enumerate(batch.column("spots").to_pylist()):
                 for s in spots:
                     a = int(off[i]) + s["at"]
@@ -357,24 +356,34 @@ def settle_groups(length: int, k: int, most: int = 384 << 10):
     return run
 
 
+def keyed(docs: DataFrame) -> DataFrame:
+    """docs with _doc, a row's place in the order of documents: its doc_id, the least long for null. Rows whose doc_id has several texts come before all others, in the order of a hash of both, so that each row has ranges of its own; only rows equal in both share a place."""
+    named = docs.withColumns({"_id": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_h": F.xxhash64(F.coalesce("text", F.lit("")))})
+    several = small(named.groupBy("_id").agg(F.min("_h").alias("a"), F.max("_h").alias("b")).where("a <> b").select("_id", F.lit(True).alias("_several")))
+    own = F.shiftrightunsigned(F.xxhash64("_id", "_h"), 2) + F.lit(NO_ID)
+    found = named.join(several, "_id", "left").withColumn("_doc", F.when(F.col("_several"), own).otherwise(F.col("_id")))
+    return found.select(*docs.columns, "_doc")
+
+
 def repeats(docs: DataFrame, length: int = LENGTH, k: int = K, crowd: int = CROWD) -> DataFrame:
-    """(doc, ranges): covered byte ranges of documents with repeats, as a sorted array of disjoint (a, b). docs has doc_id (unique; long) and text without nulls."""
+    """docs (as keyed returns them) with ranges: covered byte ranges as a sorted array of disjoint (a, b), null without repeats."""
     if length % 2 or not 8 <= k <= length:
         raise ValueError("length must be even and k from 8 to length")
     size = text_bytes(docs, "text")
-    blobs = docs.mapInArrow(block_segments(length, k, bucket_count(size, 16 << 20)), "bucket int, payload binary")
+    blobs = docs.select("_doc", "text").mapInArrow(block_segments(length, k, bucket_count(size, 16 << 20)), "bucket int, payload binary")
     rows = blobs.groupBy("bucket", F.when(F.col("bucket") < 0, F.xxhash64("payload"))).applyInArrow(contest, "doc long, kind byte, anchor long, at long, n long, o long")
     with arrow_rows(docs.sparkSession, 1000):
         rows = cut(rows)
     contested = rows.where("kind = 1")
     crowds = contested.groupBy("anchor").agg(F.sum("n").alias("m"), F.count("*").alias("c")).where(F.col("c") > crowd).select("anchor", F.ceil(F.col("m") / F.lit(crowd)).cast("int").alias("parts"))
-    spots = contested.join(crowds, "anchor", "left").groupBy("doc").agg(F.collect_list(F.struct("anchor", "at", "n", "o", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("spots"))
-    held = docs.select(F.coalesce("doc_id", F.lit(-(2**63))).alias("doc"), "doc_id", "text")
-    texts = held.join(spots, "doc").select("doc_id", "text", "spots").mapInArrow(fetch(length), "anchor long, part int, payload binary")
+    spots = contested.join(crowds, "anchor", "left").groupBy(F.col("doc").alias("_doc")).agg(F.collect_list(F.struct("anchor", "at", "n", "o", F.coalesce("parts", F.lit(1)).alias("parts"))).alias("spots"))
+    dealt = docs.repartition("_doc")  # both joins take all its columns, so that they read one exchange of texts
+    texts = dealt.join(spots.hint("shuffle_merge"), "_doc").mapInArrow(fetch(length), "anchor long, part int, payload binary")
     settled = texts.repartition("anchor", "part").sortWithinPartitions("anchor", "part").mapInArrow(settle_groups(length, k), "doc long, at long, n long")
     every = rows.where("kind = 0").select("doc", "at", "n").unionByName(settled)
-    runs = every.groupBy("doc").agg(F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("n") + F.lit(length - 1)).alias("end")))).alias("r"))
-    return runs.mapInArrow(join_ranges, "doc long, ranges array<struct<a:long,b:long>>")
+    runs = every.groupBy(F.col("doc").alias("_doc")).agg(F.array_sort(F.collect_list(F.struct("at", (F.col("at") + F.col("n") + F.lit(length - 1)).alias("end")))).alias("r"))
+    ranges = runs.mapInArrow(join_ranges, "_doc long, ranges array<struct<a:long,b:long>>")
+    return dealt.join(ranges.hint("shuffle_merge"), "_doc", "left")
 
 
 def join_ranges(batches):
@@ -389,20 +398,16 @@ def join_ranges(batches):
                 else:
                     runs.append({"a": x["at"], "b": x["end"]})
             out.append(runs)
-        yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(out, kind)], ["doc", "ranges"])
-
-
-def plain(docs: DataFrame) -> DataFrame:
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
+        yield pa.RecordBatch.from_arrays([batch.column("_doc"), pa.array(out, kind)], ["_doc", "ranges"])
 
 
 def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 of docs (doc_id, text).
 
-    doc_id must be unique (rows of one id count as one document's, and each gets the ranges of all); null is the least id. Null texts are empty. Texts below `length` bytes keep all.
+    Documents are in the order of doc_id, null least. Rows of one doc_id with different texts come before all others and are judged apart; rows equal in both are one document that comes several times, and get equal results. Null texts are empty. Texts below `length` bytes keep all. No rows: no rows.
     """
-    slim = plain(docs)
-    found = slim.withColumn("doc", F.coalesce("doc_id", F.lit(-(2**63)))).join(repeats(slim, length, k), "doc", "left")
+    rows = keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text")))
+    found = repeats(rows, length, k)
 
     def run(batches):
         for batch in slices(batches):
@@ -410,7 +415,7 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
             n, gone, spans, sha = [], [], [], []
             for i, ranges in enumerate(batch.column("ranges").to_pylist()):
                 raw = data[off[i] : off[i + 1]].tobytes()
-                ranges = clipped(ranges, len(raw))
+                ranges = ranges or ()
                 h, at, removed = hashlib.sha256(), 0, 0
                 for r in ranges:
                     h.update(raw[at : r["a"]])
@@ -426,15 +431,10 @@ def deduplicate(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
     return found.select("doc_id", "text", "ranges").mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
-def clipped(ranges, size: int) -> list[dict]:
-    """Ranges within a text: another text of the same id may be longer."""
-    return [{"a": r["a"], "b": min(r["b"], size)} for r in ranges or () if r["a"] < size]
-
-
 def keep_text(raw: bytes, ranges) -> str:
     """What is left of a text: a code point goes if all its bytes are covered."""
     out, at = [], 0
-    for r in clipped(ranges, len(raw)):
+    for r in ranges:
         a, b = r["a"], r["b"]
         while a < len(raw) and raw[a] & 0xC0 == 0x80:
             a += 1
@@ -447,18 +447,15 @@ def keep_text(raw: bytes, ranges) -> str:
 
 
 def strip(docs: DataFrame, length: int = LENGTH, k: int = K) -> DataFrame:
-    """docs with repeated passages cut from text and n_chars (if there) recounted. Only whole code points go; null texts stay null."""
-    found = docs.withColumn("_doc", F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63)))).join(repeats(plain(docs), length, k).withColumnRenamed("doc", "_doc").withColumnRenamed("ranges", "_ranges"), "_doc", "left").drop("_doc")
-
-    names, schema = docs.columns, docs.schema
+    """docs with repeated passages cut from text and n_chars (if there) recounted. Only whole code points go; null texts stay null. Order, repeated rows and ids as in deduplicate; further columns may have any name."""
+    rest = F.struct(*(c for c in docs.columns if c != "text"))
+    found = repeats(keyed(docs.select("doc_id", "text", rest.alias("rest"))), length, k)
 
     def run(batches):
         for batch in slices(batches):
-            texts = [t if t is None or not r else keep_text(t.encode(), r) for t, r in zip(batch.column("text").to_pylist(), batch.column("_ranges").to_pylist(), strict=True)]
-            cols = {c: batch.column(c) for c in names}
-            cols["text"] = pa.array(texts, batch.column("text").type)
-            if "n_chars" in cols:
-                cols["n_chars"] = pa.array([None if t is None else len(t) for t in texts], batch.column("n_chars").type)
-            yield pa.RecordBatch.from_arrays(list(cols.values()), list(cols))
-
-    return found.select(*names, "_ranges").mapInArrow(run, schema)
+            texts = [t if t is None or not r else keep_text(t.encode(), r) for t, r in zip(batch.column("text").to_pylist(), batch.column("ranges").to_pylist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column("rest"), pa.array(texts, pa.string()), pa.array([None if t is None else len(t) for t in texts], pa.int64())], ["rest", "text", "n"])
+
+    made = found.select("text", "rest", "ranges").mapInArrow(run, StructType([found.schema["rest"], StructField("text", StringType()), StructField("n", LongType())]))
+    value = {"text": F.col("text"), "n_chars": F.col("n")}
+    return made.select(*((value[c].cast(docs.schema[c].dataType) if c in value else F.col("rest").getField(c)).alias(c) for c in docs.columns))
