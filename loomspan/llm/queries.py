@@ -53,7 +53,7 @@ def op9_bwt_repeats(spark, sf_dir):
 
 
 def op10_bloom_sketch(spark, sf_dir):
-    return sketch.compare(table(spark, sf_dir, "documents"))
+    return sketch.fingerprints(table(spark, sf_dir, "documents"))
 
 
 QUERIES = {f.__name__: f for f in (op1_ctw_score, op2_golay_simhash, op3_anchor_pii, op4_best_fit, op5_rendezvous, op6_host_rules, op7_warc_index, op8_segment_bpe, op9_bwt_repeats, op10_bloom_sketch)}

@@ -1,13 +1,14 @@
 """Document fingerprints: invertible Bloom lookup sketches, with DataFrame functions only.
 
-A paragraph is a line, in runs of RUN words; its digest is a 64-bit hash. A sketch has 3 x w cells; a digest goes to
-one cell of each third and adds to its count, digest sum and check sum (sums by exclusive or). The sketch of one
-version minus that of another holds their differing digests alone; cells with one digest are peeled until none is
-left. A sketch too small for the difference leaves cells over; it is made again with twice, then eight times the cells.
-
-Sketches are made in parts: a pair's digests, in their order, are cut in parts of about PART, equal ones never apart,
-so that work grows linearly with a text's length. A part that no size peels (a handful in a billion) is compared digest
-by digest. Everything but finding the next document is done within a row.
+A paragraph is a line, in runs of RUN words; its digest has 40 bits, beside 16 bits to check it by. A sketch has three
+thirds of WIDTH cells; a digest goes to one cell of each third, and a cell holds how many digests it got and their sum
+by exclusive or. A fingerprint is a text's sketch, made of 2**p parts by the digests' upper bits, about PART digests in
+each: the text alone decides it, so it can be stored and sent, and parts add up to the parts of a coarser sketch.
+
+Two fingerprints are compared without the texts. At the number of parts of the coarser, one minus the other holds only
+the differing digests; cells with one digest are peeled until none is left, which recovers these digests. The sketches
+are first summed to one part; if that doesn't peel, the comparison is made again with all parts. A part whose difference
+outgrows its cells even so counts as different throughout, unless only a few digests that share their cells are left.
 """
 
 from __future__ import annotations
@@ -16,120 +17,196 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .blocks import cut
-from .quality import BLANK, SPACE, let
+from .quality import let
 
-RUN = 24
-#: Digests of both versions for each part, cells in a third of a part's sketch, and the factors of the retries.
-PART, THIRD, RETRIES = 8, 4, (1, 2, 8)
-#: Cells in a third of the fingerprint that is returned.
-PRINT_THIRD = 2
-CELL = "struct<c:int,k:bigint,s:bigint>"
+RUN = 16
+WORD, GAP = r"[^\x20\x09-\x0D]++", r"[\x20\x09\x0B-\x0D]++"
+#: A run of at most RUN words of a line, white space between them included.
+PARAGRAPH = f"{WORD}(?:{GAP}{WORD}){{0,{RUN - 1}}}+"
+#: Cells in a third of a part (4 bits of the digest choose one), and digests of a part, at most on average.
+WIDTH, PART = 16, 32
+#: Rounds of peeling at most; each peels all cells that are ripe.
+ROUNDS = 24
+#: A part that leaves digests which seem to be so few is taken at that number.
+FEW = 3
+CELL = "struct<c:int,x:bigint>"
 
 
-def digests(text: Column) -> Column:
-    """Sorted distinct digests of a text's paragraphs; none for null and blank texts."""
+def seq(n: Column) -> Column:
+    """0 to n - 1."""
+    return F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
+
 
-    def of_line(line):
-        bare = F.btrim(line, F.lit(BLANK))
-        words = F.when(bare == "", F.array().cast("array<string>")).otherwise(F.split(bare, SPACE))
-        runs = lambda w: F.transform(F.when(F.size(w) > 0, F.sequence(F.lit(0), F.size(w) - 1, F.lit(RUN))).otherwise(F.array().cast("array<int>")), lambda i: F.xxhash64(F.slice(w, i + 1, RUN)))
-        return let(words, runs)
+def none(kind: str) -> Column:
+    return F.array().cast(f"array<{kind}>")
 
-    return F.array_sort(F.array_distinct(F.flatten(F.transform(F.split(F.coalesce(text, F.lit("")), "\n"), of_line))))
 
+def check(digest: Column) -> Column:
+    return F.shiftrightunsigned(F.xxhash64(digest, F.lit(7)), 48)
 
-def check(x: Column) -> Column:
-    return F.xxhash64(x, F.lit(7))
 
+def digests(text: Column) -> Column:
+    """Sorted distinct digests of a text's paragraphs, each above its check (56 bits); none for null and blank texts."""
+    runs = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PARAGRAPH), F.lit(0))
+    item = lambda d: F.shiftleft(d, 16).bitwiseOR(check(d))
+    return F.array_sort(F.array_distinct(F.transform(runs, lambda r: let(F.shiftrightunsigned(F.xxhash64(r), 24), item))))
 
-def place(x: Column, third: int, width: int) -> Column:
-    """Cell of a digest in a third of `width` cells."""
-    return F.pmod(F.shiftrightunsigned(x, 5 + 19 * third), F.lit(width)).cast("int")
 
+def cell(c: Column, x: Column) -> Column:
+    return F.struct(c.cast("int").alias("c"), x.alias("x"))
 
-def minus(plus: Column, less: Column, width: int) -> Column:
-    """Cells of the sketch of `plus` minus that of `less`, third by third."""
 
-    def cell(third, j):
-        def add(sign):
-            return lambda a, x: F.when(place(x, third, width) == j, F.struct((a["c"] + sign).alias("c"), a["k"].bitwiseXOR(x).alias("k"), a["s"].bitwiseXOR(check(x)).alias("s"))).otherwise(a)
+def places(x: Column) -> list[Column]:
+    """A digest's cell in each third: 4 bits of it each."""
+    return [F.shiftrightunsigned(x, 16 + 4 * t).bitwiseAND(F.lit(WIDTH - 1)).cast("int").alias(f"p{t}") for t in range(3)]
 
-        zero = F.struct(F.lit(0).alias("c"), F.lit(0).cast("bigint").alias("k"), F.lit(0).cast("bigint").alias("s"))
-        return F.aggregate(less, F.aggregate(plus, zero, add(1)), add(-1))
 
-    third = lambda t: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: cell(t, j))
+def thirds(rows: Column, one) -> Column:
+    """Cells of three thirds: one(third, j, rows that go to cell j of it). rows: structs with p0, p1 and p2."""
+    third = lambda t: F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda j: let(F.filter(rows, lambda r: r[f"p{t}"] == j), lambda mine: one(t, j, mine)))
     return F.concat(*(third(t) for t in range(3)))
 
 
-def peel(cells: Column, width: int) -> Column:
-    """struct(a, b, clear): digests only in the first and only in the second version, and whether nothing is left over."""
+def cells_of(items: Column) -> Column:
+    """Cells of a part's digests."""
+    one = lambda t, j, mine: cell(F.size(mine), F.aggregate(mine, F.lit(0).cast("bigint"), lambda k, r: k.bitwiseXOR(r["x"])))
+    return let(F.transform(items, lambda x: F.struct(x.alias("x"), *places(x))), lambda rows: thirds(rows, one))
+
+
+def bits_of(n: Column) -> Column:
+    """p for n digests: 2**p parts hold PART each at most on average."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(1)) / F.lit(PART))).cast("int"))
+
+
+def sketch(found: Column) -> Column:
+    """Parts (arrays of 3 * WIDTH cells) of sorted digests."""
+
+    def made(items):
+        n = F.size(items)
+
+        def below(bound):
+            """How many digests are below a bound, by bisection."""
+            def step(s, _):
+                mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+                return F.when(s["lo"] >= s["hi"], s).when(F.get(items, mid) < bound, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi")))
+
+            steps = seq(F.ceil(F.log2(n + 1)).cast("int") + 1)
+            return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), step, lambda s: s["lo"])
+
+        def part(p, i):
+            bound = lambda j: F.call_function("shiftleft", j.cast("bigint"), 56 - p)
+            return let(let(below(bound(i)), lambda lo: F.slice(items, lo + 1, below(bound(i + 1)) - lo)), cells_of)
+
+        return let(bits_of(n), lambda p: F.when(p == 0, F.array(cells_of(items))).otherwise(F.transform(seq(F.call_function("shiftleft", F.lit(1), p)), lambda i: part(p, i))))
+
+    return let(found, made)
+
+
+def add(a: Column, b: Column, sign: int = 1) -> Column:
+    return F.zip_with(a, b, lambda p, q: cell(p["c"] + q["c"] * sign, p["x"].bitwiseXOR(q["x"])))
+
+
+def fold(parts: Column, n: Column) -> Column:
+    """The sketch in n parts: neighbours summed."""
 
-    def pure(c):
-        return F.filter(c, lambda x: (F.abs(x["c"]) == 1) & (x["s"] == check(x["k"])))
+    def folded(r):
+        sums = lambda some: F.aggregate(F.slice(some, F.lit(2), F.size(some)), F.get(some, 0), lambda a, b: add(a, b))
+        return F.when(r == 1, parts).otherwise(F.transform(seq(n), lambda i: let(F.slice(parts, i * r + 1, r), sums)))
 
-    def round_(state, _):
-        found = F.array_distinct(pure(state["c"]))
+    return let((F.size(parts) / n).cast("int"), folded)
 
-        def drop(x, i):
-            def one(a, f):
-                here = F.lit(False)
-                for t in range(3):
-                    here = here | (i == place(f["k"], t, width) + t * width)
-                return F.when(here, F.struct((a["c"] - f["c"]).alias("c"), a["k"].bitwiseXOR(f["k"]).alias("k"), a["s"].bitwiseXOR(f["s"]).alias("s"))).otherwise(a)
 
-            return lambda f: F.aggregate(f, x, one)
+def peel(cells: Column) -> Column:
+    """struct(cells, a, b): what is left, and the digests peeled from the first (a) and from the second (b) of the two sketches whose difference it is."""
 
-        step = let(found, lambda f: F.struct(
-            F.transform(state["c"], lambda x, i: drop(x, i)(f)).alias("c"),
-            (state["a"] + F.size(F.filter(f, lambda x: x["c"] == 1))).alias("a"),
-            (state["b"] + F.size(F.filter(f, lambda x: x["c"] == -1))).alias("b"),
-        ))
-        return F.when(F.size(found) == 0, state).otherwise(step)
+    def ripe(cs):
+        return F.array_distinct(F.filter(cs, lambda v: (F.abs(v["c"]) == 1) & (check(F.shiftrightunsigned(v["x"], 16)) == v["x"].bitwiseAND(F.lit(65535)))))
 
-    start = F.struct(cells.alias("c"), F.lit(0).alias("a"), F.lit(0).alias("b"))
-    end = F.aggregate(F.sequence(F.lit(1), F.lit(3 * width)), start, round_)
-    clear = lambda s: F.size(F.filter(s["c"], lambda x: (x["c"] != 0) | (x["k"] != 0) | (x["s"] != 0))) == 0
-    return let(end, lambda s: F.when(clear(s), F.struct(s["a"].alias("a"), s["b"].alias("b"))))
+    def round_(s, _):
+        def step(found):
+            of = lambda c: F.transform(F.filter(found, lambda v: v["c"] == c), lambda v: v["x"])
+            taken = lambda t, j, mine: F.aggregate(mine, F.get(s["cells"], j + t * WIDTH), lambda u, f: cell(u["c"] - f["c"], u["x"].bitwiseXOR(f["x"])))
+            left = let(F.transform(found, lambda v: F.struct(v["c"].alias("c"), v["x"].alias("x"), *places(v["x"]))), lambda rows: thirds(rows, taken))
+            return F.struct(left.alias("cells"), F.concat(s["a"], of(1)).alias("a"), F.concat(s["b"], of(-1)).alias("b"), F.lit(True).alias("on"))
 
+        done = F.struct(s["cells"].alias("cells"), s["a"].alias("a"), s["b"].alias("b"), F.lit(False).alias("on"))
+        return F.when(s["on"], let(ripe(s["cells"]), lambda found: F.when(F.size(found) == 0, done).otherwise(step(found)))).otherwise(s)
 
-def differing(plus: Column, less: Column) -> Column:
-    """struct(a, b): how many digests only plus and only less have, by sketches of growing size; null sizes of a failed peel fall through to the next."""
-    attempt = lambda width: let(minus(plus, less, width), lambda c: peel(c, width))
-    tries = [attempt(THIRD * r) for r in RETRIES]
-    exact = F.struct(F.size(F.array_except(plus, less)).alias("a"), F.size(F.array_except(less, plus)).alias("b"))
-    return F.when(plus == less, F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))).otherwise(F.coalesce(*tries, exact))
+    start = F.struct(cells.alias("cells"), none("bigint").alias("a"), none("bigint").alias("b"), F.lit(True).alias("on"))
+    return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_, lambda s: F.struct(s["cells"].alias("cells"), s["a"].alias("a"), s["b"].alias("b")))
 
 
-def parts_of(plus: Column, less: Column) -> Column:
-    """Arrays of (digest, whether of plus) in the digests' order, cut by position; a cut between two equal digests moves on by one."""
-    tag = lambda col, mine: F.transform(col, lambda x: F.struct(x.alias("x"), F.lit(mine).alias("mine")))
+def held(part: Column) -> Column:
+    """Digests in a part."""
+    return F.aggregate(F.slice(part, 1, WIDTH), F.lit(0), lambda n, v: n + v["c"])
 
-    def cut_up(c):
-        n = F.size(c)
 
-        def start(i):
-            at = i * PART
-            return F.least(n, at + F.when((i > 0) & (F.get(c, at)["x"] == F.get(c, at - 1)["x"]), 1).otherwise(0))
+def left_over(cells: Column) -> Column:
+    """At least so many digests are in these cells: by thirds, a cell's count, or two that cancel out."""
+    third = lambda t: F.aggregate(F.slice(cells, t * WIDTH + 1, WIDTH), F.lit(0), lambda n, v: n + F.when((v["c"] == 0) & (v["x"] != 0), 2).otherwise(F.abs(v["c"])))
+    return F.greatest(*(third(t) for t in range(3)))
 
-        return F.transform(F.sequence(F.lit(0), F.greatest(F.lit(0), F.ceil(n / F.lit(PART)).cast("int") - 1)), lambda i: F.slice(c, start(i) + 1, start(i + 1) - start(i)))
 
-    return let(F.array_sort(F.concat(tag(plus, True), tag(less, False))), cut_up)
+def compare_parts(a: Column, b: Column) -> Column:
+    """struct(d, a, b, clear) of two parts: differing digests, those recovered of each side, and whether these are all."""
+    nothing = F.struct(F.lit(0).alias("d"), none("bigint").alias("a"), none("bigint").alias("b"), F.lit(True).alias("clear"))
 
+    def of(s):
+        def counted(left):
+            peeled = F.size(s["a"]) + F.size(s["b"])
+            return F.struct(F.when(left <= FEW, peeled + left).otherwise(held(a) + held(b)).alias("d"), s["a"].alias("a"), s["b"].alias("b"), (left == 0).alias("clear"))
 
-def difference(plus: Column, less: Column) -> Column:
-    """struct(a, b) of two versions' digests, summed over their parts."""
-    of = lambda part, mine: F.transform(F.filter(part, lambda e: e["mine"] == mine), lambda e: e["x"])
-    one = lambda part: let(of(part, True), lambda p: let(of(part, False), lambda q: differing(p, q)))
-    zero = F.struct(F.lit(0).alias("a"), F.lit(0).alias("b"))
-    add = lambda t, d: F.struct((t["a"] + d["a"]).alias("a"), (t["b"] + d["b"]).alias("b"))
-    return F.aggregate(F.transform(parts_of(plus, less), one), zero, add)
+        return let(left_over(s["cells"]), counted)
 
+    return F.when(a == b, nothing).otherwise(let(peel(add(a, b, -1)), of))
 
-def fingerprint(found: Column) -> Column:
-    """A text's small sketch as a string: digest count, then count, digest sum and check sum of each cell in hexadecimal. Equal texts have equal ones."""
-    empty = F.array().cast("array<bigint>")
-    cells = F.transform(minus(found, empty, PRINT_THIRD), lambda c: F.concat_ws(".", F.hex(c["c"].cast("bigint")), F.hex(c["k"]), F.hex(c["s"])))
-    return F.lower(F.concat_ws(":", F.hex(F.size(found).cast("bigint")), F.array_join(cells, ":")))
+
+def compare(x: Column, y: Column) -> Column:
+    """struct(likeness, only_x, only_y, clear) of two sketches (arrays of parts): shared digests over all, the recovered digests that only one has, and whether these are all there are. Two without digests are alike."""
+
+    def joined(each):
+        flat = lambda k: F.flatten(F.transform(each, lambda e: e[k]))
+        return F.struct(F.aggregate(each, F.lit(0), lambda n, e: n + e["d"]).alias("d"), flat("a").alias("a"), flat("b").alias("b"), F.forall(each, lambda e: e["clear"]).alias("clear"))
+
+    def done(total):
+        def ratio(r):
+            shared = (total - r["d"]) / F.lit(2.0)
+            return F.struct(F.when(total == 0, F.lit(1.0)).otherwise(shared / (total - shared)).alias("likeness"), r["a"].alias("only_x"), r["b"].alias("only_y"), r["clear"].alias("clear"))
+
+        return ratio
+
+    def at(n):
+        return let(F.zip_with(fold(x, n), fold(y, n), compare_parts), joined)
+
+    n = F.least(F.size(x), F.size(y))
+    total = F.aggregate(x, F.lit(0), lambda k, p: k + held(p)) + F.aggregate(y, F.lit(0), lambda k, p: k + held(p))
+    larger = lambda once: F.when(once["clear"] | (n == 1), once).otherwise(at(n))
+    return let(let(at(F.lit(1)), larger), lambda r: let(total, lambda t: done(t)(r)))
+
+
+def encode(parts: Column) -> Column:
+    """A sketch as a string: its cells, 8 bytes each, in base64."""
+    each = F.transform(F.flatten(parts), lambda v: F.lpad(F.hex(F.shiftleft(v["c"].cast("bigint").bitwiseAND(F.lit(255)), 56).bitwiseOR(v["x"])), 16, "0"))
+    return F.base64(F.unhex(F.array_join(each, "")))
+
+
+def decode(fingerprint: Column) -> Column:
+    """The sketch that a string holds."""
+
+    def parts(h):
+        def one(i):
+            c = F.conv(F.substring(h, i * 16 + 1, F.lit(2)), 16, 10).cast("int")
+            return cell(F.when(c > 127, c - 256).otherwise(c), F.conv(F.substring(h, i * 16 + 3, F.lit(14)), 16, 10).cast("bigint"))
+
+        per = 3 * WIDTH
+        return F.transform(seq((F.length(h) / (16 * per)).cast("int")), lambda p: F.transform(seq(F.lit(per)), lambda j: one(p * per + j)))
+
+    return let(F.hex(F.unbase64(fingerprint)), parts)
+
+
+def likeness(x: Column, y: Column) -> Column:
+    """Likeness of two fingerprints (strings), from 0 to 1."""
+    return let(decode(x), lambda p: let(decode(y), lambda q: compare(p, q)["likeness"]))
 
 
 def successors(docs: DataFrame, key: str) -> DataFrame:
@@ -144,10 +221,10 @@ def successors(docs: DataFrame, key: str) -> DataFrame:
     return ranged.withColumn("_in", inside).join(F.broadcast(firsts), "_r").select(key, F.coalesce("_in", "_after").alias("next_key"))
 
 
-def compare(docs: DataFrame) -> DataFrame:
+def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of docs (doc_id, text; doc_id unique).
 
-    The edited text ends in the next document's beginning: the last floor(n_chars/4) code points are replaced by the first as many (or all) of the next. Null texts are empty. Likeness is shared digests over all digests of both (1 for two without any). A row with a null doc_id has no next: its edited text loses its end. Rows that repeat a doc_id: each is compared, next is the least text of the next id.
+    The edited text ends in the next document's beginning: the last floor(n_chars/4) code points are replaced by the first as many (or all) of the next. Null texts are empty. near_edited and near_next are likenesses of the returned fingerprints: shared digests over all digests of both (1 for two without any), exact where the sketches peel. A row with a null doc_id has no next: its edited text loses its end, and its next is the empty text. Rows that repeat a doc_id: each is compared, next is the least text of the next id. No rows: no rows.
     """
     # both joins read one exchange of (k, text); a filter on nulls or one more column would make two of it. The least long stands for null
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
@@ -155,18 +232,12 @@ def compare(docs: DataFrame) -> DataFrame:
     sizes = slim.groupBy("doc_id").agg(F.max(F.length("text")).alias("_n"))
     key = lambda c, name: F.coalesce(c, F.lit(-(2**63))).alias(name)
     wanted = after.join(sizes, "doc_id").select(key("next_key", "k"), key("doc_id", "_of"), (F.col("_n") / 4).cast("int").alias("_q"))
-    by_id = slim.select("k", "text").repartition("k")
-    heads = by_id.join(wanted.hint("shuffle_merge"), "k").groupBy(F.col("_of").alias("k")).agg(F.min(F.struct(F.substring("text", F.lit(1), F.col("_q")).alias("head"), digests(F.col("text")).alias("after"))).alias("_next"))
+    by_id = slim.select("k", "text", digests(F.col("text")).alias("own")).repartition("k")
+    heads = by_id.join(wanted.hint("shuffle_merge"), "k").groupBy(F.col("_of").alias("k")).agg(F.min(F.struct(F.substring("text", F.lit(1), F.col("_q")).alias("head"), F.col("own").alias("after"))).alias("_next"))
     q = (F.length("text") / 4).cast("int")
     both = by_id.join(heads.hint("shuffle_merge"), "k", "left").select(
-        F.nullif("k", F.lit(-(2**63))).alias("doc_id"), F.length("text").cast("long").alias("n_chars"), F.col("text"),
-        F.concat(F.substring("text", F.lit(1), F.length("text") - q), F.substring(F.coalesce("_next.head", F.lit("")), F.lit(1), q)).alias("edited"), F.coalesce("_next.after", F.array().cast("array<bigint>")).alias("after"),
+        F.nullif("k", F.lit(-(2**63))).alias("doc_id"), F.length("text").cast("long").alias("n_chars"), "own",
+        F.concat(F.substring("text", F.lit(1), F.length("text") - q), F.substring(F.coalesce("_next.head", F.lit("")), F.lit(1), q)).alias("edited"), F.coalesce("_next.after", none("bigint")).alias("after"),
     )
-    made = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), digests(F.col("text")).alias("own"), digests(F.col("edited")).alias("edit"), "after")
-    out = made.select("*", difference(F.col("own"), F.col("edit")).alias("_d0"), difference(F.col("own"), F.col("after")).alias("_d1"))
-
-    def likeness(d):
-        every = F.size("own") + F.col(f"{d}.b")
-        return F.when(every == 0, F.lit(1.0)).otherwise((F.size("own") - F.col(f"{d}.a")) / every)
-
-    return out.select("doc_id", "n_chars", "edited_sha256", fingerprint(F.col("own")).alias("fingerprint"), fingerprint(F.col("edit")).alias("edited_fingerprint"), likeness("_d0").alias("near_edited"), likeness("_d1").alias("near_next"))
+    made = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), sketch(F.col("own")).alias("own"), sketch(digests(F.col("edited"))).alias("edit"), sketch(F.col("after")).alias("after"))
+    return made.select("doc_id", "n_chars", "edited_sha256", encode(F.col("own")).alias("fingerprint"), encode(F.col("edit")).alias("edited_fingerprint"), compare(F.col("own"), F.col("edit"))["likeness"].alias("near_edited"), compare(F.col("own"), F.col("after"))["likeness"].alias("near_next"))
