@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import arrow_rows, cut, slices, strings
+from .blocks import arrow_rows, cut, slices, small, strings
 from .components import components
 
 DISTANCE = 4
@@ -204,7 +204,7 @@ def links(prints: DataFrame, distance: int = DISTANCE, hot: int = HOT) -> DataFr
     if not 0 <= distance <= DISTANCE:
         raise ValueError("keys cover distances up to 4")
     keys = prints.select("print").distinct().mapInArrow(emit_keys, "key long, side byte, print long")
-    many = keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot)
+    many = small(keys.groupBy("key").agg(F.count("*").alias("m")).where(F.col("m") > hot))
     chunks = F.ceil(F.col("m") / F.lit(hot)).cast("int")
     mine = F.pmod(F.xxhash64("print"), chunks).cast("int")
     dealt = keys.join(many, "key", "left").withColumn("mine", F.when(F.col("m").isNull(), F.lit(0)).otherwise(mine))

@@ -1,13 +1,16 @@
-"""Near copies by exact similarity of word shingles.
+"""Near copies of texts: Golay-keyed SimHash fingerprints first, then an exact join on word shingles for what they miss.
 
-A text is the set of its distinct SHINGLE-word shingles (64-bit hashes); near copies have a Jaccard similarity of 0.8 or
-more. Candidates come from prefixes: in one order of all shingles, two sets this similar share one of the first
-n - ceil(0.8 n) + 1 of each, so no such pair is missed. The order puts shingles that a sample of the corpus holds often
-last; any order finds the same pairs. At their first shared shingle enough of both sets must follow, else the pair is
-passed over. Candidates are compared by their whole sets.
+Near copies are texts whose sets of distinct SHINGLE-word shingles have a Jaccard similarity of 0.8 or more. At 0.8 some
+10 of a fingerprint's 64 bits differ, more than the Golay keys of `simhash` reach (4), so the fingerprints of five-word
+shingles join the closest copies, and large groups of them, without pairs; a prefix join over shingles finds the rest:
+in one order of all shingles, two sets this similar share one of the first n - ceil(0.8 n) + 1 of each, so no such pair
+is missed. The order puts shingles that a sample of the corpus holds twice late; any order finds the same pairs.
 
-Equal sets are merged first. Of each shingle, members are compared with the least one; only members that are still
-in different components after that are compared in pairs, so a large group of near copies isn't squared.
+Every link is verified by whole sets. Before that, pairs that can't reach 0.8 are put out by bounds: what may follow
+their first shared shingle, and how many of their shingles fall in the same ranges of the hash space.
+
+Equal sets are merged first. Of each shingle a member is compared with the least one of another component, once a set;
+only members that are in different components after that are compared in pairs, so that no group is squared.
 """
 
 from __future__ import annotations
@@ -17,18 +20,22 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import arrow_rows, cut, slices, strings
+from . import simhash
+from .blocks import arrow_rows, cut, fresh, slices, small, strings
 from .components import components
 
 SHINGLE = 5
 SEED = 42
-#: Texts that the order of shingles is sampled from, about, and how often one of them has to hold a shingle there to be late in it.
+#: Texts that the order of shingles is sampled from, about, and how many of them have to hold a shingle for it to be late.
 SAMPLE = 20_000
-OFTEN = 8
+OFTEN = 2
+#: Shingles in a range of the hash space, about.
+PER_RANGE = 6
+NO_ID = -(2**63)
 
 
-def sets_of(batch):
-    """Sorted distinct shingle hashes of each text; a text of fewer words is one shingle, one without words has none."""
+def shingles(batch):
+    """Hashes of each text's shingles, repeats included; a text of fewer words is one shingle, one without words has none."""
     import xxhash
 
     data, off = strings(batch.column("text"))
@@ -36,25 +43,65 @@ def sets_of(batch):
     for i in range(len(off) - 1):
         words = raw[off[i] : off[i + 1]].lower().split()
         lines = [b" ".join(words[j : j + SHINGLE]) for j in range(max(1, len(words) - SHINGLE + 1))] if words else []
-        grams = np.unique(np.array([xxhash.xxh64_intdigest(x, SEED) for x in lines], np.uint64))
-        yield (xxhash.xxh64_intdigest(grams.tobytes(), SEED) if len(grams) else 0), grams
+        yield np.array([xxhash.xxh64_intdigest(x, SEED) for x in lines], np.uint64)
+
+
+def set_hash(grams: np.ndarray) -> int:
+    import xxhash
+
+    return xxhash.xxh64_intdigest(grams.tobytes(), SEED) if len(grams) else 0
+
+
+def fingerprint(hashes: np.ndarray) -> int:
+    """A bit is 1 if it is set in over half the hashes."""
+    if not len(hashes):
+        return 0
+    ones = sum(np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(0, dtype=np.int64) for some in np.array_split(hashes, len(hashes) // 100_000 + 1))
+    return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
+
+
+def ranges(grams: np.ndarray) -> np.ndarray:
+    """How many of a set's shingles fall in each of 2**r equal ranges of the hash space."""
+    r = max(0, (len(grams) // PER_RANGE).bit_length() - 1)
+    return np.bincount((grams >> np.uint64(64 - r)).astype(np.int64) if r else np.zeros(len(grams), np.int64), minlength=1 << r).astype(np.uint16)
+
+
+def most_shared(a: np.ndarray, b: np.ndarray) -> int:
+    """No two sets with these ranges share more shingles than that."""
+    if len(a) > len(b):
+        a, b = b, a
+    return int(np.minimum(a, b.reshape(len(a), -1).sum(1, dtype=np.int64)).sum())
 
 
-def sets(docs: DataFrame, whole: bool) -> DataFrame:
-    """doc_id, s (hash of the set; 0 without words) and, if whole, its grams."""
+def describe(docs: DataFrame) -> DataFrame:
+    """h (hash of the text), s (hash of its set; 0 without words), print (its fingerprint), ranges of each text of docs (h, text)."""
 
     def run(batches):
         for batch in slices(batches):
-            s, grams = zip(*sets_of(batch), strict=True)
-            cols = [batch.column("doc_id"), pa.array(np.array(s, np.uint64).view(np.int64))]
-            if whole:
-                cols.append(pa.array([g.view(np.int64) for g in grams], pa.list_(pa.int64())))
-            yield pa.RecordBatch.from_arrays(cols, ["doc_id", "s", "grams"][: len(cols)])
+            s, prints, parts = [], [], []
+            for hashes in shingles(batch):
+                grams = np.unique(hashes)
+                s.append(set_hash(grams))
+                prints.append(fingerprint(hashes))
+                parts.append(ranges(grams).tobytes())
+            cols = [batch.column("doc"), batch.column("h"), *(pa.array(np.array(x, np.uint64).view(np.int64)) for x in (s, prints)), pa.array(parts, pa.binary())]
+            yield pa.RecordBatch.from_arrays(cols, ["doc", "h", "s", "print", "ranges"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, s long" + ", grams array<long>" * whole)
+    return docs.mapInArrow(run, "doc long, h long, s long, print long, ranges binary")
 
 
-def prefixes(docs: DataFrame, late) -> DataFrame:
+def sets(texts: DataFrame) -> DataFrame:
+    """s and grams of each text (column text)."""
+
+    def run(batches):
+        for batch in slices(batches):
+            grams = [np.unique(x) for x in shingles(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(np.array([set_hash(g) for g in grams], np.uint64).view(np.int64)), pa.array([g.view(np.int64) for g in grams], pa.list_(pa.int64()))], ["s", "grams"])
+
+    return texts.select("text").mapInArrow(run, "s long, grams array<long>")
+
+
+def prefixes(texts: DataFrame, late) -> DataFrame:
     """gram, s, n (size of the set), at (place in the order) of each set's prefix; a task sends a set once."""
 
     def run(batches):
@@ -62,8 +109,9 @@ def prefixes(docs: DataFrame, late) -> DataFrame:
         seen = set()
         for batch in slices(batches):
             out = [[], [], [], []]
-            for s, grams in sets_of(batch):
-                n = len(grams)
+            for hashes in shingles(batch):
+                grams = np.unique(hashes)
+                n, s = len(grams), set_hash(grams)
                 if not n or s in seen:
                     continue
                 seen.add(s)
@@ -77,53 +125,83 @@ def prefixes(docs: DataFrame, late) -> DataFrame:
             if out[0]:
                 yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in out], ["gram", "s", "n", "at"])
 
-    return docs.select("text").mapInArrow(run, "gram long, s long, n long, at long")
+    return texts.select("text").mapInArrow(run, "gram long, s long, n long, at long")
 
 
 def order(docs: DataFrame):
-    """Broadcasts the shingles that a sample of the texts holds OFTEN or more, sorted, with how many texts hold each."""
+    """Broadcasts the shingles that OFTEN or more of a sample of the texts hold, sorted, with how many hold each."""
     rate = max(1, docs.count() // SAMPLE)
-    some = docs.where(F.pmod(F.xxhash64("text"), F.lit(rate)) == 0).select(F.lit(None).cast("long").alias("doc_id"), "text").dropDuplicates(["text"])
-    rows = sets(some, True).select(F.explode("grams").alias("g")).groupBy("g").count().where(F.col("count") >= OFTEN).toPandas()
+    some = docs.where(F.pmod("h", F.lit(rate)) == 0).select("text").dropDuplicates(["text"])
+    rows = sets(some).select(F.explode("grams").alias("g")).groupBy("g").count().where(F.col("count") >= OFTEN).toPandas()
     grams, often = rows["g"].to_numpy(np.int64).view(np.uint64), rows["count"].to_numpy(np.int64)
     by = np.argsort(grams)
     return docs.sparkSession.sparkContext.broadcast((grams[by], often[by]))
 
 
-def similar(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) of set hashes whose sets have a Jaccard similarity of at least 0.8."""
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("s")).distinct()
-    held = sets(docs, True).join(wanted, "s", "left_semi").dropDuplicates(["s"]).select("s", "grams")
-    both = pairs.join(held.toDF("a", "x"), "a").join(held.toDF("b", "y"), "b")
-    both = both.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("c"))
-    return both.where("5 * c >= 4 * (n + m - c)").select("a", "b")
+def able(batches):
+    """Pairs whose ranges allow a similarity of 0.8."""
+    for batch in batches:
+        a, b = ([np.frombuffer(x, np.uint16) for x in batch.column(c).to_pylist()] for c in ("ra", "rb"))
+        keep = pa.array([9 * most_shared(x, y) >= 4 * (int(x.sum()) + int(y.sum())) for x, y in zip(a, b, strict=True)], pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
-def links(docs: DataFrame) -> DataFrame:
-    """Edges (a, b) between set hashes that connect all sets with a similarity of at least 0.8."""
+def similar(pairs: DataFrame, docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Those of pairs (a, b) of set hashes whose sets have a Jaccard similarity of at least 0.8. rows: what describe says of docs."""
+    held = rows.select("s", "ranges").dropDuplicates(["s"])
+    both = pairs.join(held.toDF("a", "ra"), "a").join(held.toDF("b", "rb"), "b")
+    left = cut(both.select("a", "b", "ra", "rb").mapInArrow(able, "a long, b long"))
+    wanted = left.select(F.explode(F.array("a", "b")).alias("s")).distinct()
+    one = small(rows.join(wanted, "s", "left_semi").groupBy("s").agg(F.min("h").alias("h")).select("h"))
+    grams = sets(docs.join(one, "h", "left_semi").dropDuplicates(["h"])).dropDuplicates(["s"])
+    full = left.join(grams.toDF("a", "x"), "a").join(grams.toDF("b", "y"), "b")
+    full = full.select("a", "b", F.size("x").alias("n"), F.size("y").alias("m"), F.size(F.array_intersect("x", "y")).alias("c"))
+    return cut(full.where("5 * c >= 4 * (n + m - c)").select("a", "b"))
+
+
+def close(rows: DataFrame) -> DataFrame:
+    """Pairs (a, b) of sets with fingerprints within simhash.DISTANCE bits: each set and the least one of its fingerprint, and the least ones of linked fingerprints."""
+    named = rows.where("s <> 0").groupBy("print").agg(F.min("s").alias("least"))
+    same = rows.where("s <> 0").select("s", "print").distinct().join(named, "print").where("s <> least").select(F.col("least").alias("a"), F.col("s").alias("b"))
+    found = simhash.links(named).toDF("p", "q")
+    linked = found.join(named.toDF("p", "a"), "p").join(named.toDF("q", "b"), "q").select("a", "b")
+    return same.unionByName(linked)
+
+
+def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """Edges (a, b) between set hashes that connect all sets with a similarity of at least 0.8. docs: h, text; rows: what describe says of them."""
+    edges = similar(close(rows), docs, rows)
     by = Window.partitionBy("gram")
-    found = prefixes(docs, order(docs)).withColumns({"first": F.min(F.struct("s", "n", "at")).over(by), "most": F.max("s").over(by)})
-    shared = cut(found.where("first.s <> most").select("gram", "s", "n", "at", "first").dropDuplicates(["gram", "s"]))
-    able = "5 * least({0}.n, {1}.n) >= 4 * greatest({0}.n, {1}.n) AND 9 * least({0}.n - {0}.at, {1}.n - {1}.at) >= 4 * ({0}.n + {1}.n)"
-    star = shared.alias("x").where("x.s <> first.s AND " + able.format("x", "first")).select(F.col("first.s").alias("a"), F.col("s").alias("b")).distinct()
-    edges = cut(similar(star, docs))
-    roots = components(edges)
-    member = shared.join(roots, F.col("s") == F.col("node"), "left").select("gram", "s", "n", "at", F.coalesce("root", "s").alias("root"))
-    # keys whose members are all in one component have nothing to compare
-    apart = F.min("root").over(by) != F.max("root").over(by)
-    member = member.withColumn("apart", apart).where("apart").drop("apart")
+    found = prefixes(docs, order(docs)).repartition("gram").dropDuplicates(["gram", "s"]).withColumns({"least": F.min("s").over(by), "most": F.max("s").over(by)})
+    shared = cut(found.where("least <> most").select("gram", "s", "n", "at"))
+    may = "5 * least({0}.n, {1}.n) >= 4 * greatest({0}.n, {1}.n) AND 9 * least({0}.n - {0}.at, {1}.n - {1}.at) >= 4 * ({0}.n + {1}.n)"
+
+    def apart():
+        """Members with their components, of shingles whose members are in several."""
+        member = shared.join(components(edges), F.col("s") == F.col("node"), "left").select("gram", "s", "n", "at", F.coalesce("root", "s").alias("root"))
+        return member.withColumn("several", F.min("root").over(by) != F.max("root").over(by)).where("several").drop("several")
+
+    first = apart().withColumn("first", F.min(F.struct("root", "s", "n", "at")).over(by)).alias("x")
+    star = first.where("x.root <> first.root AND " + may.format("x", "first")).groupBy(F.col("s").alias("b")).agg(F.min("first.s").alias("a"))
+    edges = edges.unionByName(similar(star.select("a", "b"), docs, rows))
+    member = cut(apart())
     x, y = member.alias("x"), member.alias("y")
-    near = F.expr("x.gram = y.gram AND x.s < y.s AND x.root <> y.root AND " + able.format("x", "y"))
-    pairs = x.join(y, near).select(F.col("x.s").alias("a"), F.col("y.s").alias("b")).distinct()
-    return edges.unionByName(cut(similar(pairs, docs)))
+    pairs = x.join(y, F.expr("x.gram = y.gram AND x.s < y.s AND x.root <> y.root AND " + may.format("x", "y"))).select(F.col("x.s").alias("a"), F.col("y.s").alias("b")).distinct()
+    return edges.unionByName(similar(pairs, docs, rows))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One row's doc_id, the least, of each group that links of at least 0.8 connect, with its rows. Texts without words are one group. Rows with a null doc_id stay; rows that repeat a kept doc_id stay too."""
+    """The first row, by (doc_id, hash of the text), of each group that links of at least 0.8 connect.
+
+    Null, empty and blank texts have no words and are one group. A null doc_id is the least. Rows equal in doc_id and text stand or go together. No rows: no rows.
+    """
+    doc, h = fresh(docs, "doc"), fresh(docs, "h")
+    keys = {doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), h: F.xxhash64(F.coalesce("text", F.lit("")))}
+    slim = docs.select(keys[doc].alias("doc"), keys[h].alias("h"), F.coalesce("text", F.lit("")).alias("text"))
     with arrow_rows(docs.sparkSession, 1000):
-        rows = cut(sets(docs, False))
-        roots = components(links(docs))
-    rooted = rows.join(roots, F.col("s") == F.col("node"), "left").select("doc_id", F.coalesce("root", "s").alias("root"))
-    kept = rooted.groupBy("root").agg(F.min("doc_id").alias("least"))
-    drop = rooted.join(kept, "root").where("doc_id <> least").select("doc_id").distinct()
-    return docs.join(drop, "doc_id", "left_anti")
+        rows = cut(describe(slim))
+        roots = components(links(slim.select("h", "text"), rows))
+    rooted = rows.join(roots, F.col("s") == F.col("node"), "left").select("doc", "h", F.coalesce("root", "s").alias("root"))
+    kept = rooted.groupBy("root").agg(F.min(F.struct("doc", "h")).alias("kept"))
+    drop = rooted.join(kept, "root").where("doc <> kept.doc OR h <> kept.h").select(F.col("doc").alias(doc), F.col("h").alias(h)).distinct()
+    return docs.withColumns(keys).join(drop, [doc, h], "left_anti").select(*docs.columns)
