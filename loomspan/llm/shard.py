@@ -45,9 +45,10 @@ def assign(df: DataFrame, key: str, weights: list[float], grown_weight: float |
 def number(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     """df with slot: rows of a shard numbered from 0 without gaps.
 
-    A shard's rows are numbered in PARTS parts by the key's hash, each shifted by the rows of the parts before it, so no task needs a whole shard. Rows that tie on key and order are interchangeable.
+    A shard's rows are numbered in PARTS parts by the first two hexadecimal digits of the key's md5, each shifted by the rows of the parts before it, so no task needs a whole shard. Rows that tie on key and order are interchangeable.
     """
-    wide = df.withColumn("_part", F.pmod(F.xxhash64(F.col(key)), F.lit(PARTS)).cast("int"))
+    hexes = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 2)
+    wide = df.withColumn("_part", F.conv(hexes, 16, 10).cast("int"))
     counts = wide.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
     before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     shift = counts.select("shard", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
@@ -61,3 +62,14 @@ def shard_documents(docs: DataFrame, weights: list[float], grown_weight: float =
     placed = number(assign(slim, "doc_id", weights, grown_weight), "doc_id", ["text_crc32", "size"])
     return placed.select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
 
+
+
+def oracle(n: int) -> str:
+    """SQL of shard_documents over `documents` with n equal weights and one more; crc32 goes byte by byte through its table of remainders."""
+    return f"""WITH RECURSIVE bits AS (SELECT i AS k, i AS c, 0 AS n FROM range(256) t(i) UNION ALL SELECT k, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, n + 1 FROM bits WHERE n < 8),
+tab AS (SELECT list(c ORDER BY k) AS t FROM bits WHERE n = 8),
+d AS (SELECT doc_id, coalesce(doc_id::VARCHAR, '') AS id, octet_length(encode(coalesce(text, ''))) + 16 AS size,
+  xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(regexp_extract_all(hex(encode(coalesce(text, ''))), '..'), lambda h: ('0x' || h)::BIGINT)), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295::BIGINT) AS text_crc32 FROM documents, tab),
+s AS (SELECT *, list_transform(range({n + 1}), lambda s: -1.0 / ln((('0x' || substr(md5(id || ':' || s), 1, 15))::BIGINT::DOUBLE + 0.5) / 1152921504606846976.0)) AS w FROM d),
+a AS (SELECT *, (list_position(w[1:{n}], list_max(w[1:{n}])) - 1)::INT AS shard, (list_position(w, list_max(w)) - 1)::INT AS grown_shard FROM s)
+SELECT doc_id, size::BIGINT AS size, text_crc32, 'key' AS law, shard, (row_number() OVER (PARTITION BY shard ORDER BY substr(md5(id), 1, 2), doc_id NULLS FIRST, text_crc32, size) - 1)::BIGINT AS slot, grown_shard FROM a"""
