@@ -57,4 +57,4 @@ def op10_bloom_sketch(spark, sf_dir):
 
 
 QUERIES = {f.__name__: f for f in (op1_ctw_score, op2_golay_simhash, op3_anchor_pii, op4_best_fit, op5_rendezvous, op6_host_rules, op7_warc_index, op8_segment_bpe, op9_bwt_repeats, op10_bloom_sketch)}
-SQL = {"op6_host_rules": quality.ORACLE}
+SQL = {"op5_rendezvous": shard.oracle(SHARDS), "op6_host_rules": quality.ORACLE, "op7_warc_index": warc.ORACLE}

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .blocks import cut, shared_dir
+from .blocks import cut, shared_dir, small
 
 BLOCK = 512
 LEVEL = 1
@@ -102,7 +102,7 @@ def write(pages: DataFrame, least_bytes: int = 0, folder: str | None = None) ->
     spark = pages.sparkSession
     folder = folder or shared_dir(spark)
     slim = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", F.coalesce("html", F.lit("")).alias("html"))
-    marked = slim.withColumn("_sha", F.sha1(F.col("html").cast("binary"))).join(verdicts(slim, least_bytes), "_sha", "left")
+    marked = slim.withColumn("_sha", F.sha1(F.col("html").cast("binary"))).join(small(verdicts(slim, least_bytes)), "_sha", "left")
     refers = F.when(~F.col("page_id").eqNullSafe(F.col("_first")), F.col("_first"))
 
     def archive(batches):
@@ -174,15 +174,75 @@ def read_block(system, path: str, at: int, size: int) -> list[list]:
         return [json.loads(x) for x in zlib.decompress(f.read_at(size, at)).split(b"\n")]
 
 
-def read_all(spark: SparkSession, folder: str, directory: DataFrame) -> DataFrame:
-    """Reads every record through the index: page_id, payload_bytes, payload_digest, record_type, refers_to, payload (a revisit has none of its own)."""
+def segmented(directory: DataFrame) -> tuple[DataFrame, list[str]]:
+    """The directory in segments of ascending first keys, equal keys together, and where each starts. A segment also has the last block of the one before, which may hold captures of its first key. Segments are as many as the session's partitions."""
+    parts = cut(directory.repartitionByRange("first_key").withColumn("segment", F.spark_partition_id()))
+    ends = parts.groupBy("segment").agg(F.min("first_key").alias("start"), F.max(F.struct("first_key", "index", "at", "size")).alias("last")).orderBy("segment").collect()
+    after = [(i + 1, *ends[i].last) for i in range(len(ends) - 1)]
+    number = F.create_map(*(F.lit(x) for i, r in enumerate(ends) for x in (r.segment, i))) if ends else F.lit(None).cast("map<int,int>")
+    own = parts.select(number[F.col("segment")].alias("segment"), "first_key", "index", "at", "size")
+    schema = "segment int, first_key string, index string, at long, size long"
+    return own.unionByName(directory.sparkSession.createDataFrame(after, schema)), [r.start for r in ends]
 
-    def entries(batches):
+
+def find(spark: SparkSession, folder: str, directory: DataFrame, urls: DataFrame) -> DataFrame:
+    """file, at, size of every capture of urls (column url, repeats count once): a bisection of a segment of the directory gives the blocks that may hold a key, a bisection of each block its captures. Blocks are read once for all their keys, and those of one key by many tasks."""
+
+    def keys(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([url_key(u) for u in batch.column("url").to_pylist()], pa.string())], ["key"])
+
+    blocks, starts = segmented(directory)
+
+    def segment_of(batches):
+        for batch in batches:
+            at = [max(0, bisect.bisect_right(starts, k) - 1) for k in batch.column("key").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("key"), pa.array(at, pa.int32())], ["key", "segment"])
+
+    def search(batches):
+        """Rows by segment: its blocks in order, then the keys."""
+        last, first, held = None, [], []
+        for batch in batches:
+            out = []
+            for seg, key, *block in zip(*(batch.column(x).to_pylist() for x in ("segment", "key", "first_key", "index", "at", "size")), strict=True):
+                if seg != last:
+                    last, first, held = seg, [], []
+                if key is None:
+                    first.append(block[0])
+                    held.append(block[1:])
+                    continue
+                i = max(0, bisect.bisect_left(first, key) - 1)
+                while i < len(first) and first[i] <= key:
+                    out.append((*held[i], key))
+                    i += 1
+            cols = list(zip(*out, strict=True)) or [()] * 4
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], ["index", "at", "size", "key"])
+
+    def captures(batches):
+        """Rows by block: the keys that it may hold."""
         system, root = store(folder)
+        last, rows = None, []
         for batch in batches:
-            for i, a, n in zip(*(batch.column(x).to_pylist() for x in ("index", "at", "size")), strict=True):
-                _, file, at, size = zip(*read_block(system, f"{root}/{i}", a, n), strict=True)
-                yield pa.RecordBatch.from_arrays([pa.array(file, pa.string()), pa.array(at, pa.int64()), pa.array(size, pa.int64())], ["file", "at", "size"])
+            out = []
+            for *block, key in zip(*(batch.column(x).to_pylist() for x in ("index", "at", "size", "key")), strict=True):
+                if block != last:
+                    last, rows = block, read_block(system, f"{root}/{block[0]}", *block[1:])
+                j = bisect.bisect_left(rows, [key])
+                while j < len(rows) and rows[j][0] == key:
+                    out.append(rows[j][1:])
+                    j += 1
+            cols = list(zip(*out, strict=True)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(cols, (pa.string(), pa.int64(), pa.int64()), strict=True)], ["file", "at", "size"])
+
+    wanted = urls.select("url").distinct().mapInArrow(keys, "key string").distinct().mapInArrow(segment_of, "key string, segment int")
+    both = blocks.select("segment", F.lit(None).cast("string").alias("key"), "first_key", "index", "at", "size").unionByName(wanted.select("segment", "key"), allowMissingColumns=True)
+    order = ["segment", F.col("key").asc_nulls_first(), "first_key", "index", "at"]
+    found = both.repartition("segment").sortWithinPartitions(*order).mapInArrow(search, "index string, at long, size long, key string")
+    return found.repartition("index", "at").sortWithinPartitions("index", "at", "key").mapInArrow(captures, "file string, at long, size long")
+
+
+def read(spark: SparkSession, folder: str, directory: DataFrame, urls: DataFrame) -> DataFrame:
+    """Every record of urls (column url): page_id, payload_bytes, payload_digest, record_type, refers_to, payload (a revisit has none of its own). URLs that were not captured have no row."""
 
     def records(batches):
         system, root = store(folder)
@@ -207,34 +267,19 @@ def read_all(spark: SparkSession, folder: str, directory: DataFrame) -> DataFram
     # records of a file are read in its order, in stretches of 16 MB; entries are small, so tasks are counted by what they point to
     stretch = (F.col("at") / STRETCH).cast("long")
     tasks = max(1, -(-(directory.agg(F.sum("record_bytes")).first()[0] or 0) // STRETCH))
-    places = directory.mapInArrow(entries, "file string, at long, size long").repartition(tasks, "file", stretch).sortWithinPartitions("file", "at")
+    places = find(spark, folder, directory, urls).repartition(tasks, "file", stretch).sortWithinPartitions("file", "at")
     return places.mapInArrow(records, "page_id long, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary")
 
 
-class Archive:
-    """Lookups by URL through the two levels. The directory (a row for BLOCK captures) is held in memory, so use it where that fits."""
-
-    def __init__(self, folder: str, directory: DataFrame):
-        self.system, self.root = store(folder)
-        self.blocks = sorted((r.first_key, r["index"], r["at"], r["size"]) for r in directory.toLocalIterator())
-        self.keys = [b[0] for b in self.blocks]
-
-    def lookup(self, url: str | None) -> list[dict]:
-        """Records of every capture of a URL; none: an empty list."""
-        key, out = url_key(url), []
-        i = max(0, bisect.bisect_left(self.keys, key) - 1)
-        while i < len(self.blocks) and self.keys[i] <= key:
-            rows = read_block(self.system, f"{self.root}/{self.blocks[i][1]}", *self.blocks[i][2:])
-            j = bisect.bisect_left(rows, [key])
-            while j < len(rows) and rows[j][0] == key:
-                with self.system.open_input_file(f"{self.root}/{rows[j][1]}") as f:
-                    out.append(parse(f.read_at(rows[j][3], rows[j][2])))
-                j += 1
-            i += 1
-        return out
-
-
 def round_trip(pages: DataFrame, least_bytes: int = 0) -> DataFrame:
-    """The op7 query: writes, then reads back."""
+    """The op7 query: writes a record for every row of pages (page_id, url, html), then looks all their URLs up. Null html is an empty payload, a null or broken URL a key of its own text; repeated rows are records of their own. No rows: no rows."""
     folder, directory = write(pages, least_bytes)
-    return read_all(pages.sparkSession, folder, directory).drop("payload")
+    return read(pages.sparkSession, folder, directory, pages).drop("payload")
+
+
+#: SQL of round_trip over `pages`. Base 32 goes by five hexadecimal digits, four characters, at a time.
+ORACLE = """WITH p AS (SELECT page_id, encode(coalesce(html, '')) AS raw FROM pages),
+q AS (SELECT *, sha1(raw) AS hex, max(page_id) OVER (PARTITION BY raw) AS last FROM p)
+SELECT page_id, octet_length(raw)::BIGINT AS payload_bytes,
+  list_aggregate(list_transform(range(32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, (5 * (i // 4) + 1)::INT, 5))::BIGINT >> (15 - 5 * (i % 4))) & 31) + 1)::INT, 1)), 'string_agg', '') AS payload_digest,
+  CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type, CASE WHEN page_id <> last THEN last END AS refers_to FROM q"""

@@ -312,10 +312,24 @@ def test_pack(docs, texts):
         assert spans[-1][1] <= 2048 and all(a[1] <= b[0] for a, b in zip(spans, spans[1:], strict=False))
         named = [source[r.doc_id] for r in members if source[r.doc_id]]
         assert len(named) == len(set(named))
-        clusters = [" ".join(texts[r.doc_id].lower().split()) for r in members]
+        clusters = [c for r in members if (c := " ".join(texts[r.doc_id].lower().split()))]
         assert len(clusters) == len(set(clusters))
 
 
+def test_pack_fills(spark):
+    """Bins of whole documents of many sources are filled, and rows without an id, or of one, don't make one large group."""
+    rng = random.Random(10)
+    rows = [(i if i % 3 else None, "x" * rng.randint(0, 3000), f"s{rng.randrange(400)}") for i in range(3000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    out = packing.pack(df, group_bins=64)
+    f = packing.fill(out).first()
+    assert f.bytes == sum(len(r[1]) for r in rows) and f.filled > 0.95 and f.fewest <= f.bins
+    sizes = Counter(r.bin.rpartition("-")[0] for r in out.collect())
+    assert max(sizes.values()) < 3 * len(rows) / len(sizes)
+    blank = packing.pack(spark.createDataFrame([(i, [None, "", " "][i % 3], None) for i in range(300)], "doc_id long, text string, source string"))
+    assert blank.count() == 300 and blank.select("bin").distinct().count() == 1
+
+
 def test_shard(spark, docs, texts):
     rows = shard.shard_documents(docs, [1.0] * 7).collect()
     slots = {}
@@ -372,14 +386,25 @@ def test_warc(spark):
         mine = p == first or sum((x[2] or "") == (h or "") for x in rows) == 1
         want[p, len(raw), base64.b32encode(hashlib.sha1(raw).digest()).decode(), "response" if mine else "revisit", None if mine else first] += 1
     folder, directory = warc.write(pages)
-    back = warc.read_all(spark, folder, directory)
+    back = warc.read(spark, folder, directory, pages)
     assert Counter(tuple(r) for r in back.drop("payload").collect()) == want
-    archive = warc.Archive(folder, directory)
-    for p, u, h in rows:
-        found = archive.lookup(u)
-        assert any(x["headers"]["WARC-Record-ID"] == f"<urn:page:{p}>" for x in found)
-        assert all(x["payload"] in [b"", *((y[2] or "").encode() for y in rows if y[1] == u)] for x in found)
-    assert archive.lookup("http://nowhere.example/") == []
+    for u in (rows[7][1], rows[-2][1], None, "http://[bad", "http://nowhere.example/"):
+        found = warc.read(spark, folder, directory, spark.createDataFrame([(u,)], "url string")).collect()
+        assert Counter(x.page_id for x in found) == Counter(y[0] for y in rows if y[1] == u)
+        assert all(bytes(x.payload) in [b"", *((y[2] or "").encode() for y in rows if y[1] == u)] for x in found)
+
+
+def test_warc_key_of_many_blocks(spark, monkeypatch):
+    """A URL whose captures fill blocks and segments is found whole, and so are its neighbours."""
+    monkeypatch.setattr(warc, "BLOCK", 4)
+    rows = [(i, "http://m.example/" if i % 3 else f"http://{'abcxyz'[i % 6]}{i % 5}.example/", f"page {i}") for i in range(150)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(3)
+    folder, directory = warc.write(pages)
+    got = Counter(r.page_id for r in warc.read(spark, folder, directory, pages).collect())
+    assert got == Counter(r[0] for r in rows)
+
+
+def test_urls_keys():
     assert warc.url_key("http://a.b.Example.com:80/x?y") == "com,example,b,a:80)/x?y"
 
 
