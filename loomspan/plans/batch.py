@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import os
 from dataclasses import dataclass
-from datetime import datetime
-from zoneinfo import ZoneInfo
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -27,29 +25,25 @@ class Result:
     errors: DataFrame
 
 
-def zone_minutes(name: str) -> int:
-    return int(datetime.now(ZoneInfo(name)).utcoffset().total_seconds() // 60)
-
-
 def from_files(recordings: DataFrame, modality: str, cfg: PIConfig) -> tuple[DataFrame, DataFrame]:
-    """(indicators with epoch times and offset, errors) of recordings (path, modificationTime, content)."""
+    """(indicators with epoch times and offset, errors) of recordings (path, modificationTime, content). Recordings whose times name no zone have a null offset."""
     if modality == "eye-tracking":
         samples, errors = files.gaze(recordings)
-        wide = eye.indicators(samples, cfg).withColumn("offset", F.lit(zone_minutes(cfg.timezone)))
+        wide = eye.indicators(samples, cfg).withColumn("offset", F.lit(None).cast("int"))
         lone = samples.select("sess").distinct().join(wide.select("sess").distinct(), "sess", "left_anti")  # a session without windows still has a document
-        return wide.unionByName(lone, allowMissingColumns=True).fillna(zone_minutes(cfg.timezone), ["offset"]), errors
+        return wide.unionByName(lone, allowMissingColumns=True), errors
     if modality == "keyboard":
         presses, errors = files.presses(recordings, cfg.holdtime_mode)
-        zones = presses.groupBy("sess").agg(F.first("offset").alias("offset"))
+        zones = presses.groupBy("sess").agg(F.max("offset").alias("offset"))  # one a session
         return keyboard.indicators(presses.drop("offset"), cfg).join(zones, "sess"), errors
     if modality == "touch":
         events, errors = files.touches(recordings)
-        zones = events.groupBy("sess").agg(F.first("t_first").alias("t_first"), F.first("offset").alias("offset"))
+        zones = events.groupBy("sess").agg(F.max("t_first").alias("t_first"), F.max("offset").alias("offset"))
         wide = touch.indicators(events.drop("t_first", "offset"), cfg).join(zones, "sess")
         return wide.withColumns({"w_start": F.col("w_start") + F.col("t_first"), "w_end": F.col("w_end") + F.col("t_first")}).drop("t_first"), errors
     frames, errors = files.voice_windows(recordings, cfg.window_s, cfg.stride_s)
-    starts = frames.groupBy("sess", "win").agg(F.first("w_start").alias("w_start")).withColumn("w_end", F.col("w_start") + cfg.us(cfg.window_s))
-    return voice.window_indicators(frames.drop("w_start"), cfg).join(starts, ["sess", "win"]).withColumn("offset", F.lit(zone_minutes(cfg.timezone))), errors
+    starts = frames.groupBy("sess", "win").agg(F.min("w_start").alias("w_start")).withColumn("w_end", F.col("w_start") + cfg.us(cfg.window_s))
+    return voice.window_indicators(frames.drop("w_start"), cfg).join(starts, ["sess", "win"]).withColumn("offset", F.lit(None).cast("int")), errors
 
 
 def run(spark: SparkSession, base: str, modality: str, cfg: PIConfig | None = None, clients: list[str] | None = None) -> Result:

@@ -27,14 +27,21 @@ def iso(us: Column, offset: Column) -> Column:
     return F.concat(F.date_format(at, "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"), tail)
 
 
+def zone_minutes(us: Column, zone: str) -> Column:
+    """A zone's offset from UTC at an instant, in minutes: summer time counts where and when it holds."""
+    at = F.timestamp_micros(us)
+    return ((F.unix_micros(F.from_utc_timestamp(at, zone)) - us) / 60_000_000).cast("int")
+
+
 def documents(wide: DataFrame, modality: str, cfg: PIConfig, offset_minutes: int | Column = 0) -> DataFrame:
     """One row for each session: its keys and document (JSON, nulls kept). Windows without samples are in it only for modalities that emit them.
 
-    wide has client_id, task, date, archive_id, win, w_start, w_end in epoch units of the modality (ms for gaze, else us), and the indicators.
+    Times are rendered at offset_minutes from UTC; where it is null, in the zone of cfg at that time. wide has client_id, task, date, archive_id, win, w_start, w_end in epoch units of the modality (ms for gaze, else us), and the indicators.
     """
     offset = F.lit(offset_minutes) if isinstance(offset_minutes, int) else offset_minutes
     scale = UNIT[modality]
-    when = lambda c: iso(F.col(c).cast("long") * scale, offset)
+    us = lambda c: F.col(c).cast("long") * scale
+    when = lambda c: iso(us(c), F.coalesce(offset, zone_minutes(us(c), cfg.timezone)))
     pi = F.struct(*(F.col(c) for c in registry.columns(modality)))
     window = F.struct(F.col("win").alias("window_number"), when("w_start").alias("start_timestamp"), when("w_end").alias("end_timestamp"), pi.alias("pi"))
     rows = wide.groupBy("sess", "client_id", "task", "date", "archive_id").agg(F.array_sort(F.collect_list(F.when(F.col("win").isNotNull(), window))).alias("windows"))
@@ -53,19 +60,20 @@ def write_documents(docs: DataFrame, root: str, modality: str) -> int:
     """Writes <root>/<client>/<task>/<modality>_pi.json for every winner from the executors; returns how many. root is a folder that all executors share."""
     name = FILES[modality]
 
-    def save(rows):
+    def save(batches):
         from pyarrow import fs
 
         system, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
-        for r in rows:
-            folder = f"{base}/{r.client_id}/{r.task}"
-            system.create_dir(folder, recursive=True)
-            with system.open_output_stream(f"{folder}/{name}") as f:
-                f.write(json.dumps(json.loads(r.document), ensure_ascii=False, indent=2).encode())
-
-    chosen = winners(docs)
-    chosen.foreachPartition(save)
-    return chosen.count()
+        for batch in batches:
+            for client, task, text in zip(batch["client_id"], batch["task"], batch["document"], strict=True):
+                folder = f"{base}/{client}/{task}"
+                system.create_dir(folder, recursive=True)
+                with system.open_output_stream(f"{folder}/{name}") as f:
+                    f.write(json.dumps(json.loads(text), ensure_ascii=False, indent=2).encode())
+            yield batch[["client_id"]].assign(n=1)[["n"]]
+
+    written = winners(docs).select("client_id", "task", "document").mapInPandas(save, "n long")
+    return written.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
 
 
 def write_wide(wide: DataFrame, path: str) -> None:

@@ -125,7 +125,7 @@ def presses(files: DataFrame, mode: str = "paired_rows") -> tuple[DataFrame, Dat
         F.element_at("cells", "key_action").alias("action"), number("holdTime").alias("given"), *(micros(cell(n)).alias(n) for n in ("timeStamp", "downTime", "upTime")), offset_minutes(F.coalesce(cell("downTime"), cell("timeStamp"), cell("upTime"))).alias("offset"),
     )
     both = F.col("downTime").isNotNull() & F.col("upTime").isNotNull()
-    by = c.groupBy("sess").agg(F.max("letter").alias("letter"), F.max("paired").alias("p"), F.max("acts").alias("a"), F.count_if(both & F.col("paired")).alias("n"), *(F.count(x).alias(f"n_{x}") for x in ("timeStamp", "downTime", "upTime")), F.first("offset", ignorenulls=True).alias("offset"))
+    by = c.groupBy("sess").agg(F.max("letter").alias("letter"), F.max("paired").alias("p"), F.max("acts").alias("a"), F.count_if(both & F.col("paired")).alias("n"), *(F.count(x).alias(f"n_{x}") for x in ("timeStamp", "downTime", "upTime")), F.min_by("offset", "ord").alias("offset"))
     from_rows = F.lit(mode != "event_pairing") & F.col("p") & (F.col("n") > 0)
     by = by.withColumn("way", F.when(~F.col("letter"), "missing letter").when(from_rows, "rows").when(F.col("a"), "events").otherwise("no usable presses"))
     rows = c.drop("letter", "offset").join(by.select("sess", "way", "n_timeStamp", "n_downTime", "offset"), "sess")
@@ -140,7 +140,7 @@ def touches(files: DataFrame) -> tuple[DataFrame, DataFrame]:
     raw = F.when(has("it"), cell("it")).when(has("timeStamp"), cell("timeStamp"))
     code = lambda n: F.coalesce(number(n), F.lit(0.0)).cast("int").alias(n)
     c = cells(files).select(F.col("path").alias("sess"), "ord", (has("it") | has("timeStamp")).alias("timed"), micros(raw).alias("us"), offset_minutes(raw).alias("offset"), *(number(n).alias(n) for n in ("px", "py", "p", "h", "w")), code("et"), code("pi"), code("ws"))
-    by = c.groupBy("sess").agg(F.max("timed").alias("timed"), F.bool_or(F.col("ord").isNotNull() & F.col("us").isNull()).alias("bad"), F.min("us").alias("t_first"), F.first("offset").alias("offset"))
+    by = c.groupBy("sess").agg(F.max("timed").alias("timed"), F.bool_or(F.col("ord").isNotNull() & F.col("us").isNull()).alias("bad"), F.min("us").alias("t_first"), F.min_by("offset", "ord").alias("offset"))
     by = by.withColumn("error", F.when(~F.col("timed"), "missing time column").when(F.col("bad"), "unreadable timestamp"))
     good = c.drop("offset").where("ord IS NOT NULL").join(by.where("error IS NULL").select("sess", "t_first", "offset"), "sess")
     return good.select("sess", "ord", (F.col("us") - F.col("t_first")).alias("t"), "t_first", "offset", "pi", "et", "ws", "px", "py", "p", "h", "w"), by.where("error IS NOT NULL").select("sess", "error")

@@ -5,6 +5,7 @@ import os
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomspan.plans import batch, document, registry
 from loomspan.plans.config import PIConfig
@@ -144,3 +145,14 @@ def test_registry():
     assert {m: len(n) for m, n in registry.INDICATORS.items()} == {"eye-tracking": 93, "keyboard": 62, "touch": 84, "voice": 31}
     assert registry.slug("Pitch Level (F0)") == "pitch_level_f0" and registry.slug("Range-based Gaze Dispersion") == "range_based_gaze_dispersion"
     assert len(document.FILES) == 4
+
+
+def test_zone_offsets_are_those_of_the_instant(spark):
+    from loomspan.plans import document
+
+    rows = [(1705320000_000000,), (1721044800_000000,), (1711846799_000000,), (1711846800_000000,)]  # January, July, before and after the clocks change
+    df = spark.createDataFrame(rows, "us long")
+    got = [[r.b, r.k] for r in df.select(document.zone_minutes(F.col("us"), "Europe/Berlin").alias("b"), document.zone_minutes(F.col("us"), "Asia/Kolkata").alias("k")).collect()]
+    assert got == [[60, 330], [120, 330], [60, 330], [120, 330]]
+    times = df.select(document.iso(F.col("us"), document.zone_minutes(F.col("us"), "Europe/Berlin")).alias("t")).collect()
+    assert [r.t for r in times[2:]] == ["2024-03-31T01:59:59.000000+01", "2024-03-31T03:00:00.000000+02"]
