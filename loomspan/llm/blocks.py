@@ -23,9 +23,11 @@ BUCKET_BYTES = 24 << 20
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A new folder below spark.checkpoint.dir; where that is unset (tests), below a temporary one set here."""
+    """A new folder below spark.checkpoint.dir. Where that is unset, a session of one machine gets a temporary one; a cluster is refused, as its executors would not share it."""
     base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
     if not base:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         base = "file://" + tempfile.mkdtemp(prefix="loomspan-")
         spark.conf.set("spark.checkpoint.dir", base)
     if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():

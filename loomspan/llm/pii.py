@@ -86,8 +86,8 @@ def find(text: str, anchors) -> list[tuple[int, int, int]]:
                     digits = m.group().replace(" ", "").replace("-", "")
                     if 14 <= len(digits) <= 19 and luhn(digits):
                         out.append((start, 2, card_end))
-                if card_end - start == 11 and SSN.match(text, start) and text[start - 1 : start] not in ("-", "+") and text[start : start + 3] not in ("000", "666") and text[start] != "9":
-                    out.append((start, 6, card_end))
+                if out[-1:] != [(start, 2, card_end)] and (m := SSN.match(text, start)) and text[start - 1 : start] not in ("-", "+") and text[start : start + 3] not in ("000", "666") and text[start] != "9":
+                    out.append((start, 6, m.end()))
             if start >= iban_end and start >= 2 and text[start - 2 : start].isascii() and text[start - 2 : start].isupper() and not text[max(0, start - 3) : start - 2].isalnum():
                 m = IBAN.match(text, start - 2)
                 if m:
@@ -114,7 +114,7 @@ def find(text: str, anchors) -> list[tuple[int, int, int]]:
         elif kind == "scheme":
             if (m := USERINFO.match(text, start)) and start and text[start - 1].isalpha():
                 begin = start
-                while begin and start - begin < 12 and text[begin - 1].isascii() and text[begin - 1].isalpha():
+                while begin and text[begin - 1].isascii() and text[begin - 1].isalpha():
                     begin -= 1
                 out.append((begin, 4, m.end()))
         elif start >= secret_end and (m := ASSIGNED.match(text, last + 1)):
