@@ -5,33 +5,36 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from loomspan.llm import packing, pii, quality, similar, suffix
-from loomspan.llm.blocks import shared_dir
+from loomspan.llm.blocks import fresh, shared_dir
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the host-level rules keep."""
+    """Documents that the host-level rules keep. Null, empty and blank texts have too few words and go; repeated rows are judged alike."""
     return quality.keep(docs).select(*docs.columns)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document, that of the least id, of each group of near copies: five-word shingles with a Jaccard similarity of 0.8 or more."""
+    """One document, that of the least id (null is the least), of each group of near copies: five-word shingles with a Jaccard similarity of 0.8 or more. Texts without words are one group; rows equal in id and text stand or go together."""
     return similar.keep_first(docs).select(*docs.columns)
 
 
 def passage_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without the passages that start earlier elsewhere; a document that has nothing left goes."""
-    return suffix.strip(docs).where("text IS NULL OR text <> ''").select(*docs.columns)
+    """Documents without the passages that start earlier elsewhere; a document that has nothing left goes. Texts that are null or empty to begin with stay as they are."""
+    empty = fresh(docs, "empty")
+    left = suffix.strip(docs.withColumn(empty, F.coalesce(F.col("text") == "", F.lit(True))))
+    return left.where(F.col(empty) | (F.col("text") != "")).select(*docs.columns)
 
 
 def pii_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with personal data masked."""
+    """Documents with personal data masked. Null texts stay null; every row is kept."""
     return pii.redact(docs).select(*docs.columns)
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Bins of the documents' pieces."""
+    """Bins of the documents' pieces: one row for each piece. Null and empty texts are one piece of size 0; repeated rows are packed each."""
     return packing.pack(docs)
 
 
