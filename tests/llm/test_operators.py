@@ -11,7 +11,7 @@ from collections import Counter
 import pytest
 from pyspark.sql import functions as F
 
-from loomspan.llm import bpe, lm, packing, pii, quality, shard, simhash, sketch, suffix, warc
+from loomspan.llm import bpe, lm, packing, pii, quality, shard, similar, simhash, sketch, suffix, warc
 
 SF = "/root/testdata/sf0.01"
 WORD = re.compile(rb"[^\x20\x09-\x0D]+")
@@ -34,10 +34,18 @@ def texts(docs):
 
 
 def test_empty_tables(spark, docs):
+    import public_tokenizers as p
+
     none = spark.createDataFrame([], docs.schema)
     pages = spark.createDataFrame([], "page_id long, url string, html string")
-    for f in (lambda d: lm.score(d), simhash.near_duplicates, lambda d: pii.digest(pii.scan(d)), packing.pack, lambda d: shard.shard_documents(d, [1.0] * 3), quality.judge, suffix.deduplicate, sketch.fingerprints):
+    clusters = spark.createDataFrame([], "doc_id long, cluster long")
+    every = (
+        lambda d: lm.score(d), simhash.near_duplicates, lambda d: pii.digest(pii.scan(d)), packing.pack, lambda d: packing.pack(d, clusters=clusters), lambda d: shard.shard_documents(d, [1.0] * 3), quality.judge, suffix.deduplicate, sketch.fingerprints,
+        pii.redact, suffix.strip, quality.keep, similar.keep_first, lambda d: bpe.round_trip(d, p.path("byte_bpe_50k.tiktoken"), p.PATTERN),
+    )
+    for f in every:
         assert f(none).collect() == []
+    assert packing.fill(packing.pack(none)).first().bins == 0
     assert warc.round_trip(pages).collect() == []
 
 
@@ -603,12 +611,14 @@ def test_sketch_peels(spark):
 
 def test_null_ids_and_repeated_rows(spark):
     """Rows without an id, rows that come twice, two texts under one id: each row has its result, and nothing is lost."""
+    import public_tokenizers as p
+
     long = "alpha beta gamma delta epsilon zeta eta theta iota kappa " * 8
     rows = [(None, long, "a"), (None, None, None), (5, long + "end", "a"), (5, long + "end", "a"), (6, "short", "b"), (7, "one text", "b"), (7, "another text", "b"), (8, long, None)]
     df = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
     per_row = (
         lambda d: lm.score(d), simhash.near_duplicates, lambda d: pii.digest(pii.scan(d)), lambda d: shard.shard_documents(d, [1.0, 2.0]), quality.judge, suffix.deduplicate, sketch.fingerprints, pii.redact, suffix.strip,
-        lambda d: packing.pack(d),
+        lambda d: packing.pack(d), lambda d: bpe.round_trip(d, p.path("byte_bpe_50k.tiktoken"), p.PATTERN),
     )
     for f in per_row:
         assert Counter(r.doc_id for r in f(df).collect()) == Counter(r[0] for r in rows), f
