@@ -10,7 +10,8 @@ Every link is verified by whole sets. Before that, pairs that can't reach 0.8 ar
 their first shared shingle, and how many of their shingles fall in the same ranges of the hash space.
 
 Equal sets are merged first. Of each shingle a member is compared with the least one of another component, once a set;
-only members that are in different components after that are compared in pairs, so that no group is squared.
+only members that are in different components after that are compared in pairs. A large group whose members stay apart
+then still makes many pairs (README: the check on check_h fails by this).
 """
 
 from __future__ import annotations
