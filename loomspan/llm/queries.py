@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import bpe, lm, packing, pii, quality, shard, simhash, sketch, suffix, warc
+from . import bpe, divergence, licenses, lm, manifest, packing, pii, quality, shard, simhash, sketch, suffix, warc
 
 SHARDS = 40
 
@@ -56,5 +56,26 @@ def op10_bloom_sketch(spark, sf_dir):
     return sketch.fingerprints(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_ctw_score, op2_golay_simhash, op3_anchor_pii, op4_best_fit, op5_rendezvous, op6_host_rules, op7_warc_index, op8_segment_bpe, op9_bwt_repeats, op10_bloom_sketch)}
-SQL = {"op5_rendezvous": shard.oracle(SHARDS), "op6_host_rules": quality.ORACLE, "op7_warc_index": warc.ORACLE}
+def op11_license_index(spark, sf_dir):
+    return licenses.scan(table(spark, sf_dir, "documents"))
+
+
+def op12_group_tiles(spark, sf_dir):
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark, sf_dir):
+    return manifest.audit(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_ctw_score, op2_golay_simhash, op3_anchor_pii, op4_best_fit, op5_rendezvous, op6_host_rules, op7_warc_index, op8_segment_bpe, op9_bwt_repeats, op10_bloom_sketch, op11_license_index, op12_group_tiles,
+        op13_merkle_manifest,
+    )
+}
+SQL = {
+    "op5_rendezvous": shard.oracle(SHARDS), "op6_host_rules": quality.ORACLE, "op7_warc_index": warc.ORACLE, "op11_license_index": licenses.oracle(), "op12_group_tiles": divergence.ORACLE,
+    "op13_merkle_manifest": manifest.ORACLE,
+}
