@@ -9,9 +9,10 @@ is missed. The order puts shingles that a sample of the corpus holds twice late;
 Every link is verified by whole sets. Before that, pairs that can't reach 0.8 are put out by bounds: what may follow
 their first shared shingle, and how many of their shingles fall in the same ranges of the hash space.
 
-Equal sets are merged first. Of each shingle a member is compared with the least one of another component, once a set;
-only members that are in different components after that are compared in pairs. A large group whose members stay apart
-then still makes many pairs (README: the check on check_h fails by this).
+Equal sets are merged first. Of each shingle a member is compared with one of another component, once a set and round;
+only members that are in different components after ROUNDS are compared in pairs, inside the tasks of their shingles: a
+pair is looked at once, by the first shingle that both prefixes hold, and sent on only if the counts of its sets' shingles
+in BUCKETS ranges of the hash space allow 0.8. Shingles with many members are cut in pairs of chunks.
 """
 
 from __future__ import annotations
@@ -32,6 +33,8 @@ SAMPLE = 20_000
 OFTEN = 2
 #: Shingles in a range of the hash space, about.
 PER_RANGE = 6
+#: Rounds of stars, ranges that a set is counted in before pairs are sent on, and members of a shingle that a task compares at once.
+ROUNDS, BUCKETS, HOT = 2, 256, 2048
 NO_ID = -(2**63)
 
 
@@ -102,11 +105,21 @@ def sets(texts: DataFrame) -> DataFrame:
     return texts.select("text").mapInArrow(run, "s long, grams array<long>")
 
 
+def prefix_of(grams: np.ndarray, late) -> np.ndarray:
+    """The first of a set's shingles in the order of all shingles, so many that similar sets share one."""
+    grams_late, often = late
+    n = len(grams)
+    turn = np.zeros(n, np.int64)
+    if len(grams_late):
+        i = np.searchsorted(grams_late, grams).clip(0, len(grams_late) - 1)
+        turn = np.where(grams_late[i] == grams, often[i], 0)
+    return grams[np.lexsort((grams, turn))][: n - -(-4 * n // 5) + 1]
+
+
 def prefixes(texts: DataFrame, late) -> DataFrame:
     """gram, s, n (size of the set), at (place in the order) of each set's prefix; a task sends a set once."""
 
     def run(batches):
-        grams_late, often = late.value
         seen = set()
         for batch in slices(batches):
             out = [[], [], [], []]
@@ -116,11 +129,7 @@ def prefixes(texts: DataFrame, late) -> DataFrame:
                 if not n or s in seen:
                     continue
                 seen.add(s)
-                turn = np.zeros(n, np.int64)
-                if len(grams_late):
-                    i = np.searchsorted(grams_late, grams).clip(0, len(grams_late) - 1)
-                    turn = np.where(grams_late[i] == grams, often[i], 0)
-                first = grams[np.lexsort((grams, turn))][: n - -(-4 * n // 5) + 1]
+                first = prefix_of(grams, late.value)
                 for c, x in zip(out, (first.view(np.int64), np.full(len(first), s, np.uint64).view(np.int64), np.full(len(first), n), np.arange(len(first))), strict=True):
                     c.append(x.astype(np.int64))
             if out[0]:
@@ -129,6 +138,93 @@ def prefixes(texts: DataFrame, late) -> DataFrame:
     return texts.select("text").mapInArrow(run, "gram long, s long, n long, at long")
 
 
+def profiles(texts: DataFrame, late) -> DataFrame:
+    """s, prefix and counts (of BUCKETS ranges of the hash space) of each text's set."""
+
+    def run(batches):
+        for batch in slices(batches):
+            s, first, counts = [], [], []
+            for hashes in shingles(batch):
+                grams = np.unique(hashes)
+                s.append(set_hash(grams))
+                first.append(prefix_of(grams, late.value).view(np.int64))
+                counts.append(np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=BUCKETS).clip(0, 65535).astype(np.uint16).tobytes())
+            yield pa.RecordBatch.from_arrays([pa.array(np.array(s, np.uint64).view(np.int64)), pa.array(first, pa.list_(pa.int64())), pa.array(counts, pa.binary())], ["s", "prefix", "counts"])
+
+    return texts.select("text").mapInArrow(run, "s long, prefix array<long>, counts binary")
+
+
+def runs(batches, keys: list[str]):
+    """Tables of the rows of one key each, of batches sorted by the keys."""
+    held = []
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        cols = [batch.column(k).to_numpy() for k in keys]
+        at = [0, *(np.flatnonzero(np.any([c[1:] != c[:-1] for c in cols], 0)) + 1).tolist(), batch.num_rows]
+        for lo, hi in zip(at, at[1:], strict=False):
+            part = batch.slice(lo, hi - lo)
+            if held and any(held[-1].column(k)[0] != part.column(k)[0] for k in keys):
+                yield pa.Table.from_batches(held)
+                held = []
+            held.append(part)
+    if held:
+        yield pa.Table.from_batches(held)
+
+
+def meet_before(before: list[np.ndarray]) -> np.ndarray:
+    """Which members share a shingle that comes before this one, as a matrix."""
+    m = len(before)
+    grams, row = np.concatenate(before), np.repeat(np.arange(m), [len(x) for x in before])
+    _, i, n = np.unique(grams, return_inverse=True, return_counts=True)
+    row, i = row[n[i] > 1], i[n[i] > 1]
+    _, i = np.unique(i, return_inverse=True)
+    out = np.zeros((m, m), bool)
+    for lo in range(0, int(i.max(initial=-1)) + 1, 4096):
+        mine = (i >= lo) & (i < lo + 4096)
+        has = np.zeros((m, 4096), np.float32)
+        has[row[mine], i[mine] - lo] = 1
+        out |= (has @ has.T) > 0
+    return out
+
+
+def pairs_of(batches):
+    """Pairs of a shingle's members that are in different components, that no earlier shingle holds and that may be similar."""
+    for t in runs(batches, ["gram", "c1", "c2"]):
+        if t.num_rows < 2:
+            continue
+        s, n, at, root, mine, c1, c2 = (t.column(c).to_numpy() for c in ("s", "n", "at", "root", "mine", "c1", "c2"))
+        prefix = t.column("prefix").combine_chunks()
+        off, flat = prefix.offsets.to_numpy(), prefix.values.to_numpy()
+        counts = np.stack([np.frombuffer(x, np.uint16) for x in t.column("counts").to_pylist()])
+        met = meet_before([flat[o : o + k] for o, k in zip(off, at, strict=False)])
+        out = []
+        for i in range(len(s)):
+            j = np.flatnonzero((s > s[i]) & (root != root[i]) & ~met[i] & (5 * np.minimum(n, n[i]) >= 4 * np.maximum(n, n[i])) & (9 * np.minimum(n - at, n[i] - at[i]) >= 4 * (n + n[i])))
+            if c1[0] != c2[0]:
+                j = j[mine[j] != mine[i]]
+            if len(j):
+                most = np.minimum(counts[j], counts[i]).sum(1, dtype=np.int64)
+                j = j[(9 * most >= 4 * (n[j] + n[i])) | (n[j] >= 1 << 24)]
+                out.append((np.full(len(j), s[i]), s[j]))
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b"])
+
+
+def near_pairs(member: DataFrame, docs: DataFrame, rows: DataFrame, late) -> DataFrame:
+    """Pairs (a, b) of sets that share a shingle of their prefixes, lie in different components and may be similar. member: gram, s, n, at, root."""
+    one = small(rows.join(member.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min("h").alias("h")).select("h"))
+    known = profiles(docs.join(one, "h", "left_semi").dropDuplicates(["h"]), late).dropDuplicates(["s"])
+    many = small(member.groupBy("gram").agg(F.count("*").alias("m")).where(F.col("m") > HOT))
+    chunks = F.ceil(F.col("m") / F.lit(HOT)).cast("int")
+    dealt = member.join(many, "gram", "left").withColumn("mine", F.when(F.col("m").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("s"), chunks).cast("int")))
+    full = dealt.join(known, "s").withColumn("prefix", F.slice("prefix", F.lit(1), F.col("at").cast("int")))
+    others = F.when(F.col("m").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), chunks - 1))
+    full = full.select("*", F.explode(others).alias("other")).withColumns({"c1": F.least("mine", "other"), "c2": F.greatest("mine", "other")})
+    keys = ["gram", "c1", "c2"]
+    return full.select(*keys, "s", "n", "at", "root", "mine", "prefix", "counts").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(pairs_of, "a long, b long")
+
+
 def order(docs: DataFrame):
     """Broadcasts the shingles that OFTEN or more of a sample of the texts hold, sorted, with how many hold each."""
     rate = max(1, docs.count() // SAMPLE)
@@ -171,24 +267,23 @@ def close(rows: DataFrame) -> DataFrame:
 
 def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
     """Edges (a, b) between set hashes that connect all sets with a similarity of at least 0.8. docs: h, text; rows: what describe says of them."""
-    edges = similar(close(rows), docs, rows)
+    edges, late = similar(close(rows), docs, rows), order(docs)
     by = Window.partitionBy("gram")
-    found = prefixes(docs, order(docs)).repartition("gram").dropDuplicates(["gram", "s"]).withColumns({"least": F.min("s").over(by), "most": F.max("s").over(by)})
+    found = prefixes(docs, late).repartition("gram").dropDuplicates(["gram", "s"]).withColumns({"least": F.min("s").over(by), "most": F.max("s").over(by)})
     shared = cut(found.where("least <> most").select("gram", "s", "n", "at"))
-    may = "5 * least({0}.n, {1}.n) >= 4 * greatest({0}.n, {1}.n) AND 9 * least({0}.n - {0}.at, {1}.n - {1}.at) >= 4 * ({0}.n + {1}.n)"
+    may = "5 * least(n, first.n) >= 4 * greatest(n, first.n) AND 9 * least(n - at, first.n - first.at) >= 4 * (n + first.n)"
 
     def apart():
         """Members with their components, of shingles whose members are in several."""
         member = shared.join(components(edges), F.col("s") == F.col("node"), "left").select("gram", "s", "n", "at", F.coalesce("root", "s").alias("root"))
         return member.withColumn("several", F.min("root").over(by) != F.max("root").over(by)).where("several").drop("several")
 
-    first = apart().withColumn("first", F.min(F.struct("root", "s", "n", "at")).over(by)).alias("x")
-    star = first.where("x.root <> first.root AND " + may.format("x", "first")).groupBy(F.col("s").alias("b")).agg(F.min("first.s").alias("a"))
-    edges = edges.unionByName(similar(star.select("a", "b"), docs, rows))
-    member = cut(apart())
-    x, y = member.alias("x"), member.alias("y")
-    pairs = x.join(y, F.expr("x.gram = y.gram AND x.s < y.s AND x.root <> y.root AND " + may.format("x", "y"))).select(F.col("x.s").alias("a"), F.col("y.s").alias("b")).distinct()
-    return edges.unionByName(similar(pairs, docs, rows))
+    for k in range(ROUNDS):
+        mark = F.struct(F.xxhash64("root", F.lit(k)).alias("k"), "root", "s", "n", "at")
+        first = apart().withColumn("first", F.min(mark).over(by))
+        star = first.where("root <> first.root AND " + may).groupBy(F.col("s").alias("b")).agg(F.min("first.s").alias("a"))
+        edges = edges.unionByName(similar(star.select("a", "b"), docs, rows))
+    return edges.unionByName(similar(near_pairs(cut(apart()), docs, rows, late), docs, rows))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

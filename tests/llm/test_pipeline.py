@@ -3,9 +3,10 @@
 import random
 
 import corpus_pipeline
+import numpy as np
 import pytest
 
-from loomspan.llm import pii, quality, suffix
+from loomspan.llm import pii, quality, similar, suffix
 
 SF = "/root/testdata/sf0.001"
 
@@ -40,8 +41,10 @@ def test_decisions_take_effect(spark, stages):
     assert any("<" in r.text for r in stages[4]) and not any(k < 4 for r in stages[4] for _, k, _ in pii.find(r.text, anchors))
 
 
-def test_near_dup_is_the_join(spark):
+@pytest.mark.parametrize("hot", [2048, 4])
+def test_near_dup_is_the_join(spark, monkeypatch, hot):
     """The stage keeps the least id of each component of a brute-force join at 0.8, edited copies of 0.8 to 0.95 and large groups among them."""
+    monkeypatch.setattr(similar, "HOT", hot)
     rng = random.Random(11)
     rows, passage = [], [f"p{i}" for i in range(30)]
     for g in range(30):
@@ -73,6 +76,58 @@ def test_near_dup_is_the_join(spark):
     assert got == set(root)
 
 
+def test_near_dup_of_a_large_group(spark):
+    """2,000 edited copies of one text, most of them less than 0.8 alike, and planted copies of 0.80 to 0.95: every link of a brute-force join is found, so recall is 1."""
+    rng = random.Random(5)
+    base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+    rows = []
+    for i in range(2000):
+        copy = list(base)
+        for _ in range(rng.choice([1, 2, 3, 4, 6])):
+            copy[rng.randrange(len(copy))] = f"x{i}y{rng.randrange(10**6)}"
+        rows.append(" ".join(copy))
+    planted = []
+    for i in range(300):
+        words = [f"p{i}w{j}" for j in range(100)]
+        copy = words[: rng.randrange(87, 99)] + [f"q{i}w{j}" for j in range(2)]
+        planted.append((len(rows), len(rows) + 1))
+        rows += [" ".join(words), " ".join(copy)]
+    ids: dict = {}
+    sets = [sorted({ids.setdefault(tuple(w[i : i + 5]), len(ids)) for i in range(len(w) - 4)}) for w in map(str.split, rows)]
+    n = np.array([len(x) for x in sets])
+    shared = np.zeros((len(rows), len(rows)), np.int32)
+    for lo in range(0, len(ids), 8192):
+        has = np.zeros((len(rows), 8192), np.float32)
+        for i, x in enumerate(sets):
+            has[i, [k - lo for k in x if lo <= k < lo + 8192]] = 1
+        shared += (has @ has.T).astype(np.int32)
+    alike = 5 * shared >= 4 * (n[:, None] + n[None, :] - shared)
+    root = np.arange(len(rows))
+    while True:
+        low = np.where(alike, root[None, :], len(rows)).min(1)
+        if (low == root).all():
+            break
+        root = low
+    share = np.array([shared[a, b] / (n[a] + n[b] - shared[a, b]) for a, b in planted])
+    assert ((share >= 0.8) & (share < 0.95)).sum() > 200 and len(set(root[:2000])) > 5
+    docs = spark.createDataFrame([(i, t, "en", "src", 0) for i, t in enumerate(rows)], "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    assert {r.doc_id for r in corpus_pipeline.near_dup_stage(spark, docs, SF).collect()} == set(root.tolist())
+
+
+def test_stages_take_awkward_tables(spark):
+    """Each stage on an empty table, and on null ids, null texts, repeated rows and columns with clashing names: it doesn't fail and keeps the columns."""
+    schema = "doc_id long, text string, lang string, source string, n_chars long, _host string, _w int, _lines int, h int, doc int, bin int"
+    text = "one plain sentence of several words that a reader would keep as it stands, " * 3
+    rows = [(i, f"{text} {i} {'tail words ' * (i % 3)}end", "en", "s", 0, "a", 1, 2, 3, 4, 5) for i in range(12)]
+    rows += [(None, None, None, None, None, None, None, None, None, None, None), (None, text, None, None, None, "b", 1, 2, 3, 4, 5), (3, rows[3][1], "en", "s", 0, "a", 1, 2, 3, 4, 5), (99, "", "en", "s", 0, "a", 1, 2, 3, 4, 5)]
+    for some in ([], rows):
+        docs = spark.createDataFrame(some, schema)
+        for name, f in corpus_pipeline.STAGES:
+            out = f(spark, docs, SF)
+            assert name == "packing" or out.columns == docs.columns
+            assert len(out.collect()) > 0 or not some or name == "quality"
+
+
 def test_run(spark, stages):
     got = {(r.doc_id, r.piece, r.size) for r in corpus_pipeline.run(spark, SF).collect()}
     assert got == {(r.doc_id, r.piece, r.size) for r in stages[5]}
