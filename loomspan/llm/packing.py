@@ -57,13 +57,14 @@ def cluster_of(text):
 def pack(docs: DataFrame, capacity: int = CAPACITY, group_bins: int = GROUP_BINS, clusters: DataFrame | None = None) -> DataFrame:
     """doc_id, piece, size, bin (text: group and number), at (offset in the bin) of every piece of docs (doc_id, text, source).
 
-    clusters (doc_id, cluster): duplicate clusters; by default texts with equal lower-cased words are one. Null and empty texts are one piece of size 0. A null source or cluster conflicts with none; texts without words have no cluster. Pieces of one document conflict with each other, like documents of a source. Repeated rows are documents of their own. No rows: no rows.
+    clusters (doc_id, cluster): duplicate clusters; by default texts with equal lower-cased words are one; of a document named twice the least cluster counts. Null and empty texts are one piece of size 0. A null source or cluster conflicts with none; texts without words have no cluster. Pieces of one document conflict with each other, like documents of a source. Repeated rows are documents of their own. No rows: no rows.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     size = F.octet_length(text).cast("long")
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "source", size.alias("n"), *([] if clusters is not None else [cluster_of(F.col("text")).alias("cluster")]))
     if clusters is not None:
-        slim = slim.join(clusters.select("doc_id", "cluster"), "doc_id", "left")
+        one = clusters.groupBy(F.col("doc_id").cast("long").alias("_doc")).agg(F.min("cluster").alias("cluster"))
+        slim = slim.join(one, F.col("doc_id").eqNullSafe(F.col("_doc")), "left").drop("_doc")
     total, rows = slim.agg(F.sum("n"), F.count("*")).first()
     n_groups = max(1, -(-(total or 0) // (capacity * group_bins)), -(-rows // (32 * group_bins)))
     starts = F.sequence(F.lit(0).cast("long"), F.greatest(F.col("n") - 1, F.lit(0)), F.lit(capacity).cast("long"))

@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .blocks import cut
+from .blocks import cut, fresh
 
 SPACE = r"[\x20\x09-\x0D]+"
 BLANK = " \t\n\x0b\x0c\r"
@@ -65,32 +65,34 @@ def repeated(words: Column) -> Column:
 
 
 def measure(docs: DataFrame) -> DataFrame:
-    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), base_failed, n_soft_failures. A null text has no words."""
+    """docs with n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words (long), base_failed, n_soft_failures, which replace columns of these names. A null text has no words; an empty or blank one neither. Repeated rows are measured each. No rows: no rows."""
     text = F.coalesce(F.col("text"), F.lit(""))
     lines = F.filter(F.split(text, "\n"), lambda x: F.btrim(x, F.lit(BLANK)) != "")
     words = words_of(F.col("text"))
     both = let(words, lambda w: F.struct(F.size(w).cast("long").alias("n"), repeated(w).cast("long").alias("r")))
-    out = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words").withColumns({
-        "_w": both,
+    out = docs.drop("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
+    w, l, count = (fresh(out, x) for x in ("_w", "_l", "_lines"))  # noqa: E741
+    out = out.withColumns({
+        w: both,
         "word_chars": F.length(F.translate(text, BLANK, "")).cast("long"),
         "n_symbols": (F.length(text) - F.length(F.translate(text, SYMBOLS, ""))).cast("long"),
-        "_l": let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), F.size(F.array_distinct(x)).cast("long").alias("u"))),
+        l: let(lines, lambda x: F.struct(F.size(x).cast("long").alias("n"), F.size(F.array_distinct(x)).cast("long").alias("u"))),
     })
-    out = out.withColumns({"n_words": F.col("_w.n"), "n_repeat_words": F.col("_w.r"), "n_dup_lines": F.col("_l.n") - F.col("_l.u"), "_lines": F.col("_l.n")}).drop("_w", "_l")
+    out = out.withColumns({"n_words": F.col(f"{w}.n"), "n_repeat_words": F.col(f"{w}.r"), "n_dup_lines": F.col(f"{l}.n") - F.col(f"{l}.u"), count: F.col(f"{l}.n")}).drop(w, l)
     n = F.greatest(F.col("n_words"), F.lit(1))
     length = F.col("word_chars") / n
-    soft = [F.col("n_symbols") / n > MAX_SYMBOLS_PER_WORD, F.col("n_dup_lines") / F.greatest(F.col("_lines"), F.lit(1)) > MAX_DUP_LINE_SHARE, (length < WORD_LENGTH[0]) | (length > WORD_LENGTH[1])]
+    soft = [F.col("n_symbols") / n > MAX_SYMBOLS_PER_WORD, F.col("n_dup_lines") / F.greatest(F.col(count), F.lit(1)) > MAX_DUP_LINE_SHARE, (length < WORD_LENGTH[0]) | (length > WORD_LENGTH[1])]
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
-    return out.withColumns({"base_failed": failed, "n_soft_failures": sum((x.cast("int") for x in soft), F.lit(0))}).drop("_lines")
+    return out.withColumns({"base_failed": failed, "n_soft_failures": sum((x.cast("int") for x in soft), F.lit(0))}).drop(count)
 
 
-def host_rates(measured: DataFrame, host: str) -> DataFrame:
-    """One row for each host: host_rate, its failure rate shrunk by the beta prior. Rows are counted on the map side, so a hot host sends one row for each task.
+def host_rates(measured: DataFrame, host: str, name: str = "_host") -> DataFrame:
+    """One row for each host (column `name`): host_rate, its failure rate shrunk by the beta prior. Rows are counted on the map side, so a hot host sends one row for each task.
 
     The prior's mean m is the corpus rate; its strength is m(1-m)/v - 1, v the variance of the hosts' rates beyond what sampling explains, weighted by size. Without such variance (one host, or hosts alike) every host has the corpus rate.
     """
     fails = (F.col("base_failed") | (F.col("n_soft_failures") > 0)).cast("long")
-    hosts = measured.groupBy(F.col(host).alias("_host")).agg(F.count("*").alias("n"), F.sum(fails).alias("f"))
+    hosts = measured.groupBy(F.col(host).alias(name)).agg(F.count("*").alias("n"), F.sum(fails).alias("f"))
     m = F.col("tf") / F.col("tn")
     total = hosts.agg(F.sum("n").alias("tn"), F.sum("f").alias("tf"), F.sum(F.col("f") * F.col("f") / F.col("n")).alias("sq"), F.count("*").alias("k"))
     v = (F.col("sq") - F.col("tn") * m * m - (F.col("k") - 1) * m * (1 - m)) / F.col("tn")
@@ -98,7 +100,7 @@ def host_rates(measured: DataFrame, host: str) -> DataFrame:
     row = prior.first()  # two numbers
     rate, strength = F.lit(row["m"]).cast("double"), row["strength"]
     shrunk = rate if strength is None else (F.col("f") + F.lit(strength) * rate) / (F.col("n") + F.lit(strength))
-    return hosts.select("_host", shrunk.alias("host_rate"))
+    return hosts.select(name, shrunk.alias("host_rate"))
 
 
 def judge(docs: DataFrame, host: str = "source") -> DataFrame:
@@ -107,13 +109,14 @@ def judge(docs: DataFrame, host: str = "source") -> DataFrame:
     Texts are measured once: the measures are cut in the shared folder, and hosts and verdicts are made of them.
     """
     measured = cut(measure(docs.drop("host_rate", "kept", "base_failed", "n_soft_failures")).drop("text"))
-    out = measured.join(host_rates(measured, host), F.col(host).eqNullSafe(F.col("_host")), "left").drop("_host")
+    name = fresh(measured, "_host")
+    out = measured.join(host_rates(measured, host, name), F.col(host).eqNullSafe(F.col(name)), "left").drop(name)
     allowed = F.when(F.col("host_rate") >= POOR_RATE, F.lit(0)).otherwise(F.lit(1))
     return out.withColumn("kept", ~F.col("base_failed") & (F.col("n_soft_failures") <= allowed))
 
 
 def keep(docs: DataFrame, host: str = "source") -> DataFrame:
-    """The rows of docs (doc_id, text and host among their columns) that judge() keeps. A verdict goes by doc_id and text."""
+    """The rows of docs (doc_id, text and host among their columns) that judge() keeps. A verdict goes by doc_id and text; null, empty and blank texts have too few words and go. Rows equal in both are judged alike. No rows: no rows."""
     key = F.xxhash64("text")
     judged = judge(docs.select("doc_id", "text", host, key.alias("_text")), host)
     out = judged.where("NOT kept").select(F.col("doc_id").alias("_doc"), "_text").distinct()

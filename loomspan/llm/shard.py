@@ -10,6 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from .blocks import fresh
+
 #: Parts of a shard that are numbered apart; their counts (shards x PARTS rows) are what is broadcast.
 PARTS = 256
 
@@ -34,12 +36,14 @@ def assign(df: DataFrame, key: str, weights: list[float], grown_weight: float |
     if not weights or min(weights) <= 0 or (grown_weight is not None and grown_weight <= 0):
         raise ValueError("weights must be positive")
     k, n = F.coalesce(F.col(key).cast("string"), F.lit("")), len(weights)
-    wide = df.drop("shard", "grown_shard").withColumn("_scores", scores(k, [*weights, *([grown_weight] if grown_weight else [])]))
-    before = F.slice("_scores", 1, n)
+    wide = df.drop("shard", "grown_shard")
+    held = fresh(wide, "_scores")
+    wide = wide.withColumn(held, scores(k, [*weights, *([grown_weight] if grown_weight else [])]))
+    before = F.slice(held, 1, n)
     out = wide.withColumn("shard", (F.array_position(before, F.array_max(before)) - 1).cast("int"))
     if grown_weight:
-        out = out.withColumn("grown_shard", F.when(F.element_at("_scores", n + 1) > F.array_max(before), F.lit(n)).otherwise(F.col("shard")).cast("int"))
-    return out.drop("_scores")
+        out = out.withColumn("grown_shard", F.when(F.element_at(held, n + 1) > F.array_max(before), F.lit(n)).otherwise(F.col("shard")).cast("int"))
+    return out.drop(held)
 
 
 def number(df: DataFrame, key: str, order: list[str]) -> DataFrame:
@@ -48,12 +52,15 @@ def number(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     A shard's rows are numbered in PARTS parts by the first two hexadecimal digits of the key's md5, each shifted by the rows of the parts before it, so no task needs a whole shard. Rows that tie on key and order are interchangeable.
     """
     hexes = F.substring(F.md5(F.coalesce(F.col(key).cast("string"), F.lit(""))), 1, 2)
-    wide = df.withColumn("_part", F.conv(hexes, 16, 10).cast("int"))
-    counts = wide.groupBy("shard", "_part").agg(F.count("*").alias("_n"))
-    before = Window.partitionBy("shard").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
-    shift = counts.select("shard", "_part", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_shift"))
-    rank = F.row_number().over(Window.partitionBy("shard", "_part").orderBy(key, *order))
-    return wide.withColumn("_rank", rank).join(F.broadcast(shift), ["shard", "_part"]).withColumn("slot", (F.col("_shift") + F.col("_rank") - 1).cast("long")).drop("_part", "_rank", "_shift")
+    df = df.drop("slot")
+    part, place, shift = (fresh(df, x) for x in ("_part", "_rank", "_shift"))
+    wide = df.withColumn(part, F.conv(hexes, 16, 10).cast("int"))
+    counts = wide.groupBy("shard", part).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("shard").orderBy(part).rowsBetween(Window.unboundedPreceding, -1)
+    shifts = counts.select("shard", part, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias(shift))
+    rank = F.row_number().over(Window.partitionBy("shard", part).orderBy(key, *order))
+    out = wide.withColumn(place, rank).join(F.broadcast(shifts), ["shard", part]).withColumn("slot", (F.col(shift) + F.col(place) - 1).cast("long"))
+    return out.drop(part, place, shift)
 
 
 def shard_documents(docs: DataFrame, weights: list[float], grown_weight: float = 1.0) -> DataFrame:
