@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
@@ -40,22 +42,46 @@ def grid_dimension(points: DataFrame, keys: list[str], grids=(4, 8, 16), least:
     return cells.groupBy(*keys).agg(F.when(F.max("m") >= least, value).alias("dimension"))
 
 
-def recurrence(points: DataFrame, keys: list[str], order: list[str], item: Column, most: int = 2000) -> DataFrame:
-    """Recurrence rate and determinism (diagonals of two and more) of each group's sequence of items.
+def box_slope(x: str, y: str, of, sizes=(4, 8, 16, 32, 64, 128, 256)) -> str:
+    """box_dimension of the points that `of` lets through, as one aggregate in SQL."""
+    at = [-math.log(e) for e in sizes]
+    mid = sum(at) / len(at)
+    spread = sum((a - mid) ** 2 for a in at)
+    cells = lambda e: f"collect_set({of(f'struct(floor({x} / {e}), floor({y} / {e}))')})"
+    terms = " + ".join(f"ln(CAST(size({cells(e)}) AS DOUBLE)) * {(a - mid) / spread!r}D" for e, a in zip(sizes, at, strict=True))
+    return f"CASE WHEN count({of('1')}) >= 2 THEN {terms} END"
+
+
+def with_recurrence(points: DataFrame, keys: list[str], order: list[str], item: Column, most: int = 2000) -> DataFrame:
+    """points with _item and, on the rows that count, _c1, _c2, _c3: how often the row's item, its pair with the next and its triple occur in the group.
 
-    Counts of items, pairs and triples give both in linear time: recurrences are the sum of squared item counts; those on diagonals twice that of pairs less that of triples.
     Sequences of more than `most` items are thinned to evenly spaced ones, which is the measure's definition.
     """
     w, run = Window.partitionBy(*keys), Window.partitionBy(*keys).orderBy(*order)
     seq = points.withColumn("_item", item).withColumns({"_i": F.row_number().over(run) - 1, "_n": F.count("*").over(w)})
     j = F.ceil(F.col("_i") * F.lit(most - 1) / (F.col("_n") - 1))
     taken = F.floor(j * (F.col("_n") - 1) / F.lit(most - 1)) == F.col("_i")
-    seq = seq.where((F.col("_n") <= most) | taken).withColumns({"_b": F.lead("_item").over(run), "_c": F.lead("_item", 2).over(run)})
-    grams = seq.select(*keys, F.explode(F.array(F.struct(F.lit(1).alias("k"), F.array("_item").alias("g")), F.when(F.col("_b").isNotNull(), F.struct(F.lit(2).alias("k"), F.array("_item", "_b").alias("g"))), F.when(F.col("_c").isNotNull(), F.struct(F.lit(3).alias("k"), F.array("_item", "_b", "_c").alias("g"))))).alias("e")).where("e IS NOT NULL")
-    counts = grams.groupBy(*keys, "e.k", "e.g").agg(F.count("*").alias("c"))
-    of = lambda k: F.coalesce(F.sum(F.when(F.col("k") == k, F.col("c") * F.col("c"))), F.lit(0))
-    n = F.sum(F.when(F.col("k") == 1, F.col("c")))
-    return counts.groupBy(*keys).agg((of(1) / (n * n)).alias("rate"), F.try_divide(2 * of(2) - of(3), of(1)).alias("determinism"))
+    seq = seq.withColumn("_taken", (F.col("_n") <= most) | taken)
+    thin = Window.partitionBy(*keys, "_taken").orderBy(*order)
+    seq = seq.withColumns({"_b": F.lead("_item").over(thin), "_d": F.lead("_item", 2).over(thin)})
+    grams = (("_c1", ["_item"]), ("_c2", ["_item", "_b"]), ("_c3", ["_item", "_b", "_d"]))
+    return seq.withColumns({c: F.when(F.col("_taken") & F.col(g[-1]).isNotNull(), F.count("*").over(Window.partitionBy(*keys, "_taken", *g))) for c, g in grams}).drop("_i", "_n", "_b", "_d")
+
+
+def recurrence_of(of=lambda value: value) -> tuple[str, str]:
+    """(rate, determinism: diagonals of two and more) as aggregates, in SQL, of the rows of with_recurrence that `of` lets through.
+
+    A row has its item's count, so the rows' sum of counts is the sum of squared counts: recurrences are that of items; those on diagonals twice that of pairs less that of triples. No matrix is made.
+    """
+    one, two, three = (f"coalesce(sum({of(c)}), 0)" for c in ("_c1", "_c2", "_c3"))
+    n = f"CAST(count({of('_c1')}) AS DOUBLE)"
+    return f"try_divide({one}, {n} * {n})", f"try_divide(2 * {two} - {three}, {one})"
+
+
+def recurrence(points: DataFrame, keys: list[str], order: list[str], item: Column, most: int = 2000) -> DataFrame:
+    """Recurrence rate and determinism of each group's sequence of items."""
+    rate, determinism = recurrence_of()
+    return with_recurrence(points, keys, order, item, most).groupBy(*keys).agg(F.expr(rate).alias("rate"), F.expr(determinism).alias("determinism"))
 
 
 def hull_measures(points: np.ndarray) -> tuple[float, float]:

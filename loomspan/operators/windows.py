@@ -1,8 +1,10 @@
 """Session-anchored hopping windows.
 
 Times are integers (ms, us or frames). Window k of a session starts at its anchor plus k strides. A sample is dealt
-to its windows by arithmetic on its distance from the anchor, so nothing is compared with all windows; the anchors
-come from a window function over the session, and all that follows keeps the partitioning by session.
+to its windows by arithmetic on its distance from the anchor, so nothing is compared with all windows. The anchors are
+an aggregate of the sessions, joined back: a join, unlike a window over the session, is split where a session is long, and
+broadcast where the sessions are few. What follows is partitioned by session and window, so a session of any length is
+spread over tasks; rows that several windows hold are sent to each.
 
 Policies: CLIPPED ends windows at the session's last time and leaves out starts from there on; FULL keeps their
 length; NONEMPTY also starts one at the last time, and numbers only windows that hold a sample; PADDED is FULL with
@@ -17,10 +19,6 @@ from pyspark.sql import functions as F
 CLIPPED, FULL, NONEMPTY, PADDED = "clipped", "full", "nonempty", "padded"
 
 
-def by_session():
-    return Window.partitionBy("sess")
-
-
 def check(size: int, stride: int) -> None:
     if size <= 0 or stride <= 0:
         raise ValueError("window size and stride must be positive")
@@ -52,7 +50,8 @@ def assign(samples: DataFrame, t: str, policy: str, size: int, stride: int, end:
     Samples without a time are in no window. t is when a sample counts; `end` (else t) is what a session's last time is taken from.
     """
     check(size, stride)
-    wide = samples.where(F.col(t).isNotNull()).withColumns({"t0": F.min(t).over(by_session()), "t_max": F.max(end or t).over(by_session())})
+    timed = samples.where(F.col(t).isNotNull())
+    wide = timed.join(bounds(timed, t, end).withColumnRenamed("sess", "_sess"), F.col("sess").eqNullSafe(F.col("_sess"))).drop("_sess")
     rel = F.col(t) - F.col("t0")
     low = F.greatest(F.lit(0), F.floor((rel - size) / F.lit(stride)) + 1)
     high = F.least(F.floor(rel / F.lit(stride)), last_window(policy, F.col("t0"), F.col("t_max"), stride))
@@ -60,5 +59,10 @@ def assign(samples: DataFrame, t: str, policy: str, size: int, stride: int, end:
     start = F.col("t0") + F.col("_k") * stride
     stop = F.least(start + size, F.col("t_max")) if policy == CLIPPED else start + size
     out = dealt.withColumns({"w_start": start, "w_end": stop}).where(F.col(t) < F.col("w_end"))
-    number = F.dense_rank().over(by_session().orderBy("_k")) if policy == NONEMPTY else F.col("_k") + 1
-    return out.withColumn("win", number.cast("int")).drop("t0", "t_max", "_lo", "_hi", "_k")
+    if policy == NONEMPTY:  # windows with a sample are numbered, of which a session has few
+        held = out.select(F.col("sess").alias("_sess"), F.col("_k").alias("_j")).distinct()
+        held = held.withColumn("win", F.row_number().over(Window.partitionBy("_sess").orderBy("_j")))
+        out = out.join(held, F.col("sess").eqNullSafe(F.col("_sess")) & (F.col("_k") == F.col("_j"))).drop("_sess", "_j")
+    else:
+        out = out.withColumn("win", (F.col("_k") + 1).cast("int"))
+    return out.drop("t0", "t_max", "_lo", "_hi", "_k")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from loomspan.functions import stats
@@ -16,13 +16,13 @@ EYE, KEY, TOUCH, VOICE = PIConfig(2, 1), PIConfig(20, 10), PIConfig(2, 1), PICon
 G = ["sess", "win"]
 
 
-def rounded(c: str) -> Column:
+def rounded(c: str) -> str:
     """A double for comparison with SQL: in single precision (7 significant digits, whatever its magnitude), after the ninth decimal is rounded."""
-    return (F.round(c, 9).cast("float").cast("double") + 0.0).alias(c)
+    return f"CAST(CAST(round(`{c}`, 9) AS FLOAT) AS DOUBLE) + 0.0D AS `{c}`"
 
 
 def tidy(df: DataFrame) -> DataFrame:
-    return df.select(*(rounded(c) if t == "double" else F.col(c) for c, t in df.dtypes))
+    return df.selectExpr(*(rounded(c) if t == "double" else f"`{c}`" for c, t in df.dtypes))
 
 
 def pick(df: DataFrame, *names: str) -> DataFrame:

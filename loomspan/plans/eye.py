@@ -1,7 +1,8 @@
 """Eye-tracking indicators (93): gaze samples to one row for each session and window.
 
-A grain (samples, intervals, events, cells) is reduced once to (sess, win). All grains keep the samples' partitioning
-by session; events are found inside each window, as a window's edge cuts them.
+All grains stand on the rows of one table: a sample has the step from the one before it, that step's event, and, if it is
+its event's last, the event's measures. So the rows of a session are dealt to windows once, window functions follow in one
+partitioning, and one aggregation makes all indicators. Events are found inside each window, as a window's edge cuts them. The functions of single families are for queries of these alone.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ import math
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from loomspan.functions.stats import angular_diff, circular4, ratio, rms, scalar4, spread, stats4, unwrapped
+from loomspan.functions.stats import angular_diff, circular4, extent, guarded, one_more, only, quotient, ratio, rms, scalar4, spread, stats4, unwrapped
 from loomspan.operators import geometry
 from loomspan.operators.windows import CLIPPED, assign
 
@@ -38,50 +39,66 @@ def windows(samples: DataFrame, cfg: PIConfig) -> DataFrame:
 
 def dwell(windowed: DataFrame, cfg: PIConfig) -> DataFrame:
     """Time spent on and off the screen and in its regions: the step to the next sample, up to 200 ms, goes to the earlier one's place."""
+    return with_dwell(windowed).groupBy(*G).agg(*dwell_stats(cfg))
+
+
+def with_dwell(windowed: DataFrame) -> DataFrame:
     step = F.lead("t").over(in_order()) - F.col("t")
-    d = windowed.withColumn("d", F.when((step > 0) & (step <= MAX_GAP), step).otherwise(0).cast("double"))
+    return windowed.withColumn("d", F.when((step > 0) & (step <= MAX_GAP), step).otherwise(0).cast("double"))
+
+
+def dwell_stats(cfg: PIConfig) -> list:
     w, h = cfg.screen_w, cfg.screen_h
-    x, y = F.col("x"), F.col("y")
     regions = {
-        "edge": (x <= 0.1 * w) | (x >= w - 0.1 * w) | (y <= 0.1 * h) | (y >= h - 0.1 * h), "left_half": x < w / 2, "right_half": x >= w / 2,
-        "top_half": y < h / 2, "bottom_half": y >= h / 2, "central": x.between(w / 4, w * 3 / 4) & y.between(h / 4, h * 3 / 4),
+        "edge": f"x <= {0.1 * w} OR x >= {w - 0.1 * w} OR y <= {0.1 * h} OR y >= {h - 0.1 * h}", "left_half": f"x < {w / 2}", "right_half": f"x >= {w / 2}",
+        "top_half": f"y < {h / 2}", "bottom_half": f"y >= {h / 2}", "central": f"x BETWEEN {w / 4} AND {w * 3 / 4} AND y BETWEEN {h / 4} AND {h * 3 / 4}",
     }
-    total = lambda c: F.when(F.count("*") >= 2, F.sum(F.when(c, F.col("d")).otherwise(0.0)))
-    span = (F.max("w_end") - F.max("w_start")).cast("double")
+    total = lambda c: f"CASE WHEN count(*) >= 2 THEN sum(CASE WHEN {c} THEN d ELSE 0.0D END) END"
+    span = "max(w_end) - max(w_start)"
     out = []
-    for name, c in (("on_screen", F.col("on")), ("off_screen", ~F.col("on"))):
-        out += scalar4(f"{name}_duration", total(c), 1) + scalar4(f"{name}_gaze_ratio", ratio(total(c), span), 1)
+    for name, c in (("on_screen", "on"), ("off_screen", "NOT on")):
+        out += scalar4(f"{name}_duration", total(c), 1) + scalar4(f"{name}_gaze_ratio", quotient(total(c), span), 1)
     for name, c in regions.items():
-        out += scalar4(f"{name}_gaze_ratio", ratio(total(F.col("on") & c), span), 1)
-    return d.groupBy(*G).agg(*out)
+        out += scalar4(f"{name}_gaze_ratio", quotient(total(f"on AND ({c})"), span), 1)
+    return out
+
+
+def position_stats(cfg: PIConfig, of) -> list:
+    """Of the rows that `of` lets through."""
+    dx, dy = f"(x - {cfg.screen_w / 2})", f"(y - {cfg.screen_h / 2})"
+    x, y, offset, at = of("x"), of("y"), of(f"sqrt({dx} * {dx} + {dy} * {dy})"), of("struct(t, ord)")
+    w, h = extent(x), extent(y)
+    first, last = F.min_by(F.struct("x", "y"), F.expr(at)), F.max_by(F.struct("x", "y"), F.expr(at))
+    moved = F.sqrt((last["x"] - first["x"]) * (last["x"] - first["x"]) + (last["y"] - first["y"]) * (last["y"] - first["y"]))
+    return [
+        *stats4("gaze_position_x", x, 1), *stats4("gaze_position_y", y, 1), *scalar4("gaze_path_displacement", moved, 1), *scalar4("gaze_bbox_width", w, 1), *scalar4("gaze_bbox_height", h, 1),
+        *scalar4("gaze_bbox_aspect_ratio", quotient(w, h), 1), *scalar4("range_based_gaze_dispersion", f"{w} + {h}", 1), *scalar4("rms_based_gaze_dispersion", rms(x, y, 1), 1),
+        *scalar4("bbox_area_based_gaze_dispersion", f"{w} * {h}", 1), *scalar4("gaze_covariance", f"coalesce(covar_samp({x}, {y}), 0.0D)", 1),
+        *stats4("gaze_offset_to_screen_center", offset, 1), *scalar4("central_bias", f"1 - {quotient(f'avg({offset})', f'max({offset})')}", 1),
+    ]
 
 
 def positions(windowed: DataFrame, cfg: PIConfig) -> DataFrame:
     """Indicators of on-screen positions alone."""
-    dx, dy = F.col("x") - cfg.screen_w / 2, F.col("y") - cfg.screen_h / 2
-    on = windowed.where("on").withColumn("offset", F.sqrt(dx * dx + dy * dy))
-    w, h = spread("x", "y")
-    at = lambda f: f(F.struct("x", "y"), F.struct("t", "ord"))
-    first, last = at(F.min_by), at(F.max_by)
-    moved = F.sqrt((last["x"] - first["x"]) * (last["x"] - first["x"]) + (last["y"] - first["y"]) * (last["y"] - first["y"]))
-    return on.groupBy(*G).agg(
-        *stats4("gaze_position_x", "x", 1), *stats4("gaze_position_y", "y", 1), *scalar4("gaze_path_displacement", moved, 1), *scalar4("gaze_bbox_width", w, 1), *scalar4("gaze_bbox_height", h, 1),
-        *scalar4("gaze_bbox_aspect_ratio", ratio(w, h), 1), *scalar4("range_based_gaze_dispersion", w + h, 1), *scalar4("rms_based_gaze_dispersion", rms("x", "y", 1), 1),
-        *scalar4("bbox_area_based_gaze_dispersion", w * h, 1), *scalar4("gaze_covariance", F.coalesce(F.covar_samp("x", "y"), F.lit(0.0)), 1),
-        *stats4("gaze_offset_to_screen_center", "offset", 1), *scalar4("central_bias", 1 - ratio(F.avg("offset"), F.max("offset")), 1),
-    )
+    return windowed.where("on").groupBy(*G).agg(*position_stats(cfg, only()))
 
 
-def intervals(windowed: DataFrame) -> DataFrame:
-    """Steps between consecutive on-screen samples of a window, with speed, its parts, direction and derivatives; a step over 200 ms or without time has none."""
-    prev = lambda c: F.lag(c).over(in_order())
-    iv = windowed.where("on").select("sess", "win", "w_start", "w_end", "t", "ord", "x", "y", prev("t").alias("t0"), prev("x").alias("x0"), prev("y").alias("y0")).where("t0 IS NOT NULL")
+def with_steps(df: DataFrame, run, among=None) -> DataFrame:
+    """df with the step from the row before along a window order: t0, x0, y0 and, if it took up to 200 ms (and lies among some rows), speed, its parts and direction."""
+    prev = lambda c: F.lag(c).over(run)
+    iv = df.withColumns({"t0": prev("t"), "x0": prev("x"), "y0": prev("y")})
     dt, dx, dy = F.col("t") - F.col("t0"), F.col("x") - F.col("x0"), F.col("y") - F.col("y0")
-    iv = iv.withColumns({"ok": (dt > 0) & (dt <= MAX_GAP), "s": dt / 1000.0, "dx": dx, "dy": dy}).withColumn("dist", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")))
+    ok = (dt > 0) & (dt <= MAX_GAP)
+    iv = iv.withColumns({"ok": ok if among is None else F.coalesce(ok & among, F.lit(False)), "s": dt / 1000.0, "dx": dx, "dy": dy}).withColumn("dist", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")))
     of = lambda c: F.when(F.col("ok"), F.try_divide(F.col(c), F.col("s")))
     return iv.withColumns({"v": of("dist"), "vx": of("dx"), "vy": of("dy"), "theta": F.when(F.col("ok"), F.atan2("dy", "dx"))})
 
 
+def intervals(windowed: DataFrame) -> DataFrame:
+    """Steps between consecutive on-screen samples of a window, with speed, its parts, direction and derivatives; a step over 200 ms or without time has none."""
+    return with_steps(windowed.where("on").select("sess", "win", "w_start", "w_end", "t", "ord", "x", "y"), in_order()).where("t0 IS NOT NULL")
+
+
 def derived(iv: DataFrame, run) -> DataFrame:
     """Acceleration and jerk of each speed along a window order."""
     step = lambda c: F.when(F.col("s") > 0, F.try_divide(F.col(c) - F.lag(c).over(run), F.col("s")))
@@ -89,19 +106,24 @@ def derived(iv: DataFrame, run) -> DataFrame:
     return iv.withColumns({f"j{k}": step(f"a{k}") for k in ("", "x", "y")})
 
 
+def motion_stats(name: str, of, prefix: str = "") -> list:
+    return [s for k in ("", "x", "y") for n, c in (("velocity", "v"), ("acceleration", f"{prefix}a"), ("jerk", f"{prefix}j")) for s in stats4(f"{name}_{n}{'_' + k if k else ''}", of(f"{c}{k}"), 1)]
+
+
 def kinematics(iv: DataFrame, on: DataFrame) -> DataFrame:
     """Speeds, accelerations, jerks and path of the window. A window with on-screen samples has a path of 0 without steps."""
-    out = [s for k in ("", "x", "y") for n, c in (("velocity", "v"), ("acceleration", "a"), ("jerk", "j")) for s in stats4(f"gaze_{n}{'_' + k if k else ''}", f"{c}{k}", 1)]
+    out = motion_stats("gaze", only())
     path = F.coalesce(F.sum(F.when(F.col("ok"), F.col("dist"))), F.lit(0.0))
     moving = derived(iv, in_order()).groupBy(*G).agg(*out, path.alias("path"))
     base = on.groupBy(*G).agg(F.count("*").alias("_n")).join(moving, G, "left").withColumn("path", F.coalesce("path", F.lit(0.0)))
     return base.select(*G, *[c for c in moving.columns if c not in (*G, "path")], "path", *scalar4("gaze_path_length", "path", 1))
 
 
-def threshold(iv: DataFrame) -> DataFrame:
+def threshold(iv: DataFrame, over=None) -> DataFrame:
     """iv with thr: a window's adaptive speed threshold from the median and its absolute deviation."""
-    iv = iv.withColumns({"_med": F.median("v").over(in_window()), "_n": F.count("v").over(in_window())})
-    iv = iv.withColumn("_mad", F.median(F.abs(F.col("v") - F.col("_med"))).over(in_window()))
+    over = over or in_window()
+    iv = iv.withColumns({"_med": F.median("v").over(over), "_n": F.count("v").over(over)})
+    iv = iv.withColumn("_mad", F.median(F.abs(F.col("v") - F.col("_med"))).over(over))
     thr = F.when(F.col("_n") >= 10, F.greatest(F.lit(BASE_SPEED), F.col("_med") + MAD_FACTOR * F.col("_mad"))).when(F.col("_n") > 0, F.greatest(F.lit(BASE_SPEED), F.col("_med"))).otherwise(F.lit(BASE_SPEED))
     return iv.withColumn("thr", thr).drop("_med", "_n", "_mad")
 
@@ -136,25 +158,30 @@ def events(lab: DataFrame) -> DataFrame:
     return ev.withColumns({"gap": (F.lead("e_start").over(of) - F.col("e_end")).cast("double"), "turn": angular_diff(F.col("dir"), F.lag("dir").over(of))})
 
 
-def shape(kind: str) -> list:
-    """Indicators that fixations and saccades share."""
-    k = kind
+def shape(kind: str, of=None) -> list:
+    """Indicators that fixations and saccades share, of the rows that `of` lets through."""
+    k, of = kind, of or only()
+    w, h, start = of("w"), of("h"), of("e_start")
     return [
-        *stats4(f"{k}_duration", "dur", 1), *stats4(f"{k}_bbox_width", "w", 1), *stats4(f"{k}_bbox_height", "h", 1), *stats4(f"{k}_bbox_aspect_ratio", ratio("w", "h"), 1),
-        *stats4(f"range_based_{k}_dispersion", F.col("w") + F.col("h"), 1), *stats4(f"rms_based_{k}_dispersion", "rms", 1), *stats4(f"bbox_area_based_{k}_dispersion", F.col("w") * F.col("h"), 1),
-        *stats4(f"{k}_entropy", "entropy", 1), *stats4(f"inter_{k}_interval", "gap", 1), *scalar4(f"first_{k}_latency", F.min("e_start") - F.max("w_start"), 1), *scalar4(f"first_{k}_duration", F.min_by("dur", "e_start"), 1),
+        *stats4(f"{k}_duration", of("dur"), 1), *stats4(f"{k}_bbox_width", w, 1), *stats4(f"{k}_bbox_height", h, 1), *stats4(f"{k}_bbox_aspect_ratio", quotient(w, "h"), 1),
+        *stats4(f"range_based_{k}_dispersion", of("w + h"), 1), *stats4(f"rms_based_{k}_dispersion", of("rms"), 1), *stats4(f"bbox_area_based_{k}_dispersion", of("w * h"), 1),
+        *stats4(f"{k}_entropy", of("entropy"), 1), *stats4(f"inter_{k}_interval", of("gap"), 1), *scalar4(f"first_{k}_latency", f"min({start}) - max(w_start)", 1), *scalar4(f"first_{k}_duration", f"min_by(dur, {start})", 1),
     ]
 
 
 def points(prefix: str, x: str, y: str) -> list:
-    w, h = spread(x, y)
+    w, h = extent(x), extent(y)
     name = prefix.removesuffix("_dispersion")
     return [
-        *scalar4(f"range_based_{name}_dispersion", w + h, 1), *scalar4(f"rms_based_{name}_dispersion", rms(x, y, 1), 1), *scalar4(f"bbox_area_based_{name}_dispersion", w * h, 1),
-        *scalar4(f"{name}_covariance", F.coalesce(F.covar_samp(x, y), F.lit(0.0)), 1),
+        *scalar4(f"range_based_{name}_dispersion", f"{w} + {h}", 1), *scalar4(f"rms_based_{name}_dispersion", rms(x, y, 1), 1), *scalar4(f"bbox_area_based_{name}_dispersion", f"{w} * {h}", 1),
+        *scalar4(f"{name}_covariance", f"coalesce(covar_samp({x}, {y}), 0.0D)", 1),
     ]
 
 
+def drift_stats(of) -> list:
+    return [s for k in ("", "x", "y") for s in stats4(f"fixational_drift_velocity{'_' + k if k else ''}", of(f"v{k}"), 1)]
+
+
 def fixations(ev: DataFrame) -> DataFrame:
     f = ev.where("kind = 'fixation'").groupBy(*G).agg(*shape("fixation"), *points("fixation_centroid", "mx", "my"), F.count("*").alias("n_fix"), F.collect_list("mx").alias("_xs"), F.collect_list("my").alias("_ys"))
     h = f.withColumn("_hull", geometry.hull("_xs", "_ys"))
@@ -162,54 +189,120 @@ def fixations(ev: DataFrame) -> DataFrame:
 
 
 def drift(lab: DataFrame) -> DataFrame:
-    return lab.where("kind = 'fixation'").groupBy(*G).agg(*(s for k in ("", "x", "y") for s in stats4(f"fixational_drift_velocity{'_' + k if k else ''}", f"v{k}", 1)))
+    return lab.where("kind = 'fixation'").groupBy(*G).agg(*drift_stats(only()))
+
+
+def saccade_stats(of) -> list:
+    """Of the saccades that `of` lets through."""
+    back = f"count({of(f'CASE WHEN abs(turn - pi()) < {BACK} THEN 1 END')})"
+    seconds, n, one = "(max(w_end) - max(w_start)) / 1000.0D", f"count({of('1')})", F.expr(of("1"))
+    near = lambda a: F.count_if((one == 1) & ((angular_diff(F.col("dir"), F.lit(a)) < AXIS) | (angular_diff(F.col("dir"), F.lit(a + math.pi)) < AXIS)))
+    two = lambda c: f"CASE WHEN {n} >= 2 THEN {c} END"
+    return [
+        *shape("saccade", of), *points("saccade_endpoint", of("ex"), of("ey")), *stats4("saccade_displacement", of("disp"), 1), *circular4("saccade_direction", of("dir")),
+        *stats4("saccade_path_length", of("path"), 1), *stats4("saccade_path_curvature", quotient(of("path"), "disp"), 1),
+        *scalar4("horizontal_saccade_rate", ratio(near(0.0), seconds), 1), *scalar4("vertical_saccade_rate", ratio(near(math.pi / 2), seconds), 1),
+        *scalar4("backtrack_saccade_rate", two(quotient(back, f"sum({of('dur')}) / 1000.0D")), 1), *scalar4("backtrack_saccade_ratio", two(quotient(back, n)), 1),
+    ]
 
 
 def saccades(ev: DataFrame) -> DataFrame:
-    near = lambda a: (angular_diff(F.col("dir"), F.lit(a)) < AXIS) | (angular_diff(F.col("dir"), F.lit(a + math.pi)) < AXIS)
-    seconds = (F.max("w_end") - F.max("w_start")) / 1000.0
-    back = F.count_if(F.abs(F.col("turn") - math.pi) < BACK)
-    two = lambda c: F.when(F.count("*") >= 2, c)
-    return ev.where("kind = 'saccade'").groupBy(*G).agg(
-        *shape("saccade"), *points("saccade_endpoint", "ex", "ey"), F.count("*").alias("n_sac"), *stats4("saccade_displacement", "disp", 1), *circular4("saccade_direction", "dir"),
-        *stats4("saccade_path_length", "path", 1), *stats4("saccade_path_curvature", ratio("path", "disp"), 1),
-        *scalar4("horizontal_saccade_rate", ratio(F.count_if(near(0.0)), seconds), 1), *scalar4("vertical_saccade_rate", ratio(F.count_if(near(math.pi / 2)), seconds), 1),
-        *scalar4("backtrack_saccade_rate", two(ratio(back, F.sum("dur") / 1000.0)), 1), *scalar4("backtrack_saccade_ratio", two(ratio(back, F.count("*"))), 1),
-    )
+    return ev.where("kind = 'saccade'").groupBy(*G).agg(*saccade_stats(only()), F.count("*").alias("n_sac"))
+
+
+def with_saccade_motion(lab: DataFrame, run) -> DataFrame:
+    """lab with derivatives (sa*, sj*) and turns per second (omega) along an order that ends with each event."""
+    step = lambda c: F.when(F.col("s") > 0, F.try_divide(F.col(c) - F.lag(c).over(run), F.col("s")))
+    lab = lab.withColumns({f"sa{k}": step(f"v{k}") for k in ("", "x", "y")} | {"_turn": F.col("theta") - F.lag("theta").over(run)})
+    return lab.withColumns({f"sj{k}": step(f"sa{k}") for k in ("", "x", "y")} | {"omega": F.try_divide(unwrapped(F.col("_turn")), F.col("s"))})
 
 
 def saccade_motion(lab: DataFrame) -> DataFrame:
     """Speeds inside saccades; derivatives don't reach over a saccade's ends."""
-    run = Window.partitionBy(*G, "island").orderBy("t", "ord")
-    s = derived(lab.where("kind = 'saccade'"), run).withColumn("_turn", F.col("theta") - F.lag("theta").over(run))
-    out = [x for k in ("", "x", "y") for n, c in (("velocity", "v"), ("acceleration", "a"), ("jerk", "j")) for x in stats4(f"saccade_{n}{'_' + k if k else ''}", f"{c}{k}", 1)]
-    return s.groupBy(*G).agg(*out, *stats4("saccade_angular_velocity", F.try_divide(unwrapped(F.col("_turn")), F.col("s")), 1))
+    s = with_saccade_motion(lab.where("kind = 'saccade'"), Window.partitionBy(*G, "island").orderBy("t", "ord"))
+    return s.groupBy(*G).agg(*motion_stats("saccade", only(), "s"), *stats4("saccade_angular_velocity", "omega", 1))
+
+
+def with_path(df: DataFrame, keys: list[str]) -> DataFrame:
+    """df with the counts of the rows' cells in the scanpath of their group."""
+    path = geometry.with_recurrence(df, keys, ["t", "ord"], geometry.cell("x", "y", CELL))
+    return path.withColumns({"_held": F.count("*").over(Window.partitionBy(*keys, "_item")), "_all": F.count("*").over(Window.partitionBy(*keys))})
+
+
+def path_stats(of) -> list:
+    """Entropy, fractal dimension and recurrence of the cells of the rows that `of` lets through: a row's share of a sum over cells is its own count's."""
+    rate, determinism = geometry.recurrence_of(of)
+    return [
+        *scalar4("gaze_entropy", f"avg({of('-log2(_held / _all)')})", 1), *scalar4("scanpath_fractal_dimension", geometry.box_slope("x", "y", of), 1),
+        *scalar4("scanpath_revisit_ratio", rate, 1), *scalar4("scanpath_determinism_ratio", determinism, 1),
+    ]
 
 
 def scanpath(on: DataFrame) -> DataFrame:
-    ent = geometry.entropy(on, G, geometry.cell("x", "y", CELL), "_e").select(*G, *scalar4("gaze_entropy", "_e", 1))
-    dim = geometry.box_dimension(on, G).select(*G, *scalar4("scanpath_fractal_dimension", "dimension", 1))
-    rqa = geometry.recurrence(on, G, ["t", "ord"], geometry.cell("x", "y", CELL)).select(*G, *scalar4("scanpath_revisit_ratio", "rate", 1), *scalar4("scanpath_determinism_ratio", "determinism", 1))
-    return ent.join(dim, G, "left").join(rqa, G, "left")
+    return with_path(on.select(*G, "t", "ord", "x", "y"), G).groupBy(*G).agg(*path_stats(only()))
+
+
+def rate_stats(n_fix, n_sac, seconds) -> list:
+    return [*scalar4("fixation_rate", quotient(n_fix, seconds), 1), *scalar4("saccade_rate", quotient(n_sac, seconds), 1), *scalar4("fixation_saccade_ratio", quotient(n_fix, n_sac), 1)]
 
 
 def rates(on: DataFrame, fix: DataFrame, sac: DataFrame) -> DataFrame:
     """Counts of events over the window: zero, not null, where on-screen samples have none."""
     base = on.groupBy(*G).agg(F.max("w_start").alias("w_start"), F.max("w_end").alias("w_end"))
     n = base.join(fix.select(*G, "n_fix"), G, "left").join(sac.select(*G, "n_sac"), G, "left").fillna(0, ["n_fix", "n_sac"])
-    seconds = (F.col("w_end") - F.col("w_start")) / 1000.0
-    return n.select(*G, *scalar4("fixation_rate", ratio("n_fix", seconds), 1), *scalar4("saccade_rate", ratio("n_sac", seconds), 1), *scalar4("fixation_saccade_ratio", ratio("n_fix", "n_sac"), 1))
+    return n.select(*G, *rate_stats("n_fix", "n_sac", "(w_end - w_start) / 1000.0D"))
+
+
+def traced(windowed: DataFrame) -> DataFrame:
+    """windowed with the step, event and event measures of every row. kind is that of the row's event; last marks an event's last row, whose measures count."""
+    on = Window.partitionBy(*G, "on")
+    run = on.orderBy("t", "ord")
+    t = threshold(derived(with_steps(with_dwell(windowed), run, F.col("on")), run), on)
+    t = t.withColumn("kind", F.when(F.col("ok"), F.when(F.col("v") > F.col("thr"), "saccade").otherwise("fixation")))
+    t = t.withColumn("island", F.sum(F.when(F.col("kind").eqNullSafe(F.lag("kind").over(run)), 0).otherwise(1)).over(run))
+    of = Window.partitionBy(*G, "on", "island")
+    t = with_saccade_motion(t, of.orderBy("t", "ord")).withColumns({"e_start": F.min("t0").over(of), "e_end": F.max("t").over(of)})
+    least = F.when(F.col("kind") == "fixation", MIN_FIX).when(F.col("kind") == "saccade", MIN_SAC)
+    t = t.withColumn("kind", F.when(F.col("e_end") - F.col("e_start") >= least, F.col("kind"))).withColumn("last", F.col("kind").isNotNull() & (F.col("t") == F.col("e_end")))
+    return event_measures(t, of)
+
+
+def event_measures(t: DataFrame, of) -> DataFrame:
+    """The measures of events on their rows: an event's points are its steps' first samples and the last one's second."""
+    end = lambda c: F.max(F.when(F.col("last"), c)).over(of)
+    place = lambda x, y: F.struct(F.floor(F.col(x) / CELL), F.floor(F.col(y) / CELL))
+    t = t.withColumns({"_n": F.count("*").over(of), "ex": end(F.col("x")), "ey": end(F.col("y")), "_cell": place("x0", "y0")})
+    t = t.withColumns({"_end": F.struct(F.floor(F.col("ex") / CELL), F.floor(F.col("ey") / CELL)), "_c": F.count("*").over(Window.partitionBy(*G, "on", "island", "_cell"))})
+    here = F.col("_cell") == F.col("_end")
+    bits = lambda c: -F.log2(c / (F.col("_n") + 1))
+    own = F.sum(bits(F.col("_c") + here.cast("int"))).over(of) + bits(F.count_if(here).over(of) + 1)
+    spans = {k: F.greatest(F.max(f"{c}0").over(of), f"e{c}") - F.least(F.min(f"{c}0").over(of), f"e{c}") for k, c in (("w", "x"), ("h", "y"))}
+    means = {f"m{c}": (F.sum(f"{c}0").over(of) + F.col(f"e{c}")) / (F.col("_n") + 1) for c in "xy"}
+    spread_ = [one_more(F.var_pop(f"{c}0").over(of), F.avg(f"{c}0").over(of), F.col("_n"), F.col(f"e{c}")) for c in "xy"]
+    start = F.min_by(F.struct("x0", "y0"), "t").over(of)
+    t = t.withColumns({**spans, **means, "rms": F.sqrt(spread_[0] + spread_[1]), "path": F.sum("dist").over(of), "_a": start, "entropy": own / (F.col("_n") + 1) + 0.0, "dur": (F.col("e_end") - F.col("e_start")).cast("double")})
+    dx, dy = F.col("ex") - F.col("_a.x0"), F.col("ey") - F.col("_a.y0")
+    t = t.withColumns({"disp": F.sqrt(dx * dx + dy * dy), "dir": F.atan2(dy, dx)})
+    nxt = Window.partitionBy(*G, "kind", "last").orderBy("e_start")
+    return t.withColumns({"gap": (F.lead("e_start").over(nxt) - F.col("e_end")).cast("double"), "turn": angular_diff(F.col("dir"), F.lag("dir").over(nxt))})
 
 
 def indicators(samples: DataFrame, cfg: PIConfig) -> DataFrame:
     """sess, win, w_start, w_end and all indicators of every window that holds a sample."""
     wd = windows(samples, cfg)
-    on, iv = wd.where("on"), intervals(wd)
-    lab = labelled(iv)
-    ev = events(lab)
-    fix, sac, kin, pos = fixations(ev), saccades(ev), kinematics(iv, on), positions(wd, cfg)
-    curve = kin.join(pos, G).select(*G, *scalar4("gaze_path_curvature", ratio("path", "gaze_path_displacement_mean"), 1))
-    out = wd.groupBy(*G, "w_start", "w_end").agg(F.count("*").alias("n_samples")).join(dwell(wd, cfg), G)
-    for part in (pos, kin.drop("path"), curve, rates(on, fix, sac), fix.drop("n_fix"), drift(lab), sac.drop("n_sac"), saccade_motion(lab), scanpath(on)):
-        out = out.join(part, G, "left")
-    return out
+    on, (fix, sac), (in_fix, in_sac) = only("on"), (only(f"last AND kind = '{k}'") for k in ("fixation", "saccade")), (only(f"kind = '{k}'") for k in ("fixation", "saccade"))
+    count = lambda of: f"count({of('1')})"
+    path = "coalesce(sum(CASE WHEN ok THEN dist END), 0.0D)"
+    families = {
+        "_on": [*position_stats(cfg, on), *motion_stats("gaze", only()), *scalar4("gaze_path_length", path, 1), *rate_stats(count(fix), count(sac), "(max(w_end) - max(w_start)) / 1000.0D"), *path_stats(on)],
+        "_fix": [*shape("fixation", fix), *points("fixation_centroid", fix("mx"), fix("my")), *drift_stats(in_fix)],
+        "_sac": [*saccade_stats(sac), *motion_stats("saccade", in_sac, "s"), *stats4("saccade_angular_velocity", in_sac("omega"), 1)],
+    }
+    more = {"w_start": "max(w_start)", "w_end": "max(w_end)", "n_samples": "count(*)", "_on": count(on), "_fix": count(fix), "_sac": count(sac), "_points": f"collect_list({fix('struct(mx, my)')})"}
+    held = with_path(traced(wd), [*G, "on"]).groupBy(*G).agg(*(c for part in families.values() for c in part), *dwell_stats(cfg), *(F.expr(f"{x} AS {n}") for n, x in more.items()))
+    held = guarded(held, len(G), families).withColumn("_hull", geometry.hull(F.col("_points.mx"), F.col("_points.my")))
+    some = lambda c: F.when(F.col("_fix") > 0, F.col(c))
+    return held.select(
+        *[c for c in held.columns if c[0] != "_"], *scalar4("gaze_path_curvature", ratio("gaze_path_length_mean", "gaze_path_displacement_mean"), 1),
+        *scalar4("fixation_convex_hull_area", some("_hull.area"), 1), *scalar4("fixation_convex_hull_perimeter", some("_hull.perimeter"), 1),
+    )
