@@ -11,8 +11,9 @@ their first shared shingle, and how many of their shingles fall in the same rang
 
 Equal sets are merged first. Of each shingle a member is compared with one of another component, once a set and round;
 only members that are in different components after ROUNDS are compared in pairs, inside the tasks of their shingles: a
-pair is looked at once, by the first shingle that both prefixes hold, and sent on only if the counts of its sets' shingles
-in BUCKETS ranges of the hash space allow 0.8. Shingles with many members are cut in pairs of chunks.
+pair is left to an earlier shingle if both have it among the BEFORE shingles that precede this one in their prefixes, and
+is sent on only if the counts of its sets' shingles in BUCKETS ranges of the hash space allow 0.8. A row carries these few
+numbers, not its set. Shingles with many members are cut in pairs of chunks.
 """
 
 from __future__ import annotations
@@ -34,7 +35,9 @@ OFTEN = 2
 #: Shingles in a range of the hash space, about.
 PER_RANGE = 6
 #: Rounds of stars, ranges that a set is counted in before pairs are sent on, and members of a shingle that a task compares at once.
-ROUNDS, BUCKETS, HOT = 2, 256, 2048
+ROUNDS, BUCKETS, HOT = 1, 128, 2048
+#: Shingles of its prefix that a member carries, those right before.
+BEFORE = 8
 NO_ID = -(2**63)
 
 
@@ -139,7 +142,7 @@ def prefixes(texts: DataFrame, late) -> DataFrame:
 
 
 def profiles(texts: DataFrame, late) -> DataFrame:
-    """s, prefix and counts (of BUCKETS ranges of the hash space) of each text's set."""
+    """s, prefix and counts (of BUCKETS ranges of the hash space; none where one exceeds a byte) of each text's set."""
 
     def run(batches):
         for batch in slices(batches):
@@ -148,7 +151,8 @@ def profiles(texts: DataFrame, late) -> DataFrame:
                 grams = np.unique(hashes)
                 s.append(set_hash(grams))
                 first.append(prefix_of(grams, late.value).view(np.int64))
-                counts.append(np.bincount((grams >> np.uint64(56)).astype(np.int64), minlength=BUCKETS).clip(0, 65535).astype(np.uint16).tobytes())
+                n = np.bincount((grams >> np.uint64(57)).astype(np.int64), minlength=BUCKETS)
+                counts.append(n.astype(np.uint8).tobytes() if n.max() < 256 else b"")
             yield pa.RecordBatch.from_arrays([pa.array(np.array(s, np.uint64).view(np.int64)), pa.array(first, pa.list_(pa.int64())), pa.array(counts, pa.binary())], ["s", "prefix", "counts"])
 
     return texts.select("text").mapInArrow(run, "s long, prefix array<long>, counts binary")
@@ -189,23 +193,24 @@ def meet_before(before: list[np.ndarray]) -> np.ndarray:
 
 
 def pairs_of(batches):
-    """Pairs of a shingle's members that are in different components, that no earlier shingle holds and that may be similar."""
+    """Pairs of a shingle's members that are in different components, that aren't left to an earlier shingle and that may be similar."""
     for t in runs(batches, ["gram", "c1", "c2"]):
         if t.num_rows < 2:
             continue
         s, n, at, root, mine, c1, c2 = (t.column(c).to_numpy() for c in ("s", "n", "at", "root", "mine", "c1", "c2"))
-        prefix = t.column("prefix").combine_chunks()
-        off, flat = prefix.offsets.to_numpy(), prefix.values.to_numpy()
-        counts = np.stack([np.frombuffer(x, np.uint16) for x in t.column("counts").to_pylist()])
-        met = meet_before([flat[o : o + k] for o, k in zip(off, at, strict=False)])
+        before = t.column("before").combine_chunks()
+        off, flat = before.offsets.to_numpy(), before.values.to_numpy()
+        full = np.full(BUCKETS, 1 << 40)
+        counts = np.stack([np.frombuffer(x, np.uint8).astype(np.int64) if x else full for x in t.column("counts").to_pylist()])
+        met = meet_before([flat[a:b] for a, b in zip(off, off[1:], strict=False)])
         out = []
         for i in range(len(s)):
             j = np.flatnonzero((s > s[i]) & (root != root[i]) & ~met[i] & (5 * np.minimum(n, n[i]) >= 4 * np.maximum(n, n[i])) & (9 * np.minimum(n - at, n[i] - at[i]) >= 4 * (n + n[i])))
             if c1[0] != c2[0]:
                 j = j[mine[j] != mine[i]]
             if len(j):
-                most = np.minimum(counts[j], counts[i]).sum(1, dtype=np.int64)
-                j = j[(9 * most >= 4 * (n[j] + n[i])) | (n[j] >= 1 << 24)]
+                most = np.minimum(counts[j], counts[i]).sum(1)
+                j = j[9 * most >= 4 * (n[j] + n[i])]
                 out.append((np.full(len(j), s[i]), s[j]))
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b"])
@@ -213,16 +218,21 @@ def pairs_of(batches):
 
 def near_pairs(member: DataFrame, docs: DataFrame, rows: DataFrame, late) -> DataFrame:
     """Pairs (a, b) of sets that share a shingle of their prefixes, lie in different components and may be similar. member: gram, s, n, at, root."""
+    of = Window.partitionBy("gram").orderBy("n", "s")
+    fits = lambda other: F.coalesce(5 * F.least("n", other) >= 4 * F.greatest("n", other), F.lit(False))
+    member = member.withColumns({"_a": F.lag("n").over(of), "_b": F.lead("n").over(of)}).where(fits(F.col("_a")) | fits(F.col("_b"))).drop("_a", "_b")
+    member = cut(member)
     one = small(rows.join(member.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min("h").alias("h")).select("h"))
     known = profiles(docs.join(one, "h", "left_semi").dropDuplicates(["h"]), late).dropDuplicates(["s"])
     many = small(member.groupBy("gram").agg(F.count("*").alias("m")).where(F.col("m") > HOT))
     chunks = F.ceil(F.col("m") / F.lit(HOT)).cast("int")
     dealt = member.join(many, "gram", "left").withColumn("mine", F.when(F.col("m").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("s"), chunks).cast("int")))
-    full = dealt.join(known, "s").withColumn("prefix", F.slice("prefix", F.lit(1), F.col("at").cast("int")))
+    at = F.col("at").cast("int")
+    full = dealt.join(known, "s").withColumn("before", F.slice("prefix", F.greatest(at - BEFORE, F.lit(0)) + 1, F.least(at, F.lit(BEFORE))))
     others = F.when(F.col("m").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), chunks - 1))
     full = full.select("*", F.explode(others).alias("other")).withColumns({"c1": F.least("mine", "other"), "c2": F.greatest("mine", "other")})
     keys = ["gram", "c1", "c2"]
-    return full.select(*keys, "s", "n", "at", "root", "mine", "prefix", "counts").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(pairs_of, "a long, b long")
+    return full.select(*keys, "s", "n", "at", "root", "mine", "before", "counts").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(pairs_of, "a long, b long").distinct()
 
 
 def order(docs: DataFrame):
@@ -283,7 +293,7 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
         first = apart().withColumn("first", F.min(mark).over(by))
         star = first.where("root <> first.root AND " + may).groupBy(F.col("s").alias("b")).agg(F.min("first.s").alias("a"))
         edges = edges.unionByName(similar(star.select("a", "b"), docs, rows))
-    return edges.unionByName(similar(near_pairs(cut(apart()), docs, rows, late), docs, rows))
+    return edges.unionByName(similar(near_pairs(apart(), docs, rows, late), docs, rows))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
