@@ -7,8 +7,11 @@ each: the text alone decides it, so it can be stored and sent, and parts add up
 
 Two fingerprints are compared without the texts. At the number of parts of the coarser, one minus the other holds only
 the differing digests; cells with one digest are peeled until none is left, which recovers these digests. The sketches
-are first summed to one part; if that doesn't peel, the comparison is made again with all parts. A part whose difference
-outgrows its cells even so counts as different throughout, unless only a few digests that share their cells are left.
+are first summed to one part; if that doesn't peel, the comparison is made again with all parts. Where that fails too
+(unlike texts), `fingerprints`, which has the digests at hand, retries with sketches several times as large: parts of
+FINE digests, of FINE_WIDTH cells in a third. The last size is that at which every digest has a cell of its own, so that
+subtraction alone leaves the differing ones; it is reached where digests share all their cells. So likenesses are exact.
+From two strings alone a part that doesn't peel counts as different throughout, and a likeness may be too low.
 """
 
 from __future__ import annotations
@@ -16,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .blocks import cut
+from .blocks import cut, fresh
 from .quality import let
 
 RUN = 16
@@ -25,10 +28,10 @@ WORD, GAP = r"[^\x20\x09-\x0D]++", r"[\x20\x09\x0B-\x0D]++"
 PARAGRAPH = f"{WORD}(?:{GAP}{WORD}){{0,{RUN - 1}}}+"
 #: Cells in a third of a part (4 bits of the digest choose one), and digests of a part, at most on average.
 WIDTH, PART = 16, 32
-#: Rounds of peeling at most; each peels all cells that are ripe.
+#: The same of the larger sketches that a failed comparison is made again with.
+FINE_WIDTH, FINE = 8, 4
+#: Rounds of peeling at most; each peels all cells that are ripe. A comparison that needs more is made again with more cells.
 ROUNDS = 24
-#: A part that leaves digests which seem to be so few is taken at that number.
-FEW = 3
 CELL = "struct<c:int,x:bigint>"
 
 
@@ -56,30 +59,31 @@ def cell(c: Column, x: Column) -> Column:
     return F.struct(c.cast("int").alias("c"), x.alias("x"))
 
 
-def places(x: Column) -> list[Column]:
-    """A digest's cell in each third: 4 bits of it each."""
-    return [F.shiftrightunsigned(x, 16 + 4 * t).bitwiseAND(F.lit(WIDTH - 1)).cast("int").alias(f"p{t}") for t in range(3)]
+def places(x: Column, width: int) -> list[Column]:
+    """A digest's cell in each third, by bits of its own for each."""
+    bits = width.bit_length() - 1
+    return [F.shiftrightunsigned(x, 16 + bits * t).bitwiseAND(F.lit(width - 1)).cast("int").alias(f"p{t}") for t in range(3)]
 
 
-def thirds(rows: Column, one) -> Column:
+def thirds(rows: Column, one, width: int) -> Column:
     """Cells of three thirds: one(third, j, rows that go to cell j of it). rows: structs with p0, p1 and p2."""
-    third = lambda t: F.transform(F.sequence(F.lit(0), F.lit(WIDTH - 1)), lambda j: let(F.filter(rows, lambda r: r[f"p{t}"] == j), lambda mine: one(t, j, mine)))
+    third = lambda t: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: let(F.filter(rows, lambda r: r[f"p{t}"] == j), lambda mine: one(t, j, mine)))
     return F.concat(*(third(t) for t in range(3)))
 
 
-def cells_of(items: Column) -> Column:
+def cells_of(items: Column, width: int) -> Column:
     """Cells of a part's digests."""
     one = lambda t, j, mine: cell(F.size(mine), F.aggregate(mine, F.lit(0).cast("bigint"), lambda k, r: k.bitwiseXOR(r["x"])))
-    return let(F.transform(items, lambda x: F.struct(x.alias("x"), *places(x))), lambda rows: thirds(rows, one))
+    return let(F.transform(items, lambda x: F.struct(x.alias("x"), *places(x, width))), lambda rows: thirds(rows, one, width))
 
 
-def bits_of(n: Column) -> Column:
-    """p for n digests: 2**p parts hold PART each at most on average."""
-    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(1)) / F.lit(PART))).cast("int"))
+def bits_of(n: Column, part: int = PART) -> Column:
+    """p for n digests: 2**p parts hold `part` each at most on average."""
+    return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(1)) / F.lit(part))).cast("int"))
 
 
-def sketch(found: Column) -> Column:
-    """Parts (arrays of 3 * WIDTH cells) of sorted digests."""
+def sketch(found: Column, width: int = WIDTH, bits: Column | None = None) -> Column:
+    """Parts (arrays of 3 * width cells) of sorted digests: as many as their number asks for, or 2**bits."""
 
     def made(items):
         n = F.size(items)
@@ -95,9 +99,9 @@ def sketch(found: Column) -> Column:
 
         def part(p, i):
             bound = lambda j: F.call_function("shiftleft", j.cast("bigint"), 56 - p)
-            return let(let(below(bound(i)), lambda lo: F.slice(items, lo + 1, below(bound(i + 1)) - lo)), cells_of)
+            return let(let(below(bound(i)), lambda lo: F.slice(items, lo + 1, below(bound(i + 1)) - lo)), lambda mine: cells_of(mine, width))
 
-        return let(bits_of(n), lambda p: F.when(p == 0, F.array(cells_of(items))).otherwise(F.transform(seq(F.call_function("shiftleft", F.lit(1), p)), lambda i: part(p, i))))
+        return let(bits_of(n) if bits is None else bits, lambda p: F.when(p == 0, F.array(cells_of(items, width))).otherwise(F.transform(seq(F.call_function("shiftleft", F.lit(1), p)), lambda i: part(p, i))))
 
     return let(found, made)
 
@@ -116,7 +120,7 @@ def fold(parts: Column, n: Column) -> Column:
     return let((F.size(parts) / n).cast("int"), folded)
 
 
-def peel(cells: Column) -> Column:
+def peel(cells: Column, width: int = WIDTH) -> Column:
     """struct(cells, a, b): what is left, and the digests peeled from the first (a) and from the second (b) of the two sketches whose difference it is."""
 
     def ripe(cs):
@@ -125,8 +129,8 @@ def peel(cells: Column) -> Column:
     def round_(s, _):
         def step(found):
             of = lambda c: F.transform(F.filter(found, lambda v: v["c"] == c), lambda v: v["x"])
-            taken = lambda t, j, mine: F.aggregate(mine, F.get(s["cells"], j + t * WIDTH), lambda u, f: cell(u["c"] - f["c"], u["x"].bitwiseXOR(f["x"])))
-            left = let(F.transform(found, lambda v: F.struct(v["c"].alias("c"), v["x"].alias("x"), *places(v["x"]))), lambda rows: thirds(rows, taken))
+            taken = lambda t, j, mine: F.aggregate(mine, F.get(s["cells"], j + t * width), lambda u, f: cell(u["c"] - f["c"], u["x"].bitwiseXOR(f["x"])))
+            left = let(F.transform(found, lambda v: F.struct(v["c"].alias("c"), v["x"].alias("x"), *places(v["x"], width))), lambda rows: thirds(rows, taken, width))
             return F.struct(left.alias("cells"), F.concat(s["a"], of(1)).alias("a"), F.concat(s["b"], of(-1)).alias("b"), F.lit(True).alias("on"))
 
         done = F.struct(s["cells"].alias("cells"), s["a"].alias("a"), s["b"].alias("b"), F.lit(False).alias("on"))
@@ -136,52 +140,73 @@ def peel(cells: Column) -> Column:
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_, lambda s: F.struct(s["cells"].alias("cells"), s["a"].alias("a"), s["b"].alias("b")))
 
 
-def held(part: Column) -> Column:
+def held(part: Column, width: int = WIDTH) -> Column:
     """Digests in a part."""
-    return F.aggregate(F.slice(part, 1, WIDTH), F.lit(0), lambda n, v: n + v["c"])
+    return F.aggregate(F.slice(part, 1, width), F.lit(0), lambda n, v: n + v["c"])
 
 
-def left_over(cells: Column) -> Column:
-    """At least so many digests are in these cells: by thirds, a cell's count, or two that cancel out."""
-    third = lambda t: F.aggregate(F.slice(cells, t * WIDTH + 1, WIDTH), F.lit(0), lambda n, v: n + F.when((v["c"] == 0) & (v["x"] != 0), 2).otherwise(F.abs(v["c"])))
-    return F.greatest(*(third(t) for t in range(3)))
+def left_over(cells: Column, width: int) -> Column:
+    """How many digests are in these cells if all of them share theirs: 0; 2, where each third has one cell, of two digests that add up or cancel out; else -1."""
+    n = F.aggregate(cells, F.lit(0), lambda k, v: k + F.when((v["c"] != 0) | (v["x"] != 0), 1).otherwise(0))
+    third = lambda t: F.aggregate(F.slice(cells, t * width + 1, width), F.lit(0), lambda k, v: k + F.when((v["c"] == 0) & (v["x"] != 0), 2).otherwise(F.abs(v["c"])))
+    return F.when(n == 0, F.lit(0)).when((n == 3) & (third(0) == 2) & (third(1) == 2) & (third(2) == 2), F.lit(2)).otherwise(F.lit(-1))
 
 
-def compare_parts(a: Column, b: Column) -> Column:
-    """struct(d, a, b, clear) of two parts: differing digests, those recovered of each side, and whether these are all."""
-    nothing = F.struct(F.lit(0).alias("d"), none("bigint").alias("a"), none("bigint").alias("b"), F.lit(True).alias("clear"))
+def compare_parts(width: int):
+    """struct(d, a, b, clear, sure) of two parts: differing digests, those recovered of each side, whether these are all, and whether d is sure."""
 
-    def of(s):
-        def counted(left):
-            peeled = F.size(s["a"]) + F.size(s["b"])
-            return F.struct(F.when(left <= FEW, peeled + left).otherwise(held(a) + held(b)).alias("d"), s["a"].alias("a"), s["b"].alias("b"), (left == 0).alias("clear"))
+    def both(a: Column, b: Column) -> Column:
+        kind = lambda d, x, y, clear, sure: F.struct(d.alias("d"), x.alias("a"), y.alias("b"), clear.alias("clear"), sure.alias("sure"))
+        nothing = kind(F.lit(0), none("bigint"), none("bigint"), F.lit(True), F.lit(True))
 
-        return let(left_over(s["cells"]), counted)
+        def of(s):
+            every = held(a, width) + held(b, width)
+            return let(left_over(s["cells"], width), lambda left: kind(F.when(left >= 0, F.size(s["a"]) + F.size(s["b"]) + left).otherwise(every), s["a"], s["b"], left == 0, left >= 0))
 
-    return F.when(a == b, nothing).otherwise(let(peel(add(a, b, -1)), of))
+        return F.when(a == b, nothing).otherwise(let(peel(add(a, b, -1), width), of))
 
+    return both
 
-def compare(x: Column, y: Column) -> Column:
-    """struct(likeness, only_x, only_y, clear) of two sketches (arrays of parts): shared digests over all, the recovered digests that only one has, and whether these are all there are. Two without digests are alike."""
+
+def compare(x: Column, y: Column, width: int = WIDTH) -> Column:
+    """struct(likeness, only_x, only_y, clear, sure) of two sketches (arrays of parts): shared digests over all, the recovered digests that only one has, whether these are all there are, and whether the likeness is sure. Two without digests are alike."""
 
     def joined(each):
         flat = lambda k: F.flatten(F.transform(each, lambda e: e[k]))
-        return F.struct(F.aggregate(each, F.lit(0), lambda n, e: n + e["d"]).alias("d"), flat("a").alias("a"), flat("b").alias("b"), F.forall(each, lambda e: e["clear"]).alias("clear"))
+        every = lambda k: F.forall(each, lambda e: e[k])
+        return F.struct(F.aggregate(each, F.lit(0), lambda n, e: n + e["d"]).alias("d"), flat("a").alias("a"), flat("b").alias("b"), every("clear").alias("clear"), every("sure").alias("sure"))
 
     def done(total):
         def ratio(r):
             shared = (total - r["d"]) / F.lit(2.0)
-            return F.struct(F.when(total == 0, F.lit(1.0)).otherwise(shared / (total - shared)).alias("likeness"), r["a"].alias("only_x"), r["b"].alias("only_y"), r["clear"].alias("clear"))
+            return F.struct(F.when(total == 0, F.lit(1.0)).otherwise(shared / (total - shared)).alias("likeness"), r["a"].alias("only_x"), r["b"].alias("only_y"), r["clear"].alias("clear"), r["sure"].alias("sure"))
 
         return ratio
 
     def at(n):
-        return let(F.zip_with(fold(x, n), fold(y, n), compare_parts), joined)
+        return let(F.zip_with(fold(x, n), fold(y, n), compare_parts(width)), joined)
 
     n = F.least(F.size(x), F.size(y))
-    total = F.aggregate(x, F.lit(0), lambda k, p: k + held(p)) + F.aggregate(y, F.lit(0), lambda k, p: k + held(p))
+    total = F.aggregate(x, F.lit(0), lambda k, p: k + held(p, width)) + F.aggregate(y, F.lit(0), lambda k, p: k + held(p, width))
     larger = lambda once: F.when(once["clear"] | (n == 1), once).otherwise(at(n))
-    return let(let(at(F.lit(1)), larger), lambda r: let(total, lambda t: done(t)(r)))
+    first = at(F.lit(1)) if width == WIDTH else at(n)
+    return let(let(first, larger) if width == WIDTH else first, lambda r: let(total, lambda t: done(t)(r)))
+
+
+def retried(df: DataFrame, own: str, other: str, met: str, name: str) -> DataFrame:
+    """df with name: the likeness of two texts by the comparison `met` of their fingerprints' sketches, made again with larger sketches of the same digests (own, other) until it is sure.
+
+    Sizes are steps of their own, as expressions that hold each other are analysed slowly; where a step isn't needed its columns are null.
+    """
+    x, y, again = (fresh(df, c) for c in ("_x", "_y", "_again"))
+    unsure = lambda c: F.when(~F.col(met)["sure"], c)
+    bits = bits_of(F.greatest(F.size(own), F.size(other)), FINE)
+    larger = df.withColumns({x: unsure(sketch(F.col(own), FINE_WIDTH, bits)), y: unsure(sketch(F.col(other), FINE_WIDTH, bits))})
+    larger = larger.withColumn(again, unsure(compare(F.col(x), F.col(y), FINE_WIDTH)))
+    # a cell for each digest: what the difference holds is what one side alone has
+    single = let(F.size(F.array_except(own, other)) + F.size(F.array_except(other, own)), lambda d: (F.size(own) + F.size(other) - d) / (F.size(own) + F.size(other) + d))
+    likeness = F.when(F.col(met)["sure"], F.col(met)["likeness"]).when(F.col(again)["sure"], F.col(again)["likeness"]).otherwise(single)
+    return larger.withColumn(name, likeness).drop(x, y, again)
 
 
 def encode(parts: Column) -> Column:
@@ -224,7 +249,7 @@ def successors(docs: DataFrame, key: str) -> DataFrame:
 def fingerprints(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next of docs (doc_id, text; doc_id unique).
 
-    The edited text ends in the next document's beginning: the last floor(n_chars/4) code points are replaced by the first as many (or all) of the next. Null texts are empty. near_edited and near_next are likenesses of the returned fingerprints: shared digests over all digests of both (1 for two without any), exact where the sketches peel. A row with a null doc_id has no next: its edited text loses its end, and its next is the empty text. Rows that repeat a doc_id: each is compared, next is the least text of the next id. No rows: no rows.
+    The edited text ends in the next document's beginning: the last floor(n_chars/4) code points are replaced by the first as many (or all) of the next. Null texts are empty. near_edited and near_next are likenesses: shared digests over all digests of both (1 for two without any), from the returned fingerprints or, where these don't peel, from larger sketches of the same digests. A row with a null doc_id has no next: its edited text loses its end, and its next is the empty text. Rows that repeat a doc_id: each is compared, next is the least text of the next id. No rows: no rows.
     """
     # both joins read one exchange of (k, text); a filter on nulls or one more column would make two of it. The least long stands for null
     slim = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("doc_id").cast("long"), F.lit(-(2**63))).alias("k"), F.coalesce("text", F.lit("")).alias("text"))
@@ -239,5 +264,8 @@ def fingerprints(docs: DataFrame) -> DataFrame:
         F.nullif("k", F.lit(-(2**63))).alias("doc_id"), F.length("text").cast("long").alias("n_chars"), "own",
         F.concat(F.substring("text", F.lit(1), F.length("text") - q), F.substring(F.coalesce("_next.head", F.lit("")), F.lit(1), q)).alias("edited"), F.coalesce("_next.after", none("bigint")).alias("after"),
     )
-    made = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), sketch(F.col("own")).alias("own"), sketch(digests(F.col("edited"))).alias("edit"), sketch(F.col("after")).alias("after"))
-    return made.select("doc_id", "n_chars", "edited_sha256", encode(F.col("own")).alias("fingerprint"), encode(F.col("edit")).alias("edited_fingerprint"), compare(F.col("own"), F.col("edit"))["likeness"].alias("near_edited"), compare(F.col("own"), F.col("after"))["likeness"].alias("near_next"))
+    with_digests = both.select("doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "own", digests(F.col("edited")).alias("edit"), "after")
+    made = with_digests.select("*", *(sketch(F.col(c)).alias(f"{c}_sketch") for c in ("own", "edit", "after")))
+    met = made.select("*", *(compare(F.col("own_sketch"), F.col(f"{c}_sketch")).alias(f"{c}_met") for c in ("edit", "after")))
+    found = retried(retried(met, "own", "edit", "edit_met", "near_edited"), "own", "after", "after_met", "near_next")
+    return found.select("doc_id", "n_chars", "edited_sha256", encode(F.col("own_sketch")).alias("fingerprint"), encode(F.col("edit_sketch")).alias("edited_fingerprint"), "near_edited", "near_next")
