@@ -8,7 +8,8 @@ import argparse
 def parser() -> argparse.ArgumentParser:
     p = argparse.ArgumentParser(prog="loomspan")
     p.add_argument("modality", choices=["eye-tracking", "keyboard", "touch", "voice"])
-    p.add_argument("base_path", help="folder of date/client/task/modality/archive/file, or with --single one recording")
+    p.add_argument("base_path", nargs="?", help="folder of date/client/task/modality/archive/file, or with --single one recording")
+    p.add_argument("--base_path", "--root_dir", dest="root", help="base_path as an option; --root_dir is its older name")
     p.add_argument("--single", action="store_true", help="base_path is one recording; its client and task are --client_id and --context")
     p.add_argument("--client_id", default="unknown_client")
     p.add_argument("--context", default="unknown_task")
@@ -26,7 +27,11 @@ def parser() -> argparse.ArgumentParser:
 
 
 def main(argv: list[str] | None = None) -> int:
-    a = parser().parse_args(argv)
+    p = parser()
+    a = p.parse_args(argv)
+    base = a.base_path or a.root
+    if not base or (a.base_path and a.root):
+        p.error("give one base_path")
     from pyspark.sql import SparkSession
 
     from loomspan.plans import batch, document
@@ -34,11 +39,12 @@ def main(argv: list[str] | None = None) -> int:
 
     spark = SparkSession.builder.appName("loomspan").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     cfg = PIConfig(a.window_size_sec, a.stride_sec, a.screen_width_px, a.screen_height_px, a.timezone, a.pause_threshold_ms, a.ngram_n, a.holdtime_mode)
+    root = batch.output_root(base, a.output_root, a.single)
     if a.single:
-        n = document.write_documents(batch.run_file(spark, a.base_path, a.modality, cfg, a.client_id, a.context).documents, batch.output_root(a.base_path, a.output_root), a.modality)
+        n = document.write_documents(batch.run_file(spark, base, a.modality, cfg, a.client_id, a.context).documents, root, a.modality)
     else:
-        n = batch.run_and_write(spark, a.base_path, a.modality, cfg, a.clients, a.output_root)
-    print(f"{n} documents in {batch.output_root(a.base_path, a.output_root)}")
+        n = batch.run_and_write(spark, base, a.modality, cfg, a.clients, root)
+    print(f"{n} documents in {root}")
     return 0
 
 

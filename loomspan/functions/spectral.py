@@ -59,28 +59,34 @@ def band_rhythm(ys: pd.Series, fs: pd.Series, low: pd.Series, high: pd.Series) -
 
 def peaks(y: np.ndarray, distance: int, height: float | None) -> np.ndarray:
     """Local maxima (a plateau counts once, at its middle) of at least `height`; of two closer than `distance` the higher stays, of equal ones the later."""
-    n = len(y)
-    found = []
-    i = 1
-    while i < n - 1:
-        if y[i - 1] < y[i]:
-            j = i
-            while j < n - 1 and y[j + 1] == y[i]:
-                j += 1
-            if j < n - 1 and y[j + 1] < y[i]:
-                found.append((i + j) // 2)
-            i = j
-        i += 1
-    at = np.array(found, int)
+    edge = np.flatnonzero(y[1:] != y[:-1]) + 1  # where runs of equal values start
+    first, last = np.concatenate(([0], edge)), np.concatenate((edge, [len(y)])) - 1
+    v = y[first]
+    top = np.flatnonzero((v[1:-1] > v[:-2]) & (v[1:-1] > v[2:])) + 1
+    at = (first[top] + last[top]) // 2
     if height is not None:
         at = at[y[at] >= height]
-    keep = np.ones(len(at), bool)
-    for k in np.argsort(y[at], kind="stable")[::-1]:
-        if keep[k]:
-            near = np.abs(at - at[k]) < distance
-            near[k] = False
-            keep[near] = False
-    return at[keep]
+    return at[unsuppressed(at.tolist(), np.argsort(y[at], kind="stable")[::-1].tolist(), distance)]
+
+
+def unsuppressed(at: list[int], order: list[int], distance: int) -> np.ndarray:
+    """Which of ascending places stay if each in turn puts out those nearer than `distance`: a list linked both ways, from which a place goes once."""
+    n = len(at)
+    before, after, keep = list(range(-1, n - 1)), list(range(1, n + 1)), np.ones(n, bool)
+    for k in order:
+        if not keep[k]:
+            continue
+        for step in (before, after):
+            j = step[k]
+            while 0 <= j < n and abs(at[j] - at[k]) < distance:
+                keep[j] = False
+                j = step[j]
+            step[k] = j
+        if before[k] >= 0:
+            after[before[k]] = k
+        if after[k] < n:
+            before[after[k]] = k
+    return keep
 
 
 @F.pandas_udf(T.IntegerType())
@@ -102,24 +108,60 @@ def yin(y: np.ndarray, sr: int, low: float = 50.0, high: float = 500.0, frame_s:
     y = np.pad(np.asarray(y, float), half)
     count = 1 + (len(y) - frame) // hop
     rows = np.lib.stride_tricks.sliding_window_view(y, frame)[: (count - 1) * hop + 1 : hop]
-    width = frame - longest - 1
-    diff = np.zeros((count, longest + 2))
-    for lag in range(1, longest + 2):
-        d = rows[:, :width] - rows[:, lag : lag + width]
-        diff[:, lag] = np.einsum("ij,ij->i", d, d)
-    mean = np.cumsum(diff[:, 1:], 1) / np.arange(1, longest + 2)
+    return np.concatenate([pitch_of(rows[lo : lo + FRAMES], sr, longest, shortest, threshold) for lo in range(0, count, FRAMES)])
+
+
+#: Frames that are transformed at once.
+FRAMES = 4096
+
+
+def differences(rows: np.ndarray, width: int, lags: int) -> np.ndarray:
+    """Sums of squared differences of each frame's first `width` values and those `lag` later, for lags below `lags`, by correlation in the frequency domain."""
+    size = 1 << (rows.shape[1] + width - 1).bit_length()
+    shared = np.fft.irfft(np.conj(np.fft.rfft(rows[:, :width], size)) * np.fft.rfft(rows, size), size)[:, :lags]
+    energy = np.concatenate((np.zeros((len(rows), 1)), np.cumsum(rows**2, 1)), 1)
+    both = energy[:, [width]] + energy[:, width : width + lags] - energy[:, :lags]
+    out = both - 2 * shared
+    return np.where(out > 1e-12 * both, out, 0.0)  # what is below is rounding
+
+
+def pitch_of(rows: np.ndarray, sr: int, longest: int, shortest: int, threshold: float) -> np.ndarray:
+    """Pitch of each frame."""
+    lags = longest + 2
+    diff = differences(rows, rows.shape[1] - longest - 1, lags)
+    mean = np.cumsum(diff[:, 1:], 1) / np.arange(1, lags)
     norm = np.ones_like(diff)
     norm[:, 1:] = np.divide(diff[:, 1:], mean, out=np.ones_like(mean), where=mean > 0)
-    out = np.empty(count)
-    for i, d in enumerate(norm):
-        cand = d[shortest : longest + 1]
-        dips = np.flatnonzero((cand[1:-1] < cand[:-2]) & (cand[1:-1] <= cand[2:])) + 1
-        good = dips[cand[dips] < threshold]
-        k = shortest + int(good[0] if len(good) else cand.argmin())
-        a, b, c = d[k - 1], d[k], d[min(k + 1, longest + 1)]
-        bend = a - 2 * b + c
-        out[i] = sr / (k + (0.5 * (a - c) / bend if bend > 0 and abs(a - c) < 2 * bend else 0.0))
-    return out
+    cand = norm[:, shortest : longest + 1]
+    good = np.zeros(cand.shape, bool)
+    good[:, 1:-1] = (cand[:, 1:-1] < cand[:, :-2]) & (cand[:, 1:-1] <= cand[:, 2:]) & (cand[:, 1:-1] < threshold)
+    k = shortest + np.where(good.any(1), good.argmax(1), cand.argmin(1))
+    a, b, c = (norm[np.arange(len(norm)), i] for i in (k - 1, k, np.minimum(k + 1, longest + 1)))
+    bend = a - 2 * b + c
+    fits = (bend > 0) & (np.abs(a - c) < 2 * bend)
+    return sr / (k + np.where(fits, 0.5 * (a - c) / np.where(fits, bend, 1.0), 0.0))
+
+
+def frame_rms(y: np.ndarray, rate: int, frame_s: float = 0.025, hop_s: float = 0.01) -> np.ndarray:
+    """Root mean square of full frames, in single precision; a shorter signal is padded to one frame."""
+    size, hop = round(frame_s * rate), round(hop_s * rate)
+    if len(y) < size:
+        y = np.pad(y, (0, size - len(y)))
+    rows = np.lib.stride_tricks.sliding_window_view(y.astype(np.float32), size)[::hop]
+    return np.sqrt((rows**2).mean(1, dtype=np.float32) + np.float32(1e-12)).astype(np.float32)
+
+
+def tracked(y: np.ndarray, rate: int) -> tuple[np.ndarray, list]:
+    """(rms, pitch) of a signal's frames; a frame beyond the pitch track has none."""
+    rms = frame_rms(y, rate)
+    f0 = yin(y, rate)[: len(rms)]
+    return rms, [*f0.tolist(), *[None] * (len(rms) - len(f0))]
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField("rms", T.FloatType()), T.StructField("f0", T.DoubleType())])))
+def track(ys: pd.Series, rates: pd.Series) -> pd.Series:
+    """Loudness and pitch of the frames of whole signals."""
+    return pd.Series([[{"rms": float(a), "f0": b} for a, b in zip(*tracked(y, int(rate)), strict=True)] for y, rate in zip(arrays(ys), rates, strict=True)])
 
 
 def moving_average(y: np.ndarray, width: int) -> np.ndarray:

@@ -14,6 +14,8 @@ from . import document, eye, keyboard, registry, touch, voice
 from .config import PIConfig
 
 KEYS = ["client_id", "task", "date", "archive_id"]
+#: Fixed value: the name of the folder that recordings lie below.
+ROOT = "hospital_data"
 
 
 @dataclass
@@ -66,9 +68,17 @@ def _run(recordings: DataFrame, modality: str, cfg: PIConfig) -> Result:
     return Result(wide, document.documents(wide, modality, cfg, F.col("offset")), errors)
 
 
-def output_root(base: str, given: str | None = None) -> str:
-    """The folder of the documents: the given one, else primitive_indicator beside base."""
-    return given or os.path.join(os.path.dirname(base.rstrip("/")), "primitive_indicator")
+def output_root(base: str, given: str | None = None, single: bool = False) -> str:
+    """The folder of the documents: the given one, else primitive_indicator beside base; of a single recording, beside its ancestor of ROOT's name, else in its folder."""
+    if given:
+        return given
+    path = base.rstrip("/")
+    if single:
+        parts = path.split("/")
+        if ROOT not in parts:
+            return os.path.dirname(path)
+        path = "/".join(parts[: parts.index(ROOT) + 1])
+    return os.path.join(os.path.dirname(path), "primitive_indicator")
 
 
 def run_and_write(spark: SparkSession, base: str, modality: str, cfg: PIConfig | None = None, clients: list[str] | None = None, root: str | None = None) -> int:

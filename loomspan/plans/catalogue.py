@@ -277,6 +277,18 @@ def voice_pitch(s, d):
     return tidy(voice.pitch(voice.speech(voice.windows(f, VOICE))))
 
 
+def voice_signal_frames(s, d):
+    """Loudness and pitch of the frames of signals made of table values."""
+    f = voice.frames(adapters.signals(s, d), adapters.RATE)
+    return tidy(f.select("sess", "i", F.col("rms").cast("double").alias("rms"), "f0"))
+
+
+def voice_signal_pitch(s, d):
+    """Pitch statistics of the speech in these signals."""
+    f = voice.frames(adapters.signals(s, d), adapters.RATE)
+    return tidy(pick(voice.pitch(voice.speech(f)), "pitch_level_f0", "voiced_ratio", "voicing_breaks_rate"))
+
+
 def audio_spectrum(s, d):
     """Spectra of the embedding vectors taken as signals."""
     v = adapters.audio_vectors(s, d).withColumn("r", voice.spectral.band_rhythm(F.col("y"), F.lit(100.0), F.lit(0.5), F.lit(12.0)))
@@ -317,7 +329,7 @@ QUERIES = {
         win_clipped, win_full, win_full_nonempty, win_padded, eye_position_velocity, eye_jerk, eye_path_bbox_dispersion, eye_entropy, eye_fractal, eye_rqa, eye_dwell_regions, eye_center_bias, eye_threshold,
         eye_fixations, eye_saccades, eye_event_geometry, eye_intervals_backtrack, eye_drift, eye_hull, key_counts_ratios, key_holds, key_intervals_overlap, key_pause_burst, key_words_ngrams, key_chords, key_entropy,
         key_lifo_pairing, touch_strokes, touch_gestures, touch_kinematics, touch_swipe_kinematics, touch_direction, touch_swipe_geometry, touch_regions, touch_pressure_area, touch_entropy, touch_fractal, touch_hull, touch_rhythm,
-        voice_vad_pause, voice_loudness, voice_envelope_ma, voice_syllables, voice_rhythm, voice_pitch, audio_spectrum, null_indicators, eye_indicators, keyboard_indicators, touch_indicators, voice_indicators, pi_document_json,
+        voice_vad_pause, voice_loudness, voice_envelope_ma, voice_syllables, voice_rhythm, voice_pitch, voice_signal_frames, voice_signal_pitch, audio_spectrum, null_indicators, eye_indicators, keyboard_indicators, touch_indicators, voice_indicators, pi_document_json,
     )
 }
 SQL = oracle.SQL

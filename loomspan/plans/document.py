@@ -74,14 +74,3 @@ def write_documents(docs: DataFrame, root: str, modality: str) -> int:
 
     written = winners(docs).select("client_id", "task", "document").mapInPandas(save, "n long")
     return written.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
-
-
-def write_wide(wide: DataFrame, path: str) -> None:
-    """The indicators as Parquet by client."""
-    wide.write.mode("overwrite").partitionBy("client_id").parquet(path)
-
-
-def long_form(wide: DataFrame, modality: str) -> DataFrame:
-    """(sess, win, indicator, value): a view for export."""
-    cols = registry.columns(modality)
-    return wide.select("sess", "win", *(F.col(c).cast("double") for c in cols)).unpivot(["sess", "win"], cols, "indicator", "value")

@@ -357,6 +357,28 @@ x AS (SELECT sess, win, {cols(st('pitch_level_f0', 'CASE WHEN voiced THEN f0 END
     }
 
 
+def signals() -> dict[str, str]:
+    """Frames of 100 samples each 40, their loudness in single precision, and YIN by sums over lags."""
+    base = """c AS (SELECT c_custkey AS sess, 100 + (c_custkey * 7) % 300 + c_nationkey / 10.0::DOUBLE AS hz, c_nationkey AS k FROM customer),
+sg AS (SELECT sess, list_transform(range(800), lambda i: round(64 * (0.5::DOUBLE * sin(2 * pi() * hz * i / 4000) + 0.3::DOUBLE * sin(2 * pi() * 2 * hz * i / 4000 + k)) * CASE WHEN i >= 400 THEN 1.0::DOUBLE ELSE (k % 4 + 1) / 4.0::DOUBLE END) / 64) AS y FROM c),
+pd AS (SELECT sess, y, list_concat(list_concat(list_transform(range(50), lambda i: 0.0::DOUBLE), y), list_transform(range(50), lambda i: 0.0::DOUBLE)) AS z FROM sg),
+ff AS (SELECT sess, y, z, unnest(range(18)) AS i FROM pd),
+fm AS (SELECT sess, i, sqrt((list_sum(list_transform(y[i * 40 + 1 : i * 40 + 100], lambda v: v * v))::FLOAT / 100::FLOAT + 1e-12::FLOAT)::DOUBLE)::FLOAT AS rms, z[i * 40 + 1 : i * 40 + 100] AS w FROM ff),
+lg AS (SELECT sess, i, w, unnest(range(1, 51)) AS lag FROM fm),
+df AS (SELECT sess, i, lag, list_sum(list_transform(range(1, 51), lambda j: (w[j] - w[j + lag]) * (w[j] - w[j + lag]))) AS d FROM lg),
+mn AS (SELECT *, sum(d) OVER (PARTITION BY sess, i ORDER BY lag ROWS UNBOUNDED PRECEDING) / lag AS m FROM df),
+nm AS (SELECT sess, i, lag, CASE WHEN m > 0 THEN d / m ELSE 1.0 END AS n FROM mn),
+nb AS (SELECT *, lag(n) OVER q AS a, lead(n) OVER q AS b FROM nm WINDOW q AS (PARTITION BY sess, i ORDER BY lag)),
+bs AS (SELECT sess, i, min(lag) FILTER (lag BETWEEN 9 AND 48 AND n < a AND n <= b AND n < 0.1) AS dip, min_by(lag, (n, lag)) FILTER (lag BETWEEN 8 AND 49) AS low FROM nb GROUP BY sess, i),
+pk AS (SELECT bs.sess, bs.i, lag, n, coalesce(a, 1.0) AS a, coalesce(b, n) AS b, a - 2 * n + b AS bend FROM bs JOIN nb ON nb.sess = bs.sess AND nb.i = bs.i AND nb.lag = coalesce(dip, low)),
+tr AS (SELECT pk.sess, 1 AS win, pk.i, rms, 4000 / (lag + CASE WHEN bend > 0 AND abs(a - b) < 2 * bend THEN 0.5 * (a - b) / bend ELSE 0.0 END) AS f0 FROM pk JOIN fm USING (sess, i)),
+sp AS (SELECT *, rms >= greatest(1e-6, quantile_cont(rms::DOUBLE, 0.75) OVER (PARTITION BY sess) * 0.15)::FLOAT AS speech FROM tr)"""
+    return {
+        "voice_signal_frames": f"WITH {base} SELECT sess, i, {rd('rms')} AS rms, {rd('f0')} AS f0 FROM tr",
+        "voice_signal_pitch": query(base, cols(st("pitch_level_f0", "f0", 0), sc("voiced_ratio", "1.0", 0), sc("voicing_breaks_rate", "CASE WHEN count(*) >= 2 THEN 0.0 END", 0)), "sp WHERE speech"),
+    }
+
+
 def hulls() -> dict[str, str]:
     return {
         "eye_hull": query(SEGMENTS + ", " + hull("SELECT sess, win, mx AS x, my AS y FROM ev WHERE kind = 'fixation'") + ", hw AS (SELECT DISTINCT sess, win FROM ev WHERE kind = 'fixation')",
@@ -374,14 +396,14 @@ def wide(spine: str, extra: str, parts: list[str], sql: dict[str, str], nulls: t
 
 
 def every() -> dict[str, str]:
-    sql = {**eye(), **keyboard(), **touch(), **voice(), **spectra(), **hulls()}
+    sql = {**eye(), **keyboard(), **touch(), **voice(), **spectra(), **signals(), **hulls()}
     pitch = tuple(f"{n}" for n in ("pitch_level_f0", "voiced_ratio", "unvoiced_ratio", "voicing_breaks_rate", "pitch_variability", "pitch_range", "pitch_tremor_extent", "pitch_tremor_rate"))
     span, counted = ", z.w_start, z.w_end, z.n_samples", "min(w_start) AS w_start, min(w_end) AS w_end, count(*) AS n_samples FROM d GROUP BY sess, win"
     sql["eye_indicators"] = wide(f"WITH {GAZE} SELECT sess, win, {counted}", span, ["eye_position_velocity", "eye_jerk", "eye_path_bbox_dispersion", "eye_entropy", "eye_fractal", "eye_rqa", "eye_dwell_regions", "eye_center_bias", "eye_fixations", "eye_saccades", "eye_event_geometry", "eye_intervals_backtrack", "eye_drift", "eye_hull"], sql)
     keys = f"WITH {PRESSES}, nn AS (SELECT sess, win, count(*) AS n FROM d GROUP BY ALL) SELECT w.sess, w.k AS win, w_start, w_end, coalesce(n, 0) AS n_samples FROM w LEFT JOIN nn ON nn.sess = w.sess AND nn.win = w.k"
     sql["keyboard_indicators"] = wide(keys, span, [k for k in sql if k.startswith("key_") and k != "key_lifo_pairing"], sql, ("key_sequence_levenshtein_distance", "ngram_distribution_similarity", "rouge_l_similarity"))
     sql["touch_indicators"] = wide(f"WITH {TOUCH} SELECT sess, win, {counted}", span, [k for k in sql if k.startswith("touch_") and k != "touch_indicators"], sql)
-    sql["voice_indicators"] = wide(f"WITH {VOICE} SELECT DISTINCT sess, win FROM fw", "", [k for k in sql if k.startswith("voice_") and k not in ("voice_pitch", "voice_indicators")], sql, (*pitch, "dynamic_time_warping_similarity", "frequency_domain_similarity", "rouge_l_similarity"))
+    sql["voice_indicators"] = wide(f"WITH {VOICE} SELECT DISTINCT sess, win FROM fw", "", [k for k in sql if k.startswith("voice_") and "signal" not in k and k not in ("voice_pitch", "voice_indicators")], sql, (*pitch, "dynamic_time_warping_similarity", "frequency_domain_similarity", "rouge_l_similarity"))
     return sql
 
 

@@ -34,6 +34,12 @@ def windows(frames: DataFrame, cfg: PIConfig) -> DataFrame:
     return every.join(held, [*G, "i"], "left").withColumn("rms", F.coalesce("rms", F.lit(SILENT).cast("float")))
 
 
+def frames(signals: DataFrame, rate: int) -> DataFrame:
+    """(sess, win, i, rms, f0) of whole signals (sess, y): frames with loudness and pitch, in one window."""
+    f = signals.select("sess", F.posexplode(spectral.track("y", F.lit(rate))).alias("i", "f"))
+    return f.select("sess", F.lit(1).alias("win"), F.col("i").cast("long").alias("i"), "f.rms", "f.f0")
+
+
 def speech(windowed: DataFrame) -> DataFrame:
     """Frames with speech: at or above the floor and 0.15 of the 75th percentile, in single precision, so that digital silence meets the floor."""
     p75 = F.expr("percentile(rms, 0.75)").over(in_window())

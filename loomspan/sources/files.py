@@ -1,7 +1,9 @@
 """Recordings as files: discovery, path keys, CSV and WAV readers.
 
 A file is one row of Spark's binaryFile source and is parsed by one task, as CSV files differ in the order and presence
-of their columns, and the order of their rows matters. Paths are filtered before contents are read.
+of their columns, and the order of their rows matters. Conditions on a path's parts are put on the file's metadata, so the
+scan leaves other files out when it is planned; their contents are never read. What is parsed is held in the shared folder,
+so that each file is parsed once however many indicators are made of it.
 """
 
 from __future__ import annotations
@@ -9,6 +11,7 @@ from __future__ import annotations
 import csv
 import io
 import struct
+import tempfile
 import wave
 
 import numpy as np
@@ -17,7 +20,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from loomspan.functions import tokens
-from loomspan.functions.spectral import yin
+from loomspan.functions.spectral import tracked
 
 NAMES = {"eye-tracking": "eye-tracking.csv", "keyboard": "keyboard.csv", "touch": "stylus.csv", "voice": "voice.wav"}
 FOLDERS = {"eye-tracking": "eye-tracking", "keyboard": "keyboard", "touch": "stylus", "voice": "voice"}
@@ -35,27 +38,48 @@ def discover(spark: SparkSession, base: str, modality: str) -> DataFrame:
     return spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(base)
 
 
-def path_keys(files: DataFrame, base: str, modality: str) -> DataFrame:
-    """files with date, client_id, task, archive_id from the path below base; rows whose path has no place for them are left out.
+def keys_of(path: Column, base: str, modality: str) -> dict[str, Column]:
+    """date, client_id, task and archive_id from a path below base, and `fits`: whether the path has a place for them.
 
     Gaze: date/client/task/eye-tracking/archive/file, exactly. Others: around the first folder named after the modality, with unknown_* where the path is short.
     """
-    root = base.split("://", 1)[-1].removeprefix("file:").rstrip("/")
-    rel = F.expr(f"substring(path, locate({root + '/'!r}, path) + {len(root) + 1})")
-    out = files.withColumn("_p", F.split(rel, "/"))
+    root = base.split("://", 1)[-1].removeprefix("file:").rstrip("/") + "/"
+    p = F.split(F.substr(path, F.instr(path, F.lit(root)) + len(root)), "/")
     if modality == "eye-tracking":
-        out = out.where((F.size("_p") >= 6) & (F.get("_p", F.lit(3)) == "eye-tracking"))
         at = {"date": 0, "client_id": 1, "task": 2, "archive_id": 4}
-        return out.select("*", *(F.get("_p", F.lit(i)).alias(n) for n, i in at.items())).drop("_p")
-    out = out.withColumn("_i", F.array_position(F.transform("_p", F.lower), FOLDERS[modality]).cast("int") - 1).where("_i >= 0")
-    pick = lambda d, other: F.coalesce(F.when(F.col("_i") + d >= 0, F.get("_p", F.col("_i") + d)), F.lit(other))
-    return out.select("*", pick(-3, "unknown_date").alias("date"), pick(-2, "unknown_client").alias("client_id"), pick(-1, "unknown_task").alias("task"), pick(1, "unknown_uuid").alias("archive_id")).drop("_p", "_i")
+        return {n: F.get(p, F.lit(i)) for n, i in at.items()} | {"fits": (F.size(p) >= 6) & (F.get(p, F.lit(3)) == "eye-tracking")}
+    i = F.array_position(F.transform(p, F.lower), FOLDERS[modality]).cast("int") - 1
+    pick = lambda d, other: F.coalesce(F.when(i + d >= 0, F.get(p, i + d)), F.lit(other))
+    return {"date": pick(-3, "unknown_date"), "client_id": pick(-2, "unknown_client"), "task": pick(-1, "unknown_task"), "archive_id": pick(1, "unknown_uuid"), "fits": i >= 0}
+
+
+def path_keys(files: DataFrame, base: str, modality: str) -> DataFrame:
+    """files with date, client_id, task, archive_id from the path; rows whose path has no place for them are left out."""
+    keys = keys_of(F.col("path"), base, modality)
+    return files.where(keys.pop("fits")).withColumns(keys)
 
 
 def sessions(spark: SparkSession, base: str, modality: str, clients: list[str] | None = None) -> DataFrame:
-    """path, modificationTime, content and keys of the recordings, of the given clients alone if any are named."""
-    out = path_keys(discover(spark, base, modality), base, modality)
-    return out.where(F.col("client_id").isin(*clients)) if clients else out
+    """path, modificationTime, content and keys of the recordings, of the given clients alone if any are named: other files are not read."""
+    # a metadata path is a URI
+    stored = keys_of(F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B"))), base, modality)
+    found = discover(spark, base, modality).where(stored["fits"])
+    if clients:
+        found = found.where(stored["client_id"].isin(*clients))
+    return path_keys(found, base, modality)
+
+
+def held(df: DataFrame) -> DataFrame:
+    """df, materialised in spark.checkpoint.dir. Where that is unset, a session of one machine gets a temporary folder; a cluster is refused, as its executors would not share it."""
+    spark = df.sparkSession
+    base = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
+    if spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        if not base:
+            if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+                raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
+            base = "file://" + tempfile.mkdtemp(prefix="loomspan-")
+        spark.sparkContext.setCheckpointDir(base)
+    return df.checkpoint()
 
 
 def cells(files: DataFrame) -> DataFrame:
@@ -72,7 +96,7 @@ def cells(files: DataFrame) -> DataFrame:
                     ["path", "ord", "names", "cells"],
                 )
 
-    return files.select("path", "content").mapInArrow(run, CELLS)
+    return held(files.select("path", "content").mapInArrow(run, CELLS))
 
 
 def cell(name: str) -> Column:
@@ -180,15 +204,6 @@ def decode_wav(content: bytes) -> tuple[np.ndarray, int]:
     return y[: len(y) // channels * channels].reshape(-1, channels).mean(1).astype(np.float32), rate
 
 
-def frame_rms(y: np.ndarray, rate: int, frame_s: float = 0.025, hop_s: float = 0.01) -> np.ndarray:
-    """Root mean square of full frames, in single precision; a shorter signal is padded to one frame."""
-    size, hop = round(frame_s * rate), round(hop_s * rate)
-    if len(y) < size:
-        y = np.pad(y, (0, size - len(y)))
-    rows = np.lib.stride_tricks.sliding_window_view(y.astype(np.float32), size)[::hop]
-    return np.sqrt((rows**2).mean(1, dtype=np.float32) + np.float32(1e-12)).astype(np.float32)
-
-
 def voice_windows(files: DataFrame, window_s: float, stride_s: float) -> tuple[DataFrame, DataFrame]:
     """(frames, errors): sess, win, w_start (epoch us), i, rms, f0 of every window of every file, zero-padded beyond its end. The file's end is its modification time."""
 
@@ -207,9 +222,7 @@ def voice_windows(files: DataFrame, window_s: float, stride_s: float) -> tuple[D
                     part = np.zeros(size, np.float32)
                     held = y[a : a + size]
                     part[: len(held)] = held
-                    rms = frame_rms(part, rate)
-                    f0 = yin(part, rate)[: len(rms)]
-                    yield rows(path, k + 1, start + round(k * stride_s * 1e6), rms, [*f0.tolist(), *[None] * (len(rms) - len(f0))], None)
+                    yield rows(path, k + 1, start + round(k * stride_s * 1e6), *tracked(part, rate), None)
                     k += 1
 
     def rows(path, win, start, rms, f0, error):
@@ -219,7 +232,7 @@ def voice_windows(files: DataFrame, window_s: float, stride_s: float) -> tuple[D
             ["sess", "win", "w_start", "i", "rms", "f0", "error"],
         )
 
-    out = files.select("path", F.unix_micros("modificationTime").alias("end_us"), "content").mapInArrow(run, "sess string, win int, w_start long, i long, rms float, f0 double, error string")
+    out = held(files.select("path", F.unix_micros("modificationTime").alias("end_us"), "content").mapInArrow(run, "sess string, win int, w_start long, i long, rms float, f0 double, error string"))
     return out.where("error IS NULL").drop("error"), out.where("error IS NOT NULL").select("sess", "error")
 
 

@@ -17,7 +17,7 @@ from loomspan.plans import catalogue, eye, keyboard, registry, touch, voice
 from loomspan.plans.config import PIConfig
 
 SF = "/root/testdata/sf0.001"
-TABLES = ("events", "orders", "embeddings")
+TABLES = ("events", "orders", "embeddings", "customer")
 
 
 @pytest.fixture(scope="module")
@@ -32,7 +32,7 @@ def duck():
 def test_query_equals_sql(spark, duck, name):
     a, b = catalogue.QUERIES[name](spark, SF).toPandas(), duck.sql(catalogue.SQL[name]).df()
     assert sorted(a.columns) == sorted(b.columns) and len(a) == len(b) > 0
-    keys = [c for c in ("sess", "win", "token", "down", "up") if c in a.columns]
+    keys = [c for c in ("sess", "win", "i", "token", "down", "up") if c in a.columns]
     a, b = (x[sorted(x.columns)].sort_values(keys).reset_index(drop=True) for x in (a, b))
     for c in a.columns:
         x, y = a[c], b[c]
@@ -251,3 +251,45 @@ def test_spectra():
     assert spectral.peaks(y, 1, None).tolist() == [1, 3, 6, 11] and spectral.peaks(y, 4, 1).tolist() == [3, 11]
     f0 = spectral.yin(np.sin(2 * np.pi * 220 * np.arange(8000) / 16000), 16000)
     assert np.median(f0) == pytest.approx(220, rel=0.02)
+
+
+def test_peaks_equal_all_against_all():
+    rng = random.Random(4)
+    for _ in range(300):
+        y = np.array([rng.randint(0, 4) for _ in range(rng.randint(0, 40))], float)
+        distance, height = rng.randint(1, 9), rng.choice([None, 2.0])
+        top = [(i, j) for i in range(1, len(y)) for j in range(i, len(y) - 1) if (y[i : j + 1] == y[i]).all() and y[i - 1] < y[i] > y[j + 1]]
+        at = [(i + j) // 2 for i, j in top if height is None or y[i] >= height]
+        kept: list = []
+        for i in sorted(at, key=lambda i: (y[i], i), reverse=True):
+            if all(abs(i - k) >= distance for k in kept):
+                kept.append(i)
+        assert spectral.peaks(y, distance, height).tolist() == sorted(kept)
+
+
+def test_differences_equal_sums():
+    rng = np.random.default_rng(6)
+    rows, width, lags = np.concatenate([rng.normal(size=(50, 100)), np.zeros((2, 100)), np.ones((2, 100))]), 50, 51
+    want = np.array([[((r[:width] - r[k : k + width]) ** 2).sum() for k in range(lags)] for r in rows])
+    assert np.allclose(spectral.differences(rows, width, lags), want, atol=1e-9) and (spectral.differences(rows, width, lags)[50:] == 0).all()
+
+
+def test_one_session_is_spread_over_tasks(spark):
+    """A long session's windows are dealt by session and window: no exchange or window of the plan is by the session alone, and rows equal arithmetic."""
+    n = 200_000
+    df = spark.range(n).select(F.lit(1).alias("sess"), F.col("id").alias("ord"), (F.col("id") * 10).alias("t"))
+    dealt = W.assign(df, "t", W.CLIPPED, 2000, 1000)
+    sizes = dealt.repartition(16, "sess", "win").groupBy(F.spark_partition_id()).count().collect()
+    assert len(sizes) > 12 and max(r["count"] for r in sizes) < 0.15 * sum(r["count"] for r in sizes)
+    assert "Window [" not in dealt._jdf.queryExecution().executedPlan().toString()
+    got = dealt.groupBy("win").agg(F.count("*").alias("n"), F.min("t").alias("lo"), F.max("t").alias("hi")).collect()
+    last = (n - 1) * 10
+    assert len(got) == -(-last // 1000)
+    for r in got:
+        lo, hi = (r.win - 1) * 1000, min((r.win - 1) * 1000 + 2000, last)
+        assert (r.lo, r.hi, r.n) == (lo, (hi - 1) // 10 * 10, -(-hi // 10) - lo // 10)
+
+
+def test_gaze_indicators_are_one_pass(spark):
+    plan = catalogue.QUERIES["eye_indicators"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("FileScan") <= 2 and plan.count("Exchange hashpartitioning") <= 4

@@ -156,3 +156,43 @@ def test_zone_offsets_are_those_of_the_instant(spark):
     assert got == [[60, 330], [120, 330], [60, 330], [120, 330]]
     times = df.select(document.iso(F.col("us"), document.zone_minutes(F.col("us"), "Europe/Berlin")).alias("t")).collect()
     assert [r.t for r in times[2:]] == ["2024-03-31T01:59:59.000000+01", "2024-03-31T03:00:00.000000+02"]
+
+
+def test_other_clients_files_are_not_read(spark, tmp_path):
+    """With contents limited below the size of another client's file, reading that file would fail."""
+    root = str(tmp_path / "da+ta %41")
+    for modality, folder, name in (("eye-tracking", "eye-tracking", "eye-tracking.csv"), ("touch", "Stylus", "stylus.csv")):
+        put(root, f"20240101/c 1+é/task/{folder}/a/{name}", "timestamp,x,y\n1,2,3\n")
+        put(root, f"20240101/c2/task/{folder}/a/{name}", "x" * 5000)
+        before = spark.conf.get("spark.sql.sources.binaryFile.maxLength")
+        spark.conf.set("spark.sql.sources.binaryFile.maxLength", "1000")
+        try:
+            kept = files.sessions(spark, root, modality, ["c 1+é"]).collect()
+            assert [(r.client_id, len(r.content)) for r in kept] == [("c 1+é", 20)]
+            with pytest.raises(Exception, match="(?i)exceeds|max"):
+                files.sessions(spark, root, modality, ["c2"]).collect()
+        finally:
+            spark.conf.set("spark.sql.sources.binaryFile.maxLength", before)
+
+
+def test_files_are_parsed_once(spark, base):
+    """The plan of a run's rows, documents and errors holds no parsing: cells and frames are made before."""
+    for modality in ("eye-tracking", "touch", "voice"):
+        r = batch.run(spark, base, modality, CFG)
+        for df in (r.wide, r.documents, r.errors):
+            assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_root_of_documents():
+    assert batch.output_root("/x/pdss/hospital_data/") == "/x/pdss/primitive_indicator"
+    assert batch.output_root("/x/hospital_data/20240101/c/t/stylus/a/stylus.csv", single=True) == "/x/primitive_indicator"
+    assert batch.output_root("/x/elsewhere/stylus.csv", single=True) == "/x/elsewhere" and batch.output_root("/x/a.csv", "/out", True) == "/out"
+
+
+def test_older_option_names(spark, base, tmp_path):
+    from loomspan.__main__ import main
+
+    assert main(["keyboard", "--root_dir", base, "--output_base_path", str(tmp_path), "--window_size_sec", "2", "--stride_sec", "1"]) == 0
+    assert (tmp_path / "ann/type/keyboard_pi.json").exists()
+    with pytest.raises(SystemExit):
+        main(["keyboard"])
