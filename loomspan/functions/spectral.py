@@ -59,6 +59,8 @@ def band_rhythm(ys: pd.Series, fs: pd.Series, low: pd.Series, high: pd.Series) -
 
 def peaks(y: np.ndarray, distance: int, height: float | None) -> np.ndarray:
     """Local maxima (a plateau counts once, at its middle) of at least `height`; of two closer than `distance` the higher stays, of equal ones the later."""
+    if len(y) < 3:
+        return np.zeros(0, int)
     edge = np.flatnonzero(y[1:] != y[:-1]) + 1  # where runs of equal values start
     first, last = np.concatenate(([0], edge)), np.concatenate((edge, [len(y)])) - 1
     v = y[first]

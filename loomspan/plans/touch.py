@@ -1,4 +1,8 @@
-"""Touch indicators (84): touch events to one row for each session and window that holds an event."""
+"""Touch indicators (84): touch events to one row for each session and window that holds an event.
+
+As for gaze, all grains stand on the rows of one table: an event has its stroke's measures, a stroke's last event stands for
+it, and one aggregation makes the row. The functions of single families are for queries of these alone.
+"""
 
 from __future__ import annotations
 
@@ -8,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.functions import spectral
-from loomspan.functions.stats import correlation, finite, ratio, rms, scalar4, slope, spread, stats4
+from loomspan.functions.stats import STATS, both_ways, correlation, extent, finite, guarded, only, quotient, ratio, rms, scalar4, slope, spread, stats4
 from loomspan.operators import geometry
 from loomspan.operators.sequence import stroke_ids
 from loomspan.operators.windows import NONEMPTY, assign
@@ -17,6 +21,7 @@ from .config import PIConfig
 
 G = ["sess", "win"]
 LONG_PRESS_S, MAX_TAP, MIN_SWIPE, HARD, FAST, TURN = 0.5, 20.0, 50.0, 0.8, 1000.0, math.radians(45)
+GRIDS = (4, 8, 16)
 KINDS = {"tap": "tap", "swipe": "swipe", "longpress": "long_press"}
 
 
@@ -54,13 +59,18 @@ def strokes(wd: DataFrame) -> DataFrame:
         F.min("t").alias("t0"), F.max("t").alias("t1"), F.coalesce(F.sum(F.sqrt(F.col("_x") * F.col("_x") + F.col("_y") * F.col("_y"))), F.lit(0.0)).alias("path"), first.alias("f"), last.alias("l"),
         slope("p", "s").alias("p_slope"), F.max("w_start").alias("w_start"),
     )
+    st = gestured(st)
+    gap = lambda *k: (F.lead("t0").over(Window.partitionBy(*G, *k).orderBy("t0", "stroke")) - F.col("t1")) / 1e6
+    return st.withColumns({"gap": gap(), "kind_gap": gap("kind")})
+
+
+def gestured(st: DataFrame) -> DataFrame:
+    """Rows of strokes (t0, t1, f, l, path) with duration, displacement and kind."""
     dx, dy = F.col("l.px") - F.col("f.px"), F.col("l.py") - F.col("f.py")
     st = st.withColumns({"dur": (F.col("t1") - F.col("t0")) / 1e6, "dx": dx, "dy": dy}).withColumn("disp", F.sqrt(F.col("dx") * F.col("dx") + F.col("dy") * F.col("dy")))
     is_ = lambda c: F.coalesce(c, F.lit(False))
     kind = F.when(is_((F.col("dur") >= LONG_PRESS_S) & (F.col("disp") <= MAX_TAP)), "longpress").when(is_(F.col("disp") >= MIN_SWIPE) | is_(F.col("path") >= MIN_SWIPE), "swipe").otherwise("tap")
-    st = st.withColumn("kind", kind)
-    gap = lambda *k: (F.lead("t0").over(Window.partitionBy(*G, *k).orderBy("t0", "stroke")) - F.col("t1")) / 1e6
-    return st.withColumns({"gap": gap(), "kind_gap": gap("kind")})
+    return st.withColumn("kind", kind)
 
 
 def gestures(wd: DataFrame, st: DataFrame) -> DataFrame:
@@ -68,7 +78,7 @@ def gestures(wd: DataFrame, st: DataFrame) -> DataFrame:
     return wd.join(st.select(*G, "stroke", "kind"), [*G, "stroke"], "left")
 
 
-def event_stats(wd: DataFrame, cfg: PIConfig) -> DataFrame:
+def event_list(cfg: PIConfig) -> list:
     n, T = F.count("*").cast("double"), cfg.window_s
     w, h = cfg.screen_w, cfg.screen_h
     x, y = F.col("px"), F.col("py")
@@ -77,7 +87,7 @@ def event_stats(wd: DataFrame, cfg: PIConfig) -> DataFrame:
     share = lambda c: ratio(F.count_if(c), n)
     mx, my = F.avg("px") - w / 2, F.avg("py") - h / 2
     both = x.isNotNull() & y.isNotNull()
-    return wd.groupBy(*G).agg(
+    return [
         *stats4("touch_position_x", "px", 0), *stats4("touch_position_y", "py", 0), *stats4("touch_pressure", "p", 0), *scalar4("total_touch_count", n, 0), *scalar4("touch_event_rate", n / T, 0),
         *stats4("touch_pressure_change_rate", F.when(F.col("dt") > 0, F.col("dp")), 0), *scalar4("high_pressure_touch_count", F.count_if(F.col("p") > HARD), 0),
         *stats4("touch_area", "area", 0), *stats4("touch_major_axis", "major", 0), *stats4("touch_minor_axis", "minor", 0), *stats4("touch_area_change_rate", F.when(F.col("dt") > 0, F.col("da")), 0),
@@ -87,7 +97,11 @@ def event_stats(wd: DataFrame, cfg: PIConfig) -> DataFrame:
         *scalar4("central_touch_ratio", share(x.between(w / 3, 2 * w / 3) & y.between(h / 3, 2 * h / 3)), 0), *stats4("touch_offset_to_screen_center", F.sqrt(dx * dx + dy * dy), 0),
         *scalar4("central_bias", F.sqrt(mx * mx + my * my), 0), *scalar4("range_based_touch_dispersion", rx + ry, 0), *scalar4("rms_based_touch_dispersion", rms("px", "py", 0), 0),
         *scalar4("bbox_area_based_touch_dispersion", rx * ry, 0), *scalar4("touch_covariance", F.when(F.count_if(both) >= 2, F.covar_samp(F.when(both, x), F.when(both, y))), 0),
-    )
+    ]
+
+
+def event_stats(wd: DataFrame, cfg: PIConfig) -> DataFrame:
+    return wd.groupBy(*G).agg(*event_list(cfg))
 
 
 def stroke_stats(wd: DataFrame, st: DataFrame, cfg: PIConfig) -> DataFrame:
@@ -108,23 +122,30 @@ def pressures(ge: DataFrame) -> DataFrame:
     return ge.where("kind IS NOT NULL").groupBy(*G).agg(*(c for k, name in KINDS.items() for c in stats4(f"{name}_pressure", F.when(F.col("kind") == k, F.col("p")), 0)))
 
 
-def swipe_motion(ge: DataFrame) -> DataFrame:
-    """Speeds of swipe events; jerk and direction run on over the ends of strokes, turns don't."""
-    sw = ge.where("kind = 'swipe'")
-    d = lambda c: F.col(c) - F.lag(c).over(by_stroke())
-    sw = sw.withColumns({"_s": (F.col("t") - F.lag("t").over(by_stroke())) / 1e6, "_same": F.coalesce(d("stroke") == 0, F.lit(True)), "theta": F.atan2(F.coalesce(d("py"), F.lit(0.0)), F.coalesce(d("px"), F.lit(0.0)))})
-    sw = sw.withColumns({f"j{k}": F.when(F.col("_s") > 0, d(f"a{k}") / F.col("_s")) for k in ("", "x", "y")}).withColumn("turn", F.coalesce(d("theta"), F.lit(0.0)))
+def with_motion(sw: DataFrame, run) -> DataFrame:
+    """sw with steps, directions, jerks and turns along an order of stroke and time; jerk and direction run on over the ends of strokes, turns don't."""
+    d = lambda c: F.col(c) - F.lag(c).over(run)
+    sw = sw.withColumns({"_s": (F.col("t") - F.lag("t").over(run)) / 1e6, "_same": F.coalesce(d("stroke") == 0, F.lit(True)), "theta": F.atan2(F.coalesce(d("py"), F.lit(0.0)), F.coalesce(d("px"), F.lit(0.0)))})
+    sw = sw.withColumns({f"j{k}": F.when(F.col("_s") > 0, d(f"a{k}") / F.col("_s")) for k in ("", "x", "y")} | {"turn": F.coalesce(d("theta"), F.lit(0.0))})
     # a turn in no time is infinite and takes the mean, std and one extreme with it
     sudden = F.col("_same") & (F.col("_s") == 0) & (F.col("turn") != 0)
-    omega = F.when(F.col("_same") & (F.col("_s") != 0), F.try_divide(F.col("turn"), F.col("_s")))
-    up, down = F.max(F.when(sudden, F.col("turn") > 0)), F.max(F.when(sudden, F.col("turn") < 0))
-    whole = F.coalesce(~F.max(sudden), F.lit(True))
-    om = [F.when(whole, F.avg(omega)), F.when(whole, F.stddev_pop(omega)), F.when(~F.coalesce(down, F.lit(False)), F.min(omega)), F.when(~F.coalesce(up, F.lit(False)), F.max(omega))]
-    names = [(n, f"{c}{k}", f"swipe_{n}{'_' + k if k else ''}") for k in ("", "x", "y") for n, c in (("velocity", "v"), ("acceleration", "a"), ("jerk", "j"))]
-    return sw.groupBy(*G).agg(
-        *(c for _, col, name in names for c in stats4(name, col, 0)), *stats4("swipe_direction", "theta", 0), *(c.alias(f"swipe_angular_velocity_{s}") for c, s in zip(om, ("mean", "std", "min", "max"), strict=True)),
-        *scalar4("swipe_direction_change_count", F.count_if((F.abs("turn") > TURN) & F.col("_same")), 0),
-    )
+    return sw.withColumns({"sudden": sudden, "omega": F.when(F.col("_same") & (F.col("_s") != 0), F.try_divide(F.col("turn"), F.col("_s")))})
+
+
+def motion_list(of) -> list:
+    omega, sudden = of("omega"), of("sudden")
+    whole, up, down = f"coalesce(NOT max({sudden}), true)", f"coalesce(max({of('sudden AND turn > 0')}), false)", f"coalesce(max({of('sudden AND turn < 0')}), false)"
+    om = (f"CASE WHEN {whole} THEN avg({omega}) END", f"CASE WHEN {whole} THEN stddev_pop({omega}) END", f"CASE WHEN NOT {down} THEN min({omega}) END", f"CASE WHEN NOT {up} THEN max({omega}) END")
+    names = [(f"{c}{k}", f"swipe_{n}{'_' + k if k else ''}") for k in ("", "x", "y") for n, c in (("velocity", "v"), ("acceleration", "a"), ("jerk", "j"))]
+    return [
+        *(c for col, name in names for c in stats4(name, of(col), 0)), *stats4("swipe_direction", of("theta"), 0), *(F.expr(f"{c} AS swipe_angular_velocity_{s}") for c, s in zip(om, STATS, strict=True)),
+        *scalar4("swipe_direction_change_count", f"count({of(f'CASE WHEN abs(turn) > {TURN} AND _same THEN 1 END')})", 0),
+    ]
+
+
+def swipe_motion(ge: DataFrame) -> DataFrame:
+    """Speeds of swipe events."""
+    return with_motion(ge.where("kind = 'swipe'"), by_stroke()).groupBy(*G).agg(*motion_list(only()))
 
 
 def swipe_shape(ge: DataFrame, st: DataFrame, cfg: PIConfig) -> DataFrame:
@@ -171,11 +192,80 @@ def rhythm(wd: DataFrame) -> DataFrame:
     return seq.select(*G, *(c for kind, col in (("velocity", "_rv"), ("acceleration", "_ra")) for n, f in names for c in scalar4(f"{kind}_rhythm_{n}", F.col(f"{col}.{f}"), 0)))
 
 
+def traced(wd: DataFrame) -> DataFrame:
+    """wd with the stroke of every event, its gesture and measures, steps along swipes, and counts of cells; last marks the event that stands for its stroke."""
+    of = Window.partitionBy(*G, "stroke")
+    run = of.orderBy("t", "ord")
+    t = wd.withColumns({"_x": F.col("px") - F.lag("px").over(run), "_y": F.col("py") - F.lag("py").over(run), "last": F.col("stroke").isNotNull() & F.lead(F.lit(1)).over(run).isNull()})
+    first, last = (f(F.struct("px", "py"), F.struct("t", "ord")).over(of) for f in (F.min_by, F.max_by))
+    t = t.withColumns({
+        "t0": F.min("t").over(of), "t1": F.max("t").over(of), "path": F.coalesce(F.sum(F.sqrt(F.col("_x") * F.col("_x") + F.col("_y") * F.col("_y"))).over(of), F.lit(0.0)),
+        "f": first, "l": last, "p_slope": slope("p", "s").over(of),
+    })
+    t = gestured(t).withColumn("kind", F.when(F.col("stroke").isNotNull(), F.col("kind")))
+    gap = lambda *k: (F.lead("t0").over(Window.partitionBy(*G, "last", *k).orderBy("t0", "stroke")) - F.col("t1")) / 1e6
+    t = with_motion(t.withColumns({"gap": gap(), "kind_gap": gap("kind")}), Window.partitionBy(*G, "kind").orderBy("stroke", "t", "ord"))
+    both = F.col("px").isNotNull() & F.col("py").isNotNull()
+    at = lambda c, over: (F.min(F.when(both, F.col(c))).over(over), F.max(F.when(both, F.col(c))).over(over))
+    every, swipes = in_window(), Window.partitionBy(*G, "kind")
+    for name, over in (("all", every), ("own", swipes)):
+        t = t.withColumns({f"{name}_{c}{i}": v for c in ("px", "py") for i, v in enumerate(at(c, over))})
+    place = lambda name, c, n: F.least(F.floor(F.try_divide(F.col(c) - F.col(f"{name}_{c}0"), F.col(f"{name}_{c}1") - F.col(f"{name}_{c}0")) * n), F.lit(n - 1))
+    t = t.withColumns({"_cell": F.when(both, F.struct(place("all", "px", 10), place("all", "py", 10)))} | {f"_g{n}": F.when(both, F.struct(place("own", "px", n), place("own", "py", n))) for n in GRIDS})
+    return t.withColumns({"_held": F.count("*").over(Window.partitionBy(*G, "_cell")), "_all": F.count("_cell").over(every)})
+
+
+def stroke_list(T: float) -> list:
+    one, count = only("last"), lambda c: f"count(CASE WHEN {c} THEN 1 END)"
+    n, kind = count("last"), {k: only(f"last AND kind = '{k}'") for k in KINDS}
+    return [
+        *scalar4("first_touch_latency", f"(min({one('t0')}) - max(w_start)) / 1e6D", 0), *scalar4("first_touch_duration", f"min_by(dur, {one('struct(t0, stroke)')})", 0),
+        *(c for k, name in KINDS.items() for c in scalar4(f"{name}_ratio", quotient(f"count({kind[k]('1')})", n), 0)), *stats4("touch_hold_duration", one("dur"), 0),
+        *(c for k, name in KINDS.items() for c in stats4(f"{name}_duration", kind[k]("dur"), 0)), *stats4("inter_touch_interval", one("gap"), 0),
+        *(c for k, name in KINDS.items() for c in stats4(f"inter_{name}_interval", kind[k]("kind_gap"), 0)), *scalar4("active_touch_time", f"sum({one('dur')})", 0), *stats4("touch_stroke_pressure_slope", one("p_slope"), 0),
+        *scalar4("total_touch_stroke_count", n, 0), *scalar4("touch_stroke_rate", f"{n} / {T}D", 0), *scalar4("touch_event_touch_stroke_ratio", quotient("count(*)", n), 0),
+        *(c for k, name in KINDS.items() for c in stats4(f"{name}_pressure", only(f"kind = '{k}'")("p"), 0)),
+    ]
+
+
+def swipe_list(T: float) -> list:
+    of, one = only("kind = 'swipe'"), only("last AND kind = 'swipe'")
+    rx, ry = extent(of("px")), extent(of("py"))
+    ends = {c: (one(f"f.{c}"), one(f"l.{c}")) for c in ("px", "py")}
+    ex, ey = (f"(max(greatest({a}, {b})) - min(least({a}, {b})))" for a, b in ends.values())
+    spread_ = [both_ways(F.expr(a), F.expr(b)) for a, b in ends.values()]
+    flat = "any_value(CASE WHEN kind = 'swipe' THEN own_px1 <= own_px0 OR own_py1 <= own_py0 END, true)"
+    hit = lambda n: f"ln(CAST(greatest(size(collect_set({of(f'_g{n}')})), 1) AS DOUBLE))"
+    at = [math.log(n) for n in GRIDS]
+    mid = sum(at) / len(at)
+    dimension = " + ".join(f"{hit(n)} * {(a - mid) / sum((x - mid) ** 2 for x in at)!r}D" for n, a in zip(GRIDS, at, strict=True))
+    rate = lambda c: f"count({one(f'CASE WHEN {c} THEN 1 END')}) / {T}D"
+    return [
+        *motion_list(of), *scalar4("range_based_swipe_dispersion", f"{rx} + {ry}", 0), *scalar4("rms_based_swipe_dispersion", rms(of("px"), of("py"), 0), 0), *scalar4("bbox_area_based_swipe_dispersion", f"{rx} * {ry}", 0),
+        *scalar4("swipe_bbox_width", rx, 0), *scalar4("swipe_bbox_height", ry, 0), *scalar4("swipe_bbox_area", f"{rx} * {ry}", 0), *scalar4("swipe_bbox_aspect_ratio", f"CASE WHEN {ry} > 0 THEN {quotient(rx, ry)} END", 0),
+        *stats4("swipe_path_length", one("path"), 0), *stats4("swipe_displacement", one("disp"), 0), *stats4("swipe_path_curvature", one(quotient("disp", "path")), 0),
+        *scalar4("horizontal_swipe_rate", rate("abs(dx) > abs(dy)"), 0), *scalar4("vertical_swipe_rate", rate("abs(dy) > abs(dx)"), 0),
+        *scalar4("range_based_swipe_endpoint_dispersion", f"{ex} + {ey}", 0), *scalar4("rms_based_swipe_endpoint_dispersion", F.sqrt(spread_[0] + spread_[1]), 0), *scalar4("bbox_area_based_swipe_endpoint_dispersion", f"{ex} * {ey}", 0),
+        *scalar4("swipe_path_fractal_dimension", f"CASE WHEN count({of('1')}) >= 10 THEN CASE WHEN {flat} THEN 0.0D ELSE {dimension} END END", 0),
+    ]
+
+
 def indicators(samples: DataFrame, cfg: PIConfig) -> DataFrame:
-    wd = windows(samples, cfg)
-    st = strokes(wd)
-    ge = gestures(wd, st)
-    out = wd.groupBy(*G, "w_start", "w_end").agg(F.count("*").alias("n_samples"))
-    for part in (event_stats(wd, cfg), stroke_stats(wd, st, cfg), pressures(ge), swipe_motion(ge), swipe_shape(ge, st, cfg), grid_entropy(wd), fractal(ge), hulls(wd), rhythm(wd)):
-        out = out.join(part, G, "left")
-    return out
+    """sess, win, w_start, w_end and all indicators of every window that holds an event."""
+    families = {"_swipe": swipe_list(cfg.window_s)}
+    boxed = only("_cell IS NOT NULL AND all_px1 > all_px0 AND all_py1 > all_py0")
+    ordered = lambda c: f"transform(array_sort(collect_list(CASE WHEN {c} IS NOT NULL THEN struct(t, ord, {c} AS y) END)), x -> x.y)"
+    more = {
+        "w_start": "max(w_start)", "w_end": "max(w_end)", "n_samples": "count(*)", "_swipe": "count(CASE WHEN kind = 'swipe' THEN 1 END)", "_pts": "collect_list(CASE WHEN px IS NOT NULL AND py IS NOT NULL THEN struct(px, py) END)",
+        "_v": ordered("v"), "_a": ordered("a"), "_fs": "try_divide(1.0D, avg(CASE WHEN dt > 0 THEN dt END))",
+    }
+    held = traced(windows(samples, cfg)).groupBy(*G).agg(
+        *families["_swipe"], *event_list(cfg), *stroke_list(cfg.window_s), *scalar4("touch_entropy", f"avg({boxed('-ln(_held / _all + 1e-12D)')})", 0), *(F.expr(f"{x} AS {n}") for n, x in more.items()),
+    )
+    held = guarded(held, len(G), families).withColumns({"_h": geometry.hull(F.col("_pts.px"), F.col("_pts.py")), "_rv": spectral.power_rhythm("_v", "_fs"), "_ra": spectral.power_rhythm("_a", "_fs")})
+    hull = lambda c: f"CASE WHEN size(_pts) >= 3 THEN _h.{c} END"
+    names = (("rate", "rate"), ("spectral_entropy", "entropy"), ("regularity", "regularity"))
+    return held.select(
+        *[c for c in held.columns if c[0] != "_"], *scalar4("touch_convex_hull_area", hull("area"), 0), *scalar4("touch_convex_hull_perimeter", hull("perimeter"), 0),
+        *(c for kind, col in (("velocity", "_rv"), ("acceleration", "_ra")) for n, f in names for c in scalar4(f"{kind}_rhythm_{n}", f"{col}.{f}", 0)),
+    )
