@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import json
+import uuid
+from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
 from . import registry
 from .config import PIConfig
@@ -56,21 +59,82 @@ def winners(docs: DataFrame) -> DataFrame:
     return docs.withColumn("_n", F.row_number().over(last)).where("_n = 1").drop("_n")
 
 
-def write_documents(docs: DataFrame, root: str, modality: str) -> int:
-    """Writes <root>/<client>/<task>/<modality>_pi.json for every winner from the executors; returns how many. root is a folder that all executors share."""
-    name = FILES[modality]
+def storage(root: str):
+    """(file system, path) of a folder."""
+    from pyarrow import fs
 
-    def save(batches):
-        from pyarrow import fs
+    return fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
+
+
+@dataclass
+class Written(WriterCommitMessage):
+    """What a task attempt has written: each file's temporary and its final path."""
+
+    files: list
 
-        system, base = fs.FileSystem.from_uri(root) if "://" in root else (fs.LocalFileSystem(), root)
-        for batch in batches:
-            for client, task, text in zip(batch["client_id"], batch["task"], batch["document"], strict=True):
-                folder = f"{base}/{client}/{task}"
+
+class DocumentWriter(DataSourceWriter):
+    """Documents as files that appear when all tasks have succeeded: an attempt writes files of its own names, which are renamed at commit and removed at abort. A second attempt of a task, or a speculative copy, writes beside the first, and only the attempt that Spark commits is renamed."""
+
+    def __init__(self, root: str, name: str):
+        self.root, self.name = root, name
+
+    def write(self, rows):
+        system, base = storage(self.root)
+        done: list = []
+        try:
+            for row in rows:
+                folder = f"{base}/{row.client_id}/{row.task}"
+                own = f"{folder}/.{self.name}.{uuid.uuid4().hex}"
+                text = json.dumps(json.loads(row.document), ensure_ascii=False, indent=2).encode()
                 system.create_dir(folder, recursive=True)
-                with system.open_output_stream(f"{folder}/{name}") as f:
-                    f.write(json.dumps(json.loads(text), ensure_ascii=False, indent=2).encode())
-            yield batch[["client_id"]].assign(n=1)[["n"]]
+                done.append((own, f"{folder}/{self.name}"))
+                with system.open_output_stream(own) as f:
+                    f.write(text)
+        except BaseException:
+            self.remove(system, done)
+            raise
+        return Written(done)
+
+    @staticmethod
+    def remove(system, done) -> None:
+        from pyarrow import fs
+
+        for own, _ in done:
+            if system.get_file_info(own).type == fs.FileType.File:
+                system.delete_file(own)
 
-    written = winners(docs).select("client_id", "task", "document").mapInPandas(save, "n long")
-    return written.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("n")).first().n
+    def commit(self, messages) -> None:
+        system, _ = storage(self.root)
+        for message in messages:
+            for own, final in message.files:
+                system.move(own, final)
+
+    def abort(self, messages) -> None:
+        system, _ = storage(self.root)
+        for message in messages:
+            if message is not None:
+                self.remove(system, message.files)
+
+
+class DocumentSink(DataSource):
+    """Sink of rows client_id, task, document. Options: root (a folder that all executors share) and file (the documents' name)."""
+
+    @classmethod
+    def name(cls) -> str:
+        return "loomspan_documents"
+
+    def schema(self) -> str:
+        return "client_id string, task string, document string"
+
+    def writer(self, schema, overwrite) -> DocumentWriter:
+        return DocumentWriter(self.options["root"], self.options["file"])
+
+
+def write_documents(docs: DataFrame, root: str, modality: str) -> int:
+    """Writes <root>/<client>/<task>/<modality>_pi.json for every winner from the executors; returns how many. root is a folder that all executors share. A failed run leaves what was there before."""
+    docs.sparkSession.dataSource.register(DocumentSink)
+    seen = Observation()
+    counted = winners(docs).select("client_id", "task", "document").observe(seen, F.count(F.lit(1)).alias("n"))
+    counted.write.format(DocumentSink.name()).option("root", root).option("file", FILES[modality]).mode("append").save()
+    return seen.get["n"]

@@ -183,6 +183,20 @@ def test_files_are_parsed_once(spark, base):
             assert "MapInArrow" not in df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_documents_appear_together(spark, tmp_path):
+    """A task that fails leaves no new document, none half written and those that were there; a run that succeeds replaces them."""
+    root = str(tmp_path / "out")
+    schema = "sess string, client_id string, task string, date string, archive_id string, document string"
+    docs = lambda *texts: spark.createDataFrame([(str(i), f"c{i}", "t", "d", "a", x) for i, x in enumerate(texts)], schema).repartition(len(texts), "sess")
+    assert document.write_documents(docs('{"v": 1}', '{"v": 2}'), root, "touch") == 2
+    with pytest.raises(Exception, match="(?s)JSON|Expecting"):
+        document.write_documents(docs('{"v": 3}', '{"v": 4}', '{"v": 5}', "no document"), root, "touch")
+    held = {os.path.relpath(os.path.join(d, f), root) for d, _, names in os.walk(root) for f in names}
+    assert held == {"c0/t/touch_pi.json", "c1/t/touch_pi.json"}
+    assert [json.load(open(f"{root}/c{i}/t/touch_pi.json")) for i in (0, 1)] == [{"v": 1}, {"v": 2}]
+    assert document.write_documents(docs('{"v": 6}'), root, "touch") == 1 and json.load(open(f"{root}/c0/t/touch_pi.json")) == {"v": 6}
+
+
 def test_root_of_documents():
     assert batch.output_root("/x/pdss/hospital_data/") == "/x/pdss/primitive_indicator"
     assert batch.output_root("/x/hospital_data/20240101/c/t/stylus/a/stylus.csv", single=True) == "/x/primitive_indicator"
