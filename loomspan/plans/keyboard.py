@@ -1,4 +1,8 @@
-"""Keyboard indicators (62): presses to one row for each session and window. Windows without a press stay, with nulls."""
+"""Keyboard indicators (62): presses to one row for each session and window. Windows without a press stay, with nulls.
+
+Presses, steps, bursts and words stand on the rows of one table (a burst's last press and a word's first stand for them), and
+one aggregation makes the row. The functions of single families are for queries of these alone.
+"""
 
 from __future__ import annotations
 
@@ -6,7 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from loomspan.functions import tokens
-from loomspan.functions.stats import null4, scalar4, stats4
+from loomspan.functions.stats import null4, only, scalar4, stats4
 from loomspan.operators import geometry
 from loomspan.operators.sequence import lifo_pairs
 from loomspan.operators.windows import FULL, assign, bounds, spine
@@ -45,6 +49,10 @@ def typing() -> tuple:
 
 
 def counts(wd: DataFrame) -> DataFrame:
+    return wd.groupBy(*G).agg(*count_list())
+
+
+def count_list() -> list:
     n, ms = typing()
     chars = F.count_if(F.col("category").isin("alphabetic", "digit", "punctuation"))
     out = [
@@ -53,16 +61,20 @@ def counts(wd: DataFrame) -> DataFrame:
     ]
     for k in KEYS:
         name = "spacebar" if k == "space" else k
-        out += scalar4(f"{name}_key_ratio", F.count_if(F.col("category") == k) / n, 0)
-    return wd.groupBy(*G).agg(*out, *scalar4("cursor_move_key_ratio", F.count_if(F.col("category") == "cursor") / n, 0))
+        out += scalar4(f"{name}_key_ratio", f"count_if(category = '{k}') / count(*)", 0)
+    return [*out, *scalar4("cursor_move_key_ratio", "count_if(category = 'cursor') / count(*)", 0)]
 
 
 def holds(wd: DataFrame) -> DataFrame:
-    of = lambda k: F.when(F.col("category") == k, F.col("hold"))
+    return wd.groupBy(*G).agg(*hold_list())
+
+
+def hold_list() -> list:
+    of = lambda k: f"CASE WHEN category = '{k}' THEN hold END"
     out = stats4("key_hold_duration", "hold", 0)
     for k in KEYS:
         out += stats4(f"{'spacebar' if k == 'space' else k}_key_hold_duration", of(k), 0)
-    return wd.groupBy(*G).agg(*out, *stats4("cursor_move_key_duration", of("cursor"), 0))
+    return [*out, *stats4("cursor_move_key_duration", of("cursor"), 0)]
 
 
 def steps(wd: DataFrame, n: int) -> DataFrame:
@@ -76,37 +88,55 @@ def steps(wd: DataFrame, n: int) -> DataFrame:
 
 
 def step_stats(st: DataFrame, cfg: PIConfig) -> DataFrame:
+    return st.groupBy(*G).agg(*step_list(cfg))
+
+
+def step_list(cfg: PIConfig) -> list:
     _, ms = typing()
     pause = F.when(F.col("ud") >= cfg.pause_ms, F.col("ud"))
-    return st.groupBy(*G).agg(
+    return [
         *stats4("down_down_interval", "dd", 0), *stats4("up_down_interval", "ud", 0), *stats4("up_up_interval", "uu", 0), *stats4("key_overlap_duration", F.when(F.col("ud").isNotNull(), F.col("over")), 0),
         *scalar4("key_overlap_ratio", F.avg((F.col("ud") < 0).cast("double")), 0), *stats4("ngram_typing_duration", "ngram_ms", 0), *stats4("pause_duration", pause, 0),
         *scalar4("pause_ratio", F.when(F.count("*") >= 2, F.coalesce(F.sum(pause), F.lit(0.0)) / F.greatest(ms, F.lit(1e-9))), 0),
-    )
+    ]
 
 
-def bursts(st: DataFrame, cfg: PIConfig) -> DataFrame:
-    """Runs of presses between pauses; none in a window of one press."""
-    b = st.withColumn("_n", F.count("*").over(Window.partitionBy(*G))).where("_n >= 2")
+BURST = (("burst_length", "n"), ("burst_duration", "ms"), ("burst_velocity", "CASE WHEN ms > 0 THEN n / (ms / 1000.0D) END"))
+
+
+def with_bursts(st: DataFrame, cfg: PIConfig) -> DataFrame:
+    """st with the number of its burst, a run of presses between pauses."""
     after = F.coalesce(F.lag("ud").over(in_order()) >= cfg.pause_ms, F.lit(False))
-    b = b.withColumn("_new", after.cast("int")).withColumn("burst", F.sum("_new").over(in_order())).groupBy(*G, "burst").agg(F.count("*").cast("double").alias("n"), ((F.max("down") - F.min("down")) / 1000.0).alias("ms"))
-    return b.groupBy(*G).agg(*stats4("burst_length", "n", 0), *stats4("burst_duration", "ms", 0), *stats4("burst_velocity", F.when(F.col("ms") > 0, F.col("n") / (F.col("ms") / 1000.0)), 0))
+    return st.withColumn("_new", after.cast("int")).withColumn("burst", F.sum("_new").over(in_order())).drop("_new")
+
+
+def bursts(st: DataFrame, cfg: PIConfig) -> DataFrame:
+    """Measures of bursts; none in a window of one press."""
+    b = with_bursts(st.withColumn("_n", F.count("*").over(Window.partitionBy(*G))).where("_n >= 2"), cfg).groupBy(*G, "burst").agg(F.count("*").cast("double").alias("n"), ((F.max("down") - F.min("down")) / 1000.0).alias("ms"))
+    return b.groupBy(*G).agg(*(c for name, value in BURST for c in stats4(name, value, 0)))
+
+
+def starts_word():
+    return ~tokens.is_space(F.col("token")) & ((F.col("i") == 1) | tokens.is_space(F.col("tok0")))
 
 
 def words(st: DataFrame) -> DataFrame:
-    first = ~tokens.is_space(F.col("token")) & ((F.col("i") == 1) | tokens.is_space(F.col("tok0")))
-    w = st.where(first).withColumn("ms", (F.lead("down").over(in_order()) - F.col("down")) / 1000.0)
+    w = st.where(starts_word()).withColumn("ms", (F.lead("down").over(in_order()) - F.col("down")) / 1000.0)
     return w.groupBy(*G).agg(*stats4("inter_word_interval", "ms", 0))
 
 
 def chords(st: DataFrame) -> DataFrame:
+    return st.groupBy(*G).agg(*chord_list())
+
+
+def chord_list() -> list:
     held = F.col("token").isin(*tokens.CATEGORIES["control"])
     ms = (F.greatest("up", "u1") - F.col("down")) / 1000.0
     out = []
     for name, key in CHORDS.items():
         hit = held & (F.col("tok1") == key)
         out += stats4(f"{name}_duration", F.when(hit, ms), 0) + scalar4(f"{name}_ratio", F.count_if(hit) / F.count("*"), 0)
-    return st.groupBy(*G).agg(*out)
+    return out
 
 
 def entropies(st: DataFrame) -> DataFrame:
@@ -120,12 +150,24 @@ def undefined() -> list:
     return [c for n in ("key_sequence_levenshtein_distance", "ngram_distribution_similarity", "rouge_l_similarity") for c in null4(n)]
 
 
+def traced(wd: DataFrame, cfg: PIConfig) -> DataFrame:
+    """wd with steps, the burst of every press (last: the press that stands for it), the way to the next word's start, and counts of categories and n-grams."""
+    t = with_bursts(steps(wd, cfg.ngram), cfg)
+    every, of = Window.partitionBy(*G), Window.partitionBy(*G, "burst")
+    t = t.withColumns({"_n": F.count("*").over(every), "n": F.count("*").over(of).cast("double"), "ms": (F.max("down").over(of) - F.min("down").over(of)) / 1000.0, "last": F.lead(F.lit(1)).over(of.orderBy("down", "ord")).isNull()})
+    t = t.withColumn("starts", F.coalesce(starts_word(), F.lit(False)))
+    t = t.withColumn("word_ms", (F.lead("down").over(Window.partitionBy(*G, "starts").orderBy("down", "ord")) - F.col("down")) / 1000.0)
+    for item in ("category", "ngram"):
+        t = t.withColumns({f"{item}_n": F.count(item).over(every), f"{item}_c": F.count("*").over(Window.partitionBy(*G, item))})
+    return t
+
+
 def indicators(presses: DataFrame, cfg: PIConfig) -> DataFrame:
     wd = windows(presses, cfg)
-    st = steps(wd, cfg.ngram)
-    n = wd.groupBy(*G).agg(F.count("*").alias("n_samples"))
-    out = all_windows(presses, cfg).join(n, G, "left").fillna(0, ["n_samples"])
-    for part in (counts(wd), holds(wd), step_stats(st, cfg), bursts(st, cfg), words(st), chords(st), entropies(st)):
-        out = out.join(part, G, "left")
-    return out.select("*", *undefined())
-
+    burst, word = only("last AND _n >= 2"), only("starts")
+    entropy = lambda item: f"avg(CASE WHEN {item} IS NOT NULL THEN -log2({item}_c / {item}_n) END)"
+    held = traced(wd, cfg).groupBy(*G).agg(
+        F.count("*").alias("n_samples"), *count_list(), *hold_list(), *step_list(cfg), *chord_list(), *(c for name, value in BURST for c in stats4(name, burst(value), 0)),
+        *stats4("inter_word_interval", word("word_ms"), 0), *scalar4("key_category_entropy", entropy("category"), 0), *scalar4("ngram_distribution_entropy", entropy("ngram"), 0),
+    )
+    return all_windows(presses, cfg).join(held, G, "left").fillna(0, ["n_samples"]).select("*", *undefined())
