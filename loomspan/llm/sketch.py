@@ -30,6 +30,8 @@ PARAGRAPH = f"{WORD}(?:{GAP}{WORD}){{0,{RUN - 1}}}+"
 WIDTH, PART = 16, 32
 #: The same of the larger sketches that a failed comparison is made again with.
 FINE_WIDTH, FINE = 8, 4
+#: A difference with fewer empty cells is not peeled: it holds too many digests.
+EMPTY = 3
 #: Rounds of peeling at most; each peels all cells that are ripe. A comparison that needs more is made again with more cells.
 ROUNDS = 24
 CELL = "struct<c:int,x:bigint>"
@@ -163,7 +165,12 @@ def compare_parts(width: int):
             every = held(a, width) + held(b, width)
             return let(left_over(s["cells"], width), lambda left: kind(F.when(left >= 0, F.size(s["a"]) + F.size(s["b"]) + left).otherwise(every), s["a"], s["b"], left == 0, left >= 0))
 
-        return F.when(a == b, nothing).otherwise(let(peel(add(a, b, -1), width), of))
+        def met(cells):
+            empty = F.size(F.filter(cells, lambda v: (v["c"] == 0) & (v["x"] == 0)))
+            full = F.when(empty < EMPTY, kind(held(a, width) + held(b, width), none("bigint"), none("bigint"), F.lit(False), F.lit(False)))
+            return full.otherwise(let(peel(cells, width), of))
+
+        return F.when(a == b, nothing).otherwise(let(add(a, b, -1), met))
 
     return both
 
