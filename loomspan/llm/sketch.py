@@ -138,7 +138,8 @@ def peel(cells: Column, width: int = WIDTH) -> Column:
         done = F.struct(s["cells"].alias("cells"), s["a"].alias("a"), s["b"].alias("b"), F.lit(False).alias("on"))
         return F.when(s["on"], let(ripe(s["cells"]), lambda found: F.when(F.size(found) == 0, done).otherwise(step(found)))).otherwise(s)
 
-    start = F.struct(cells.alias("cells"), none("bigint").alias("a"), none("bigint").alias("b"), F.lit(True).alias("on"))
+    empty = F.size(F.filter(cells, lambda v: (v["c"] == 0) & (v["x"] == 0)))
+    start = F.struct(cells.alias("cells"), none("bigint").alias("a"), none("bigint").alias("b"), (empty >= EMPTY).alias("on"))
     return F.aggregate(F.sequence(F.lit(1), F.lit(ROUNDS)), start, round_, lambda s: F.struct(s["cells"].alias("cells"), s["a"].alias("a"), s["b"].alias("b")))
 
 
@@ -165,12 +166,7 @@ def compare_parts(width: int):
             every = held(a, width) + held(b, width)
             return let(left_over(s["cells"], width), lambda left: kind(F.when(left >= 0, F.size(s["a"]) + F.size(s["b"]) + left).otherwise(every), s["a"], s["b"], left == 0, left >= 0))
 
-        def met(cells):
-            empty = F.size(F.filter(cells, lambda v: (v["c"] == 0) & (v["x"] == 0)))
-            full = F.when(empty < EMPTY, kind(held(a, width) + held(b, width), none("bigint"), none("bigint"), F.lit(False), F.lit(False)))
-            return full.otherwise(let(peel(cells, width), of))
-
-        return F.when(a == b, nothing).otherwise(let(add(a, b, -1), met))
+        return F.when(a == b, nothing).otherwise(let(peel(add(a, b, -1), width), of))
 
     return both
 
@@ -236,9 +232,11 @@ def decode(fingerprint: Column) -> Column:
     return let(F.hex(F.unbase64(fingerprint)), parts)
 
 
-def likeness(x: Column, y: Column) -> Column:
-    """Likeness of two fingerprints (strings), from 0 to 1."""
-    return let(decode(x), lambda p: let(decode(y), lambda q: compare(p, q)["likeness"]))
+def likeness(df: DataFrame, x: str, y: str, name: str) -> DataFrame:
+    """df with name: what compare says of two fingerprints (columns of strings), of the strings alone."""
+    p, q = fresh(df, "_p"), fresh(df, "_q")
+    both = df.withColumns({p: decode(F.col(x)), q: decode(F.col(y))})
+    return both.withColumn(name, compare(F.col(p), F.col(q))).drop(p, q)
 
 
 def successors(docs: DataFrame, key: str) -> DataFrame:
