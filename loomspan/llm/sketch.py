@@ -8,8 +8,9 @@ each: the text alone decides it, so it can be stored and sent, and parts add up
 Two fingerprints are compared without the texts. At the number of parts of the coarser, one minus the other holds only
 the differing digests; cells with one digest are peeled until none is left, which recovers these digests. The sketches
 are first summed to one part; if that doesn't peel, the comparison is made again with all parts. Where that fails too
-(unlike texts), `fingerprints`, which has the digests at hand, retries with sketches several times as large: parts of
-FINE digests, of FINE_WIDTH cells in a third. The last size is that at which every digest has a cell of its own, so that
+(unlike texts), `fingerprints`, which has the digests at hand, retries with a sketch several times as large, parts of
+FINE digests, of FINE_WIDTH cells in a third, into which one text's digests are put and from which the other's are
+taken: their difference, made at once. The last size is that at which every digest has a cell of its own, so that
 subtraction alone leaves the differing ones; it is reached where digests share all their cells. So likenesses are exact.
 From two strings alone a part that doesn't peel counts as different throughout, and a likeness may be too low.
 """
@@ -54,7 +55,7 @@ def digests(text: Column) -> Column:
     """Sorted distinct digests of a text's paragraphs, each above its check (56 bits); none for null and blank texts."""
     runs = F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(PARAGRAPH), F.lit(0))
     item = lambda d: F.shiftleft(d, 16).bitwiseOR(check(d))
-    return F.array_sort(F.array_distinct(F.transform(runs, lambda r: let(F.shiftrightunsigned(F.xxhash64(r), 24), item))))
+    return F.sort_array(F.array_distinct(F.transform(runs, lambda r: let(F.shiftrightunsigned(F.xxhash64(r), 24), item))))
 
 
 def cell(c: Column, x: Column) -> Column:
@@ -68,15 +69,25 @@ def places(x: Column, width: int) -> list[Column]:
 
 
 def thirds(rows: Column, one, width: int) -> Column:
-    """Cells of three thirds: one(third, j, rows that go to cell j of it). rows: structs with p0, p1 and p2."""
-    third = lambda t: F.transform(F.sequence(F.lit(0), F.lit(width - 1)), lambda j: let(F.filter(rows, lambda r: r[f"p{t}"] == j), lambda mine: one(t, j, mine)))
+    """Cells of three thirds: one(third, j, rows that go to cell j of it). rows: structs with p0, p1 and p2. Rows are dealt to four cells at once, then to each of these."""
+
+    def third(t):
+        four = lambda some, q: F.transform(F.sequence(q * 4, q * 4 + 3), lambda j: one(t, j, F.filter(some, lambda r: r[f"p{t}"] == j)))
+        return F.flatten(F.transform(F.sequence(F.lit(0), F.lit(width // 4 - 1)), lambda q: let(F.filter(rows, lambda r: F.shiftright(r[f"p{t}"], 2) == q), lambda some: four(some, q))))
+
     return F.concat(*(third(t) for t in range(3)))
 
 
-def cells_of(items: Column, width: int) -> Column:
-    """Cells of a part's digests."""
-    one = lambda t, j, mine: cell(F.size(mine), F.aggregate(mine, F.lit(0).cast("bigint"), lambda k, r: k.bitwiseXOR(r["x"])))
-    return let(F.transform(items, lambda x: F.struct(x.alias("x"), *places(x, width))), lambda rows: thirds(rows, one, width))
+def rows_of(items: Column, width: int, count: int = 1) -> Column:
+    """Digests with their cells, to be put in (count 1) or taken out (-1)."""
+    return F.transform(items, lambda x: F.struct(F.lit(count).alias("c"), x.alias("x"), *places(x, width)))
+
+
+def cells_of(rows: Column, width: int) -> Column:
+    """Cells of a part's rows."""
+    nothing = cell(F.lit(0), F.lit(0).cast("bigint"))
+    one = lambda t, j, mine: F.aggregate(mine, nothing, lambda k, r: cell(k["c"] + r["c"], k["x"].bitwiseXOR(r["x"])))
+    return let(rows, lambda some: thirds(some, one, width))
 
 
 def bits_of(n: Column, part: int = PART) -> Column:
@@ -84,28 +95,28 @@ def bits_of(n: Column, part: int = PART) -> Column:
     return F.greatest(F.lit(0), F.ceil(F.log2(F.greatest(n, F.lit(1)) / F.lit(part))).cast("int"))
 
 
-def sketch(found: Column, width: int = WIDTH, bits: Column | None = None) -> Column:
-    """Parts (arrays of 3 * width cells) of sorted digests: as many as their number asks for, or 2**bits."""
-
-    def made(items):
-        n = F.size(items)
+def dealt(items: Column, p: Column) -> Column:
+    """Sorted digests by their part: 2**p arrays."""
+    n, many = F.size(items), F.call_function("shiftleft", F.lit(1), p)
 
-        def below(bound):
-            """How many digests are below a bound, by bisection."""
-            def step(s, _):
-                mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
-                return F.when(s["lo"] >= s["hi"], s).when(F.get(items, mid) < bound, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi")))
+    def below(bound):
+        """How many digests are below a bound, by bisection."""
+        def step(s, _):
+            mid = F.floor((s["lo"] + s["hi"]) / 2).cast("int")
+            return F.when(s["lo"] >= s["hi"], s).when(F.get(items, mid) < bound, F.struct((mid + 1).alias("lo"), s["hi"].alias("hi"))).otherwise(F.struct(s["lo"].alias("lo"), mid.alias("hi")))
 
-            steps = seq(F.ceil(F.log2(n + 1)).cast("int") + 1)
-            return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), step, lambda s: s["lo"])
+        steps = seq(F.ceil(F.log2(n + 1)).cast("int") + 1)
+        return F.aggregate(steps, F.struct(F.lit(0).alias("lo"), n.alias("hi")), step, lambda s: s["lo"])
 
-        def part(p, i):
-            bound = lambda j: F.call_function("shiftleft", j.cast("bigint"), 56 - p)
-            return let(let(below(bound(i)), lambda lo: F.slice(items, lo + 1, below(bound(i + 1)) - lo)), lambda mine: cells_of(mine, width))
+    cuts = F.transform(seq(many + 1), lambda i: below(F.call_function("shiftleft", i.cast("bigint"), 56 - p)))
+    mine = lambda at, i: F.slice(items, F.get(at, i) + 1, F.get(at, i + 1) - F.get(at, i))
+    return F.when(p == 0, F.array(items)).otherwise(let(cuts, lambda at: F.transform(seq(many), lambda i: mine(at, i))))
 
-        return let(bits_of(n) if bits is None else bits, lambda p: F.when(p == 0, F.array(cells_of(items, width))).otherwise(F.transform(seq(F.call_function("shiftleft", F.lit(1), p)), lambda i: part(p, i))))
 
-    return let(found, made)
+def sketch(found: Column, width: int = WIDTH, bits: Column | None = None) -> Column:
+    """Parts (arrays of 3 * width cells) of sorted digests: as many as their number asks for, or 2**bits."""
+    made = lambda items, p: F.transform(dealt(items, p), lambda mine: cells_of(rows_of(mine, width), width))
+    return let(found, lambda items: let(bits_of(F.size(items)) if bits is None else bits, lambda p: made(items, p)))
 
 
 def add(a: Column, b: Column, sign: int = 1) -> Column:
@@ -126,13 +137,17 @@ def peel(cells: Column, width: int = WIDTH) -> Column:
     """struct(cells, a, b): what is left, and the digests peeled from the first (a) and from the second (b) of the two sketches whose difference it is."""
 
     def ripe(cs):
-        return F.array_distinct(F.filter(cs, lambda v: (F.abs(v["c"]) == 1) & (check(F.shiftrightunsigned(v["x"], 16)) == v["x"].bitwiseAND(F.lit(65535)))))
+        """Digests of cells that hold one, times two, plus one where it is the second sketch's."""
+        found = F.filter(cs, lambda v: (F.abs(v["c"]) == 1) & (check(F.shiftrightunsigned(v["x"], 16)) == v["x"].bitwiseAND(F.lit(65535))))
+        return F.array_distinct(F.transform(found, lambda v: F.shiftleft(v["x"], 1) + F.when(v["c"] < 0, 1).otherwise(0)))
 
     def round_(s, _):
         def step(found):
-            of = lambda c: F.transform(F.filter(found, lambda v: v["c"] == c), lambda v: v["x"])
+            sign = lambda v: 1 - 2 * v.bitwiseAND(F.lit(1))
+            of = lambda c: F.transform(F.filter(found, lambda v: sign(v) == c), lambda v: F.shiftright(v, 1))
             taken = lambda t, j, mine: F.aggregate(mine, F.get(s["cells"], j + t * width), lambda u, f: cell(u["c"] - f["c"], u["x"].bitwiseXOR(f["x"])))
-            left = let(F.transform(found, lambda v: F.struct(v["c"].alias("c"), v["x"].alias("x"), *places(v["x"], width))), lambda rows: thirds(rows, taken, width))
+            rows = F.transform(found, lambda v: F.struct(sign(v).cast("int").alias("c"), F.shiftright(v, 1).alias("x"), *places(F.shiftright(v, 1), width)))
+            left = let(rows, lambda rows: thirds(rows, taken, width))
             return F.struct(left.alias("cells"), F.concat(s["a"], of(1)).alias("a"), F.concat(s["b"], of(-1)).alias("b"), F.lit(True).alias("on"))
 
         done = F.struct(s["cells"].alias("cells"), s["a"].alias("a"), s["b"].alias("b"), F.lit(False).alias("on"))
@@ -155,61 +170,79 @@ def left_over(cells: Column, width: int) -> Column:
     return F.when(n == 0, F.lit(0)).when((n == 3) & (third(0) == 2) & (third(1) == 2) & (third(2) == 2), F.lit(2)).otherwise(F.lit(-1))
 
 
+def peeled(cells: Column, width: int, every) -> Column:
+    """struct(d, a, b, clear, sure) of a difference's cells: differing digests (every() where that isn't known), those recovered of each side, whether these are all, and whether d is sure."""
+
+    def of(s):
+        found = lambda left: F.when(left >= 0, F.size(s["a"]) + F.size(s["b"]) + left).otherwise(every())
+        return let(left_over(s["cells"], width), lambda left: outcome(found(left), s["a"], s["b"], left == 0, left >= 0))
+
+    return let(peel(cells, width), of)
+
+
+def outcome(d: Column, x: Column, y: Column, clear: Column, sure: Column) -> Column:
+    return F.struct(d.alias("d"), x.alias("a"), y.alias("b"), clear.alias("clear"), sure.alias("sure"))
+
+
+def same() -> Column:
+    """The outcome of two equal parts."""
+    return outcome(F.lit(0), none("bigint"), none("bigint"), F.lit(True), F.lit(True))
+
+
 def compare_parts(width: int):
-    """struct(d, a, b, clear, sure) of two parts: differing digests, those recovered of each side, whether these are all, and whether d is sure."""
+    """The outcome of two parts of sketches."""
+    return lambda a, b: F.when(a == b, same()).otherwise(peeled(add(a, b, -1), width, lambda: held(a, width) + held(b, width)))
+
 
-    def both(a: Column, b: Column) -> Column:
-        kind = lambda d, x, y, clear, sure: F.struct(d.alias("d"), x.alias("a"), y.alias("b"), clear.alias("clear"), sure.alias("sure"))
-        nothing = kind(F.lit(0), none("bigint"), none("bigint"), F.lit(True), F.lit(True))
+def larger(own: Column, other: Column) -> Column:
+    """struct(d, sure) of two sorted lists of digests by larger sketches, into which one list is put and from which the other is taken."""
 
-        def of(s):
-            every = held(a, width) + held(b, width)
-            return let(left_over(s["cells"], width), lambda left: kind(F.when(left >= 0, F.size(s["a"]) + F.size(s["b"]) + left).otherwise(every), s["a"], s["b"], left == 0, left >= 0))
+    def part(a, b):
+        return F.when(a == b, same()).otherwise(peeled(cells_of(F.concat(rows_of(a, FINE_WIDTH), rows_of(b, FINE_WIDTH, -1)), FINE_WIDTH), FINE_WIDTH, lambda: F.size(a) + F.size(b)))
 
-        return F.when(a == b, nothing).otherwise(let(peel(add(a, b, -1), width), of))
+    both = lambda p: F.zip_with(dealt(own, p), dealt(other, p), part)
+    total = lambda each: F.struct(F.aggregate(each, F.lit(0), lambda n, e: n + e["d"]).alias("d"), F.forall(each, lambda e: e["sure"]).alias("sure"))
+    return let(bits_of(F.greatest(F.size(own), F.size(other)), FINE), lambda p: let(both(p), total))
 
-    return both
 
+def ratio(total: Column, d: Column) -> Column:
+    """Shared digests over all: `total` digests on both sides, of which d differ."""
+    shared = (total - d) / F.lit(2.0)
+    return F.when(total == 0, F.lit(1.0)).otherwise(shared / (total - shared))
 
-def compare(x: Column, y: Column, width: int = WIDTH) -> Column:
+
+def compare(x: Column, y: Column) -> Column:
     """struct(likeness, only_x, only_y, clear, sure) of two sketches (arrays of parts): shared digests over all, the recovered digests that only one has, whether these are all there are, and whether the likeness is sure. Two without digests are alike."""
 
     def joined(each):
         flat = lambda k: F.flatten(F.transform(each, lambda e: e[k]))
         every = lambda k: F.forall(each, lambda e: e[k])
-        return F.struct(F.aggregate(each, F.lit(0), lambda n, e: n + e["d"]).alias("d"), flat("a").alias("a"), flat("b").alias("b"), every("clear").alias("clear"), every("sure").alias("sure"))
-
-    def done(total):
-        def ratio(r):
-            shared = (total - r["d"]) / F.lit(2.0)
-            return F.struct(F.when(total == 0, F.lit(1.0)).otherwise(shared / (total - shared)).alias("likeness"), r["a"].alias("only_x"), r["b"].alias("only_y"), r["clear"].alias("clear"), r["sure"].alias("sure"))
+        return outcome(F.aggregate(each, F.lit(0), lambda n, e: n + e["d"]), flat("a"), flat("b"), every("clear"), every("sure"))
 
-        return ratio
+    def done(total, r):
+        return F.struct(ratio(total, r["d"]).alias("likeness"), r["a"].alias("only_x"), r["b"].alias("only_y"), r["clear"].alias("clear"), r["sure"].alias("sure"))
 
     def at(n):
-        return let(F.zip_with(fold(x, n), fold(y, n), compare_parts(width)), joined)
+        return let(F.zip_with(fold(x, n), fold(y, n), compare_parts(WIDTH)), joined)
 
     n = F.least(F.size(x), F.size(y))
-    total = F.aggregate(x, F.lit(0), lambda k, p: k + held(p, width)) + F.aggregate(y, F.lit(0), lambda k, p: k + held(p, width))
-    larger = lambda once: F.when(once["clear"] | (n == 1), once).otherwise(at(n))
-    first = at(F.lit(1)) if width == WIDTH else at(n)
-    return let(let(first, larger) if width == WIDTH else first, lambda r: let(total, lambda t: done(t)(r)))
+    total = F.aggregate(x, F.lit(0), lambda k, p: k + held(p)) + F.aggregate(y, F.lit(0), lambda k, p: k + held(p))
+    all_parts = lambda once: F.when(once["clear"] | (n == 1), once).otherwise(at(n))
+    return let(let(at(F.lit(1)), all_parts), lambda r: let(total, lambda t: done(t, r)))
 
 
 def retried(df: DataFrame, own: str, other: str, met: str, name: str) -> DataFrame:
     """df with name: the likeness of two texts by the comparison `met` of their fingerprints' sketches, made again with larger sketches of the same digests (own, other) until it is sure.
 
-    Sizes are steps of their own, as expressions that hold each other are analysed slowly; where a step isn't needed its columns are null.
+    The larger one is a step of its own, as expressions that hold each other are analysed slowly; where it isn't needed its column is null.
     """
-    x, y, again = (fresh(df, c) for c in ("_x", "_y", "_again"))
-    unsure = lambda c: F.when(~F.col(met)["sure"], c)
-    bits = bits_of(F.greatest(F.size(own), F.size(other)), FINE)
-    larger = df.withColumns({x: unsure(sketch(F.col(own), FINE_WIDTH, bits)), y: unsure(sketch(F.col(other), FINE_WIDTH, bits))})
-    larger = larger.withColumn(again, unsure(compare(F.col(x), F.col(y), FINE_WIDTH)))
+    again = fresh(df, "_again")
+    retry = df.withColumn(again, F.when(~F.col(met)["sure"], larger(F.col(own), F.col(other))))
+    total = F.size(own) + F.size(other)
     # a cell for each digest: what the difference holds is what one side alone has
-    single = let(F.size(F.array_except(own, other)) + F.size(F.array_except(other, own)), lambda d: (F.size(own) + F.size(other) - d) / (F.size(own) + F.size(other) + d))
-    likeness = F.when(F.col(met)["sure"], F.col(met)["likeness"]).when(F.col(again)["sure"], F.col(again)["likeness"]).otherwise(single)
-    return larger.withColumn(name, likeness).drop(x, y, again)
+    single = ratio(total, F.size(F.array_except(own, other)) + F.size(F.array_except(other, own)))
+    likeness = F.when(F.col(met)["sure"], F.col(met)["likeness"]).when(F.col(again)["sure"], ratio(total, F.col(again)["d"])).otherwise(single)
+    return retry.withColumn(name, likeness).drop(again)
 
 
 def encode(parts: Column) -> Column:
