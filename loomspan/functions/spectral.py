@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import math
+
 import numpy as np
 import pandas as pd
 from pyspark.sql import functions as F
@@ -43,6 +45,12 @@ def band_features(y: np.ndarray, fs: float, low: float, high: float) -> tuple:
     return float(f[m.argmax()]), float(-(p * np.log2(p)).sum()) if m.sum() > 0 else None, float(m.max() / (m.mean() + 1e-12))
 
 
+@F.pandas_udf(T.DoubleType())
+def direction(dy: pd.Series, dx: pd.Series) -> pd.Series:
+    """Angle of a step by the C library's atan2, which DuckDB calls too; the JVM's differs from it in the last bit here and there."""
+    return pd.Series([math.atan2(b, a) for b, a in zip(dy.to_list(), dx.to_list(), strict=True)], dtype="float64")
+
+
 def arrays(col: pd.Series) -> list[np.ndarray]:
     return [np.zeros(0) if x is None else np.asarray(x, dtype=float) for x in col]
 

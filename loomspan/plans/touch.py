@@ -125,7 +125,9 @@ def pressures(ge: DataFrame) -> DataFrame:
 def with_motion(sw: DataFrame, run) -> DataFrame:
     """sw with steps, directions, jerks and turns along an order of stroke and time; jerk and direction run on over the ends of strokes, turns don't."""
     d = lambda c: F.col(c) - F.lag(c).over(run)
-    sw = sw.withColumns({"_s": (F.col("t") - F.lag("t").over(run)) / 1e6, "_same": F.coalesce(d("stroke") == 0, F.lit(True)), "theta": F.atan2(F.coalesce(d("py"), F.lit(0.0)), F.coalesce(d("px"), F.lit(0.0)))})
+    sw = sw.withColumns({"_s": (F.col("t") - F.lag("t").over(run)) / 1e6, "_same": F.coalesce(d("stroke") == 0, F.lit(True)), "_dx": F.coalesce(d("px"), F.lit(0.0)), "_dy": F.coalesce(d("py"), F.lit(0.0))})
+    # of the C library, as in SQL: turns of exactly 45 degrees go by the last bit
+    sw = sw.withColumn("theta", spectral.direction("_dy", "_dx"))
     sw = sw.withColumns({f"j{k}": F.when(F.col("_s") > 0, d(f"a{k}") / F.col("_s")) for k in ("", "x", "y")} | {"turn": F.coalesce(d("theta"), F.lit(0.0))})
     # a turn in no time is infinite and takes the mean, std and one extreme with it
     sudden = F.col("_same") & (F.col("_s") == 0) & (F.col("turn") != 0)

@@ -293,3 +293,13 @@ def test_one_session_is_spread_over_tasks(spark):
 def test_gaze_indicators_are_one_pass(spark):
     plan = catalogue.QUERIES["eye_indicators"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("FileScan") <= 2 and plan.count("Exchange hashpartitioning") <= 4
+
+
+def test_turns_of_45_degrees_equal_sql(spark, duck):
+    """Three points a stroke, whose second step is the first turned by 45 degrees: whether the turn is over 45 goes by the last bit of atan2."""
+    steps = [(x, y) for x in range(1, 41) for y in range(-40, 41)]
+    rows = [(1, i, i * 9 + j, j * 10, float(px), float(py), 0.0) for i, (x, y) in enumerate(steps) for j, (px, py) in enumerate(((0, 0), (x, y), (2 * x - y, 2 * y + x)))]
+    sw = spark.createDataFrame(rows, "sess int, stroke int, ord int, t int, px double, py double, a double").selectExpr("*", "1 AS win", "a AS ax", "a AS ay")
+    got = {(r.stroke, r.ord % 9): r.turn for r in touch.with_motion(sw, touch.by_stroke()).collect()}
+    want = duck.sql(f"SELECT i, atan2(x + y, x - y) - atan2(y, x) FROM (SELECT unnest({list(range(len(steps)))}) AS i, unnest({[float(x) for x, _ in steps]}) AS x, unnest({[float(y) for _, y in steps]}) AS y)").fetchall()
+    assert [got[i, 2] for i, _ in want] == [w for _, w in want] and len({w > math.radians(45) for _, w in want}) == 2
