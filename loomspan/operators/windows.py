@@ -3,8 +3,8 @@
 Times are integers (ms, us or frames). Window k of a session starts at its anchor plus k strides. A sample is dealt
 to its windows by arithmetic on its distance from the anchor, so nothing is compared with all windows. The anchors are
 an aggregate of the sessions, joined back: a join, unlike a window over the session, is split where a session is long, and
-broadcast where the sessions are few. What follows is partitioned by session and window, so a session of any length is
-spread over tasks; rows that several windows hold are sent to each.
+broadcast where the sessions are few. What follows is dealt by session and window to a number of tasks that grows with the
+rows, so a session of any length is spread over tasks and a task's share stays the same however large the input is.
 
 Policies: CLIPPED ends windows at the session's last time and leaves out starts from there on; FULL keeps their
 length; NONEMPTY also starts one at the last time, and numbers only windows that hold a sample; PADDED is FULL with
@@ -24,6 +24,15 @@ def check(size: int, stride: int) -> None:
         raise ValueError("window size and stride must be positive")
 
 
+#: Rows that a task is meant to hold. Rows of many samples grow to hundreds of columns, which their bytes in a shuffle don't show.
+SHARE = 100_000
+
+
+def dealt(df: DataFrame, rows: int, *keys: str, share: int = SHARE) -> DataFrame:
+    """df dealt by its keys to tasks of about `share` of its rows; small ones to as many tasks as run at once."""
+    return df.repartition(max(-(-rows // share), df.sparkSession.sparkContext.defaultParallelism), *keys)
+
+
 def last_window(policy: str, t0: Column, t_max: Column, stride: int) -> Column:
     """Number (from 0) of a session's last window; below 0 if it has none."""
     span = t_max - t0
@@ -55,14 +64,14 @@ def assign(samples: DataFrame, t: str, policy: str, size: int, stride: int, end:
     rel = F.col(t) - F.col("t0")
     low = F.greatest(F.lit(0), F.floor((rel - size) / F.lit(stride)) + 1)
     high = F.least(F.floor(rel / F.lit(stride)), last_window(policy, F.col("t0"), F.col("t_max"), stride))
-    dealt = wide.withColumns({"_lo": low.cast("long"), "_hi": high.cast("long")}).where("_lo <= _hi").select("*", F.explode(F.sequence("_lo", "_hi")).alias("_k"))
+    held = wide.withColumns({"_lo": low.cast("long"), "_hi": high.cast("long")}).where("_lo <= _hi").select("*", F.explode(F.sequence("_lo", "_hi")).alias("_k"))
     start = F.col("t0") + F.col("_k") * stride
     stop = F.least(start + size, F.col("t_max")) if policy == CLIPPED else start + size
-    out = dealt.withColumns({"w_start": start, "w_end": stop}).where(F.col(t) < F.col("w_end"))
+    out = held.withColumns({"w_start": start, "w_end": stop}).where(F.col(t) < F.col("w_end"))
     if policy == NONEMPTY:  # windows with a sample are numbered, of which a session has few
         held = out.select(F.col("sess").alias("_sess"), F.col("_k").alias("_j")).distinct()
         held = held.withColumn("win", F.row_number().over(Window.partitionBy("_sess").orderBy("_j")))
         out = out.join(held, F.col("sess").eqNullSafe(F.col("_sess")) & (F.col("_k") == F.col("_j"))).drop("_sess", "_j")
     else:
         out = out.withColumn("win", (F.col("_k") + 1).cast("int"))
-    return out.drop("t0", "t_max", "_lo", "_hi", "_k")
+    return dealt(out.drop("t0", "t_max", "_lo", "_hi", "_k"), -(-size // stride) * samples.count(), "sess", "win")

@@ -317,3 +317,12 @@ def test_tied_powers_are_summed_in_order():
                 c, s = c + z[i] * np.cos(2 * np.pi * (k * i % n) / n), s + z[i] * np.sin(2 * np.pi * (k * i % n) / n)
             best.append(np.sqrt(c**2 + s**2) ** 2)
         assert spectral.power_spectrum_features(y, n)[0] == pytest.approx(1 + int(np.argmax(best)))
+
+
+@pytest.mark.parametrize("size", [100, 1000])
+def test_a_tasks_share_of_windows_does_not_grow(spark, monkeypatch, size):
+    """Tasks by session and window grow with the rows: the largest holds about the share, of whatever input."""
+    monkeypatch.setattr(W, "dealt", lambda df, rows, *keys, deal=W.dealt: deal(df, rows, *keys, share=50))
+    df = spark.range(size * 10).select((F.col("id") % 97).alias("sess"), F.col("id").alias("ord"), (F.col("id") * 10).alias("t"))
+    held = [len(p) for p in W.assign(df, "t", W.FULL, 2000, 2000).select("sess").rdd.glom().collect()]
+    assert len(held) == max(4, size * 10 // 50) and max(held) < 50 * 6
