@@ -318,8 +318,9 @@ def voice_indicators(s, d):
 
 
 def pi_document_json(s, d):
-    wide = touch.indicators(adapters.touch(s, d), TOUCH)
-    return document.documents(document.keyed(wide, F.lit("touch")), "touch", TOUCH)
+    events = adapters.touch(s, d)
+    wide = touch.indicators(events, TOUCH)
+    return document.documents(document.keyed(wide, F.lit("touch")), "touch", TOUCH, samples=events.count())
 
 
 FLAGSHIP = "eye_path_bbox_dispersion"

@@ -10,6 +10,8 @@ from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceWriter, WriterCommitMessage
 
+from loomspan.operators.windows import dealt
+
 from . import registry
 from .config import PIConfig
 
@@ -36,10 +38,10 @@ def zone_minutes(us: Column, zone: str) -> Column:
     return ((F.unix_micros(F.from_utc_timestamp(at, zone)) - us) / 60_000_000).cast("int")
 
 
-def documents(wide: DataFrame, modality: str, cfg: PIConfig, offset_minutes: int | Column = 0) -> DataFrame:
+def documents(wide: DataFrame, modality: str, cfg: PIConfig, offset_minutes: int | Column = 0, samples: int = 0) -> DataFrame:
     """One row for each session: its keys and document (JSON, nulls kept). Windows without samples are in it only for modalities that emit them.
 
-    Times are rendered at offset_minutes from UTC; where it is null, in the zone of cfg at that time. wide has client_id, task, date, archive_id, win, w_start, w_end in epoch units of the modality (ms for gaze, else us), and the indicators.
+    Times are rendered at offset_minutes from UTC; where it is null, in the zone of cfg at that time. wide has client_id, task, date, archive_id, win, w_start, w_end in epoch units of the modality (ms for gaze, else us), and the indicators. samples, where known, is how many samples wide was made of: sessions are dealt to as many tasks as that takes.
     """
     offset = F.lit(offset_minutes) if isinstance(offset_minutes, int) else offset_minutes
     scale = UNIT[modality]
@@ -47,6 +49,8 @@ def documents(wide: DataFrame, modality: str, cfg: PIConfig, offset_minutes: int
     when = lambda c: iso(us(c), F.coalesce(offset, zone_minutes(us(c), cfg.timezone)))
     pi = F.struct(*(F.col(c) for c in registry.columns(modality)))
     window = F.struct(F.col("win").alias("window_number"), when("w_start").alias("start_timestamp"), when("w_end").alias("end_timestamp"), pi.alias("pi"))
+    if samples:
+        wide = dealt(wide, samples, "sess", "client_id", "task", "date", "archive_id", share=20_000)
     rows = wide.groupBy("sess", "client_id", "task", "date", "archive_id").agg(F.array_sort(F.collect_list(F.when(F.col("win").isNotNull(), window))).alias("windows"))
     screen = F.struct(F.lit(cfg.screen_w).alias("width"), F.lit(cfg.screen_h).alias("height"))
     doc = F.struct("client_id", F.col("task").alias("context"), F.lit(modality).alias("sensor_modality"), screen.alias("screen"), "windows")

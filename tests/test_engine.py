@@ -326,3 +326,8 @@ def test_a_tasks_share_of_windows_does_not_grow(spark, monkeypatch, size):
     df = spark.range(size * 10).select((F.col("id") % 97).alias("sess"), F.col("id").alias("ord"), (F.col("id") * 10).alias("t"))
     held = [len(p) for p in W.assign(df, "t", W.FULL, 2000, 2000).select("sess").rdd.glom().collect()]
     assert len(held) == max(4, size * 10 // 50) and max(held) < 50 * 6
+
+
+def test_documents_are_dealt_by_samples(spark):
+    plan = catalogue.QUERIES["pi_document_json"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert any("hashpartitioning(sess" in x and "client_id" in x and "REPARTITION_BY_NUM" in x for x in plan.splitlines())
