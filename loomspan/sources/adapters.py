@@ -7,6 +7,7 @@ import math
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from loomspan.operators.windows import dealt
 
 
 def by_user():
@@ -88,8 +89,9 @@ RATE, SAMPLES = 4000, 800
 
 
 def signals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """sess, y: a tone with one overtone for each customer, its pitch from the customer's numbers, in 64ths."""
-    c = spark.read.parquet(f"{sf_dir}/customer.parquet").select(F.col("c_custkey").alias("sess"), (100 + (F.col("c_custkey") * 7) % 300 + F.col("c_nationkey") / 10.0).cast("double").alias("hz"), F.col("c_nationkey").alias("k"))
+    """sess, y: a tone with one overtone for each customer, its pitch from the customer's numbers, in 64ths. Customers are dealt to tasks before the tones are made, as a file of few bytes is one task."""
+    rows = spark.read.parquet(f"{sf_dir}/customer.parquet")
+    c = dealt(rows, rows.count(), "c_custkey", share=2_000).select(F.col("c_custkey").alias("sess"), (100 + (F.col("c_custkey") * 7) % 300 + F.col("c_nationkey") / 10.0).cast("double").alias("hz"), F.col("c_nationkey").alias("k"))
     at = lambda i, n: 2 * math.pi * n * F.col("hz") * i / RATE
     wave = lambda i: F.round(64 * (0.5 * F.sin(at(i, 1)) + 0.3 * F.sin(at(i, 2) + F.col("k"))) * F.when(i >= SAMPLES // 2, F.lit(1.0)).otherwise((F.col("k") % 4 + 1) / 4.0)) / 64
     return c.select("sess", F.transform(F.sequence(F.lit(0), F.lit(SAMPLES - 1)), wave).alias("y"))

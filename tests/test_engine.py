@@ -15,6 +15,7 @@ from loomspan.operators import geometry, sequence
 from loomspan.operators import windows as W
 from loomspan.plans import catalogue, eye, keyboard, registry, touch, voice
 from loomspan.plans.config import PIConfig
+from loomspan.sources import adapters
 
 SF = "/root/testdata/sf0.001"
 TABLES = ("events", "orders", "embeddings", "customer")
@@ -331,3 +332,13 @@ def test_a_tasks_share_of_windows_does_not_grow(spark, monkeypatch, size):
 def test_documents_are_dealt_by_samples(spark):
     plan = catalogue.QUERIES["pi_document_json"](spark, SF)._jdf.queryExecution().executedPlan().toString()
     assert any("hashpartitioning(sess" in x and "client_id" in x and "REPARTITION_BY_NUM" in x for x in plan.splitlines())
+
+
+def test_signals_are_spread_and_tracked_together(spark):
+    """Signals of a small file are tasks of their own share, and frames of signals taken together are those of each alone."""
+    y = adapters.signals(spark, SF)
+    assert y.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    rows = np.array([r.y for r in y.limit(7).collect()])
+    for together, alone in zip(spectral.tracked_rows(rows, adapters.RATE), rows, strict=True):
+        rms, f0 = spectral.tracked(alone, adapters.RATE)
+        assert [f["rms"] for f in together] == rms.tolist() and [f["f0"] for f in together] == pytest.approx(f0)
