@@ -120,20 +120,29 @@ def count_syllables(ys: pd.Series) -> pd.Series:
     return pd.Series([len(peaks(y, 8, float(np.percentile(y, 75)) if (y > 0).any() else None)) for y in arrays(ys)], dtype="int32")
 
 
-def yin(y: np.ndarray, sr: int, low: float = 50.0, high: float = 500.0, frame_s: float = 0.025, hop_s: float = 0.01, threshold: float = 0.1) -> np.ndarray:
-    """Fundamental frequency of each frame by YIN: cumulative mean normalised difference, first dip below the threshold (else the lowest), parabolic refinement.
+def yin(y: np.ndarray, sr: int, **options) -> np.ndarray:
+    """yin_rows() of one signal."""
+    return yin_rows(np.asarray(y, float)[None], sr, **options)[0]
 
-    Frames are centred with zeros around the signal. A lag can be at most half a frame, so with frames of 25 ms the lowest pitch found is 80 Hz.
+
+def yin_rows(ys: np.ndarray, sr: int, low: float = 50.0, high: float = 500.0, frame_s: float = 0.025, hop_s: float = 0.01, threshold: float = 0.1) -> np.ndarray:
+    """Fundamental frequency of each frame (columns) of signals of one length (rows) by YIN: cumulative mean normalised difference, first dip below the threshold (else the lowest), parabolic refinement.
+
+    Frames are centred with zeros around the signal. A lag can be at most half a frame, so with frames of 25 ms the lowest pitch found is 80 Hz. Short signals are taken together, up to FRAMES frames.
     """
     frame, hop = round(frame_s * sr), round(hop_s * sr)
     half = frame // 2
     longest, shortest = min(half - 1, int(np.ceil(sr / low))), max(1, int(np.floor(sr / high)))
     if longest <= shortest + 1:
-        return np.zeros(0)
-    y = np.pad(np.asarray(y, float), half)
-    count = 1 + (len(y) - frame) // hop
-    rows = np.lib.stride_tricks.sliding_window_view(y, frame)[: (count - 1) * hop + 1 : hop]
-    return np.concatenate([pitch_of(rows[lo : lo + FRAMES], sr, longest, shortest, threshold) for lo in range(0, count, FRAMES)])
+        return np.zeros((len(ys), 0))
+    ys = np.pad(np.asarray(ys, float), ((0, 0), (half, half)))
+    count = 1 + (ys.shape[1] - frame) // hop
+    view = np.lib.stride_tricks.sliding_window_view(ys, frame, axis=1)[:, : (count - 1) * hop + 1 : hop]
+    step, out = max(1, FRAMES // count), []
+    for at in range(0, len(ys), step):
+        rows = view[at] if step == 1 else view[at : at + step].reshape(-1, frame)
+        out.append(np.concatenate([pitch_of(rows[lo : lo + FRAMES], sr, longest, shortest, threshold) for lo in range(0, len(rows), FRAMES)]).reshape(-1, count))
+    return np.concatenate(out)
 
 
 #: Frames that are transformed at once.
@@ -168,12 +177,12 @@ def pitch_of(rows: np.ndarray, sr: int, longest: int, shortest: int, threshold:
 
 
 def frame_rms(y: np.ndarray, rate: int, frame_s: float = 0.025, hop_s: float = 0.01) -> np.ndarray:
-    """Root mean square of full frames, in single precision; a shorter signal is padded to one frame."""
+    """Root mean square of full frames of a signal, or of each of several (rows), in single precision; a shorter signal is padded to one frame."""
     size, hop = round(frame_s * rate), round(hop_s * rate)
-    if len(y) < size:
-        y = np.pad(y, (0, size - len(y)))
-    rows = np.lib.stride_tricks.sliding_window_view(y.astype(np.float32), size)[::hop]
-    return np.sqrt((rows**2).mean(1, dtype=np.float32) + np.float32(1e-12)).astype(np.float32)
+    if y.shape[-1] < size:
+        y = np.pad(y, [(0, 0)] * (y.ndim - 1) + [(0, size - y.shape[-1])])
+    rows = np.lib.stride_tricks.sliding_window_view(y.astype(np.float32), size, axis=-1)[..., ::hop, :]
+    return np.sqrt((rows**2).mean(-1, dtype=np.float32) + np.float32(1e-12)).astype(np.float32)
 
 
 def tracked(y: np.ndarray, rate: int) -> tuple[np.ndarray, list]:
@@ -183,10 +192,27 @@ def tracked(y: np.ndarray, rate: int) -> tuple[np.ndarray, list]:
     return rms, [*f0.tolist(), *[None] * (len(rms) - len(f0))]
 
 
+def tracked_rows(ys: np.ndarray, rate: int) -> list[list[dict]]:
+    """Loudness and pitch of the frames of signals of one length; a frame beyond the pitch track has no pitch."""
+    rms = frame_rms(ys, rate)
+    f0 = yin_rows(ys, rate)[:, : rms.shape[1]]
+    rest = [None] * (rms.shape[1] - f0.shape[1])
+    return [[{"rms": a, "f0": b} for a, b in zip(r, [*f, *rest], strict=True)] for r, f in zip(rms.tolist(), f0.tolist(), strict=True)]
+
+
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("rms", T.FloatType()), T.StructField("f0", T.DoubleType())])))
 def track(ys: pd.Series, rates: pd.Series) -> pd.Series:
-    """Loudness and pitch of the frames of whole signals."""
-    return pd.Series([[{"rms": float(a), "f0": b} for a, b in zip(*tracked(y, int(rate)), strict=True)] for y, rate in zip(arrays(ys), rates, strict=True)])
+    """Loudness and pitch of the frames of whole signals; those of one length and rate are transformed together, 256 at most."""
+    signals, out = arrays(ys), [None] * len(ys)
+    alike: dict[tuple, list[int]] = {}
+    for i, (y, rate) in enumerate(zip(signals, rates, strict=True)):
+        alike.setdefault((len(y), int(rate)), []).append(i)
+    for (_, rate), members in alike.items():
+        for lo in range(0, len(members), 256):
+            some = members[lo : lo + 256]
+            for i, frames in zip(some, tracked_rows(np.stack([signals[j] for j in some]), rate), strict=True):
+                out[i] = frames
+    return pd.Series(out, dtype=object)
 
 
 def moving_average(y: np.ndarray, width: int) -> np.ndarray:
