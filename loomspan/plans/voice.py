@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from loomspan.functions import spectral
 from loomspan.functions.stats import null4, ratio, scalar4, slope, stats4
 from loomspan.operators.sequence import islands
-from loomspan.operators.windows import PADDED, assign, bounds, spine
+from loomspan.operators.windows import PADDED, assign, bounds, dealt, spine
 
 from .config import PIConfig
 
@@ -31,7 +31,8 @@ def windows(frames: DataFrame, cfg: PIConfig) -> DataFrame:
     end = f.withColumn("_end", F.col("ord") + 1)
     held = assign(end, "ord", PADDED, size, stride, end="_end").select(*G, (F.col("ord") - F.col("w_start")).alias("i"), "rms", "f0")
     every = spine(bounds(end, "ord", "_end"), PADDED, size, stride).select(*G, "w_start", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(size - 1).cast("long"))).alias("i"))
-    return every.join(held, [*G, "i"], "left").withColumn("rms", F.coalesce("rms", F.lit(SILENT).cast("float")))
+    full = every.join(held, [*G, "i"], "left").withColumn("rms", F.coalesce("rms", F.lit(SILENT).cast("float")))
+    return dealt(full, -(-size // stride) * frames.count(), *G)
 
 
 def frames(signals: DataFrame, rate: int) -> DataFrame:
