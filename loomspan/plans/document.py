@@ -50,7 +50,7 @@ def documents(wide: DataFrame, modality: str, cfg: PIConfig, offset_minutes: int
     pi = F.struct(*(F.col(c) for c in registry.columns(modality)))
     window = F.struct(F.col("win").alias("window_number"), when("w_start").alias("start_timestamp"), when("w_end").alias("end_timestamp"), pi.alias("pi"))
     if samples:
-        wide = dealt(wide, samples, "sess", "client_id", "task", "date", "archive_id", share=20_000)
+        wide = dealt(wide, samples, "sess", share=20_000)
     rows = wide.groupBy("sess", "client_id", "task", "date", "archive_id").agg(F.array_sort(F.collect_list(F.when(F.col("win").isNotNull(), window))).alias("windows"))
     screen = F.struct(F.lit(cfg.screen_w).alias("width"), F.lit(cfg.screen_h).alias("height"))
     doc = F.struct("client_id", F.col("task").alias("context"), F.lit(modality).alias("sensor_modality"), screen.alias("screen"), "windows")

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from loomspan.functions import spectral, stats, tokens
 from loomspan.operators import geometry, sequence
 from loomspan.operators import windows as W
-from loomspan.plans import catalogue, eye, keyboard, registry, touch, voice
+from loomspan.plans import catalogue, document, eye, keyboard, registry, touch, voice
 from loomspan.plans.config import PIConfig
 from loomspan.sources import adapters
 
@@ -329,9 +329,11 @@ def test_a_tasks_share_of_windows_does_not_grow(spark, monkeypatch, size):
     assert len(held) == max(4, size * 10 // 50) and max(held) < 50 * 6
 
 
-def test_documents_are_dealt_by_samples(spark):
-    plan = catalogue.QUERIES["pi_document_json"](spark, SF)._jdf.queryExecution().executedPlan().toString()
-    assert any("hashpartitioning(sess" in x and "client_id" in x and "REPARTITION_BY_NUM" in x for x in plan.splitlines())
+def test_documents_are_dealt_by_samples(spark, monkeypatch):
+    """The tasks that collect a session's windows are as many as its samples call for, with no exchange after."""
+    monkeypatch.setattr(document, "dealt", lambda df, rows, *keys, share: W.dealt(df, rows, *keys, share=100))
+    docs, n = catalogue.QUERIES["pi_document_json"](spark, SF), adapters.events(spark, SF).count()
+    assert docs.rdd.getNumPartitions() == -(-n // 100) > 4
 
 
 def test_signals_are_spread_and_tracked_together(spark):
