@@ -15,7 +15,7 @@ from loomspan.functions import spectral
 from loomspan.functions.stats import STATS, both_ways, correlation, extent, finite, guarded, only, quotient, ratio, rms, scalar4, slope, spread, stats4
 from loomspan.operators import geometry
 from loomspan.operators.sequence import stroke_ids
-from loomspan.operators.windows import NONEMPTY, assign
+from loomspan.operators.windows import NONEMPTY, assign, dealt
 
 from .config import PIConfig
 
@@ -122,12 +122,14 @@ def pressures(ge: DataFrame) -> DataFrame:
     return ge.where("kind IS NOT NULL").groupBy(*G).agg(*(c for k, name in KINDS.items() for c in stats4(f"{name}_pressure", F.when(F.col("kind") == k, F.col("p")), 0)))
 
 
-def with_motion(sw: DataFrame, run) -> DataFrame:
+def with_motion(sw: DataFrame, run, samples: int = 0) -> DataFrame:
     """sw with steps, directions, jerks and turns along an order of stroke and time; jerk and direction run on over the ends of strokes, turns don't."""
     d = lambda c: F.col(c) - F.lag(c).over(run)
     sw = sw.withColumns({"_s": (F.col("t") - F.lag("t").over(run)) / 1e6, "_same": F.coalesce(d("stroke") == 0, F.lit(True)), "_dx": F.coalesce(d("px"), F.lit(0.0)), "_dy": F.coalesce(d("py"), F.lit(0.0))})
     # of the C library, as in SQL: turns of exactly 45 degrees go by the last bit
     sw = sw.withColumn("theta", spectral.direction("_dy", "_dx"))
+    if samples:  # a UDF loses how rows are dealt
+        sw = dealt(sw, 2 * samples, *G)
     sw = sw.withColumns({f"j{k}": F.when(F.col("_s") > 0, d(f"a{k}") / F.col("_s")) for k in ("", "x", "y")} | {"turn": F.coalesce(d("theta"), F.lit(0.0))})
     # a turn in no time is infinite and takes the mean, std and one extreme with it
     sudden = F.col("_same") & (F.col("_s") == 0) & (F.col("turn") != 0)
@@ -194,7 +196,7 @@ def rhythm(wd: DataFrame) -> DataFrame:
     return seq.select(*G, *(c for kind, col in (("velocity", "_rv"), ("acceleration", "_ra")) for n, f in names for c in scalar4(f"{kind}_rhythm_{n}", F.col(f"{col}.{f}"), 0)))
 
 
-def traced(wd: DataFrame) -> DataFrame:
+def traced(wd: DataFrame, samples: int = 0) -> DataFrame:
     """wd with the stroke of every event, its gesture and measures, steps along swipes, and counts of cells; last marks the event that stands for its stroke."""
     of = Window.partitionBy(*G, "stroke")
     run = of.orderBy("t", "ord")
@@ -206,7 +208,7 @@ def traced(wd: DataFrame) -> DataFrame:
     })
     t = gestured(t).withColumn("kind", F.when(F.col("stroke").isNotNull(), F.col("kind")))
     gap = lambda *k: (F.lead("t0").over(Window.partitionBy(*G, "last", *k).orderBy("t0", "stroke")) - F.col("t1")) / 1e6
-    t = with_motion(t.withColumns({"gap": gap(), "kind_gap": gap("kind")}), Window.partitionBy(*G, "kind").orderBy("stroke", "t", "ord"))
+    t = with_motion(t.withColumns({"gap": gap(), "kind_gap": gap("kind")}), Window.partitionBy(*G, "kind").orderBy("stroke", "t", "ord"), samples)
     both = F.col("px").isNotNull() & F.col("py").isNotNull()
     at = lambda c, over: (F.min(F.when(both, F.col(c))).over(over), F.max(F.when(both, F.col(c))).over(over))
     every, swipes = in_window(), Window.partitionBy(*G, "kind")
@@ -261,7 +263,7 @@ def indicators(samples: DataFrame, cfg: PIConfig) -> DataFrame:
         "w_start": "max(w_start)", "w_end": "max(w_end)", "n_samples": "count(*)", "_swipe": "count(CASE WHEN kind = 'swipe' THEN 1 END)", "_pts": "collect_list(CASE WHEN px IS NOT NULL AND py IS NOT NULL THEN struct(px, py) END)",
         "_v": ordered("v"), "_a": ordered("a"), "_fs": "try_divide(1.0D, avg(CASE WHEN dt > 0 THEN dt END))",
     }
-    held = traced(windows(samples, cfg)).groupBy(*G).agg(
+    held = traced(windows(samples, cfg), samples.count()).groupBy(*G).agg(
         *families["_swipe"], *event_list(cfg), *stroke_list(cfg.window_s), *scalar4("touch_entropy", f"avg({boxed('-ln(_held / _all + 1e-12D)')})", 0), *(F.expr(f"{x} AS {n}") for n, x in more.items()),
     )
     held = guarded(held, len(G), families).withColumns({"_h": geometry.hull(F.col("_pts.px"), F.col("_pts.py")), "_rv": spectral.power_rhythm("_v", "_fs"), "_ra": spectral.power_rhythm("_a", "_fs")})
