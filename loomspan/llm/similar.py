@@ -12,8 +12,10 @@ their first shared shingle, and how many of their shingles fall in the same rang
 Equal sets are merged first. Of each shingle a member is compared with one of another component, once a set and round;
 only members that are in different components after ROUNDS are compared in pairs, inside the tasks of their shingles: a
 pair is left to an earlier shingle if both have it among the BEFORE shingles that precede this one in their prefixes, and
-is sent on only if the counts of its sets' shingles in BUCKETS ranges of the hash space allow 0.8. A row carries these few
-numbers, not its set. Shingles with many members are cut in pairs of chunks.
+may be sent on only if the counts of its sets' shingles in BUCKETS ranges of the hash space allow 0.8. A row carries these
+few numbers, not its set. Shingles with many members are cut in pairs of chunks. In each of CLOSEST turns a set sends on
+one pair, that whose counts allow most, so as many pairs at most as there are sets; what these link needs no other pair,
+and a set that has none takes no part any more. The last turn sends on all pairs that are in different components still.
 """
 
 from __future__ import annotations
@@ -35,7 +37,9 @@ OFTEN = 2
 #: Shingles in a range of the hash space, about.
 PER_RANGE = 6
 #: Rounds of stars, ranges that a set is counted in before pairs are sent on, and members of a shingle that a task compares at once.
-ROUNDS, BUCKETS, HOT = 1, 128, 2048
+ROUNDS, BUCKETS, HOT = 1, 512, 2048
+#: Turns in which a set sends on one pair, before the one that sends on all.
+CLOSEST = 2
 #: Shingles of its prefix that a member carries, those right before.
 BEFORE = 8
 NO_ID = -(2**63)
@@ -151,7 +155,7 @@ def profiles(texts: DataFrame, late) -> DataFrame:
                 grams = np.unique(hashes)
                 s.append(set_hash(grams))
                 first.append(prefix_of(grams, late.value).view(np.int64))
-                n = np.bincount((grams >> np.uint64(57)).astype(np.int64), minlength=BUCKETS)
+                n = np.bincount((grams >> np.uint64(65 - BUCKETS.bit_length())).astype(np.int64), minlength=BUCKETS)
                 counts.append(n.astype(np.uint8).tobytes() if n.max() < 256 else b"")
             yield pa.RecordBatch.from_arrays([pa.array(np.array(s, np.uint64).view(np.int64)), pa.array(first, pa.list_(pa.int64())), pa.array(counts, pa.binary())], ["s", "prefix", "counts"])
 
@@ -192,38 +196,59 @@ def meet_before(before: list[np.ndarray]) -> np.ndarray:
     return out
 
 
-def pairs_of(batches):
-    """Pairs of a shingle's members that are in different components, that aren't left to an earlier shingle and that may be similar."""
-    for t in runs(batches, ["gram", "c1", "c2"]):
-        if t.num_rows < 2:
-            continue
-        s, n, at, root, mine, c1, c2 = (t.column(c).to_numpy() for c in ("s", "n", "at", "root", "mine", "c1", "c2"))
-        before = t.column("before").combine_chunks()
-        off, flat = before.offsets.to_numpy(), before.values.to_numpy()
-        full = np.full(BUCKETS, 1 << 40)
-        counts = np.stack([np.frombuffer(x, np.uint8).astype(np.int64) if x else full for x in t.column("counts").to_pylist()])
-        met = meet_before([flat[a:b] for a, b in zip(off, off[1:], strict=False)])
-        out = []
-        for i in range(len(s)):
-            j = np.flatnonzero((s > s[i]) & (root != root[i]) & ~met[i] & (5 * np.minimum(n, n[i]) >= 4 * np.maximum(n, n[i])) & (9 * np.minimum(n - at, n[i] - at[i]) >= 4 * (n + n[i])))
-            if c1[0] != c2[0]:
-                j = j[mine[j] != mine[i]]
-            if len(j):
-                most = np.minimum(counts[j], counts[i]).sum(1)
-                j = j[9 * most >= 4 * (n[j] + n[i])]
-                out.append((np.full(len(j), s[i]), s[j]))
-        if out:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b"])
-
-
-def near_pairs(member: DataFrame, docs: DataFrame, rows: DataFrame, late) -> DataFrame:
-    """Pairs (a, b) of sets that share a shingle of their prefixes, lie in different components and may be similar. member: gram, s, n, at, root."""
+def pairs_of(closest: bool):
+    """Pairs of a shingle's members that are in different components, that aren't left to an earlier shingle and that may be similar; of each member all, or the one that may share most (may: of how many in 10,000)."""
+
+    def run(batches):
+        for t in runs(batches, ["gram", "c1", "c2"]):
+            if t.num_rows < 2:
+                continue
+            s, n, at, root, mine, c1, c2 = (t.column(c).to_numpy() for c in ("s", "n", "at", "root", "mine", "c1", "c2"))
+            before = t.column("before").combine_chunks()
+            off, flat = before.offsets.to_numpy(), before.values.to_numpy()
+            full = np.full(BUCKETS, 65535, np.uint16)
+            counts = np.stack([np.frombuffer(x, np.uint8).astype(np.uint16) if x else full for x in t.column("counts").to_pylist()])
+            met = meet_before([flat[a:b] for a, b in zip(off, off[1:], strict=False)])
+            out, best, of = [], np.zeros(len(s), np.int64), np.zeros(len(s), np.int64)
+            for i in range(len(s)):
+                j = np.flatnonzero((s > s[i]) & (root != root[i]) & ~met[i] & (5 * np.minimum(n, n[i]) >= 4 * np.maximum(n, n[i])) & (9 * np.minimum(n - at, n[i] - at[i]) >= 4 * (n + n[i])))
+                if c1[0] != c2[0]:
+                    j = j[mine[j] != mine[i]]
+                if not len(j):
+                    continue
+                most = np.minimum(counts[j], counts[i]).sum(1, dtype=np.int64)
+                keep = 9 * most >= 4 * (n[j] + n[i])
+                j, may = j[keep], 20_000 * most[keep] // (n[j] + n[i])[keep]
+                if not closest:
+                    out.append((np.full(len(j), s[i]), s[j], may))
+                elif len(j):
+                    more = may > best[j]
+                    best[j[more]], of[j[more]] = may[more], s[i]
+                    if may.max() > best[i]:
+                        best[i], of[i] = may.max(), s[j[may.argmax()]]
+            if best.any():
+                out.append((s[best > 0], of[best > 0], best[best > 0]))
+            if out:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*out, strict=True)], ["a", "b", "may"])
+
+    return run
+
+
+def able_to_pair(member: DataFrame) -> DataFrame:
+    """Members of a shingle (gram, s, n, ...) that have another one near in size."""
     of = Window.partitionBy("gram").orderBy("n", "s")
     fits = lambda other: F.coalesce(5 * F.least("n", other) >= 4 * F.greatest("n", other), F.lit(False))
-    member = member.withColumns({"_a": F.lag("n").over(of), "_b": F.lead("n").over(of)}).where(fits(F.col("_a")) | fits(F.col("_b"))).drop("_a", "_b")
-    member = cut(member)
+    return cut(member.withColumns({"_a": F.lag("n").over(of), "_b": F.lead("n").over(of)}).where(fits(F.col("_a")) | fits(F.col("_b"))).drop("_a", "_b"))
+
+
+def known_of(member: DataFrame, docs: DataFrame, rows: DataFrame, late) -> DataFrame:
+    """profiles() of the members' sets."""
     one = small(rows.join(member.select("s").distinct(), "s", "left_semi").groupBy("s").agg(F.min("h").alias("h")).select("h"))
-    known = profiles(docs.join(one, "h", "left_semi").dropDuplicates(["h"]), late).dropDuplicates(["s"])
+    return cut(profiles(docs.join(one, "h", "left_semi").dropDuplicates(["h"]), late).dropDuplicates(["s"]))
+
+
+def near_pairs(member: DataFrame, known: DataFrame, closest: bool) -> DataFrame:
+    """Pairs (a, b) of sets that share a shingle of their prefixes, lie in different components and may be similar; closest: for each set that has any one, with the set as a. member: gram, s, n, at, root; known: what known_of says of them."""
     many = small(member.groupBy("gram").agg(F.count("*").alias("m")).where(F.col("m") > HOT))
     chunks = F.ceil(F.col("m") / F.lit(HOT)).cast("int")
     dealt = member.join(many, "gram", "left").withColumn("mine", F.when(F.col("m").isNull(), F.lit(0)).otherwise(F.pmod(F.xxhash64("s"), chunks).cast("int")))
@@ -232,7 +257,10 @@ def near_pairs(member: DataFrame, docs: DataFrame, rows: DataFrame, late) -> Dat
     others = F.when(F.col("m").isNull(), F.array(F.lit(0))).otherwise(F.sequence(F.lit(0), chunks - 1))
     full = full.select("*", F.explode(others).alias("other")).withColumns({"c1": F.least("mine", "other"), "c2": F.greatest("mine", "other")})
     keys = ["gram", "c1", "c2"]
-    return full.select(*keys, "s", "n", "at", "root", "mine", "before", "counts").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(pairs_of, "a long, b long").distinct()
+    pairs = full.select(*keys, "s", "n", "at", "root", "mine", "before", "counts").repartition(*keys).sortWithinPartitions(*keys).mapInArrow(pairs_of(closest), "a long, b long, may long")
+    if closest:
+        return pairs.groupBy("a").agg(F.max(F.struct("may", "b")).alias("best")).select("a", "best.b")
+    return pairs.select("a", "b").distinct()
 
 
 def order(docs: DataFrame):
@@ -293,7 +321,13 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
         first = apart().withColumn("first", F.min(mark).over(by))
         star = first.where("root <> first.root AND " + may).groupBy(F.col("s").alias("b")).agg(F.min("first.s").alias("a"))
         edges = edges.unionByName(similar(star.select("a", "b"), docs, rows))
-    return edges.unionByName(similar(near_pairs(apart(), docs, rows, late), docs, rows))
+    member = able_to_pair(apart())
+    known = known_of(member, docs, rows, late)
+    for _ in range(CLOSEST):
+        best = cut(near_pairs(member, known, True))
+        edges = edges.unionByName(similar(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), docs, rows))
+        member = able_to_pair(apart().join(small(best.select(F.col("a").alias("s"))), "s", "left_semi"))
+    return edges.unionByName(similar(near_pairs(member, known, False), docs, rows))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import random
 import corpus_pipeline
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from loomspan.llm import pii, quality, similar, suffix
 
@@ -114,6 +115,25 @@ def test_near_dup_of_a_large_group(spark):
     assert {r.doc_id for r in corpus_pipeline.near_dup_stage(spark, docs, SF).collect()} == set(root.tolist())
 
 
+def test_near_dup_compares_few_pairs_of_a_large_group(spark, monkeypatch):
+    """Of 500 edited copies of one text, nearly all pairs of them 0.8 alike, few more pairs than copies are compared by whole sets."""
+    monkeypatch.setattr(similar, "close", lambda rows: rows.select(F.col("s").alias("a"), F.col("s").alias("b")).limit(0))
+    whole, sent = similar.similar, []
+    monkeypatch.setattr(similar, "similar", lambda pairs, *rest: (sent.append(pairs.count()), whole(pairs, *rest))[1])
+    monkeypatch.setattr(similar, "ROUNDS", 0)
+    rng = random.Random(9)
+    base = [f"w{i}" for i in range(200)]
+    rows = []
+    for i in range(500):
+        copy = list(base)
+        for _ in range(3):
+            copy[rng.randrange(200)] = f"x{i}y{rng.randrange(10**6)}"
+        rows.append((i, " ".join(copy), "en", "src", 0))
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4)
+    assert [r.doc_id for r in corpus_pipeline.near_dup_stage(spark, docs, SF).collect()] == [0]
+    assert sum(sent) <= 5 * len(rows), sent
+
+
 def test_stages_take_awkward_tables(spark):
     """Each stage on an empty table, and on null ids, null texts, repeated rows and columns with clashing names: it doesn't fail and keeps the columns."""
     schema = "doc_id long, text string, lang string, source string, n_chars long, _host string, _w int, _lines int, h int, doc int, bin int"
