@@ -23,8 +23,9 @@ def div(a, n: int):
 
 
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events with their number in the user's order. They are dealt by user to a number of tasks that grows with the rows."""
     e = spark.read.parquet(f"{sf_dir}/events.parquet").select("event_id", "ts", "user_id", "event_type", "value", F.get_json_object("props", "$.k").cast("int").alias("k"))
-    return e.withColumn("rn", F.row_number().over(by_user()))
+    return dealt(e, e.count(), "user_id").withColumn("rn", F.row_number().over(by_user()))
 
 
 def gaze(spark: SparkSession, sf_dir: str) -> DataFrame:

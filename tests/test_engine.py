@@ -72,6 +72,12 @@ def test_windows_equal_range_join(spark, times, size, stride, policy):
     assert sorted(r.win for r in spine) == list(range(1, k + 1))
 
 
+def test_events_are_dealt_by_their_number(spark, monkeypatch):
+    rows = spark.read.parquet(f"{SF}/events.parquet").count()
+    monkeypatch.setattr(adapters, "dealt", lambda df, n, *keys: W.dealt(df, n, *keys, share=rows // 20))
+    assert adapters.events(spark, SF).rdd.getNumPartitions() >= 20
+
+
 def test_windows_reject_bad_sizes(spark):
     df = spark.createDataFrame([(1, 1)], "sess int, t long")
     for size, stride in ((0, 1), (1, 0), (1, -1)):
