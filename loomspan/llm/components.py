@@ -12,12 +12,16 @@ from pyspark.sql import functions as F
 from .blocks import cut
 
 
-def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60) -> DataFrame:
-    """(node, root) for every node of an edge: root is the least node of its component. Loops, repeated and reversed edges are fine; nulls are dropped."""
+def components(edges: DataFrame, a: str = "a", b: str = "b", most_rounds: int = 60, alone: int = 0) -> DataFrame:
+    """(node, root) for every node of an edge: root is the least node of its component. Loops, repeated and reversed edges are fine; nulls are dropped. alone: a graph of so many edges at most is one partition."""
     live = cut(edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u > v").distinct())
+    one = alone > 0 and live.count() <= alone
+    if one:
+        live = cut(live.coalesce(1))
     seen = None
     for _ in range(most_rounds):
         both = live.unionByName(live.select(F.col("v").alias("u"), F.col("u").alias("v")))
+        both = both.coalesce(1) if one else both
         least = both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m"))
         # large star: neighbours above a node move to the node's least neighbour
         large = both.join(least, "u").where("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()

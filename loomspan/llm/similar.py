@@ -4,7 +4,8 @@ Near copies are texts whose sets of distinct SHINGLE-word shingles have a Jaccar
 10 of a fingerprint's 64 bits differ, more than the Golay keys of `simhash` reach (4), so the fingerprints of five-word
 shingles join the closest copies, and large groups of them, without pairs; a prefix join over shingles finds the rest:
 in one order of all shingles, two sets this similar share one of the first n - ceil(0.8 n) + 1 of each, so no such pair
-is missed. The order puts shingles that a sample of the corpus holds twice late; any order finds the same pairs.
+is missed. The order puts shingles that a sample of the corpus holds twice late; any order finds the same pairs, so it
+goes by a shingle's slot, one byte of a table whose size is fixed, and not by a list of shingles that the driver would hold.
 
 Every link is verified by whole sets. Before that, pairs that can't reach 0.8 are put out by bounds: what may follow
 their first shared shingle, and how many of their shingles fall in the same ranges of the hash space.
@@ -34,12 +35,16 @@ SEED = 42
 #: Texts that the order of shingles is sampled from, about, and how many of them have to hold a shingle for it to be late.
 SAMPLE = 20_000
 OFTEN = 2
+#: Slots that shingles fall in by their last bits, and how many of them a row takes to the driver; powers of two.
+SLOTS, SLOTS_A_ROW = 1 << 22, 1 << 16
 #: Shingles in a range of the hash space, about.
 PER_RANGE = 6
 #: Rounds of stars, ranges that a set is counted in before pairs are sent on, and members of a shingle that a task compares at once.
 ROUNDS, BUCKETS, HOT = 1, 512, 2048
 #: Turns in which a set sends on one pair, before the one that sends on all.
 CLOSEST = 2
+#: Links, of a few numbers each, whose components are found in one partition: more are dealt out.
+ALONE = 20_000
 #: Shingles of its prefix that a member carries, those right before.
 BEFORE = 8
 NO_ID = -(2**63)
@@ -113,13 +118,9 @@ def sets(texts: DataFrame) -> DataFrame:
 
 
 def prefix_of(grams: np.ndarray, late) -> np.ndarray:
-    """The first of a set's shingles in the order of all shingles, so many that similar sets share one."""
-    grams_late, often = late
+    """The first of a set's shingles in the order of all shingles, so many that similar sets share one. late: what order() broadcasts."""
     n = len(grams)
-    turn = np.zeros(n, np.int64)
-    if len(grams_late):
-        i = np.searchsorted(grams_late, grams).clip(0, len(grams_late) - 1)
-        turn = np.where(grams_late[i] == grams, often[i], 0)
+    turn = late[(grams & np.uint64(len(late) - 1)).astype(np.int64)]
     return grams[np.lexsort((grams, turn))][: n - -(-4 * n // 5) + 1]
 
 
@@ -263,14 +264,30 @@ def near_pairs(member: DataFrame, known: DataFrame, closest: bool) -> DataFrame:
     return pairs.select("a", "b").distinct()
 
 
+def slots(batches):
+    """Of rows (part, slot, count), all of a part in one task: each part's slots as bytes, the most of each slot's counts, 255 at most."""
+    parts: dict[int, np.ndarray] = {}
+    for batch in batches:
+        part, slot, count = (batch.column(c).to_numpy() for c in ("part", "slot", "count"))
+        for p in np.unique(part).tolist():
+            mine = part == p
+            held = parts.setdefault(p, np.zeros(SLOTS_A_ROW, np.uint8))
+            np.maximum.at(held, slot[mine], np.minimum(count[mine], 255).astype(np.uint8))
+    for p, held in parts.items():
+        yield pa.RecordBatch.from_arrays([pa.array([p], pa.int64()), pa.array([held.tobytes()], pa.binary())], ["part", "held"])
+
+
 def order(docs: DataFrame):
-    """Broadcasts the shingles that OFTEN or more of a sample of the texts hold, sorted, with how many hold each."""
+    """Broadcasts SLOTS bytes: of each slot how many texts of a sample hold that of its shingles which most hold, 0 if none is held by OFTEN or more. The driver gets these bytes, however many shingles there are."""
     rate = max(1, docs.count() // SAMPLE)
     some = docs.where(F.pmod("h", F.lit(rate)) == 0).select("text").dropDuplicates(["text"])
-    rows = sets(some).select(F.explode("grams").alias("g")).groupBy("g").count().where(F.col("count") >= OFTEN).toPandas()
-    grams, often = rows["g"].to_numpy(np.int64).view(np.uint64), rows["count"].to_numpy(np.int64)
-    by = np.argsort(grams)
-    return docs.sparkSession.sparkContext.broadcast((grams[by], often[by]))
+    often = sets(some).select(F.explode("grams").alias("g")).groupBy("g").count().where(F.col("count") >= OFTEN)
+    slot = F.col("g").bitwiseAND(F.lit(SLOTS - 1))
+    dealt = often.select(F.floor(slot / F.lit(SLOTS_A_ROW)).alias("part"), (slot % F.lit(SLOTS_A_ROW)).alias("slot"), "count").repartition("part")
+    late = np.zeros(SLOTS, np.uint8)
+    for part, held in dealt.mapInArrow(slots, "part long, held binary").collect():
+        late[part * SLOTS_A_ROW : (part + 1) * SLOTS_A_ROW] = np.frombuffer(held, np.uint8)[:SLOTS]
+    return docs.sparkSession.sparkContext.broadcast(late)
 
 
 def able(batches):
@@ -313,7 +330,7 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     def apart():
         """Members with their components, of shingles whose members are in several."""
-        member = shared.join(components(edges), F.col("s") == F.col("node"), "left").select("gram", "s", "n", "at", F.coalesce("root", "s").alias("root"))
+        member = shared.join(components(edges, alone=ALONE), F.col("s") == F.col("node"), "left").select("gram", "s", "n", "at", F.coalesce("root", "s").alias("root"))
         return member.withColumn("several", F.min("root").over(by) != F.max("root").over(by)).where("several").drop("several")
 
     for k in range(ROUNDS):
@@ -340,7 +357,7 @@ def keep_first(docs: DataFrame) -> DataFrame:
     slim = docs.select(keys[doc].alias("doc"), keys[h].alias("h"), F.coalesce("text", F.lit("")).alias("text"))
     with arrow_rows(docs.sparkSession, 1000):
         rows = cut(describe(slim))
-        roots = components(links(slim.select("h", "text"), rows))
+        roots = components(links(slim.select("h", "text"), rows), alone=ALONE)
     rooted = rows.join(roots, F.col("s") == F.col("node"), "left").select("doc", "h", F.coalesce("root", "s").alias("root"))
     kept = rooted.groupBy("root").agg(F.min(F.struct("doc", "h")).alias("kept"))
     drop = rooted.join(kept, "root").where("doc <> kept.doc OR h <> kept.h").select(F.col("doc").alias(doc), F.col("h").alias(h)).distinct()

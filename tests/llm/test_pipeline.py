@@ -4,10 +4,12 @@ import random
 
 import corpus_pipeline
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from loomspan.llm import pii, quality, similar, suffix
+from loomspan.llm.components import components
 
 SF = "/root/testdata/sf0.001"
 
@@ -134,6 +136,39 @@ def test_near_dup_compares_few_pairs_of_a_large_group(spark, monkeypatch):
     assert sum(sent) <= 5 * len(rows), sent
 
 
+def test_near_dup_sends_the_driver_a_table_of_fixed_size(spark, monkeypatch):
+    """However many shingles texts have in common, the driver gets SLOTS bytes, no rows of shingles; those held twice come late in a prefix."""
+    monkeypatch.setattr(similar, "SLOTS", 1 << 17)
+    sizes = []
+    for n in (200, 40_000):
+        words = [f"w{i}" for i in range(n)]
+        texts = [" ".join(words + [f"x{k}y{i}" for i in range(n)]) for k in range(2)]
+        docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "h long, text string")
+        late = similar.order(docs)
+        sizes.append(late.value.nbytes)
+        often, once = (next(similar.shingles(pa.RecordBatch.from_pydict({"text": [" ".join(x)]}))) for x in (words, [f"x0y{i}" for i in range(n)]))
+        first = set(similar.prefix_of(np.unique(np.concatenate([often, once])), late.value).tolist())
+        slots = {int(x) % (1 << 17) for x in often}
+        assert {int(x) % (1 << 17) for x in np.flatnonzero(late.value == 2)} == slots
+        assert n > 200 or (first <= set(once.tolist()) and len(first) > 70)
+    assert sizes == [1 << 17, 1 << 17]
+
+
+@pytest.mark.parametrize("slots", [1 << 4, 1 << 10])
+def test_near_dup_with_few_slots(spark, monkeypatch, slots):
+    """Any order of shingles finds the same: with nearly all shingles in common slots the kept rows are those of the join."""
+    monkeypatch.setattr(similar, "SLOTS", slots)
+    test_near_dup_is_the_join(spark, monkeypatch, 2048)
+
+
+@pytest.mark.parametrize("alone", [0, 3, 1000])
+def test_components_alone(spark, alone):
+    """Graphs in one partition and graphs dealt out have the same components."""
+    edges = spark.createDataFrame([(1, 2), (3, 2), (9, 7), (7, 7), (5, 4), (4, 6), (3, 8), (8, 1)], "a long, b long").repartition(4)
+    got = components(edges, alone=alone)
+    assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 4), (7, 7), (8, 1), (9, 7)]
+
+
 def test_stages_take_awkward_tables(spark):
     """Each stage on an empty table, and on null ids, null texts, repeated rows and columns with clashing names: it doesn't fail and keeps the columns."""
     schema = "doc_id long, text string, lang string, source string, n_chars long, _host string, _w int, _lines int, h int, doc int, bin int"
