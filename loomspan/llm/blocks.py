@@ -55,17 +55,25 @@ def small(df: DataFrame, rows: int = 1_000_000) -> DataFrame:
 
 
 @contextmanager
-def arrow_rows(spark: SparkSession, rows: int):
-    """Within it, jobs pass so many rows at a time to Python: whole texts make large batches, in the JVM and in the worker."""
-    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+def setting(spark: SparkSession, name: str, value: str):
     before = spark.conf.get(name)
-    spark.conf.set(name, str(rows))
+    spark.conf.set(name, value)
     try:
         yield
     finally:
         spark.conf.set(name, before)
 
 
+def arrow_rows(spark: SparkSession, rows: int):
+    """Within it, jobs pass so many rows at a time to Python: whole texts make large batches, in the JVM and in the worker."""
+    return setting(spark, "spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+
+
+def shuffles_freed(spark: SparkSession):
+    """Within it, a DataFrame that is made and materialised leaves no shuffle files; else they stay until the driver happens to collect its garbage. For rounds of jobs that go on from what cut() holds."""
+    return setting(spark, "spark.sql.classic.shuffleDependency.fileCleanup.enabled", "true")
+
+
 def slices(batches, rows: int = 1000):
     """Record batches in slices of so many rows, so that Python holds few whole texts at a time; memory goes back at the end."""
     for batch in batches:

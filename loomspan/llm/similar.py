@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from . import simhash
-from .blocks import arrow_rows, cut, fresh, slices, small, strings
+from .blocks import arrow_rows, cut, fresh, shuffles_freed, slices, small, strings
 from .components import components
 
 SHINGLE = 5
@@ -43,7 +43,7 @@ PER_RANGE = 6
 ROUNDS, BUCKETS, HOT = 1, 512, 2048
 #: Turns in which a set sends on one pair, before the one that sends on all.
 CLOSEST = 2
-#: Links, of a few numbers each, whose components are found in one partition: more are dealt out.
+#: Links, of two numbers each, whose components are found in one task: more are dealt out.
 ALONE = 20_000
 #: Shingles of its prefix that a member carries, those right before.
 BEFORE = 8
@@ -298,11 +298,14 @@ def able(batches):
         yield pa.RecordBatch.from_arrays([batch.column("a").filter(keep), batch.column("b").filter(keep)], ["a", "b"])
 
 
-def similar(pairs: DataFrame, docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Those of pairs (a, b) of set hashes whose sets have a Jaccard similarity of at least 0.8. rows: what describe says of docs."""
-    held = rows.select("s", "ranges").dropDuplicates(["s"])
-    both = pairs.join(held.toDF("a", "ra"), "a").join(held.toDF("b", "rb"), "b")
-    left = cut(both.select("a", "b", "ra", "rb").mapInArrow(able, "a long, b long"))
+def similar(pairs: DataFrame, docs: DataFrame, rows: DataFrame, bound: bool = True) -> DataFrame:
+    """Those of pairs (a, b) of set hashes whose sets have a Jaccard similarity of at least 0.8. rows: what describe says of docs. bound: pairs whose ranges don't allow it go first; what near_pairs finds has been through BUCKETS ranges."""
+    left = pairs.select("a", "b")
+    if bound:
+        held = rows.select("s", "ranges").dropDuplicates(["s"])
+        both = pairs.join(held.toDF("a", "ra"), "a").join(held.toDF("b", "rb"), "b")
+        left = both.select("a", "b", "ra", "rb").mapInArrow(able, "a long, b long")
+    left = cut(left)
     wanted = left.select(F.explode(F.array("a", "b")).alias("s")).distinct()
     one = small(rows.join(wanted, "s", "left_semi").groupBy("s").agg(F.min("h").alias("h")).select("h"))
     grams = sets(docs.join(one, "h", "left_semi").dropDuplicates(["h"])).dropDuplicates(["s"])
@@ -320,9 +323,18 @@ def close(rows: DataFrame) -> DataFrame:
     return same.unionByName(linked)
 
 
-def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
-    """Edges (a, b) between set hashes that connect all sets with a similarity of at least 0.8. docs: h, text; rows: what describe says of them."""
-    edges, late = similar(close(rows), docs, rows), order(docs)
+def merged(roots: DataFrame, edges: DataFrame) -> DataFrame:
+    """roots (node, root; a node that isn't there is its own root) after more edges (a, b): only what these link is solved."""
+    of = lambda c: roots.select(F.col("node").alias(c), F.col("root").alias(f"of_{c}"))
+    apart = edges.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("of_a", "a").alias("a"), F.coalesce("of_b", "b").alias("b"))
+    moved = small(components(apart, alone=ALONE))
+    known = roots.join(moved.toDF("root", "to"), "root", "left").select("node", F.coalesce("to", "root").alias("root"))
+    return small(known.unionByName(moved.join(roots.select("node"), "node", "left_anti")))
+
+
+def rooted_sets(docs: DataFrame, rows: DataFrame) -> DataFrame:
+    """(node, root) of set hashes: the least of all that links of a similarity of at least 0.8 lead to; sets without any are left out. docs: h, text; rows: what describe says of them."""
+    roots, late = small(components(similar(close(rows), docs, rows), alone=ALONE)), order(docs)
     by = Window.partitionBy("gram")
     found = prefixes(docs, late).repartition("gram").dropDuplicates(["gram", "s"]).withColumns({"least": F.min("s").over(by), "most": F.max("s").over(by)})
     shared = cut(found.where("least <> most").select("gram", "s", "n", "at"))
@@ -330,21 +342,21 @@ def links(docs: DataFrame, rows: DataFrame) -> DataFrame:
 
     def apart():
         """Members with their components, of shingles whose members are in several."""
-        member = shared.join(components(edges, alone=ALONE), F.col("s") == F.col("node"), "left").select("gram", "s", "n", "at", F.coalesce("root", "s").alias("root"))
+        member = shared.join(roots, F.col("s") == F.col("node"), "left").select("gram", "s", "n", "at", F.coalesce("root", "s").alias("root"))
         return member.withColumn("several", F.min("root").over(by) != F.max("root").over(by)).where("several").drop("several")
 
     for k in range(ROUNDS):
         mark = F.struct(F.xxhash64("root", F.lit(k)).alias("k"), "root", "s", "n", "at")
         first = apart().withColumn("first", F.min(mark).over(by))
         star = first.where("root <> first.root AND " + may).groupBy(F.col("s").alias("b")).agg(F.min("first.s").alias("a"))
-        edges = edges.unionByName(similar(star.select("a", "b"), docs, rows))
+        roots = merged(roots, similar(star.select("a", "b"), docs, rows))
     member = able_to_pair(apart())
     known = known_of(member, docs, rows, late)
     for _ in range(CLOSEST):
         best = cut(near_pairs(member, known, True))
-        edges = edges.unionByName(similar(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), docs, rows))
+        roots = merged(roots, similar(best.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), docs, rows, False))
         member = able_to_pair(apart().join(small(best.select(F.col("a").alias("s"))), "s", "left_semi"))
-    return edges.unionByName(similar(near_pairs(member, known, False), docs, rows))
+    return merged(roots, similar(near_pairs(member, known, False), docs, rows, False))
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
@@ -355,10 +367,10 @@ def keep_first(docs: DataFrame) -> DataFrame:
     doc, h = fresh(docs, "doc"), fresh(docs, "h")
     keys = {doc: F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), h: F.xxhash64(F.coalesce("text", F.lit("")))}
     slim = docs.select(keys[doc].alias("doc"), keys[h].alias("h"), F.coalesce("text", F.lit("")).alias("text"))
-    with arrow_rows(docs.sparkSession, 1000):
+    with arrow_rows(docs.sparkSession, 1000), shuffles_freed(docs.sparkSession):
         rows = cut(describe(slim))
-        roots = components(links(slim.select("h", "text"), rows), alone=ALONE)
-    rooted = rows.join(roots, F.col("s") == F.col("node"), "left").select("doc", "h", F.coalesce("root", "s").alias("root"))
-    kept = rooted.groupBy("root").agg(F.min(F.struct("doc", "h")).alias("kept"))
-    drop = rooted.join(kept, "root").where("doc <> kept.doc OR h <> kept.h").select(F.col("doc").alias(doc), F.col("h").alias(h)).distinct()
+        roots = rooted_sets(slim.select("h", "text"), rows)
+        rooted = rows.join(roots, F.col("s") == F.col("node"), "left").select("doc", "h", F.coalesce("root", "s").alias("root"))
+        kept = rooted.groupBy("root").agg(F.min(F.struct("doc", "h")).alias("kept"))
+        drop = small(rooted.join(kept, "root").where("doc <> kept.doc OR h <> kept.h").select(F.col("doc").alias(doc), F.col("h").alias(h)).distinct())
     return docs.withColumns(keys).join(drop, [doc, h], "left_anti").select(*docs.columns)

@@ -1,6 +1,8 @@
 """The pipeline's stages against each other and against brute force where that is short."""
 
 import random
+import time
+from pathlib import Path
 
 import corpus_pipeline
 import numpy as np
@@ -169,6 +171,33 @@ def test_components_alone(spark, alone):
     assert sorted(map(tuple, got.collect())) == [(1, 1), (2, 1), (3, 1), (4, 4), (5, 4), (6, 4), (7, 7), (8, 1), (9, 7)]
 
 
+def test_near_dup_leaves_no_shuffle_files(spark):
+    """The stage's rounds take disk one after another: when its rows are ready to be read, no shuffle file of its jobs is left."""
+
+    def files():
+        return {p.name for d in spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs() for p in Path(d.toString()).rglob("shuffle_*")}
+
+    docs = spark.createDataFrame([(i, " ".join(f"w{i // 2 * 7 + j}" for j in range(20 + i % 2)), "en", "src", 0) for i in range(40)], "doc_id long, text string, lang string, source string, n_chars long").repartition(4).localCheckpoint()
+    before = files()
+    kept, end = corpus_pipeline.near_dup_stage(spark, docs, SF), time.time() + 10
+    while (left := files() - before) and time.time() < end:  # they are removed in the background
+        time.sleep(0.1)
+    assert not left, len(left)
+    assert sorted(r.doc_id for r in kept.collect()) == list(range(0, 40, 2))
+
+
+def test_components_merged(spark):
+    """Roots of edges that come in turns are those of all edges at once."""
+    rng = random.Random(3)
+    turns = [[(rng.randrange(300), rng.randrange(300)) for _ in range(n)] for n in (60, 0, 40, 80)]
+    frame = lambda edges: spark.createDataFrame(edges, "a long, b long").repartition(4)
+    roots = components(frame(turns[0]))
+    for edges in turns[1:]:
+        roots = similar.merged(roots, frame(edges))
+    got = {r.node: r.root for r in roots.collect()}
+    assert got == {r.node: r.root for r in components(frame(sum(turns, []))).collect()} and roots.count() == len(got)
+
+
 def test_stages_take_awkward_tables(spark):
     """Each stage on an empty table, and on null ids, null texts, repeated rows and columns with clashing names: it doesn't fail and keeps the columns."""
     schema = "doc_id long, text string, lang string, source string, n_chars long, _host string, _w int, _lines int, h int, doc int, bin int"
