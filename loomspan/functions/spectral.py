@@ -19,16 +19,16 @@ RHYTHM = doubles("rate", "entropy", "regularity")
 
 
 def strongest(y: np.ndarray, power: np.ndarray) -> int:
-    """Place of the largest power (0 is the first bin above 0 Hz). Those equal but for rounding are summed again term by term in time's order, as SQL does; of what is equal still, the lowest."""
+    """Place of the largest power (0 is the first bin above 0 Hz). Those equal but for rounding are summed again term by term in time's order, as SQL does, with the C library's sines, as NumPy's differ from them in the last bit on some processors; of what is equal still, the lowest."""
     near = np.flatnonzero(power >= power.max() * (1 - 1e-9))
     if len(near) == 1:
         return int(near[0])
     n, i = len(y), np.arange(len(y))
     z = y - np.cumsum(y)[-1] / n
+    cos, sin = (np.array([f(2 * math.pi * m / n) for m in range(n)]) for f in (math.cos, math.sin))
     again = []
     for k in near + 1:
-        angle = 2 * np.pi * (k * i % n) / n
-        mag = np.sqrt(np.cumsum(z * np.cos(angle))[-1] ** 2 + np.cumsum(z * np.sin(angle))[-1] ** 2)
+        mag = math.sqrt(math.pow(np.cumsum(z * cos[k * i % n])[-1], 2) + math.pow(np.cumsum(z * sin[k * i % n])[-1], 2))
         again.append(mag * mag)
     return int(near[np.argmax(again)])
 

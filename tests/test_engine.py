@@ -326,6 +326,16 @@ def test_tied_powers_are_summed_in_order():
         assert spectral.power_spectrum_features(y, n)[0] == pytest.approx(1 + int(np.argmax(best)))
 
 
+def test_tied_powers_are_those_of_the_c_library(monkeypatch):
+    """NumPy's own sines may differ from the C library's, which SQL calls, in the last bit."""
+    spikes = [np.where(np.arange(n) == n // 3, 1000 / 7, 0.0) for n in range(4, 60)]
+    want = [spectral.power_spectrum_features(y, 1.0)[0] for y in spikes]
+    cos, sin = np.cos, np.sin
+    monkeypatch.setattr(np, "cos", lambda x: np.nextafter(cos(x), 2.0))
+    monkeypatch.setattr(np, "sin", lambda x: np.nextafter(sin(x), 2.0))
+    assert [spectral.power_spectrum_features(y, 1.0)[0] for y in spikes] == want
+
+
 @pytest.mark.parametrize("size", [100, 1000])
 def test_a_tasks_share_of_windows_does_not_grow(spark, monkeypatch, size):
     """Tasks by session and window grow with the rows: the largest holds about the share, of whatever input."""
