@@ -24,7 +24,11 @@ def entropy(df: DataFrame, keys: list[str], item, name: str, log=F.log2) -> Data
     return counted.withColumn("_p", p).groupBy(*keys).agg((F.sum(-F.col("_p") * log("_p")) + F.lit(0.0)).alias(name))
 
 
-def box_dimension(points: DataFrame, keys: list[str], sizes=(4, 8, 16, 32, 64, 128, 256)) -> DataFrame:
+#: Sizes of boxes whose counts make a dimension.
+BOXES = (4, 8, 16, 32, 64, 128, 256)
+
+
+def box_dimension(points: DataFrame, keys: list[str], sizes=BOXES) -> DataFrame:
     """Box-counting dimension: slope of ln(cells hit) on ln(1/size); null for fewer than two points."""
     boxes = points.select(*keys, "x", "y", F.explode(F.array(*map(F.lit, sizes))).alias("e"))
     cells = boxes.groupBy(*keys, "e").agg(F.countDistinct(F.floor(F.col("x") / F.col("e")), F.floor(F.col("y") / F.col("e"))).alias("n"), F.count("*").alias("m"))
@@ -42,7 +46,7 @@ def grid_dimension(points: DataFrame, keys: list[str], grids=(4, 8, 16), least:
     return cells.groupBy(*keys).agg(F.when(F.max("m") >= least, value).alias("dimension"))
 
 
-def box_slope(x: str, y: str, of, sizes=(4, 8, 16, 32, 64, 128, 256)) -> str:
+def box_slope(x: str, y: str, of, sizes=BOXES) -> str:
     """box_dimension of the points that `of` lets through, as one aggregate in SQL."""
     at = [-math.log(e) for e in sizes]
     mid = sum(at) / len(at)
@@ -84,6 +88,45 @@ def recurrence(points: DataFrame, keys: list[str], order: list[str], item: Colum
     return with_recurrence(points, keys, order, item, most).groupBy(*keys).agg(F.expr(rate).alias("rate"), F.expr(determinism).alias("determinism"))
 
 
+def ids(*keys: np.ndarray) -> np.ndarray:
+    """A number for each row, the same for rows that agree in all keys."""
+    out = np.zeros(len(keys[0]), np.int64)
+    for k in keys:
+        u = np.unique(k, return_inverse=True)[1]
+        out = np.unique(out * (len(u) + 1) + u, return_inverse=True)[1]
+    return out
+
+
+def path_measures(of: np.ndarray, n: np.ndarray, x: np.ndarray, y: np.ndarray, size: float, sizes=BOXES, most: int = 2000) -> list[np.ndarray]:
+    """entropy(), box_dimension() and recurrence() of paths put together: path number and place of each point, and the points of each path."""
+    total = lambda rows, weights=None: np.bincount(rows, weights, len(n))
+    item = ids(of, np.floor(x / size), np.floor(y / size))
+    entropy = total(of, -np.log2(np.bincount(item)[item] / n[of])) / n
+    at = -np.log(sizes)
+    hit = (total(of[np.unique(ids(of, np.floor(x / e), np.floor(y / e)), return_index=True)[1]]) for e in sizes)
+    dimension = sum(np.log(h) * a for h, a in zip(hit, (at - at.mean()) / ((at - at.mean()) ** 2).sum(), strict=True))
+    i, last = np.arange(len(of)) - (np.cumsum(n) - n)[of], np.maximum(n - 1, 1)[of]
+    taken = (n[of] <= most) | (np.floor(np.ceil(i * (most - 1) / last) * last / (most - 1)) == i)
+    of, item = of[taken], item[taken]
+    sums = []  # of squared counts of items, pairs and triples
+    for k in range(3):
+        rows = np.flatnonzero(of[: len(of) - k] == of[k:])
+        gram = ids(*(item[rows + j] for j in range(k + 1)))
+        sums.append(total(of[rows], np.bincount(gram)[gram] if len(rows) else None))
+    return [entropy, np.where(n >= 2, dimension, np.nan), sums[0] / total(of) ** 2.0, (2 * sums[1] - sums[2]) / sums[0]]
+
+
+@F.pandas_udf(doubles("entropy", "dimension", "rate", "determinism"))
+def scanpath(xs: pd.Series, ys: pd.Series, size: pd.Series) -> pd.DataFrame:
+    """path_measures() of rows of coordinate arrays in time's order; null for an empty one."""
+    n = xs.map(len).to_numpy()
+    out, some = np.full((len(n), 4), np.nan), np.flatnonzero(n)
+    if len(some):
+        x, y = (np.concatenate([np.asarray(v, float) for v in a]) for a in (xs, ys))
+        out[some] = np.column_stack(path_measures(np.repeat(np.arange(len(some)), n[some]), n[some], x, y, float(size.iloc[0])))
+    return pd.DataFrame(out, columns=["entropy", "dimension", "rate", "determinism"])
+
+
 def hull_measures(points: np.ndarray) -> tuple[float, float]:
     """Area and perimeter of the convex hull of (n, 2) points; 0, 0 where fewer than three points span it."""
     p = np.unique(points, axis=0)

@@ -100,10 +100,13 @@ def intervals(windowed: DataFrame) -> DataFrame:
 
 
 def derived(iv: DataFrame, run) -> DataFrame:
-    """Acceleration and jerk of each speed along a window order."""
-    step = lambda c: F.when(F.col("s") > 0, F.try_divide(F.col(c) - F.lag(c).over(run), F.col("s")))
-    iv = iv.withColumns({f"a{k}": step(f"v{k}") for k in ("", "x", "y")})
-    return iv.withColumns({f"j{k}": step(f"a{k}") for k in ("", "x", "y")})
+    """Acceleration and jerk of each speed along a window order, by one pass over it: a jerk needs the two rows before."""
+    parts, back = ("", "x", "y"), lambda c, n: F.lag(c, n).over(run)
+    iv = iv.withColumns({f"_v{k}{n}": back(f"v{k}", n) for k in parts for n in (1, 2)} | {"_s1": back("s", 1)})
+    step = lambda a, b, s: F.when(F.col(s) > 0, F.try_divide(F.col(a) - F.col(b), F.col(s)))
+    iv = iv.withColumns({f"a{k}": step(f"v{k}", f"_v{k}1", "s") for k in parts} | {f"_a{k}1": step(f"_v{k}1", f"_v{k}2", "_s1") for k in parts})
+    iv = iv.withColumns({f"j{k}": step(f"a{k}", f"_a{k}1", "s") for k in parts})
+    return iv.drop("_s1", *(c for k in parts for c in (f"_v{k}1", f"_v{k}2", f"_a{k}1")))
 
 
 def motion_stats(name: str, of, prefix: str = "") -> list:
@@ -259,30 +262,37 @@ def traced(windowed: DataFrame) -> DataFrame:
     run = on.orderBy("t", "ord")
     t = threshold(derived(with_steps(with_dwell(windowed), run, F.col("on")), run), on)
     t = t.withColumn("kind", F.when(F.col("ok"), F.when(F.col("v") > F.col("thr"), "saccade").otherwise("fixation")))
-    t = t.withColumn("island", F.sum(F.when(F.col("kind").eqNullSafe(F.lag("kind").over(run)), 0).otherwise(1)).over(run))
+    t = t.withColumns({"_k1": F.lag("kind").over(run), "_k2": F.lag("kind", 2).over(run), "_th1": F.lag("theta").over(run)})
+    t = t.withColumn("island", F.sum(F.when(F.col("kind").eqNullSafe(F.col("_k1")), 0).otherwise(1)).over(run))
+    # an event is a run of rows, so its derivatives are the window's where the rows before belong to it too
+    one = F.coalesce(F.col("kind") == F.col("_k1"), F.lit(False))
+    two = one & F.coalesce(F.col("_k1") == F.col("_k2"), F.lit(False))
+    inside = {f"s{c}{k}": F.when(rows, F.col(f"{c}{k}")) for c, rows in (("a", one), ("j", two)) for k in ("", "x", "y")}
+    turn = F.when(one, F.col("theta") - F.col("_th1"))
+    return event_measures(t.withColumns({**inside, "omega": F.try_divide(unwrapped(turn), F.col("s"))}).drop("_k1", "_k2", "_th1"))
+
+
+def event_measures(t: DataFrame) -> DataFrame:
+    """The measures of events on their rows: an event's points are its steps' first samples and the last one's second. Rows are sorted once, by event and cell."""
     of = Window.partitionBy(*G, "on", "island")
-    t = with_saccade_motion(t, of.orderBy("t", "ord")).withColumns({"e_start": F.min("t0").over(of), "e_end": F.max("t").over(of)})
-    least = F.when(F.col("kind") == "fixation", MIN_FIX).when(F.col("kind") == "saccade", MIN_SAC)
-    t = t.withColumn("kind", F.when(F.col("e_end") - F.col("e_start") >= least, F.col("kind"))).withColumn("last", F.col("kind").isNotNull() & (F.col("t") == F.col("e_end")))
-    return event_measures(t, of)
-
-
-def event_measures(t: DataFrame, of) -> DataFrame:
-    """The measures of events on their rows: an event's points are its steps' first samples and the last one's second."""
-    end = lambda c: F.max(F.when(F.col("last"), c)).over(of)
     place = lambda x, y: F.struct(F.floor(F.col(x) / CELL), F.floor(F.col(y) / CELL))
-    t = t.withColumns({"_n": F.count("*").over(of), "ex": end(F.col("x")), "ey": end(F.col("y")), "_cell": place("x0", "y0")})
-    t = t.withColumns({"_end": F.struct(F.floor(F.col("ex") / CELL), F.floor(F.col("ey") / CELL)), "_c": F.count("*").over(Window.partitionBy(*G, "on", "island", "_cell"))})
-    here = F.col("_cell") == F.col("_end")
+    t = t.withColumn("_cell", place("x0", "y0")).withColumn("_c", F.count("*").over(Window.partitionBy(*G, "on", "island", "_cell")))
+    low_high = {f"_{f.__name__}_{c}": f(f"{c}0").over(of) for c in "xy" for f in (F.min, F.max, F.sum, F.var_pop, F.avg)}
+    ends = {"_a": F.min_by(F.struct("x0", "y0"), "t").over(of), "_z": F.max_by(F.struct("x", "y"), "t").over(of)}
+    t = t.withColumns({"e_start": F.min("t0").over(of), "e_end": F.max("t").over(of), "_n": F.count("*").over(of), "path": F.sum("dist").over(of), **low_high, **ends})
+    least = F.when(F.col("kind") == "fixation", MIN_FIX).when(F.col("kind") == "saccade", MIN_SAC)
+    t = t.withColumn("kind", F.when(F.col("e_end") - F.col("e_start") >= least, F.col("kind")))
+    t = t.withColumns({"last": F.col("kind").isNotNull() & (F.col("t") == F.col("e_end")), "ex": F.when(F.col("kind").isNotNull(), F.col("_z.x")), "ey": F.when(F.col("kind").isNotNull(), F.col("_z.y"))})
+    here = F.col("_cell") == place("ex", "ey")
     bits = lambda c: -F.log2(c / (F.col("_n") + 1))
     own = F.sum(bits(F.col("_c") + here.cast("int"))).over(of) + bits(F.count_if(here).over(of) + 1)
-    spans = {k: F.greatest(F.max(f"{c}0").over(of), f"e{c}") - F.least(F.min(f"{c}0").over(of), f"e{c}") for k, c in (("w", "x"), ("h", "y"))}
-    means = {f"m{c}": (F.sum(f"{c}0").over(of) + F.col(f"e{c}")) / (F.col("_n") + 1) for c in "xy"}
-    spread_ = [one_more(F.var_pop(f"{c}0").over(of), F.avg(f"{c}0").over(of), F.col("_n"), F.col(f"e{c}")) for c in "xy"]
-    start = F.min_by(F.struct("x0", "y0"), "t").over(of)
-    t = t.withColumns({**spans, **means, "rms": F.sqrt(spread_[0] + spread_[1]), "path": F.sum("dist").over(of), "_a": start, "entropy": own / (F.col("_n") + 1) + 0.0, "dur": (F.col("e_end") - F.col("e_start")).cast("double")})
+    t = t.withColumn("entropy", own / (F.col("_n") + 1) + 0.0)
+    spans = {k: F.greatest(f"_max_{c}", f"e{c}") - F.least(f"_min_{c}", f"e{c}") for k, c in (("w", "x"), ("h", "y"))}
+    means = {f"m{c}": (F.col(f"_sum_{c}") + F.col(f"e{c}")) / (F.col("_n") + 1) for c in "xy"}
+    spread_ = [one_more(F.col(f"_var_pop_{c}"), F.col(f"_avg_{c}"), F.col("_n"), F.col(f"e{c}")) for c in "xy"]
     dx, dy = F.col("ex") - F.col("_a.x0"), F.col("ey") - F.col("_a.y0")
-    t = t.withColumns({"disp": F.sqrt(dx * dx + dy * dy), "dir": F.atan2(dy, dx)})
+    t = t.withColumns({**spans, **means, "rms": F.sqrt(spread_[0] + spread_[1]), "dur": (F.col("e_end") - F.col("e_start")).cast("double"), "disp": F.sqrt(dx * dx + dy * dy), "dir": F.atan2(dy, dx)})
+    t = t.drop(*(c for c in t.columns if c[0] == "_"))
     nxt = Window.partitionBy(*G, "kind", "last").orderBy("e_start")
     return t.withColumns({"gap": (F.lead("e_start").over(nxt) - F.col("e_end")).cast("double"), "turn": angular_diff(F.col("dir"), F.lag("dir").over(nxt))})
 
@@ -294,15 +304,19 @@ def indicators(samples: DataFrame, cfg: PIConfig) -> DataFrame:
     count = lambda of: f"count({of('1')})"
     path = "coalesce(sum(CASE WHEN ok THEN dist END), 0.0D)"
     families = {
-        "_on": [*position_stats(cfg, on), *motion_stats("gaze", only()), *scalar4("gaze_path_length", path, 1), *rate_stats(count(fix), count(sac), "(max(w_end) - max(w_start)) / 1000.0D"), *path_stats(on)],
+        "_on": [*position_stats(cfg, on), *motion_stats("gaze", only()), *scalar4("gaze_path_length", path, 1), *rate_stats(count(fix), count(sac), "(max(w_end) - max(w_start)) / 1000.0D")],
         "_fix": [*shape("fixation", fix), *points("fixation_centroid", fix("mx"), fix("my")), *drift_stats(in_fix)],
         "_sac": [*saccade_stats(sac), *motion_stats("saccade", in_sac, "s"), *stats4("saccade_angular_velocity", in_sac("omega"), 1)],
     }
-    more = {"w_start": "max(w_start)", "w_end": "max(w_end)", "n_samples": "count(*)", "_on": count(on), "_fix": count(fix), "_sac": count(sac), "_points": f"collect_list({fix('struct(mx, my)')})"}
-    held = with_path(traced(wd), [*G, "on"]).groupBy(*G).agg(*(c for part in families.values() for c in part), *dwell_stats(cfg), *(F.expr(f"{x} AS {n}") for n, x in more.items()))
-    held = guarded(held, len(G), families).withColumn("_hull", geometry.hull(F.col("_points.mx"), F.col("_points.my")))
+    more = {
+        "w_start": "max(w_start)", "w_end": "max(w_end)", "n_samples": "count(*)", "_on": count(on), "_fix": count(fix), "_sac": count(sac), "_points": f"collect_list({fix('struct(mx, my)')})",
+        "_path": f"array_sort(collect_list({on('struct(t, ord, x, y)')}))",
+    }
+    held = traced(wd).groupBy(*G).agg(*(c for part in families.values() for c in part), *dwell_stats(cfg), *(F.expr(f"{x} AS {n}") for n, x in more.items()))
+    held = guarded(held, len(G), families).withColumns({"_hull": geometry.hull(F.col("_points.mx"), F.col("_points.my")), "_scan": geometry.scanpath(F.col("_path.x"), F.col("_path.y"), F.lit(CELL))})
     some = lambda c: F.when(F.col("_fix") > 0, F.col(c))
+    scan = {"gaze_entropy": "entropy", "scanpath_fractal_dimension": "dimension", "scanpath_revisit_ratio": "rate", "scanpath_determinism_ratio": "determinism"}
     return held.select(
-        *[c for c in held.columns if c[0] != "_"], *scalar4("gaze_path_curvature", ratio("gaze_path_length_mean", "gaze_path_displacement_mean"), 1),
+        *[c for c in held.columns if c[0] != "_"], *(c for n, f in scan.items() for c in scalar4(n, f"_scan.{f}", 1)), *scalar4("gaze_path_curvature", ratio("gaze_path_length_mean", "gaze_path_displacement_mean"), 1),
         *scalar4("fixation_convex_hull_area", some("_hull.area"), 1), *scalar4("fixation_convex_hull_perimeter", some("_hull.perimeter"), 1),
     )

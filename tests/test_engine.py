@@ -302,6 +302,27 @@ def test_gaze_indicators_are_one_pass(spark):
     assert plan.count("FileScan") <= 2 and plan.count("Exchange hashpartitioning") <= 4
 
 
+def test_gaze_indicators_sort_few_times(spark):
+    """What is done with a session's windows is a handful of sorts and passes, not one of each for every count."""
+    plan = catalogue.QUERIES["eye_indicators"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    dealt = plan[: plan.index("Exchange hashpartitioning(sess")]
+    assert dealt.count("Sort [") <= 5 and dealt.count("Window [") <= 12
+
+
+def test_paths_equal_sql_operators(spark):
+    """Measures of paths as arrays: those of rows, with a path that is thinned, one of two points, of one and of none."""
+    rng, size = random.Random(5), eye.CELL
+    paths = {w: [(rng.randrange(-90, 900) / 2, rng.randrange(300) / 2) for _ in range(n)] for w, n in ((1, 5000), (2, 2001), (3, 2000), (4, 40), (5, 2), (6, 1), (7, 0))}
+    df = spark.createDataFrame([(1, w, i, i, x, y) for w, p in paths.items() for i, (x, y) in enumerate(p)], "sess int, win int, t int, ord int, x double, y double")
+    want = {r.win: r for r in eye.scanpath(df).collect()}
+    arrays = spark.createDataFrame([(w, [x for x, _ in p], [y for _, y in p]) for w, p in paths.items()], "win int, xs array<double>, ys array<double>")
+    got = {r.win: r.s for r in arrays.select("win", geometry.scanpath("xs", "ys", F.lit(size)).alias("s")).collect()}
+    assert tuple(got[7]) == (None,) * 4 and set(got) == {*want, 7}
+    for w, r in want.items():
+        for mine, name in zip(got[w], ("gaze_entropy", "scanpath_fractal_dimension", "scanpath_revisit_ratio", "scanpath_determinism_ratio"), strict=True):
+            assert mine == (r[f"{name}_mean"] if r[f"{name}_mean"] is None else pytest.approx(r[f"{name}_mean"], rel=1e-12, abs=1e-12)), (w, name)
+
+
 def test_turns_of_45_degrees_equal_sql(spark, duck):
     """Three points a stroke, whose second step is the first turned by 45 degrees: whether the turn is over 45 goes by the last bit of atan2."""
     steps = [(x, y) for x in range(1, 41) for y in range(-40, 41)]
